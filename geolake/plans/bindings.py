@@ -47,3 +47,125 @@ def dvf_input(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(parcel).alias("id_parcelle"),
         dep.alias("departement"),
     )
+
+
+# ------------------------------------------------------------------------ OSM
+# Tag pairs given to elements (primary by order key, secondary by customer key).
+OSM_PRIMARY = [
+    ("shop", "bakery"), ("amenity", "restaurant"), ("amenity", "bank"),
+    ("leisure", "fitness_centre"), ("healthcare", "doctor"), ("amenity", "parking"),
+    ("amenity", "nightclub"), ("amenity", "bar"), ("leisure", "adult_gaming_centre"),
+    ("amenity", "casino"), ("railway", "station"), ("railway", "halt"),
+    ("station", "subway"), ("railway", "tram_stop"), ("highway", "bus_stop"),
+    ("amenity", "bus_station"), ("public_transport", "station"),
+    ("railway", "subway_entrance"), ("highway", "primary"), ("highway", "motorway_link"),
+    ("highway", "residential"), ("railway", "rail"), ("railway", "tram"),
+    ("railway", "abandoned"), ("landuse", "industrial"), ("landuse", "quarry"),
+    ("man_made", "works"), ("man_made", "tower"), ("industrial", "factory"),
+    ("building", "warehouse"), ("aeroway", "aerodrome"), ("aeroway", "runway"),
+    ("aeroway", "helipad"), ("aeroway", "gate"), ("amenity", "parking_entrance"),
+    ("natural", "water"), ("waterway", "river"), ("waterway", "stream"),
+    ("waterway", "ditch"), ("leisure", "park"), ("leisure", "garden"),
+    ("landuse", "forest"), ("landuse", "meadow"), ("landuse", "farmland"),
+    ("tourism", "museum"), ("historic", "castle"), ("amenity", "place_of_worship"),
+    ("leisure", "stadium"), ("tourism", "hotel"), ("historic", "church"),
+    ("amenity", "Restaurant"),
+]
+OSM_SECONDARY = [
+    ("amenity", "bus_station"), ("tourism", "museum"), ("leisure", "park"),
+    ("historic", "ruins"), ("aerodrome:type", "public"), ("water", "pond"),
+    ("waterway", ""), ("aerodrome", "international"), ("parking", "surface"),
+    ("cuisine", "french"), ("addr:street", "Rue Haute"), ("operator", "SNCF"),
+]
+
+
+def _pick(pairs, idx: Column, part: int) -> Column:
+    return F.element_at(F.array(*[F.lit(p[part]) for p in pairs]),
+                        (idx % len(pairs) + 1).cast("int"))
+
+
+def _vertex(lat_expr: Column, lon_expr: Column) -> Column:
+    return F.struct(lat_expr.alias("lat"), lon_expr.alias("lon"))
+
+
+def osm_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders (+ their lineitems) as Overpass elements.
+
+    type by order key (way / node / relation); node position from keys;
+    way vertices = the order's lines by (line number, part, supplier, price),
+    closed for even keys;
+    relation members = one small ring per line (closed for even part keys).
+    """
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    lat = F.lit(41.0) + ((F.col("l_partkey") * 7 + F.col("l_linenumber")) % 1000) / 100.0
+    lon = F.lit(-5.0) + ((F.col("l_suppkey") * 13 + F.col("l_linenumber") * 3) % 1300) / 100.0
+    p = _vertex(lat, lon)
+    p1 = _vertex(lat, lon + 0.01)
+    p2 = _vertex(lat + 0.01, lon + 0.01)
+    ring = F.when(F.col("l_partkey") % 2 == 0, F.array(p, p1, p2, p)).otherwise(F.array(p, p1, p2))
+    member = F.struct(
+        F.when(F.col("l_linenumber") % 3 == 0, "node").otherwise("way").alias("type"),
+        F.when(F.col("l_linenumber") % 4 == 0, "inner").otherwise("outer").alias("role"),
+        ring.alias("geometry"))
+    lines = li.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct(
+            "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
+            p.alias("p"), member.alias("m"))))
+        .alias("ls"))
+    lines = lines.select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.transform("ls", lambda x: x["p"]).alias("pts"),
+        F.transform("ls", lambda x: x["m"]).alias("mem"))
+    el = o.join(lines, "o_orderkey", "left")
+    kind = F.col("o_orderkey") % 10
+    etype = F.when(kind < 5, "way").when(kind < 8, "node").otherwise("relation")
+    k1, v1 = _pick(OSM_PRIMARY, F.col("o_orderkey"), 0), _pick(OSM_PRIMARY, F.col("o_orderkey"), 1)
+    k2, v2 = _pick(OSM_SECONDARY, F.col("o_custkey"), 0), _pick(OSM_SECONDARY, F.col("o_custkey"), 1)
+    entries = F.array(
+        F.struct(k1.alias("key"), v1.alias("value")),
+        F.struct(F.when(k2 != k1, k2).alias("key"), v2.alias("value")),
+        F.struct(F.lit("name").alias("key"),
+                 F.concat(F.lit("el"), F.col("o_orderkey").cast("string")).alias("value")),
+        F.struct(F.lit("wikidata").alias("key"),
+                 F.when(F.col("o_custkey") % 3 != 0,
+                        F.concat(F.lit("Q"), (F.col("o_custkey") % 400).cast("string")))
+                 .alias("value")))
+    tags = F.map_from_entries(F.filter(entries, lambda e: e["key"].isNotNull() & e["value"].isNotNull()))
+    closed = F.when(F.col("o_orderkey") % 2 == 0,
+                    F.concat("pts", F.array(F.get(F.col("pts"), 0)))).otherwise(F.col("pts"))
+    node = etype == "node"
+    return el.select(
+        etype.alias("type"),
+        F.col("o_orderkey").alias("id"),
+        F.when(node & (F.col("o_orderkey") % 31 != 0),
+               F.lit(41.0) + (F.col("o_custkey") % 1000) / 100.0).alias("lat"),
+        F.when(node, F.lit(-5.0) + (F.col("o_orderkey") % 1300) / 100.0).alias("lon"),
+        F.struct((F.lit(41.5) + (F.col("o_custkey") % 100) / 100.0).alias("lat"),
+                 (F.lit(2.0) + (F.col("o_custkey") % 50) / 100.0).alias("lon")).alias("center"),
+        tags.alias("tags"),
+        F.when(etype == "way", closed).alias("geometry"),
+        F.when(etype == "relation", F.col("mem")).alias("members"),
+    )
+
+
+def entities_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as Wikidata entities (QID = 'Q' || partkey)."""
+    p = table(spark, sf_dir, "part")
+    desc_t = "map<string,struct<value:string>>"
+    k = F.col("p_size") % 4
+    descriptions = (
+        F.when(k == 0, F.create_map(F.lit("fr"), F.struct(F.col("p_name").alias("value"))))
+        .when(k == 1, F.create_map(F.lit("en"), F.struct(F.col("p_type").alias("value"))))
+        .when(k == 2, F.create_map(F.lit("fr"), F.struct(F.lit(None).cast("string").alias("value")),
+                                   F.lit("en"), F.struct(F.col("p_type").alias("value"))))
+        .otherwise(F.create_map().cast(desc_t)))
+    snak = F.struct(F.struct(F.struct(
+        F.concat_ws(" ", "p_name", "p_brand").alias("value")).alias("datavalue")).alias("mainsnak"))
+    p18 = F.when(F.col("p_partkey") % 3 == 0, F.array().cast(
+        "array<struct<mainsnak:struct<datavalue:struct<value:string>>>>")).otherwise(F.array(snak))
+    return p.select(
+        F.concat(F.lit("Q"), F.col("p_partkey").cast("string")).alias("qid"),
+        (F.col("p_partkey") % 13 == 0).alias("missing"),
+        descriptions.cast(desc_t).alias("descriptions"),
+        F.struct(p18.alias("P18")).alias("claims"))

@@ -11,7 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import prices
+from ..functions.geometry import flatten_geom
+from ..operators import osm, prices
 from . import bindings as B
 from .tables import round_doubles
 
@@ -26,8 +27,25 @@ def q_commune_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(prices.commune_prices(B.dvf_input(spark, sf_dir)))
 
 
+def _osm(layer: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return flatten_geom(osm.osm_layer(B.osm_input(spark, sf_dir), layer))
+    q.__name__ = f"q_osm_{layer}"
+    return q
+
+
+OSM_QUERIES = {
+    "osm_shops": "shops", "osm_nightclubs": "nightclubs", "osm_transport": "transport",
+    "osm_stations": "railway_stations", "osm_roads": "roads", "osm_railways": "railways",
+    "osm_industry": "industry", "osm_airports": "airports", "osm_parking": "parking",
+    "osm_water": "water", "osm_green_spaces": "green_spaces", "osm_wiki_pois": "wiki_pois",
+}
+
+
 def queries() -> dict[str, Query]:
-    return {
+    out: dict[str, Query] = {
         "section_prices": q_section_prices,
         "commune_prices": q_commune_prices,
     }
+    out.update({name: _osm(layer) for name, layer in OSM_QUERIES.items()})
+    return out

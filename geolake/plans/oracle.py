@@ -83,10 +83,257 @@ FROM bati GROUP BY departement, code_commune
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: expand_f32(v) for k, v in _ORACLES.items()}
+    out = dict(_ORACLES)
+    out.update(osm_oracles())
+    return {k: expand_f32(v) for k, v in out.items()}
 
 
 _ORACLES = {
     "section_prices": SECTION_PRICES,
     "commune_prices": COMMUNE_PRICES,
 }
+
+
+# ------------------------------------------------------------------------ OSM
+def D(x) -> str:
+    """A double literal (DuckDB reads 41.0 as DECIMAL)."""
+    return f"CAST({x} AS DOUBLE)"
+
+
+def _boxes_sql() -> str:
+    from ..functions.departments import DEP_BBOX
+    rows = ", ".join(f"('{d}', {D(s)}, {D(w)}, {D(n)}, {D(e)})"
+                     for d, (s, w, n, e) in DEP_BBOX.items())
+    return f"(VALUES {rows}) AS b(dep, s, w, n, e)"
+
+
+def _osm_el_sql() -> str:
+    from .bindings import OSM_PRIMARY, OSM_SECONDARY
+
+    def lst(pairs, i):
+        return "[" + ", ".join("'" + p[i] + "'" for p in pairs) + "]"
+    lat = f"{D(41.0)} + ((l_partkey * 7 + l_linenumber) % 1000) / {D(100.0)}"
+    lon = f"{D(-5.0)} + ((l_suppkey * 13 + l_linenumber * 3) % 1300) / {D(100.0)}"
+    return f"""
+lv AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+         struct_pack(lat := {lat}, lon := {lon}) AS p,
+         struct_pack(lat := {lat}, lon := {lon} + {D(0.01)}) AS p1,
+         struct_pack(lat := {lat} + {D(0.01)}, lon := {lon} + {D(0.01)}) AS p2
+  FROM lineitem
+),
+lines AS (
+  SELECT l_orderkey,
+         list(p ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pts,
+         list(struct_pack(
+                type := CASE WHEN l_linenumber % 3 = 0 THEN 'node' ELSE 'way' END,
+                role := CASE WHEN l_linenumber % 4 = 0 THEN 'inner' ELSE 'outer' END,
+                geometry := CASE WHEN l_partkey % 2 = 0 THEN [p, p1, p2, p] ELSE [p, p1, p2] END)
+              ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS mem
+  FROM lv GROUP BY l_orderkey
+),
+el0 AS (
+  SELECT o.o_orderkey AS id,
+         CASE WHEN o.o_orderkey % 10 < 5 THEN 'way' WHEN o.o_orderkey % 10 < 8 THEN 'node'
+              ELSE 'relation' END AS type,
+         o.o_custkey, lines.pts, lines.mem,
+         {lst(OSM_PRIMARY, 0)}[o.o_orderkey % {len(OSM_PRIMARY)} + 1] AS k1,
+         {lst(OSM_PRIMARY, 1)}[o.o_orderkey % {len(OSM_PRIMARY)} + 1] AS v1,
+         {lst(OSM_SECONDARY, 0)}[o.o_custkey % {len(OSM_SECONDARY)} + 1] AS k2_,
+         {lst(OSM_SECONDARY, 1)}[o.o_custkey % {len(OSM_SECONDARY)} + 1] AS v2
+  FROM orders o LEFT JOIN lines ON lines.l_orderkey = o.o_orderkey
+),
+el AS (
+  SELECT id, type,
+         CASE WHEN type = 'node' AND id % 31 <> 0
+              THEN {D(41.0)} + (o_custkey % 1000) / {D(100.0)} END AS lat,
+         CASE WHEN type = 'node' THEN {D(-5.0)} + (id % 1300) / {D(100.0)} END AS lon,
+         {D(41.5)} + (o_custkey % 100) / {D(100.0)} AS center_lat,
+         {D(2.0)} + (o_custkey % 50) / {D(100.0)} AS center_lon,
+         k1, v1, CASE WHEN k2_ <> k1 THEN k2_ END AS k2, v2,
+         'el' || CAST(id AS VARCHAR) AS tag_name,
+         CASE WHEN o_custkey % 3 <> 0 THEN 'Q' || CAST(o_custkey % 400 AS VARCHAR) END AS tag_wikidata,
+         CASE WHEN type = 'way' THEN
+              CASE WHEN id % 2 = 0 THEN list_concat(pts, [pts[1]]) ELSE pts END END AS geometry,
+         CASE WHEN type = 'relation' THEN mem END AS members
+  FROM el0
+)"""
+
+
+def _tag(k: str) -> str:
+    if k == "name":
+        return "tag_name"
+    if k == "wikidata":
+        return "tag_wikidata"
+    return f"(CASE WHEN k1 = '{k}' THEN v1 WHEN k2 = '{k}' THEN v2 END)"
+
+
+def _in(k: str, values) -> str:
+    vals = [values] if isinstance(values, str) else list(values)
+    return f"{_tag(k)} IN (" + ", ".join("'" + v + "'" for v in vals) + ")"
+
+
+def _closed(g: str) -> str:
+    return f"(len({g}) >= 4 AND {g}[1].lat = {g}[-1].lat AND {g}[1].lon = {g}[-1].lon)"
+
+
+def _pts_in_box(g: str) -> str:
+    return (f"len(list_filter({g}, lambda p: p.lat BETWEEN b.s AND b.n "
+            f"AND p.lon BETWEEN b.w AND b.e)) > 0")
+
+
+def _osm_layer_sql(where: str, geom_cases: list[tuple[str, str, str, str]],
+                   cols: list[tuple[str, str]], wiki: bool = False) -> str:
+    """``geom_cases``: (condition, type name, parts-count expr, points-list expr)."""
+    gt = "CASE " + " ".join(f"WHEN {c} THEN '{t}'" for c, t, _, _ in geom_cases) + " END"
+    gp = "CASE " + " ".join(f"WHEN {c} THEN {n}" for c, _, n, _ in geom_cases) + " END"
+    gl = "CASE " + " ".join(f"WHEN {c} THEN {l}" for c, _, _, l in geom_cases) + " END"
+    anchor = f"""CASE WHEN s.type = 'node' THEN
+                   coalesce(s.lat, s.center_lat) BETWEEN b.s AND b.n
+                   AND coalesce(s.lon, s.center_lon) BETWEEN b.w AND b.e
+                 WHEN s.type = 'way' THEN {_pts_in_box('s.geometry')}
+                 ELSE {_pts_in_box('flatten(list_transform(s.members, lambda m: m.geometry))')} END"""
+    proj = ", ".join(f"{expr} AS {name}" for name, expr in cols)
+    body = f"""
+WITH {_osm_el_sql()},
+sel AS (
+  SELECT *, {gt} AS gtype, {gp} AS gparts, {gl} AS gpts FROM el WHERE {where}
+),
+asg AS (
+  SELECT s.*, b.dep AS departement FROM (SELECT * FROM sel WHERE gtype IS NOT NULL) s
+  JOIN {_boxes_sql()} ON {anchor}
+)"""
+    if wiki:
+        body += f""",
+rk AS (SELECT *, {_wiki_rank()} AS rnk FROM asg),
+asg2 AS (SELECT * FROM rk WHERE rnk = (SELECT min(r2.rnk) FROM rk r2
+                                       WHERE r2.departement = rk.departement AND r2.id = rk.id))"""
+    src = "asg2" if wiki else "asg"
+    return body + f"""
+SELECT id AS osm_id, {proj}, departement,
+       gtype AS geom_type, CAST(gparts AS BIGINT) AS geom_parts,
+       CAST(len(gpts) AS BIGINT) AS geom_points,
+       list_min(list_transform(gpts, lambda p: p.lon)) AS geom_xmin,
+       list_min(list_transform(gpts, lambda p: p.lat)) AS geom_ymin,
+       list_max(list_transform(gpts, lambda p: p.lon)) AS geom_xmax,
+       list_max(list_transform(gpts, lambda p: p.lat)) AS geom_ymax
+FROM {src}
+"""
+
+
+def _wiki_rank() -> str:
+    from ..operators.osm import WIKI_CATEGORIES
+    return "CASE " + " ".join(f"WHEN {_in(k, v)} THEN {i}"
+                              for i, (k, v) in enumerate(WIKI_CATEGORIES)) + " END"
+
+
+def _node_point() -> tuple[str, str, str, str]:
+    return ("type = 'node' AND lat IS NOT NULL AND lon IS NOT NULL", "Point", "1",
+            "[struct_pack(lat := lat, lon := lon)]")
+
+
+def _way_line() -> tuple[str, str, str, str]:
+    return ("type = 'way' AND len(geometry) >= 2", "LineString", "1", "geometry")
+
+
+def _way_polygon() -> tuple[str, str, str, str]:
+    return (f"type = 'way' AND {_closed('geometry')}", "Polygon", "1", "geometry")
+
+
+def _cols(*names) -> list[tuple[str, str]]:
+    out = []
+    for n in names:
+        if isinstance(n, tuple):
+            out.append(n)
+        else:
+            out.append((n, _tag(n)))
+    return out
+
+
+ADDR_COLS = [("addr_street", _tag("addr:street")), ("addr_housenumber", _tag("addr:housenumber")),
+             ("addr_postcode", _tag("addr:postcode")), ("addr_city", _tag("addr:city"))]
+
+
+def osm_oracles() -> dict[str, str]:
+    from ..operators import osm as O
+    node = "type = 'node'"
+    way = "type = 'way'"
+    rel = "type = 'relation'"
+    water_rel = ("type = 'relation' AND len(list_filter(members, lambda m: m.role = 'outer' "
+                 "AND m.geometry IS NOT NULL AND " + _closed("m.geometry") + ")) > 0")
+    water_first = ("list_filter(members, lambda m: m.role = 'outer' AND m.geometry IS NOT NULL AND "
+                   + _closed("m.geometry") + ")[1].geometry")
+    green_rings = ("list_filter(members, lambda m: m.role = 'outer' AND m.type = 'way' "
+                   "AND m.geometry IS NOT NULL AND " + _closed("m.geometry") + ")")
+    nonempty = "(CASE WHEN {x} <> '' THEN {x} END)"
+    q = {}
+    q["osm_shops"] = _osm_layer_sql(
+        f"{node} AND ({_tag('shop')} IS NOT NULL OR {_in('amenity', O.SHOP_AMENITIES)} "
+        f"OR {_in('leisure', O.SHOP_LEISURE)} OR {_tag('healthcare')} IS NOT NULL)",
+        [_node_point()],
+        _cols("name", "shop", "amenity", "leisure", "healthcare", "cuisine", "brand",
+              "opening_hours") + ADDR_COLS)
+    q["osm_nightclubs"] = _osm_layer_sql(
+        f"{node} AND ({_in('amenity', O.NIGHT_AMENITIES)} OR {_in('leisure', O.NIGHT_LEISURE)})",
+        [_node_point()], _cols("name", "amenity", "leisure", "opening_hours") + ADDR_COLS)
+    ttype = ("CASE WHEN " + _in("railway", ["station", "halt"]) + " THEN 'train_station' "
+             "WHEN " + _tag("station") + " = 'subway' THEN 'metro_station' "
+             "WHEN " + _tag("railway") + " = 'tram_stop' THEN 'tram_stop' "
+             "WHEN " + _tag("amenity") + " = 'bus_station' THEN 'bus_station' ELSE 'bus_stop' END")
+    q["osm_transport"] = _osm_layer_sql(
+        f"{node} AND ({_in('railway', ['station', 'halt', 'tram_stop'])} "
+        f"OR {_tag('station')} = 'subway' OR {_tag('highway')} = 'bus_stop' "
+        f"OR {_tag('amenity')} = 'bus_station')",
+        [_node_point()],
+        _cols("name", ("transport_type", ttype), "network", "operator", "line"))
+    q["osm_stations"] = _osm_layer_sql(
+        f"{node} AND ({_in('railway', O.RAIL_STATIONS)} OR {_tag('public_transport')} = 'station')",
+        [_node_point()], _cols("name", "railway", "station", "network", "operator"))
+    q["osm_roads"] = _osm_layer_sql(
+        f"{way} AND {_in('highway', O.ROAD_HIGHWAYS)}", [_way_line()],
+        _cols("name", "highway", "lanes", "maxspeed", "surface"))
+    q["osm_railways"] = _osm_layer_sql(
+        f"{way} AND {_in('railway', O.RAIL_LINES)}", [_way_line()],
+        _cols("name", "railway", "operator", "service", "usage", "electrified", "maxspeed",
+              "tunnel", "bridge", "cutting", "embankment", "noise_barrier"))
+    q["osm_industry"] = _osm_layer_sql(
+        f"{way} AND ({_in('landuse', ['industrial', 'quarry', 'port'])} "
+        f"OR {_in('man_made', O.INDUSTRY_MAN_MADE)} OR {_tag('industrial')} IS NOT NULL "
+        f"OR {_in('building', O.INDUSTRY_BUILDINGS)})",
+        [_way_polygon()],
+        _cols("name", "landuse", "industrial", "man_made", "building", "operator"))
+    use = ("coalesce(" + nonempty.format(x=_tag("aerodrome:type")) + ", "
+           + nonempty.format(x=_tag("aerodrome")) + ")")
+    q["osm_airports"] = _osm_layer_sql(
+        f"(({node} AND {_in('aeroway', O.AIRPORT_NODES)}) OR ({way} AND {_in('aeroway', O.AIRPORT_WAYS)}))",
+        [_node_point(), _way_polygon(), _way_line()],
+        _cols("name", "aeroway", "iata", "icao", "operator", ("use", use)))
+    q["osm_parking"] = _osm_layer_sql(
+        f"((({node} OR {way}) AND {_tag('amenity')} = 'parking') "
+        f"OR ({node} AND {_tag('amenity')} = 'parking_entrance'))",
+        [_node_point(), _way_polygon()],
+        _cols("name", ("parking_type", _tag("parking")), "capacity", "fee", "access"))
+    wtype = ("coalesce(" + nonempty.format(x=_tag("waterway")) + ", "
+             + nonempty.format(x=_tag("water")) + ", 'water')")
+    q["osm_water"] = _osm_layer_sql(
+        f"((({way} OR {rel}) AND {_tag('natural')} = 'water') "
+        f"OR ({way} AND {_in('waterway', O.WATERWAYS)}))",
+        [_way_polygon(), _way_line(), (water_rel, "Polygon", "1", water_first)],
+        _cols("name", ("water_type", wtype)))
+    q["osm_green_spaces"] = _osm_layer_sql(
+        f"({way} OR {rel}) AND ({_in('leisure', O.GREEN_LEISURE)} OR {_in('landuse', O.GREEN_LANDUSE)})",
+        [_way_polygon(),
+         (f"{rel} AND len({green_rings}) > 0", "MultiPolygon", f"len({green_rings})",
+          f"flatten(list_transform({green_rings}, lambda m: m.geometry))")],
+        _cols(("osm_type", "type"), "name", "leisure", "landuse", "access", "surface"))
+    wlat = "coalesce(CASE WHEN lat <> 0 THEN lat END, center_lat)"
+    wlon = "coalesce(CASE WHEN lon <> 0 THEN lon END, center_lon)"
+    wiki_where = " OR ".join(f"({_in(k, v)})" for k, v in O.WIKI_CATEGORIES)
+    cat = "coalesce(" + ", ".join(nonempty.format(x=_tag(k))
+                                  for k in ("tourism", "amenity", "historic", "leisure")) + ")"
+    q["osm_wiki_pois"] = _osm_layer_sql(
+        f"{node} AND {_tag('wikidata')} <> '' AND ({wiki_where})",
+        [(f"{wlat} IS NOT NULL AND {wlon} IS NOT NULL", "Point", "1",
+          f"[struct_pack(lat := {wlat}, lon := {wlon})]")],
+        _cols(("wikidata_id", _tag("wikidata")), "name", ("category", cat)), wiki=True)
+    return q
