@@ -56,10 +56,11 @@ def l93_to_lonlat(x: Column, y: Column) -> tuple[Column, Column]:
     theta = F.atan2(dx, dy)
     t = F.pow(rho / F.lit(AF), F.lit(1.0 / N))
     lon = theta / F.lit(N) + F.lit(LON0)
-    phi = F.lit(math.pi / 2) - 2 * F.atan(t)
+    phi = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t)
     for _ in range(_ITER):
-        es = F.lit(_E) * F.sin(phi)
-        phi = F.lit(math.pi / 2) - 2 * F.atan(t * F.pow((1 - es) / (1 + es), F.lit(_E / 2)))
+        # (1 - es) / (1 + es) written with es once, keeping the tree linear.
+        ratio = F.lit(2.0) / (F.lit(1.0) + F.lit(_E) * F.sin(phi)) - F.lit(1.0)
+        phi = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t * F.pow(ratio, F.lit(_E / 2)))
     return F.degrees(lon), F.degrees(phi)
 
 

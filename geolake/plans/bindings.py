@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import table
+from .tables import table  # noqa: F401  (re-exported)
 
 
 def _lp(c: Column, n: int) -> Column:
@@ -169,3 +169,194 @@ def entities_input(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("p_partkey") % 13 == 0).alias("missing"),
         descriptions.cast(desc_t).alias("descriptions"),
         F.struct(p18.alias("P18")).alias("claims"))
+
+
+# ------------------------------------------------------------ commune codes
+def dep_num_code(num: Column) -> Column:
+    """1..96 -> department code: 20 stands for 2A, 96 for overseas 971."""
+    return (F.when(num == 96, F.lit("971")).when(num == 20, F.lit("2A"))
+            .otherwise(_lp(num, 2)))
+
+
+def commune_code(k: Column) -> Column:
+    """Key -> 5-character commune code (department + serial); unique per key
+    below 96 000 (9 600 for the overseas department)."""
+    num = k % 96 + 1
+    dep = dep_num_code(num)
+    serial = F.floor(k / 96) % F.when(num == 96, F.lit(100)).otherwise(F.lit(1000))
+    return F.concat(dep, F.lpad(serial.cast("string"), 5, "0").substr(F.length(dep) + 1, F.lit(5)))
+
+
+# ------------------------------------------------------------- crime / rents
+CRIME_INDICATORS = {
+    "1-URGENT": "Coups et blessures volontaires",
+    "2-HIGH": "Vols d'accessoires sur véhicules",
+    "3-MEDIUM": "Destructions et dégradations volontaires",
+    "4-NOT SPECIFIED": "Cambriolages de logement",
+    "5-LOW": "Usage de stupéfiants",
+}
+CRIME_YEAR = 1997
+CRIME_DEPS = [f"{i:02d}" for i in range(1, 61) if i != 20] + ["2A", "971"]
+
+
+def _case_map(col: Column, mapping: dict, default=None) -> Column:
+    expr = None
+    for k, v in mapping.items():
+        expr = F.when(col == k, F.lit(v)) if expr is None else expr.when(col == k, F.lit(v))
+    return expr.otherwise(F.lit(default)) if default is not None else expr
+
+
+def crime_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as the crime-statistics file (text fields, decimal comma)."""
+    o = table(spark, sf_dir, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    rate = (F.when(k % 11 == 0, F.lit("ndiff"))
+            .when(k % 13 == 0, F.lit(None).cast("string"))
+            .when(k % 17 == 0, F.lit("1.5d"))
+            .otherwise(F.concat((k % 1000).cast("string"), F.lit(","), _lp(c % 100, 2))))
+    return o.select(
+        commune_code(c).alias("CODGEO_2025"),
+        F.year("o_orderdate").alias("annee"),
+        _case_map(F.col("o_orderpriority"), CRIME_INDICATORS).alias("indicateur"),
+        rate.alias("taux_pour_mille"),
+        F.when(k % 7 != 0, (c % 50).cast("string")).alias("nombre"),
+        k.alias("ordinal"))
+
+
+RENT_TYPES = ["apartment_all", "apartment_t1_t2", "apartment_t3_plus", "house"]
+RENT_DEPS = [f"{i:02d}" for i in range(1, 51) if i != 20] + ["2A", "971"]
+
+
+def rents_inputs(spark: SparkSession, sf_dir: str, vintage: int = 0) -> dict[str, DataFrame]:
+    """part as the four rent-indicator files (one per property type)."""
+    p = table(spark, sf_dir, "part")
+    k, s = F.col("p_partkey"), F.col("p_size")
+    code = commune_code(k)
+    out = {}
+    for i, t in enumerate(RENT_TYPES):
+        j = i + vintage
+        out[t] = p.select(
+            code.alias("INSEE_C"),
+            code.substr(1, 3).alias("_c3"),
+            F.when(k % 41 == 0, F.lit("NA"))
+             .otherwise(F.concat((s + j * 3).cast("string"), F.lit(","), (k % 10).cast("string")))
+             .alias("loypredm2"),
+            F.concat(s.cast("string"), F.lit(","), ((k + j) % 10).cast("string")).alias("lwr.IPm2"),
+            F.concat((s + 5 + j).cast("string"), F.lit(",5")).alias("upr.IPm2"),
+            F.when(s % 3 == 0, "commune").otherwise("maille").alias("TYPPRED"),
+            (s * 7 + j).cast("string").alias("nbobs_com"),
+            F.concat(F.lit("0,"), _lp((k + j) % 100, 2)).alias("R2_adj"),
+        ).withColumn("DEP", F.when(F.col("_c3") == "971", "971")
+                     .otherwise(F.col("_c3").substr(1, 2))).drop("_c3")
+    return out
+
+
+# ------------------------------------------------------------------ climate
+CLIMATE_START_YEAR = 1998
+
+
+def meteo_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as monthly station records (one station per supplier)."""
+    li = table(spark, sf_dir, "lineitem")
+    s, n = F.col("l_suppkey"), F.col("l_linenumber")
+    return li.select(
+        dep_num_code(s % 96 + 1).alias("departement"),
+        s.alias("NUM_POSTE"),
+        F.concat(F.lit("STATION_"), s.cast("string")).alias("NOM_USUEL"),
+        F.when(s % 23 != 0, F.lit(42.0) + (s % 9)).alias("LAT"),
+        F.when(s % 29 == 0, F.lit(0.0)).otherwise(F.lit(-4.0) + (s % 11)).alias("LON"),
+        F.when(s % 31 != 0, s * 10.0).alias("ALTI"),
+        (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("AAAAMM"),
+        F.col("l_quantity").alias("TX"),
+        (F.col("l_tax") * 100).alias("TN"),
+        F.when(n != 3, F.col("l_extendedprice") / 100).alias("TXAB"),
+        F.when(n != 1, n.cast("double")).alias("NBJTX25"),
+        F.when(s % 5 != 0, (n % 3).cast("double")).alias("NBJTX30"),
+        F.when(s % 3 != 0, (n % 2).cast("double")).alias("NBJTX35"))
+
+
+# ------------------------------------------------------------------- storms
+STORM_DEPS = [f"{i:02d}" for i in range(1, 41) if i != 20] + ["2A", "971"]
+STORM_LABEL_OF = {"1-URGENT": "Tempête", "2-HIGH": "Vents Cycloniques",
+                  "3-MEDIUM": "Inondations et coulées de boue"}
+
+
+def catnat_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as natural-disaster declarations (all text)."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return o.select(
+        F.when(k % 19 != 0, commune_code(F.col("o_custkey"))).alias("cod_commune"),
+        _case_map(F.col("o_orderpriority"), STORM_LABEL_OF, "Mouvements de terrain")
+        .alias("lib_risque_jo"),
+        F.when(k % 23 == 0, F.lit("not a date"))
+         .when(k % 29 == 0, F.date_format("o_orderdate", "dd/MM/yyyy"))
+         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("dat_deb"))
+
+
+def communes_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer as commune geometries (one point per commune code)."""
+    from ..functions.geometry import point
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    code = commune_code(k)
+    return c.select(
+        code.alias("code_commune"),
+        F.concat(F.lit("Commune "), k.cast("string")).alias("nom"),
+        dep_num_code(k % 96 + 1).alias("departement"),
+        point(F.lit(-5.0) + (k % 1300) / 100.0, F.lit(41.0) + (k % 1000) / 100.0).alias("geom"))
+
+
+# ------------------------------------------------------------------ hazards
+def _square(lon: Column, lat: Column, d: float = 0.01) -> Column:
+    from ..functions.geometry import xy
+    ring = F.array(xy(lon, lat), xy(lon + d, lat), xy(lon + d, lat + d), xy(lon, lat + d),
+                   xy(lon, lat))
+    return F.struct(F.lit("Polygon").alias("type"), F.array(F.array(ring)).alias("parts"))
+
+
+def wind_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    v = _case_map(F.col("p_size") % 6, {0: 22, 1: 24, 2: 26, 3: 28, 4: 25})
+    return p.select(v.alias("V_B0"),
+                    _square(F.lit(-5.0) + (k % 1300) / 100.0, F.lit(41.0) + (k % 1000) / 100.0)
+                    .alias("geom"))
+
+
+def l93_point_geom(k: Column) -> Column:
+    """A Lambert-93 point per key on a 5 km grid around the projection origin."""
+    from ..functions.geometry import xy
+    x = F.lit(700000.0) + (k % 40) * 5000.0
+    y = F.lit(6500000.0) + (F.floor(k / 40) % 40) * 5000.0
+    return F.struct(F.lit("Point").alias("type"), F.array(F.array(F.array(xy(x, y)))).alias("parts"))
+
+
+def flood_layers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """part as two flood-zone layers in Lambert-93; only the first has
+    ``cours_deau``."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    base = p.select(
+        k,
+        _case_map(F.col("p_size") % 5, {0: "01", 1: "02", 2: "03", 3: "04"}).alias("typ_inond"),
+        _case_map(k % 6, {0: "01For", 1: "02Moy", 2: "03Mcc", 3: "04Fai", 4: "05Xxx"}).alias("scenario"),
+        F.concat(F.lit("TRI_"), F.col("p_brand")).alias("id_tri"),
+        dep_num_code(k % 96 + 1).alias("departement"),
+        l93_point_geom(k).alias("geom"),
+        F.concat(F.lit("river "), F.col("p_brand")).alias("cours_deau"))
+    a = base.where(k % 2 == 0).drop("p_partkey")
+    b = base.where(k % 2 == 1).drop("p_partkey", "cours_deau")
+    return [a, b]
+
+
+CLAY_DEPS = [f"{i:02d}" for i in range(1, 51) if i != 20] + ["2A", "971"]
+
+
+def clay_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    dpt = (F.when(k % 7 == 0, F.lit("2A")).when(k % 7 == 1, F.lit("971"))
+           .otherwise((k % 95 + 1).cast("string")))
+    return p.select(dpt.alias("DPT"), (F.col("p_size") % 5).alias("NIVEAU"),
+                    l93_point_geom(k).alias("geom"))

@@ -12,7 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.geometry import flatten_geom
-from ..operators import osm, prices
+from ..functions.crs import l93_to_lonlat
+from ..operators import climate, communes, hazards, osm, prices
+from ..sinks import tables as sinks
 from . import bindings as B
 from .tables import round_doubles
 
@@ -27,6 +29,59 @@ def q_commune_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(prices.commune_prices(B.dvf_input(spark, sf_dir)))
 
 
+def q_crime_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(communes.crime_pivot(B.crime_input(spark, sf_dir), B.CRIME_YEAR,
+                                              B.CRIME_DEPS))
+
+
+def q_rents_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(communes.rents_long(B.rents_inputs(spark, sf_dir), B.RENT_DEPS))
+
+
+def q_rents_replace_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old = communes.rents_long(B.rents_inputs(spark, sf_dir, vintage=10))
+    new = communes.rents_long(B.rents_inputs(spark, sf_dir), B.RENT_DEPS)
+    return round_doubles(sinks.replace_present_query(old, new, "departement"))
+
+
+def q_climate_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(flatten_geom(climate.climate_stations(
+        B.meteo_input(spark, sf_dir), B.CLIMATE_START_YEAR)))
+
+
+def q_storm_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hazards.storm_history(B.catnat_input(spark, sf_dir), B.STORM_DEPS)
+
+
+def q_storm_with_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = hazards.storm_history(B.catnat_input(spark, sf_dir), B.STORM_DEPS)
+    return flatten_geom(hazards.storm_with_geometry(hist, B.communes_input(spark, sf_dir),
+                                                    B.STORM_DEPS))
+
+
+def q_wind_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_geom(hazards.wind_zones(B.wind_input(spark, sf_dir)))
+
+
+def q_flood_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(flatten_geom(hazards.flood_zones(B.flood_layers(spark, sf_dir))))
+
+
+def q_clay_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(flatten_geom(hazards.clay_zones(B.clay_input(spark, sf_dir),
+                                                         B.CLAY_DEPS)))
+
+
+def q_l93_to_wgs84(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    p = B.table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    x = F.lit(700000.0) + (k % 40) * 5000.0
+    y = F.lit(6500000.0) + (F.floor(k / 40) % 40) * 5000.0
+    lon, lat = l93_to_lonlat(x, y)
+    return round_doubles(p.select(k.alias("id"), lon.alias("lon"), lat.alias("lat")))
+
+
 def _osm(layer: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return flatten_geom(osm.osm_layer(B.osm_input(spark, sf_dir), layer))
@@ -48,4 +103,16 @@ def queries() -> dict[str, Query]:
         "commune_prices": q_commune_prices,
     }
     out.update({name: _osm(layer) for name, layer in OSM_QUERIES.items()})
+    out.update({
+        "crime_pivot": q_crime_pivot,
+        "rents_long": q_rents_long,
+        "rents_replace_present": q_rents_replace_present,
+        "climate_stations": q_climate_stations,
+        "storm_history": q_storm_history,
+        "storm_with_geometry": q_storm_with_geometry,
+        "wind_zones": q_wind_zones,
+        "flood_zones": q_flood_zones,
+        "clay_zones": q_clay_zones,
+        "l93_to_wgs84": q_l93_to_wgs84,
+    })
     return out

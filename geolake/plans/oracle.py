@@ -85,6 +85,8 @@ FROM bati GROUP BY departement, code_commune
 def oracle_sql() -> dict[str, str]:
     out = dict(_ORACLES)
     out.update(osm_oracles())
+    for fn in (crime_oracles, rents_oracles, climate_oracles, storm_oracles, hazard_oracles):
+        out.update(fn())
     return {k: expand_f32(v) for k, v in out.items()}
 
 
@@ -96,8 +98,9 @@ _ORACLES = {
 
 # ------------------------------------------------------------------------ OSM
 def D(x) -> str:
-    """A double literal (DuckDB reads 41.0 as DECIMAL)."""
-    return f"CAST({x} AS DOUBLE)"
+    """A double literal.  DuckDB reads ``41.0`` as DECIMAL, and a long decimal
+    literal cast to DOUBLE may round twice; parsing the text is exact."""
+    return f"CAST('{float(x)!r}' AS DOUBLE)"
 
 
 def _boxes_sql() -> str:
@@ -337,3 +340,282 @@ def osm_oracles() -> dict[str, str]:
           f"[struct_pack(lat := {wlat}, lon := {wlon})]")],
         _cols(("wikidata_id", _tag("wikidata")), "name", ("category", cat)), wiki=True)
     return q
+
+
+# ------------------------------------------------------- commune-code helpers
+def sql_dep_num(num: str) -> str:
+    return (f"(CASE WHEN {num} = 96 THEN '971' WHEN {num} = 20 THEN '2A' "
+            f"ELSE lpad(CAST({num} AS VARCHAR), 2, '0') END)")
+
+
+def sql_commune(k: str) -> str:
+    num = f"({k} % 96 + 1)"
+    dep = sql_dep_num(num)
+    serial = f"(({k} // 96) % (CASE WHEN {num} = 96 THEN 100 ELSE 1000 END))"
+    return f"({dep} || substr(lpad(CAST({serial} AS VARCHAR), 5, '0'), length({dep}) + 1, 5))"
+
+
+def sql_decimal_comma(x: str) -> str:
+    s = f"trim(replace({x}, ',', '.'))"
+    return (f"(CASE WHEN regexp_full_match({s}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') "
+            f"THEN TRY_CAST({s} AS DOUBLE) END)")
+
+
+def sql_dep_of(code: str) -> str:
+    return f"(CASE WHEN {code} LIKE '97%' THEN substr({code}, 1, 3) ELSE substr({code}, 1, 2) END)"
+
+
+def sql_list(values) -> str:
+    return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
+
+
+def sql_case(col: str, mapping: dict, default: str | None = None) -> str:
+    def lit(v):
+        return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else str(v)
+    body = " ".join(f"WHEN {col} = {lit(k)} THEN {lit(v)}" for k, v in mapping.items())
+    return f"(CASE {body}" + (f" ELSE {lit(default)}" if default is not None else "") + " END)"
+
+
+def sql_l93(x: str, y: str) -> tuple[str, str]:
+    """Inverse Lambert-93 in SQL (same formula and iteration count)."""
+    from ..functions import crs as C
+    import math
+    dx = f"({x} - {D(C.L93_X0)})"
+    dy = f"({D(C.RHO0)} - ({y} - {D(C.L93_Y0)}))"
+    t = f"pow(sqrt({dx} * {dx} + {dy} * {dy}) / {D(C.AF)}, {D(1.0 / C.N)})"
+    lon = f"degrees(atan2({dx}, {dy}) / {D(C.N)} + {D(C.LON0)})"
+    phi = f"({D(math.pi / 2)} - {D(2.0)} * atan({t}))"
+    for _ in range(C._ITER):
+        ratio = f"({D(2.0)} / ({D(1.0)} + {D(C._E)} * sin({phi})) - {D(1.0)})"
+        phi = f"({D(math.pi / 2)} - {D(2.0)} * atan({t} * pow({ratio}, {D(C._E / 2)})))"
+    return lon, f"degrees({phi})"
+
+
+def point_stats(lon: str, lat: str, f32: bool = True) -> str:
+    w = (lambda e: f"F32({e})") if f32 else (lambda e: e)
+    return (f"'Point' AS geom_type, CAST(1 AS BIGINT) AS geom_parts, CAST(1 AS BIGINT) AS geom_points, "
+            f"{w(lon)} AS geom_xmin, {w(lat)} AS geom_ymin, {w(lon)} AS geom_xmax, {w(lat)} AS geom_ymax")
+
+
+CRIME_SQL_INPUT = """
+cr AS (
+  SELECT {code} AS CODGEO_2025, CAST(year(o_orderdate) AS INTEGER) AS annee,
+         {ind} AS indicateur,
+         CASE WHEN o_orderkey % 11 = 0 THEN 'ndiff' WHEN o_orderkey % 13 = 0 THEN NULL
+              WHEN o_orderkey % 17 = 0 THEN '1.5d'
+              ELSE CAST(o_orderkey % 1000 AS VARCHAR) || ',' || lpad(CAST(o_custkey % 100 AS VARCHAR), 2, '0')
+         END AS taux_pour_mille,
+         CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey % 50 AS VARCHAR) END AS nombre,
+         o_orderkey AS ordinal
+  FROM orders
+)"""
+
+
+def crime_oracles() -> dict[str, str]:
+    from ..functions.text import slug_py
+    from . import bindings as B
+    cr = CRIME_SQL_INPUT.format(code=sql_commune("o_custkey"),
+                                ind=sql_case("o_orderpriority", B.CRIME_INDICATORS))
+    prefix = " OR ".join(f"CODGEO_2025 LIKE '{d}%'" for d in B.CRIME_DEPS)
+    inds = sorted(B.CRIME_INDICATORS.values())
+    cols = ", ".join(f"F32(max(CASE WHEN indicator = '{i.replace(chr(39), chr(39) * 2)}' THEN rate END)) "
+                     f"AS taux_{slug_py(i)}" for i in inds)
+    cols += ", " + ", ".join(f"F32(max(CASE WHEN indicator = '{i.replace(chr(39), chr(39) * 2)}' "
+                             f"THEN cnt END)) AS nb_{slug_py(i)}" for i in inds)
+    pivot = f"""
+WITH {cr},
+f AS (
+  SELECT CODGEO_2025 AS code_commune, indicateur AS indicator,
+         {sql_decimal_comma('taux_pour_mille')} AS rate, {sql_decimal_comma('nombre')} AS cnt, ordinal
+  FROM cr WHERE annee = {B.CRIME_YEAR} AND ({prefix})
+    AND CODGEO_2025 IS NOT NULL AND indicateur IS NOT NULL
+),
+pairs AS (
+  SELECT code_commune, indicator,
+         arg_min(rate, ordinal) FILTER (WHERE rate IS NOT NULL) AS rate,
+         arg_min(cnt, ordinal) FILTER (WHERE cnt IS NOT NULL) AS cnt
+  FROM f GROUP BY code_commune, indicator
+)"""
+    q = {}
+    q["crime_pivot"] = pivot + f"""
+SELECT code_commune, {cols}, {sql_dep_of('code_commune')} AS departement
+FROM pairs GROUP BY code_commune HAVING count(rate) > 0
+"""
+    q["crime_with_commune"] = pivot + f""",
+pv AS (SELECT code_commune, {cols}, {sql_dep_of('code_commune')} AS departement
+       FROM pairs GROUP BY code_commune HAVING count(rate) > 0),
+com AS (SELECT {sql_commune('c_custkey')} AS code_commune,
+               'Commune ' || CAST(c_custkey AS VARCHAR) AS nom FROM customer)
+SELECT pv.*, com.nom FROM pv JOIN com USING (code_commune)
+"""
+    return q
+
+
+def rents_sql(vintage: int = 0, deps=None) -> str:
+    from . import bindings as B
+    parts = []
+    for i, t in enumerate(B.RENT_TYPES):
+        j = i + vintage
+        code = sql_commune("p_partkey")
+        parts.append(f"""
+  SELECT {code} AS code_commune, '{t}' AS type_local,
+         CASE WHEN substr({code}, 1, 3) = '971' THEN '971' ELSE substr({code}, 1, 2) END AS departement,
+         {sql_decimal_comma(f"CASE WHEN p_partkey % 41 = 0 THEN 'NA' ELSE CAST(p_size + {j * 3} AS VARCHAR) || ',' || CAST(p_partkey % 10 AS VARCHAR) END")} AS loyer_m2_median,
+         {sql_decimal_comma(f"CAST(p_size AS VARCHAR) || ',' || CAST((p_partkey + {j}) % 10 AS VARCHAR)")} AS loyer_m2_lower,
+         {sql_decimal_comma(f"CAST(p_size + {5 + j} AS VARCHAR) || ',5'")} AS loyer_m2_upper,
+         CASE WHEN p_size % 3 = 0 THEN 'commune' ELSE 'maille' END AS prediction_type,
+         {sql_decimal_comma(f"CAST(p_size * 7 + {j} AS VARCHAR)")} AS nb_obs,
+         {sql_decimal_comma(f"'0,' || lpad(CAST((p_partkey + {j}) % 100 AS VARCHAR), 2, '0')")} AS r2_adj
+  FROM part""")
+    body = " UNION ALL ".join(parts)
+    where = f"WHERE departement IN {sql_list(deps)}" if deps else ""
+    return f"(SELECT * FROM ({body}) u {where})"
+
+
+def f32_cols(cols) -> str:
+    return ", ".join(f"F32({c}) AS {c}" for c in cols)
+
+
+RENT_NUM = ["loyer_m2_median", "loyer_m2_lower", "loyer_m2_upper", "nb_obs", "r2_adj"]
+RENT_TXT = ["code_commune", "type_local", "departement", "prediction_type"]
+
+
+def rents_oracles() -> dict[str, str]:
+    from . import bindings as B
+    q = {}
+    q["rents_long"] = f"""
+SELECT {', '.join(RENT_TXT)}, {f32_cols(RENT_NUM)} FROM {rents_sql(0, B.RENT_DEPS)} r
+"""
+    q["rents_replace_present"] = f"""
+WITH old AS {rents_sql(10)}, new AS {rents_sql(0, B.RENT_DEPS)},
+merged AS (
+  SELECT * FROM old WHERE departement NOT IN (SELECT DISTINCT departement FROM new
+                                               WHERE departement IS NOT NULL)
+  UNION ALL SELECT * FROM new
+)
+SELECT {', '.join(RENT_TXT)}, {f32_cols(RENT_NUM)} FROM merged
+"""
+    return q
+
+
+def climate_oracles() -> dict[str, str]:
+    from . import bindings as B
+    return {"climate_stations": f"""
+WITH m AS (
+  SELECT {sql_dep_num('(l_suppkey % 96 + 1)')} AS departement,
+         l_suppkey AS NUM_POSTE, 'STATION_' || CAST(l_suppkey AS VARCHAR) AS NOM_USUEL,
+         CASE WHEN l_suppkey % 23 <> 0 THEN {D(42.0)} + (l_suppkey % 9) END AS LAT,
+         CASE WHEN l_suppkey % 29 = 0 THEN {D(0.0)} ELSE {D(-4.0)} + (l_suppkey % 11) END AS LON,
+         CASE WHEN l_suppkey % 31 <> 0 THEN l_suppkey * {D(10.0)} END AS ALTI,
+         year(l_shipdate) * 100 + month(l_shipdate) AS AAAAMM,
+         l_quantity AS TX, l_tax * {D(100)} AS TN,
+         CASE WHEN l_linenumber <> 3 THEN l_extendedprice / {D(100)} END AS TXAB,
+         CASE WHEN l_linenumber <> 1 THEN CAST(l_linenumber AS DOUBLE) END AS NBJTX25,
+         CASE WHEN l_suppkey % 5 <> 0 THEN CAST(l_linenumber % 3 AS DOUBLE) END AS NBJTX30,
+         CASE WHEN l_suppkey % 3 <> 0 THEN CAST(l_linenumber % 2 AS DOUBLE) END AS NBJTX35
+  FROM lineitem
+),
+a AS (
+  SELECT departement, NUM_POSTE, NOM_USUEL, LAT, LON, ALTI,
+         avg(TX) AS avg_temp_max, avg(TN) AS avg_temp_min, max(TXAB) AS max_temp_recorded,
+         coalesce(sum(NBJTX25), 0) AS t25, coalesce(sum(NBJTX30), 0) AS t30,
+         coalesce(sum(NBJTX35), 0) AS t35, count(AAAAMM) AS months
+  FROM m
+  WHERE AAAAMM // 100 >= {B.CLIMATE_START_YEAR}
+    AND NUM_POSTE IS NOT NULL AND NOM_USUEL IS NOT NULL AND LAT IS NOT NULL
+    AND LON IS NOT NULL AND ALTI IS NOT NULL
+  GROUP BY departement, NUM_POSTE, NOM_USUEL, LAT, LON, ALTI
+)
+SELECT NUM_POSTE AS station_id, NOM_USUEL AS station_name, F32(ALTI) AS altitude, departement,
+       F32(avg_temp_max) AS avg_temp_max, F32(avg_temp_min) AS avg_temp_min,
+       F32(max_temp_recorded) AS max_temp_recorded,
+       F32(round_even(t25 / (months / {D(12)}) * {D(10)}, 0) / {D(10)}) AS avg_days_above_25,
+       F32(round_even(t30 / (months / {D(12)}) * {D(10)}, 0) / {D(10)}) AS avg_days_above_30,
+       F32(round_even(t35 / (months / {D(12)}) * {D(10)}, 0) / {D(10)}) AS avg_days_above_35,
+       {point_stats('LON', 'LAT')}
+FROM a WHERE LAT <> 0 AND LON <> 0
+"""}
+
+
+def storm_oracles() -> dict[str, str]:
+    from . import bindings as B
+    deps = B.STORM_DEPS
+    cat = f"""
+cat AS (
+  SELECT CASE WHEN o_orderkey % 19 <> 0 THEN {sql_commune('o_custkey')} END AS cod_commune,
+         {sql_case('o_orderpriority', B.STORM_LABEL_OF, 'Mouvements de terrain')} AS lib_risque_jo,
+         CASE WHEN o_orderkey % 23 = 0 THEN 'not a date'
+              WHEN o_orderkey % 29 = 0 THEN strftime(o_orderdate, '%d/%m/%Y')
+              ELSE strftime(o_orderdate, '%Y-%m-%d') END AS dat_deb
+  FROM orders
+),
+h AS (
+  SELECT cod_commune AS code_commune, count(*) AS storm_count,
+         strftime(min(CAST(try_strptime(dat_deb, '%Y-%m-%d') AS DATE)), '%Y-%m-%d') AS first_event,
+         strftime(max(CAST(try_strptime(dat_deb, '%Y-%m-%d') AS DATE)), '%Y-%m-%d') AS last_event
+  FROM cat WHERE lib_risque_jo IN ('Tempête', 'Vents Cycloniques') AND cod_commune IS NOT NULL
+  GROUP BY cod_commune
+),
+hist AS (
+  SELECT * FROM h
+  WHERE (length(code_commune) = 5 AND regexp_full_match(substr(code_commune, 1, 3), '[0-9]{{3}}')
+         AND substr(code_commune, 1, 3) IN {sql_list(deps)})
+     OR substr(code_commune, 1, 2) IN {sql_list(deps)}
+)"""
+    lon = f"({D(-5.0)} + (c_custkey % 1300) / {D(100.0)})"
+    lat = f"({D(41.0)} + (c_custkey % 1000) / {D(100.0)})"
+    return {
+        "storm_history": f"WITH {cat} SELECT * FROM hist",
+        "storm_with_geometry": f"""
+WITH {cat},
+com AS (SELECT {sql_commune('c_custkey')} AS code_commune,
+               {sql_dep_num('(c_custkey % 96 + 1)')} AS departement, {lon} AS lon, {lat} AS lat
+        FROM customer)
+SELECT hist.code_commune, storm_count, first_event, last_event, com.departement,
+       {point_stats('lon', 'lat', f32=False)}
+FROM hist JOIN com ON com.code_commune = hist.code_commune
+WHERE com.departement IN {sql_list(deps)} AND starts_with(hist.code_commune, com.departement)
+"""}
+
+
+def hazard_oracles() -> dict[str, str]:
+    from . import bindings as B
+    lon = f"({D(-5.0)} + (p_partkey % 1300) / {D(100.0)})"
+    lat = f"({D(41.0)} + (p_partkey % 1000) / {D(100.0)})"
+    d = D(0.01)
+    x = f"({D(700000.0)} + (p_partkey % 40) * {D(5000.0)})"
+    y = f"({D(6500000.0)} + ((p_partkey // 40) % 40) * {D(5000.0)})"
+    wlon, wlat = sql_l93(x, y)
+    v = sql_case("p_size % 6", {0: 22, 1: 24, 2: 26, 3: 28, 4: 25})
+    q = {}
+    q["wind_zones"] = f"""
+SELECT {sql_case(v, {22: 1, 24: 2, 26: 3, 28: 4})} AS wind_zone, {v} AS wind_speed_ms,
+       'Polygon' AS geom_type, CAST(1 AS BIGINT) AS geom_parts, CAST(5 AS BIGINT) AS geom_points,
+       {lon} AS geom_xmin, {lat} AS geom_ymin, {lon} + {d} AS geom_xmax, {lat} + {d} AS geom_ymax
+FROM part
+"""
+    typ = sql_case("p_size % 5", {0: "01", 1: "02", 2: "03", 3: "04"})
+    scen = sql_case("p_partkey % 6", {0: "01For", 1: "02Moy", 2: "03Mcc", 3: "04Fai", 4: "05Xxx"})
+    q["flood_zones"] = f"""
+SELECT coalesce({sql_case(typ, {"01": "river_overflow", "02": "runoff", "03": "marine_submersion"})},
+                'unknown') AS flood_type,
+       coalesce({sql_case(scen, {"01For": "high_probability", "02Moy": "medium_probability",
+                                  "03Mcc": "medium_probability_climate_change",
+                                  "04Fai": "low_probability"})}, 'unknown') AS scenario,
+       CASE WHEN p_partkey % 2 = 0 THEN 'river ' || p_brand END AS watercourse,
+       'TRI_' || p_brand AS tri_id, {sql_dep_num('(p_partkey % 96 + 1)')} AS departement,
+       {point_stats(wlon, wlat)}
+FROM part
+"""
+    dpt = ("(CASE WHEN p_partkey % 7 = 0 THEN '2A' WHEN p_partkey % 7 = 1 THEN '971' "
+           "ELSE CAST(p_partkey % 95 + 1 AS VARCHAR) END)")
+    zf = f"(CASE WHEN length({dpt}) < 2 THEN lpad({dpt}, 2, '0') ELSE {dpt} END)"
+    q["clay_zones"] = f"""
+SELECT coalesce({sql_case('p_size % 5', {1: 'low', 2: 'medium', 3: 'high'})}, 'unknown') AS exposure_level,
+       {zf} AS departement, {point_stats(wlon, wlat)}
+FROM part WHERE {zf} IN {sql_list(B.CLAY_DEPS)}
+"""
+    q["l93_to_wgs84"] = f"""
+SELECT p_partkey AS id, F32({wlon}) AS lon, F32({wlat}) AS lat FROM part
+"""
+    return q
