@@ -360,3 +360,142 @@ def clay_input(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise((k % 95 + 1).cast("string")))
     return p.select(dpt.alias("DPT"), (F.col("p_size") % 5).alias("NIVEAU"),
                     l93_point_geom(k).alias("geom"))
+
+
+# ---------------------------------------------------------------- sections
+def sections_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as cadastral-section features (GeoJSON properties + geometry)."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    dep = _dep_code(k % 95 + 1)
+    commune = F.concat(dep, _lp(F.floor(k / 95) % 20, 3))
+    letter = F.expr("chr(65 + floor(p_partkey / 1900) % 4)")
+    return p.select(
+        F.concat(commune, F.lit("000A"), letter).alias("id"),
+        commune.alias("commune"), F.lit("000").alias("prefixe"),
+        F.concat(F.lit("A"), letter).alias("code"), dep.alias("departement"),
+        _square(F.lit(-5.0) + (k % 1300) / 100.0, F.lit(41.0) + (k % 1000) / 100.0).alias("geom"))
+
+
+LOOKUP_COMMUNE = "01005"
+PRICE_PREFIX = "01005"
+
+
+# --------------------------------------------------------------------- DPE
+DPE_DEPS = [f"{i:02d}" for i in range(1, 71) if i != 20] + ["2A", "971"]
+
+
+def dpe_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer as energy-diagnostic records with a text geopoint."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    lat = F.concat((F.lit(43) + k % 5).cast("string"), F.lit("."), _lp(k % 100, 2))
+    lon = F.concat((k % 7).cast("string"), F.lit("."), (k % 10).cast("string"))
+    gp = (F.when(k % 6 == 0, F.lit("x,2")).when(k % 6 == 1, F.lit("1"))
+          .when(k % 6 == 2, F.lit("")).when(k % 6 == 3, F.lit(None).cast("string"))
+          .otherwise(F.concat(lat, F.lit(","), lon)))
+    return c.select(
+        F.concat(F.lit("DPE"), k.cast("string")).alias("numero_dpe"),
+        F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "immeuble")
+         .otherwise("maison").alias("type_batiment"),
+        F.expr("chr(65 + c_custkey % 7)").alias("etiquette_dpe"),
+        dep_num_code(k % 96 + 1).alias("code_departement_ban"),
+        gp.alias("_geopoint"))
+
+
+# --------------------------------------------------------------- buildings
+def _l93_xy(k: Column) -> tuple[Column, Column]:
+    return (F.lit(650000) + (k % 50) * 2000, F.lit(6550000) + (F.floor(k / 50) % 50) * 2000)
+
+
+def building_geo_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as a building table with WKT geometry in Lambert-93 (points,
+    polygons, polygons with a hole, multipolygons, empty and NA text)."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    x0, y0 = _l93_xy(k)
+
+    def v(x, y):
+        return F.concat_ws(" ", x.cast("string"), y.cast("string"))
+
+    x1, y1 = x0 + 1000, y0 + 1000
+    sq = F.concat_ws(", ", v(x0, y0), v(x1, y0), v(x1, y1), v(x0, y0))
+    sq2 = F.concat_ws(", ", v(x0 + 3000, y0), v(x1 + 3000, y0), v(x1 + 3000, y1), v(x0 + 3000, y0))
+    outer = F.concat_ws(", ", v(x0, y0), v(x1, y0), v(x1, y1), v(x0, y1), v(x0, y0))
+    hole = F.concat_ws(", ", v(x0 + 100, y0 + 100), v(x0 + 200, y0 + 100),
+                       v(x0 + 200, y0 + 200), v(x0 + 100, y0 + 100))
+    kind = F.col("p_size") % 5
+    wkt = (F.when(kind == 0, F.concat(F.lit("POINT ("), v(x0, y0), F.lit(")")))
+           .when(kind == 1, F.concat(F.lit("POLYGON (("), sq, F.lit("))")))
+           .when(kind == 2, F.concat(F.lit("POLYGON (("), outer, F.lit("), ("), hole, F.lit("))")))
+           .when(kind == 3, F.concat(F.lit("MULTIPOLYGON ((("), sq, F.lit(")), (("), sq2, F.lit(")))")))
+           .when(k % 2 == 0, F.lit("")).otherwise(F.lit("NA")))
+    return p.select(
+        F.concat(F.lit("BG"), k.cast("string")).alias("batiment_groupe_id"),
+        F.when(k % 29 == 0, F.lit("NA")).otherwise(dep_num_code(k % 96 + 1))
+        .alias("code_departement_insee"),
+        F.lit("x").alias("s_geom_groupe"),
+        wkt.alias("WKT"))
+
+
+def building_star_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """orders as buildings; their first three lines as satellite tables."""
+    o = table(spark, sf_dir, "orders")
+    li = table(spark, sf_dir, "lineitem")
+    bid = F.concat(F.lit("BG"), F.col("o_orderkey").cast("string"))
+    buildings = o.select(bid.alias("batiment_groupe_id"),
+                         dep_num_code(F.col("o_custkey") % 96 + 1).alias("code_departement_insee"),
+                         F.col("o_orderstatus").alias("etat"))
+    lid = F.concat(F.lit("BG"), F.col("l_orderkey").cast("string")).alias("batiment_groupe_id")
+    sats = {
+        "construction": li.where(F.col("l_linenumber") == 1).select(
+            lid, F.year("l_shipdate").alias("annee"), F.col("l_returnflag").alias("materiau")),
+        "energy_dpe": li.where(F.col("l_linenumber") == 2).select(
+            lid, F.col("l_linestatus").alias("classe"), (F.col("l_quantity") * 10).alias("conso")),
+        "natural_risks": li.where(F.col("l_linenumber") == 3).select(
+            lid, (F.col("l_discount") > 0.05).alias("alea_fort")),
+    }
+    return buildings, sats
+
+
+# -------------------------------------------------------- layers and K1
+def icu_layers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """supplier (Lambert-93) and customer (WGS84) as heat-island layers with
+    different attribute columns."""
+    from ..functions.geometry import point
+    s = table(spark, sf_dir, "supplier")
+    c = table(spark, sf_dir, "customer")
+    a = s.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("nom"),
+                 F.col("s_acctbal").alias("score"), l93_point_geom(F.col("s_suppkey")).alias("geom"),
+                 F.lit(2154).alias("src_epsg"))
+    k = F.col("c_custkey")
+    b = c.select(k.alias("id"), F.col("c_mktsegment").alias("categorie"),
+                 point(F.lit(-5.0) + (k % 1300) / 100.0, F.lit(41.0) + (k % 1000) / 100.0).alias("geom"),
+                 F.lit(4326).alias("src_epsg"))
+    return [a, b]
+
+
+def erosion_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """supplier as coastline segments (Lambert-93 two-point lines)."""
+    from ..functions.geometry import xy
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    x = F.lit(700000.0) + (k % 40) * 5000.0
+    y = F.lit(6500000.0) + (F.floor(k / 40) % 40) * 5000.0
+    g = F.struct(F.lit("LineString").alias("type"),
+                 F.array(F.array(F.array(xy(x, y), xy(x + 500.0, y + 500.0)))).alias("parts"))
+    return s.select(k.alias("id_trait"), "s_name", F.col("s_acctbal").alias("taux"), g.alias("geom"))
+
+
+K1_REQUESTED = [f"{i:02d}" for i in range(1, 31) if i != 20]
+
+
+def k1_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """supplier as an existing department table and a new load (odd keys)."""
+    s = table(spark, sf_dir, "supplier")
+    dep = dep_num_code(F.col("s_suppkey") % 96 + 1)
+    old = s.select(dep.alias("departement"), "s_suppkey", "s_name", F.lit("old").alias("vintage"))
+    new = s.where(F.col("s_suppkey") % 2 == 1).select(
+        dep.alias("departement"), "s_suppkey", "s_name", F.lit("new").alias("vintage")) \
+        .where(F.col("departement").isin(K1_REQUESTED))
+    return old, new

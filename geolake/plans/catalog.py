@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.geometry import flatten_geom
 from ..functions.crs import l93_to_lonlat
-from ..operators import climate, communes, hazards, osm, prices
+from ..operators import buildings, climate, communes, hazards, lookups, osm, prices
 from ..sinks import tables as sinks
 from . import bindings as B
 from .tables import round_doubles
@@ -82,6 +82,64 @@ def q_l93_to_wgs84(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(p.select(k.alias("id"), lon.alias("lon"), lat.alias("lat")))
 
 
+def _section_prices(spark, sf_dir):
+    return round_doubles(prices.section_prices(B.dvf_input(spark, sf_dir)))
+
+
+def q_prices_with_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    secs = lookups.sections_table(B.sections_input(spark, sf_dir))
+    return round_doubles(flatten_geom(lookups.prices_with_geometry(
+        prices.section_prices(B.dvf_input(spark, sf_dir)), secs)))
+
+
+def q_sections_of_commune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    secs = lookups.sections_table(B.sections_input(spark, sf_dir))
+    return flatten_geom(lookups.sections_of_commune(secs, B.LOOKUP_COMMUNE))
+
+
+def q_prices_by_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.rows_by_prefix(_section_prices(spark, sf_dir), "section_id", B.PRICE_PREFIX)
+
+
+def q_price_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.row_count(prices.section_prices(B.dvf_input(spark, sf_dir)))
+
+
+def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.sample_rows(_section_prices(spark, sf_dir), 10, ["section_id"])
+
+
+def q_crime_with_commune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pv = communes.crime_pivot(B.crime_input(spark, sf_dir), B.CRIME_YEAR, B.CRIME_DEPS)
+    return round_doubles(lookups.attach_commune(pv, B.communes_input(spark, sf_dir)))
+
+
+def q_wkt_reproject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(flatten_geom(buildings.building_table(B.building_geo_input(spark, sf_dir))))
+
+
+def q_dpe_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_geom(buildings.dpe_collectif(B.dpe_input(spark, sf_dir), B.DPE_DEPS))
+
+
+def q_building_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b, sats = B.building_star_input(spark, sf_dir)
+    return round_doubles(lookups.building_profile(b, sats))
+
+
+def q_icu_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(flatten_geom(hazards.icu_union(B.icu_layers(spark, sf_dir))))
+
+
+def q_coastal_erosion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(flatten_geom(hazards.coastal_erosion(B.erosion_input(spark, sf_dir))))
+
+
+def q_replace_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = B.k1_inputs(spark, sf_dir)
+    return sinks.replace_departments_query(old, new, B.K1_REQUESTED)
+
+
 def _osm(layer: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return flatten_geom(osm.osm_layer(B.osm_input(spark, sf_dir), layer))
@@ -114,5 +172,17 @@ def queries() -> dict[str, Query]:
         "flood_zones": q_flood_zones,
         "clay_zones": q_clay_zones,
         "l93_to_wgs84": q_l93_to_wgs84,
+        "prices_with_geometry": q_prices_with_geometry,
+        "sections_of_commune": q_sections_of_commune,
+        "prices_by_prefix": q_prices_by_prefix,
+        "price_row_count": q_price_row_count,
+        "sample_rows": q_sample_rows,
+        "crime_with_commune": q_crime_with_commune,
+        "wkt_reproject": q_wkt_reproject,
+        "dpe_points": q_dpe_points,
+        "building_profile": q_building_profile,
+        "icu_union": q_icu_union,
+        "coastal_erosion": q_coastal_erosion,
+        "replace_departments": q_replace_departments,
     })
     return out

@@ -85,7 +85,8 @@ FROM bati GROUP BY departement, code_commune
 def oracle_sql() -> dict[str, str]:
     out = dict(_ORACLES)
     out.update(osm_oracles())
-    for fn in (crime_oracles, rents_oracles, climate_oracles, storm_oracles, hazard_oracles):
+    for fn in (crime_oracles, rents_oracles, climate_oracles, storm_oracles, hazard_oracles,
+               lookup_oracles, building_oracles):
         out.update(fn())
     return {k: expand_f32(v) for k, v in out.items()}
 
@@ -619,3 +620,169 @@ FROM part WHERE {zf} IN {sql_list(B.CLAY_DEPS)}
 SELECT p_partkey AS id, F32({wlon}) AS lon, F32({wlat}) AS lat FROM part
 """
     return q
+
+
+# ----------------------------------------------------------- lookups (J, L)
+def sections_sql() -> str:
+    dep = DEP.format(n="(p_partkey % 95 + 1)")
+    commune = f"({dep} || lpad(CAST((p_partkey // 95) % 20 AS VARCHAR), 3, '0'))"
+    letter = "chr(CAST(65 + (p_partkey // 1900) % 4 AS INTEGER))"
+    lon = f"({D(-5.0)} + (p_partkey % 1300) / {D(100.0)})"
+    lat = f"({D(41.0)} + (p_partkey % 1000) / {D(100.0)})"
+    return f"""
+sections AS (
+  SELECT {commune} || '000A' || {letter} AS section_id, {commune} AS commune,
+         '000' AS prefixe, 'A' || {letter} AS code, {dep} AS departement,
+         'Polygon' AS geom_type, CAST(1 AS BIGINT) AS geom_parts, CAST(5 AS BIGINT) AS geom_points,
+         {lon} AS geom_xmin, {lat} AS geom_ymin, {lon} + {D(0.01)} AS geom_xmax,
+         {lat} + {D(0.01)} AS geom_ymax
+  FROM part
+)"""
+
+
+SECTION_PRICES_CTE = f"""
+sp AS (
+  SELECT section_id,
+         F32(quantile_cont(prix_m2, 0.25)) AS prix_m2_q1,
+         F32(quantile_cont(prix_m2, 0.5)) AS prix_m2_median,
+         F32(quantile_cont(prix_m2, 0.75)) AS prix_m2_q3,
+         F32(avg(prix_m2)) AS prix_m2_mean,
+         count(DISTINCT id_mutation) AS nb_ventes,
+         F32(quantile_cont(surface_reelle_bati, 0.5)) AS surface_mediane,
+         departement
+  FROM bati GROUP BY departement, section_id
+)"""
+
+
+def lookup_oracles() -> dict[str, str]:
+    from . import bindings as B
+    q = {}
+    q["prices_with_geometry"] = f"""
+WITH {DVF}, {SECTION_PRICES_CTE}, {sections_sql()}
+SELECT sp.*, s.commune, s.prefixe, s.code, s.geom_type, s.geom_parts, s.geom_points,
+       F32(s.geom_xmin) AS geom_xmin, F32(s.geom_ymin) AS geom_ymin,
+       F32(s.geom_xmax) AS geom_xmax, F32(s.geom_ymax) AS geom_ymax
+FROM sp JOIN (SELECT * FROM sections) s USING (section_id)
+"""
+    q["sections_of_commune"] = f"""
+WITH {sections_sql()}
+SELECT * FROM sections WHERE commune = '{B.LOOKUP_COMMUNE}'
+"""
+    q["prices_by_prefix"] = f"""
+WITH {DVF}, {SECTION_PRICES_CTE}
+SELECT * FROM sp WHERE starts_with(section_id, '{B.PRICE_PREFIX}')
+"""
+    q["price_row_count"] = f"""
+WITH {DVF}, {SECTION_PRICES_CTE}
+SELECT count(*) AS n FROM sp
+"""
+    q["sample_rows"] = f"""
+WITH {DVF}, {SECTION_PRICES_CTE}
+SELECT * FROM sp ORDER BY section_id LIMIT 10
+"""
+    return q
+
+
+def building_oracles() -> dict[str, str]:
+    from . import bindings as B
+    x0 = "(650000 + (p_partkey % 50) * 2000)"
+    y0 = "(6550000 + ((p_partkey // 50) % 50) * 2000)"
+
+    def v(dx, dy):
+        return f"struct_pack(x := CAST({x0} + {dx} AS DOUBLE), y := CAST({y0} + {dy} AS DOUBLE))"
+    sq = f"[{v(0, 0)}, {v(1000, 0)}, {v(1000, 1000)}, {v(0, 0)}]"
+    sq2 = f"[{v(3000, 0)}, {v(4000, 0)}, {v(4000, 1000)}, {v(3000, 0)}]"
+    outer = f"[{v(0, 0)}, {v(1000, 0)}, {v(1000, 1000)}, {v(0, 1000)}, {v(0, 0)}]"
+    hole = f"[{v(100, 100)}, {v(200, 100)}, {v(200, 200)}, {v(100, 100)}]"
+    lon, lat = sql_l93("p.x", "p.y")
+    q = {}
+    q["wkt_reproject"] = f"""
+WITH g AS (
+  SELECT 'BG' || CAST(p_partkey AS VARCHAR) AS batiment_groupe_id,
+         CASE WHEN p_partkey % 29 = 0 THEN NULL ELSE {sql_dep_num('(p_partkey % 96 + 1)')} END
+           AS code_departement_insee,
+         'x' AS s_geom_groupe,
+         CASE p_size % 5 WHEN 0 THEN 'Point' WHEN 1 THEN 'Polygon' WHEN 2 THEN 'Polygon'
+              WHEN 3 THEN 'MultiPolygon' END AS geom_type,
+         CAST(CASE WHEN p_size % 5 = 3 THEN 2 ELSE 1 END AS BIGINT) AS geom_parts,
+         CASE p_size % 5 WHEN 0 THEN [{v(0, 0)}] WHEN 1 THEN {sq}
+              WHEN 2 THEN list_concat({outer}, {hole}) WHEN 3 THEN list_concat({sq}, {sq2}) END AS pts
+  FROM part
+),
+r AS (SELECT *, list_transform(pts, lambda p: struct_pack(lon := {lon}, lat := {lat})) AS w
+      FROM g WHERE geom_type IS NOT NULL)
+SELECT batiment_groupe_id, code_departement_insee, s_geom_groupe, geom_type, geom_parts,
+       CAST(len(w) AS BIGINT) AS geom_points,
+       F32(list_min(list_transform(w, lambda p: p.lon))) AS geom_xmin,
+       F32(list_min(list_transform(w, lambda p: p.lat))) AS geom_ymin,
+       F32(list_max(list_transform(w, lambda p: p.lon))) AS geom_xmax,
+       F32(list_max(list_transform(w, lambda p: p.lat))) AS geom_ymax
+FROM r
+"""
+    lat_t = "CAST(43 + c_custkey % 5 AS VARCHAR) || '.' || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0')"
+    lon_t = "CAST(c_custkey % 7 AS VARCHAR) || '.' || CAST(c_custkey % 10 AS VARCHAR)"
+    q["dpe_points"] = f"""
+WITH d AS (
+  SELECT 'DPE' || CAST(c_custkey AS VARCHAR) AS numero_dpe,
+         CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'immeuble' ELSE 'maison' END
+           AS type_batiment,
+         chr(CAST(65 + c_custkey % 7 AS INTEGER)) AS etiquette_dpe,
+         {sql_dep_num('(c_custkey % 96 + 1)')} AS code_departement_ban,
+         CASE c_custkey % 6 WHEN 0 THEN 'x,2' WHEN 1 THEN '1' WHEN 2 THEN '' WHEN 3 THEN NULL
+              ELSE {lat_t} || ',' || {lon_t} END AS gp
+  FROM customer
+),
+p AS (
+  SELECT *, TRY_CAST(split_part(gp, ',', 1) AS DOUBLE) AS lat,
+         CASE WHEN len(string_split(gp, ',')) >= 2 THEN TRY_CAST(split_part(gp, ',', 2) AS DOUBLE) END AS lon
+  FROM d WHERE type_batiment = 'immeuble' AND code_departement_ban IN {sql_list(B.DPE_DEPS)}
+    AND gp IS NOT NULL AND gp <> ''
+)
+SELECT numero_dpe, type_batiment, etiquette_dpe, code_departement_ban,
+       code_departement_ban AS departement, {point_stats('lon', 'lat', f32=False)}
+FROM p WHERE lat IS NOT NULL AND lon IS NOT NULL
+"""
+    q["building_profile"] = """
+WITH b AS (SELECT 'BG' || CAST(o_orderkey AS VARCHAR) AS batiment_groupe_id,
+                  {dep} AS code_departement_insee, o_orderstatus AS etat FROM orders),
+c AS (SELECT 'BG' || CAST(l_orderkey AS VARCHAR) AS batiment_groupe_id,
+             CAST(year(l_shipdate) AS INTEGER) AS construction_annee,
+             l_returnflag AS construction_materiau FROM lineitem WHERE l_linenumber = 1),
+e AS (SELECT 'BG' || CAST(l_orderkey AS VARCHAR) AS batiment_groupe_id,
+             l_linestatus AS energy_dpe_classe, F32(l_quantity * 10) AS energy_dpe_conso
+      FROM lineitem WHERE l_linenumber = 2),
+r AS (SELECT 'BG' || CAST(l_orderkey AS VARCHAR) AS batiment_groupe_id,
+             l_discount > 0.05 AS natural_risks_alea_fort FROM lineitem WHERE l_linenumber = 3)
+SELECT * FROM b LEFT JOIN c USING (batiment_groupe_id) LEFT JOIN e USING (batiment_groupe_id)
+LEFT JOIN r USING (batiment_groupe_id)
+""".replace("{dep}", sql_dep_num("(o_custkey % 96 + 1)"))
+    x = f"({D(700000.0)} + (s_suppkey % 40) * {D(5000.0)})"
+    y = f"({D(6500000.0)} + ((s_suppkey // 40) % 40) * {D(5000.0)})"
+    slon, slat = sql_l93(x, y)
+    clon = f"({D(-5.0)} + (c_custkey % 1300) / {D(100.0)})"
+    clat = f"({D(41.0)} + (c_custkey % 1000) / {D(100.0)})"
+    q["icu_union"] = f"""
+SELECT s_suppkey AS id, s_name AS nom, F32(s_acctbal) AS score, NULL::VARCHAR AS categorie,
+       {point_stats(slon, slat)} FROM supplier
+UNION ALL
+SELECT c_custkey AS id, NULL::VARCHAR AS nom, NULL::DOUBLE AS score, c_mktsegment AS categorie,
+       {point_stats(clon, clat)} FROM customer
+"""
+    elon0, elat0 = sql_l93(x, y)
+    elon1, elat1 = sql_l93(f"({x} + {D(500.0)})", f"({y} + {D(500.0)})")
+    q["coastal_erosion"] = f"""
+SELECT s_suppkey AS id_trait, s_name, F32(s_acctbal) AS taux, 'LineString' AS geom_type,
+       CAST(1 AS BIGINT) AS geom_parts, CAST(2 AS BIGINT) AS geom_points,
+       F32(least({elon0}, {elon1})) AS geom_xmin, F32(least({elat0}, {elat1})) AS geom_ymin,
+       F32(greatest({elon0}, {elon1})) AS geom_xmax, F32(greatest({elat0}, {elat1})) AS geom_ymax
+FROM supplier
+"""
+    dep = sql_dep_num("(s_suppkey % 96 + 1)")
+    q["replace_departments"] = f"""
+SELECT {dep} AS departement, s_suppkey, s_name, 'old' AS vintage FROM supplier
+WHERE {dep} NOT IN {sql_list(B.K1_REQUESTED)}
+UNION ALL
+SELECT {dep} AS departement, s_suppkey, s_name, 'new' AS vintage FROM supplier
+WHERE s_suppkey % 2 = 1 AND {dep} IN {sql_list(B.K1_REQUESTED)}
+"""
+    return q
