@@ -499,3 +499,66 @@ def k1_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         dep.alias("departement"), "s_suppkey", "s_name", F.lit("new").alias("vintage")) \
         .where(F.col("departement").isin(K1_REQUESTED))
     return old, new
+
+
+# ---------------------------------------------------------------- planning
+PLU_DEPS = [f"{i:02d}" for i in range(1, 96) if i != 20] + ["2A", "971"]
+ZONE_TYPES = ["U", "AUc", "AUs", "AU", "A", "N", "Uh", "AUs1", "AUS", "1AU", "ua", "", None, "Nh2"]
+
+
+def plu_communes_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """supplier as the commune list of each department."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    return s.select(commune_code(k).alias("code_commune"),
+                    dep_num_code(k % 96 + 1).alias("departement"))
+
+
+def plu_documents_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as planning documents (even commune keys only are covered)."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    grid = commune_code((F.floor(k / 7) % 150) * 2)
+    return o.select(
+        grid.alias("grid_name"),
+        _case_map(k % 4, {0: "PLU", 1: "PLUi", 2: "CC"}).alias("du_type"),
+        F.when(k % 11 == 0, F.concat(F.lit("DU_99"), grid))
+         .otherwise(F.concat(F.lit("DU_"), grid)).alias("partition"),
+        k.alias("gid"))
+
+
+def _zone_type(idx: Column) -> Column:
+    expr = None
+    for i, v in enumerate(ZONE_TYPES):
+        lit = F.lit(v) if v is not None else F.lit(None).cast("string")
+        expr = F.when(idx == i, lit) if expr is None else expr.when(idx == i, lit)
+    return expr
+
+
+def plu_zone_layers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """part as zoning features downloaded per commune; only the first layer
+    has ``destdomi``; ``datappro``/``urlfic`` are absent everywhere."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    ck = k % 200
+    base = p.select(
+        k, commune_code(ck).alias("commune"), dep_num_code(ck % 96 + 1).alias("departement"),
+        _zone_type(F.col("p_size") % 14).alias("typezone"),
+        F.col("p_name").alias("libelle"), F.col("p_type").alias("libelong"),
+        F.concat(F.lit("DOC_"), (k % 50).cast("string")).alias("idurba"),
+        F.col("p_brand").alias("destdomi"), l93_point_geom(k).alias("geom"))
+    return [base.where(k % 2 == 0).drop("p_partkey"),
+            base.where(k % 2 == 1).drop("p_partkey", "destdomi")]
+
+
+def plu_prescription_layers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """part as prescription features; ``stypepsc`` only in the first layer."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    ck = (k * 3) % 200
+    base = p.select(
+        k, commune_code(ck).alias("commune"), dep_num_code(ck % 96 + 1).alias("departement"),
+        _lp(F.col("p_size") % 30, 2).alias("typepsc"), F.col("p_name").alias("libelle"),
+        F.col("p_type").alias("stypepsc"), l93_point_geom(k).alias("geom"))
+    return [base.where(k % 3 == 0).drop("p_partkey"),
+            base.where(k % 3 != 0).drop("p_partkey", "stypepsc")]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.geometry import flatten_geom
 from ..functions.crs import l93_to_lonlat
-from ..operators import buildings, climate, communes, hazards, lookups, osm, prices
+from ..operators import buildings, climate, communes, hazards, lookups, osm, planning, prices
 from ..sinks import tables as sinks
 from . import bindings as B
 from .tables import round_doubles
@@ -140,6 +140,38 @@ def q_replace_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.replace_departments_query(old, new, B.K1_REQUESTED)
 
 
+def q_zone_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    p = B.table(spark, sf_dir, "part")
+    tz = B._zone_type(F.col("p_size") % 14)
+    return p.select("p_partkey", tz.alias("typezone"),
+                    planning.zone_category(tz).alias("zone_category"))
+
+
+def _plu_status(spark, sf_dir):
+    return planning.document_status(B.plu_documents_input(spark, sf_dir),
+                                    B.plu_communes_input(spark, sf_dir), B.PLU_DEPS)
+
+
+def q_document_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plu_status(spark, sf_dir)
+
+
+def q_document_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planning.document_type_counts(_plu_status(spark, sf_dir))
+
+
+def q_covered_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    zones = planning.union_layers(B.plu_zone_layers(spark, sf_dir))
+    return round_doubles(flatten_geom(planning.covered_zones(zones, _plu_status(spark, sf_dir))))
+
+
+def q_covered_prescriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    presc = planning.union_layers(B.plu_prescription_layers(spark, sf_dir))
+    return round_doubles(flatten_geom(planning.covered_prescriptions(
+        presc, _plu_status(spark, sf_dir))))
+
+
 def _osm(layer: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return flatten_geom(osm.osm_layer(B.osm_input(spark, sf_dir), layer))
@@ -184,5 +216,10 @@ def queries() -> dict[str, Query]:
         "icu_union": q_icu_union,
         "coastal_erosion": q_coastal_erosion,
         "replace_departments": q_replace_departments,
+        "zone_category": q_zone_category,
+        "document_status": q_document_status,
+        "document_type_counts": q_document_type_counts,
+        "covered_zones": q_covered_zones,
+        "covered_prescriptions": q_covered_prescriptions,
     })
     return out

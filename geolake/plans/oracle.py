@@ -86,7 +86,7 @@ def oracle_sql() -> dict[str, str]:
     out = dict(_ORACLES)
     out.update(osm_oracles())
     for fn in (crime_oracles, rents_oracles, climate_oracles, storm_oracles, hazard_oracles,
-               lookup_oracles, building_oracles):
+               lookup_oracles, building_oracles, planning_oracles):
         out.update(fn())
     return {k: expand_f32(v) for k, v in out.items()}
 
@@ -786,3 +786,72 @@ SELECT {dep} AS departement, s_suppkey, s_name, 'new' AS vintage FROM supplier
 WHERE s_suppkey % 2 = 1 AND {dep} IN {sql_list(B.K1_REQUESTED)}
 """
     return q
+
+
+# ---------------------------------------------------------------- planning
+def planning_oracles() -> dict[str, str]:
+    from . import bindings as B
+    from ..operators.planning import ZONE_CATEGORIES
+    ztype = "CASE " + " ".join(
+        f"WHEN p_size % 14 = {i} THEN " + ("NULL" if v is None else f"'{v}'")
+        for i, v in enumerate(B.ZONE_TYPES)) + " END"
+    base = "upper(regexp_replace(tz, '[0-9csCShH]+$', ''))"
+    cat = ("coalesce(" + sql_case("tz", ZONE_CATEGORIES) + ", "
+           + sql_case(base, {b: ZONE_CATEGORIES[b] for b in ("U", "AU", "A", "N")}) + ", 'other')")
+    com = f"""
+com AS (SELECT {sql_commune('s_suppkey')} AS code_commune,
+               {sql_dep_num('(s_suppkey % 96 + 1)')} AS departement FROM supplier
+        WHERE {sql_dep_num('(s_suppkey % 96 + 1)')} IN {sql_list(B.PLU_DEPS)})"""
+    grid = sql_commune("(((o_orderkey // 7) % 150) * 2)")
+    docs = f"""
+docs AS (SELECT {grid} AS grid_name,
+                {sql_case('o_orderkey % 4', {0: 'PLU', 1: 'PLUi', 2: 'CC'})} AS du_type,
+                CASE WHEN o_orderkey % 11 = 0 THEN 'DU_99' || {grid} ELSE 'DU_' || {grid} END AS partition,
+                o_orderkey AS gid FROM orders)"""
+    status = f"""
+{com}, {docs},
+last AS (SELECT com.departement, com.code_commune, arg_max_null(docs.du_type, docs.gid) AS du_type
+         FROM docs JOIN com ON docs.grid_name = com.code_commune
+              AND starts_with(docs.partition, 'DU_' || com.departement)
+         WHERE docs.grid_name IS NOT NULL AND docs.grid_name <> ''
+         GROUP BY com.departement, com.code_commune),
+status AS (SELECT com.code_commune, last.du_type, com.departement
+           FROM com LEFT JOIN last USING (departement, code_commune))"""
+    x = f"({D(700000.0)} + (p_partkey % 40) * {D(5000.0)})"
+    y = f"({D(6500000.0)} + ((p_partkey // 40) % 40) * {D(5000.0)})"
+    lon, lat = sql_l93(x, y)
+    zones = f"""
+zones AS (SELECT {sql_commune('(p_partkey % 200)')} AS commune,
+                 {sql_dep_num('((p_partkey % 200) % 96 + 1)')} AS departement,
+                 {ztype} AS tz, p_name AS libelle, p_type AS libelong,
+                 CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS destdomi,
+                 'DOC_' || CAST(p_partkey % 50 AS VARCHAR) AS idurba, p_partkey FROM part)"""
+    presc = f"""
+presc AS (SELECT {sql_commune('((p_partkey * 3) % 200)')} AS commune,
+                 {sql_dep_num('(((p_partkey * 3) % 200) % 96 + 1)')} AS departement,
+                 lpad(CAST(p_size % 30 AS VARCHAR), 2, '0') AS typepsc, p_name AS libelle,
+                 CASE WHEN p_partkey % 3 = 0 THEN p_type END AS stypepsc, p_partkey FROM part)"""
+    covered = "SELECT code_commune AS commune, departement FROM status WHERE du_type IS NOT NULL"
+    return {
+        "zone_category": f"""
+SELECT p_partkey, tz AS typezone, {cat} AS zone_category
+FROM (SELECT p_partkey, {ztype} AS tz FROM part)
+""",
+        "document_status": f"WITH {status} SELECT * FROM status",
+        "document_type_counts": f"""
+WITH {status}
+SELECT departement, coalesce(du_type, 'RNU') AS du_type, count(*) AS n FROM status
+GROUP BY departement, coalesce(du_type, 'RNU')
+""",
+        "covered_zones": f"""
+WITH {status}, {zones}
+SELECT tz AS typezone, {cat} AS zone_category, libelle, libelong, destdomi, idurba,
+       NULL::VARCHAR AS datappro, NULL::VARCHAR AS urlfic, departement, {point_stats(lon, lat)}
+FROM zones WHERE (commune, departement) IN ({covered})
+""",
+        "covered_prescriptions": f"""
+WITH {status}, {presc}
+SELECT typepsc, stypepsc, libelle, NULL::VARCHAR AS txt, departement, {point_stats(lon, lat)}
+FROM presc WHERE (commune, departement) IN ({covered})
+""",
+    }
