@@ -66,7 +66,8 @@ def air_quality(features: DataFrame, deps: Iterable[str] | None = None) -> DataF
                 F.col(p + "code_so2").alias("so2_index"),
                 F.col(p + "source").alias("source"),
                 F.col(p + "date_ech").alias("date"),
-                point(F.col(p + "x_wgs84"), F.col(p + "y_wgs84")).alias("geom"))
+                point(F.col(p + "x_wgs84"), F.col(p + "y_wgs84")).alias("geom"),
+                *([F.col("ordinal")] if "ordinal" in features.columns else []))
     return out.where(in_departments_any(F.col("commune_code"), deps))
 
 

@@ -562,3 +562,78 @@ def plu_prescription_layers(spark: SparkSession, sf_dir: str) -> list[DataFrame]
         F.col("p_type").alias("stypepsc"), l93_point_geom(k).alias("geom"))
     return [base.where(k % 3 == 0).drop("p_partkey"),
             base.where(k % 3 != 0).drop("p_partkey", "stypepsc")]
+
+
+# ------------------------------------------------------------- atmo feeds
+AIR_DEPS = [f"{i:02d}" for i in range(1, 61) if i != 20] + ["971"]
+QUAL_LABELS = {0: "Bon", 1: "Moyen", 2: "Dégradé", 3: "Mauvais", 4: "Très mauvais",
+               5: "Extrêmement mauvais"}
+
+
+def air_features_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer as air-quality features (properties struct + file order)."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    zk = k % 700
+    q = F.col("c_nationkey") % 6
+    props = F.struct(
+        commune_code(zk).alias("code_zone"),
+        F.concat(F.lit("Zone "), zk.cast("string")).alias("lib_zone"),
+        q.alias("code_qual"), _case_map(q, QUAL_LABELS).alias("lib_qual"),
+        (k % 5).alias("code_no2"), (k % 4).alias("code_o3"), (k % 6).alias("code_pm10"),
+        (k % 3).alias("code_pm25"), (k % 2).alias("code_so2"),
+        F.lit("atmo").alias("source"), F.lit("2024-01-15").alias("date_ech"),
+        F.when(k % 17 != 0, F.lit(-5.0) + (k % 1300) / 100.0).alias("x_wgs84"),
+        (F.lit(41.0) + (k % 1000) / 100.0).alias("y_wgs84"))
+    return c.select(props.alias("properties"), k.alias("ordinal"))
+
+
+def pollen_features_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as pollen features (NULL properties for some)."""
+    e = table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    zk = (F.col("user_id") * 7 + i % 3) % 800
+    props = F.struct(
+        commune_code(zk).alias("code_zone"),
+        F.concat(F.lit("Zone "), zk.cast("string")).alias("lib_zone"),
+        (i % 6).alias("code_qual"), _case_map(i % 6, QUAL_LABELS).alias("lib_qual"),
+        (F.col("value") > 100).alias("alerte"), F.col("event_type").alias("pollen_resp"),
+        (i % 5).alias("code_boul"), (i % 4).alias("code_gram"), (i % 3).alias("code_oliv"),
+        (i % 6).alias("code_ambr"), (i % 2).alias("code_arm"), (i % 7).alias("code_aul"),
+        (F.col("value") * 2).alias("conc_boul"), (F.col("value") * 3).alias("conc_gram"),
+        (F.col("value") * 4).alias("conc_oliv"), (F.col("value") * 5).alias("conc_ambr"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date_ech"), F.lit("atmo").alias("source"))
+    return e.select(F.when(i % 50 != 0, props).alias("properties"))
+
+
+# ------------------------------------------------------------------ raster
+DEM_A, DEM_E, DEM_F = 1 / 1200, -1 / 1200, 48.9
+DEM_DEP = "75"
+
+
+def dem_cells_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as elevation cells of one department grid, 40 columns wide;
+    every tenth cell is also covered by a second (overlapping) tile."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    row, col = F.floor(k / 40), k % 40
+    z = (F.when(k % 97 == 0, F.lit(-9999.0))
+         .when(row < 25, (F.floor(F.col("p_size") / 17) * 20).cast("double"))
+         .otherwise((F.abs(row - 37) * 3 + F.abs(col - 20) * 2).cast("double")))
+    base = p.select(F.lit(DEM_DEP).alias("departement"), F.lit(0).alias("tile_rank"),
+                    row.cast("int").alias("row"), col.cast("int").alias("col"), z.alias("z"))
+    over = p.where(k % 10 == 0).select(
+        F.lit(DEM_DEP).alias("departement"), F.lit(1).alias("tile_rank"),
+        row.cast("int").alias("row"), col.cast("int").alias("col"), (z + 500.0).alias("z"))
+    return base.unionByName(over)
+
+
+def boxes_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """supplier as bounding boxes (south, west, north, east)."""
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    south = F.lit(-20.0) + (k % 700) / 10.0
+    west = F.lit(-60.0) + (k % 1200) / 10.0
+    return s.select(F.concat(F.lit("B"), k.cast("string")).alias("departement"),
+                    south.alias("south"), west.alias("west"),
+                    (south + (k % 3) * 0.7).alias("north"), (west + (k % 4) * 0.6).alias("east"))

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.geometry import flatten_geom
 from ..functions.crs import l93_to_lonlat
-from ..operators import buildings, climate, communes, hazards, lookups, osm, planning, prices
+from ..operators import (buildings, climate, communes, hazards, lookups, osm, planning,
+                         prices, raster)
 from ..sinks import tables as sinks
 from . import bindings as B
 from .tables import round_doubles
@@ -172,6 +173,38 @@ def q_covered_prescriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
         presc, _plu_status(spark, sf_dir))))
 
 
+def q_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_geom(climate.air_quality(B.air_features_input(spark, sf_dir), B.AIR_DEPS))
+
+
+def q_pollen_with_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    air = climate.air_quality(B.air_features_input(spark, sf_dir))
+    return flatten_geom(climate.pollen_with_coords(B.pollen_features_input(spark, sf_dir), air))
+
+
+def q_poi_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pois = osm.osm_layer(B.osm_input(spark, sf_dir), "wiki_pois")
+    ent = lookups.entity_enrichment(B.entities_input(spark, sf_dir))
+    return flatten_geom(osm.attach_wikidata(pois, ent))
+
+
+def _exposure_classes(spark, sf_dir):
+    cells = raster.mosaic(B.dem_cells_input(spark, sf_dir))
+    return raster.classify_exposure(cells, B.DEM_A, B.DEM_E, B.DEM_F)
+
+
+def q_exposure_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exposure_classes(spark, sf_dir)
+
+
+def q_exposure_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raster.exposure_regions(_exposure_classes(spark, sf_dir))
+
+
+def q_tiles_for_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raster.tiles_for_bbox(B.boxes_input(spark, sf_dir))
+
+
 def _osm(layer: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return flatten_geom(osm.osm_layer(B.osm_input(spark, sf_dir), layer))
@@ -221,5 +254,11 @@ def queries() -> dict[str, Query]:
         "document_type_counts": q_document_type_counts,
         "covered_zones": q_covered_zones,
         "covered_prescriptions": q_covered_prescriptions,
+        "air_quality": q_air_quality,
+        "pollen_with_coords": q_pollen_with_coords,
+        "poi_enriched": q_poi_enriched,
+        "exposure_classes": q_exposure_classes,
+        "exposure_regions": q_exposure_regions,
+        "tiles_for_bbox": q_tiles_for_bbox,
     })
     return out

@@ -86,7 +86,8 @@ def oracle_sql() -> dict[str, str]:
     out = dict(_ORACLES)
     out.update(osm_oracles())
     for fn in (crime_oracles, rents_oracles, climate_oracles, storm_oracles, hazard_oracles,
-               lookup_oracles, building_oracles, planning_oracles):
+               lookup_oracles, building_oracles, planning_oracles, atmo_oracles,
+               raster_oracles):
         out.update(fn())
     return {k: expand_f32(v) for k, v in out.items()}
 
@@ -855,3 +856,144 @@ SELECT typepsc, stypepsc, libelle, NULL::VARCHAR AS txt, departement, {point_sta
 FROM presc WHERE (commune, departement) IN ({covered})
 """,
     }
+
+
+# ------------------------------------------------------------- atmo feeds
+def atmo_oracles() -> dict[str, str]:
+    from . import bindings as B
+    air = f"""
+air AS (
+  SELECT {sql_commune('(c_custkey % 700)')} AS commune_code,
+         'Zone ' || CAST(c_custkey % 700 AS VARCHAR) AS commune_name,
+         c_nationkey % 6 AS quality_index, {sql_case('c_nationkey % 6', B.QUAL_LABELS)} AS quality_label,
+         c_custkey % 5 AS no2_index, c_custkey % 4 AS o3_index, c_custkey % 6 AS pm10_index,
+         c_custkey % 3 AS pm25_index, c_custkey % 2 AS so2_index, 'atmo' AS source,
+         '2024-01-15' AS date,
+         CASE WHEN c_custkey % 17 <> 0 THEN {D(-5.0)} + (c_custkey % 1300) / {D(100.0)} END AS lon,
+         {D(41.0)} + (c_custkey % 1000) / {D(100.0)} AS lat, c_custkey AS ordinal
+  FROM customer
+)"""
+    air_cols = ("commune_code, commune_name, quality_index, quality_label, no2_index, o3_index, "
+                "pm10_index, pm25_index, so2_index, source, date")
+    q = {}
+    q["air_quality"] = f"""
+WITH {air}
+SELECT {air_cols}, {point_stats('lon', 'lat', f32=False)}, ordinal FROM air
+WHERE lon IS NOT NULL AND lat IS NOT NULL
+  AND (substr(commune_code, 1, 2) IN {sql_list(B.AIR_DEPS)}
+       OR substr(commune_code, 1, 3) IN {sql_list(B.AIR_DEPS)})
+"""
+    zk = "((user_id * 7 + event_id % 3) % 800)"
+    q["pollen_with_coords"] = f"""
+WITH {air},
+coords AS (SELECT commune_code, arg_max(struct_pack(lat := lat, lon := lon), ordinal) AS c
+           FROM air WHERE lon IS NOT NULL AND lat IS NOT NULL AND commune_code IS NOT NULL
+           GROUP BY commune_code),
+pol AS (
+  SELECT {sql_commune(zk)} AS commune_code, 'Zone ' || CAST({zk} AS VARCHAR) AS commune_name,
+         event_id % 6 AS quality_index, {sql_case('event_id % 6', B.QUAL_LABELS)} AS quality_label,
+         value > 100 AS alert, event_type AS responsible_pollen,
+         event_id % 5 AS birch_index, event_id % 4 AS grass_index, event_id % 3 AS olive_index,
+         event_id % 6 AS ragweed_index, event_id % 2 AS mugwort_index, event_id % 7 AS alder_index,
+         value * 2 AS birch_conc, value * 3 AS grass_conc, value * 4 AS olive_conc,
+         value * 5 AS ragweed_conc, strftime(ts, '%Y-%m-%d') AS date, 'atmo' AS source
+  FROM events WHERE event_id % 50 <> 0
+)
+SELECT pol.*, {point_stats('c.lon', 'c.lat', f32=False)} FROM pol JOIN coords USING (commune_code)
+"""
+    from ..operators.lookups import IMAGE_URL_PREFIX, IMAGE_URL_SUFFIX
+    wiki = osm_oracles()["osm_wiki_pois"]
+    q["poi_enriched"] = f"""
+WITH ent AS (
+  SELECT 'Q' || CAST(p_partkey AS VARCHAR) AS qid,
+         CASE p_size % 4 WHEN 0 THEN p_name WHEN 1 THEN p_type END AS description,
+         CASE WHEN p_partkey % 3 <> 0 THEN '{IMAGE_URL_PREFIX}' || replace(p_name || ' ' || p_brand, ' ', '_')
+              || '{IMAGE_URL_SUFFIX}' END AS image_url
+  FROM part WHERE p_partkey % 13 <> 0
+)
+SELECT w.*, ent.description, ent.image_url
+FROM ({wiki}) w LEFT JOIN ent ON w.wikidata_id = ent.qid
+WHERE ent.description IS NOT NULL OR ent.image_url IS NOT NULL
+"""
+    return q
+
+
+# ------------------------------------------------------------------ raster
+def raster_oracles() -> dict[str, str]:
+    from . import bindings as B
+    a, e, f = B.DEM_A, B.DEM_E, B.DEM_F
+    cls = f"""
+c0 AS (
+  SELECT '{B.DEM_DEP}' AS departement, CAST(p_partkey // 40 AS INTEGER) AS row,
+         CAST(p_partkey % 40 AS INTEGER) AS col,
+         CASE WHEN p_partkey % 97 = 0 THEN {D(-9999.0)}
+              WHEN p_partkey // 40 < 25 THEN CAST((p_size // 17) * 20 AS DOUBLE)
+              ELSE CAST(abs(p_partkey // 40 - 37) * 3 + abs(p_partkey % 40 - 20) * 2 AS DOUBLE) END AS z0
+  FROM part
+),
+v AS (SELECT departement, row, col,
+             CASE WHEN z0 >= {D(-1000.0)} AND z0 <= {D(9000.0)} THEN z0 END AS z FROM c0),
+g AS (SELECT departement, max(row) + 1 AS nrows FROM v GROUP BY departement),
+k AS (SELECT v.*, {D(abs(a) * 111320.0)} * cos(radians({D(f)} + (nrows // 2) * {D(e)})) AS dx,
+             {D(abs(e) * 111320.0)} AS dy
+      FROM v JOIN g USING (departement)),
+w AS (SELECT *, lag(col) OVER wr AS lc, lead(col) OVER wr AS rc,
+             lag(z) OVER wr AS lz, lead(z) OVER wr AS rz,
+             lag(row) OVER wc AS ur, lead(row) OVER wc AS dr,
+             lag(z) OVER wc AS uz, lead(z) OVER wc AS dz
+      FROM k WINDOW wr AS (PARTITION BY departement, row ORDER BY col),
+                    wc AS (PARTITION BY departement, col ORDER BY row)),
+d AS (SELECT *,
+        CASE WHEN lc IS NOT NULL AND rc IS NOT NULL THEN (rz - lz) / ({D(2.0)} * dx)
+             WHEN rc IS NOT NULL THEN (rz - z) / dx WHEN lc IS NOT NULL THEN (z - lz) / dx END AS gx,
+        CASE WHEN ur IS NOT NULL AND dr IS NOT NULL THEN (dz - uz) / ({D(2.0)} * dy)
+             WHEN dr IS NOT NULL THEN (dz - z) / dy WHEN ur IS NOT NULL THEN (z - uz) / dy END AS gy
+      FROM w),
+s AS (SELECT departement, row, col, degrees(atan(sqrt(gx * gx + gy * gy))) AS slope,
+             (degrees(atan2(-gx, gy)) + 360) % 360 AS aspect FROM d),
+cls AS (
+  SELECT departement, row, col,
+         CASE WHEN slope >= 2 AND aspect >= 135 AND aspect <= 225 THEN 'high_exposure'
+              WHEN slope >= 2 AND (aspect >= 315 OR aspect <= 45) THEN 'low_exposure'
+              WHEN slope >= 2 THEN 'moderate' ELSE 'flat' END AS exposure
+  FROM s WHERE slope IS NOT NULL
+)"""
+    q = {}
+    q["exposure_classes"] = f"WITH {cls} SELECT * FROM cls"
+    q["exposure_regions"] = f"""
+WITH RECURSIVE {cls},
+nodes AS (SELECT departement, CAST(row AS BIGINT) * 1000000 + col AS id, exposure, row, col FROM cls),
+e1 AS (SELECT a.id AS s, b.id AS d FROM nodes a JOIN nodes b
+         ON a.departement = b.departement AND a.exposure = b.exposure AND b.row = a.row AND b.col = a.col + 1
+       UNION ALL
+       SELECT a.id AS s, b.id AS d FROM nodes a JOIN nodes b
+         ON a.departement = b.departement AND a.exposure = b.exposure AND b.row = a.row + 1 AND b.col = a.col),
+edges AS (SELECT s, d FROM e1 UNION ALL SELECT d AS s, s AS d FROM e1),
+cc(id, label) AS (
+  SELECT id, id FROM nodes
+  UNION
+  SELECT edges.d, cc.label FROM cc JOIN edges ON cc.id = edges.s
+),
+lab AS (SELECT id, min(label) AS region_id FROM cc GROUP BY id)
+SELECT departement, region_id, exposure, count(*) AS n_cells,
+       min(row) AS row_min, max(row) AS row_max, min(col) AS col_min, max(col) AS col_max
+FROM nodes JOIN lab USING (id) GROUP BY departement, region_id, exposure
+"""
+    south = f"({D(-20.0)} + (s_suppkey % 700) / {D(10.0)})"
+    west = f"({D(-60.0)} + (s_suppkey % 1200) / {D(10.0)})"
+    north = f"({south} + (s_suppkey % 3) * {D(0.7)})"
+    east = f"({west} + (s_suppkey % 4) * {D(0.6)})"
+    q["tiles_for_bbox"] = f"""
+WITH b AS (SELECT 'B' || CAST(s_suppkey AS VARCHAR) AS departement,
+                  CAST(floor({south}) AS INTEGER) AS s0, CAST(floor({north}) AS INTEGER) AS n0,
+                  CAST(floor({west}) AS INTEGER) AS w0, CAST(floor({east}) AS INTEGER) AS e0
+           FROM supplier),
+t AS (SELECT departement, unnest(range(s0, n0 + 1)) AS lat, w0, e0 FROM b),
+u AS (SELECT departement, lat, unnest(range(w0, e0 + 1)) AS lon FROM t)
+SELECT departement, lat, lon,
+       'Copernicus_DSM_COG_30_' || CASE WHEN lat >= 0 THEN 'N' ELSE 'S' END
+       || lpad(CAST(abs(lat) AS VARCHAR), 2, '0') || '_00_' || CASE WHEN lon >= 0 THEN 'E' ELSE 'W' END
+       || lpad(CAST(abs(lon) AS VARCHAR), 3, '0') || '_00_DEM' AS tile
+FROM u
+"""
+    return q
