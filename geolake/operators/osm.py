@@ -172,10 +172,9 @@ def _anchor_points() -> Column:
     way vertices, relation member vertices."""
     node_pt = point_array(F.coalesce(F.col("lat"), F.col("center.lat")),
                           F.coalesce(F.col("lon"), F.col("center.lon")))
-    member_pts = F.flatten(F.transform(
-        F.coalesce(F.col("members"), F.array().cast(
-            "array<struct<type:string,role:string,geometry:array<struct<lat:double,lon:double>>>>")),
-        lambda m: F.coalesce(m["geometry"], F.array().cast("array<struct<lat:double,lon:double>>"))))
+    empty = F.array().cast("array<struct<lat:double,lon:double>>")
+    member_pts = F.coalesce(F.flatten(F.transform(
+        F.col("members"), lambda m: F.coalesce(m["geometry"], empty))), empty)
     return (F.when(F.col("type") == "node", node_pt)
             .when(F.col("type") == "way", F.col("geometry"))
             .otherwise(member_pts))

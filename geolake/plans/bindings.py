@@ -637,3 +637,65 @@ def boxes_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(F.concat(F.lit("B"), k.cast("string")).alias("departement"),
                     south.alias("south"), west.alias("west"),
                     (south + (k % 3) * 0.7).alias("north"), (west + (k % 4) * 0.6).alias("east"))
+
+
+# --------------------------------------------------------------- text forms
+def commune_feature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer as line-delimited GeoJSON commune features (text)."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    lon, lat = (k % 800) / 100.0, F.lit(41.0) + (k % 1000) / 100.0
+
+    def p(x, y):
+        return F.array(x, y)
+    ring = F.array(p(lon, lat), p(lon + 0.01, lat), p(lon + 0.01, lat + 0.01), p(lon, lat))
+    feat = F.struct(
+        F.lit("Feature").alias("type"),
+        F.struct(commune_code(k).alias("id"),
+                 F.concat(F.lit("Commune "), k.cast("string")).alias("nom"),
+                 dep_num_code(k % 96 + 1).alias("departement")).alias("properties"),
+        F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    return c.select(F.to_json(feat).alias("value"))
+
+
+def osm_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The OSM elements serialised one JSON object per line."""
+    el = osm_input(spark, sf_dir)
+    return el.select(F.to_json(F.struct(*el.columns)).alias("value"))
+
+
+def ledger_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer as ';'-separated records with decimal-comma amounts."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    amount = F.when(k % 9 == 0, F.lit("n/a")).otherwise(
+        F.concat((k * 37 % 100000).cast("string"), F.lit(","), _lp(k % 100, 2)))
+    return c.select(F.concat_ws(";", commune_code(k), F.col("c_name"), amount,
+                                F.col("c_mktsegment")).alias("value"))
+
+
+def entity_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities serialised as API batch documents of 20 entities each."""
+    ent = entities_input(spark, sf_dir)
+    doc = F.struct(F.when(F.col("missing"), F.lit("")).alias("missing"),
+                   "descriptions", "claims")
+    batch = F.floor(F.substring("qid", 2, 20).cast("long") / 20)
+    return (ent.groupBy(batch.alias("b"))
+            .agg(F.map_from_entries(F.collect_list(F.struct("qid", doc))).alias("entities"))
+            .select(F.to_json(F.struct("entities")).alias("value")))
+
+
+def dpe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DPE records serialised as result pages of 50 records."""
+    d = dpe_input(spark, sf_dir).withColumn("_p", F.floor(
+        F.substring("numero_dpe", 4, 20).cast("long") / 50))
+    return (d.groupBy("_p").agg(F.collect_list(F.struct(
+        "numero_dpe", "type_batiment", "etiquette_dpe", "code_departement_ban", "_geopoint"))
+        .alias("results"))
+        .select(F.to_json(F.struct("results")).alias("value")))
+
+
+def air_feature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Air-quality features serialised one per line, with the file order."""
+    a = air_features_input(spark, sf_dir)
+    return a.select(F.to_json(F.struct("properties")).alias("value"), "ordinal")

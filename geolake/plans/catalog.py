@@ -16,6 +16,7 @@ from ..functions.crs import l93_to_lonlat
 from ..operators import (buildings, climate, communes, hazards, lookups, osm, planning,
                          prices, raster)
 from ..sinks import tables as sinks
+from ..sources import parse as P
 from . import bindings as B
 from .tables import round_doubles
 
@@ -205,6 +206,47 @@ def q_tiles_for_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.tiles_for_bbox(B.boxes_input(spark, sf_dir))
 
 
+def q_parse_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql.types import StringType, StructField, StructType
+    props = StructType([StructField(n, StringType()) for n in ("id", "nom", "departement")])
+    feats = P.parse_features(B.commune_feature_lines(spark, sf_dir), props)
+    return flatten_geom(lookups.commune_geoms(feats))
+
+
+def q_parse_osm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_geom(osm.osm_layer(P.parse_osm(B.osm_lines(spark, sf_dir)), "green_spaces"))
+
+
+def q_parse_decimal_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from ..functions.text import decimal_comma
+    rows = P.parse_delimited(B.ledger_lines(spark, sf_dir),
+                             "code string, name string, amount string, segment string")
+    return rows.withColumn("amount", decimal_comma(F.col("amount")))
+
+
+def q_parse_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.entity_enrichment(P.parse_entities(B.entity_batches(spark, sf_dir)))
+
+
+def q_parse_dpe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql.types import StringType, StructField, StructType
+    rec = StructType([StructField(n, StringType()) for n in (
+        "numero_dpe", "type_batiment", "etiquette_dpe", "code_departement_ban", "_geopoint")])
+    rows = P.explode_results(B.dpe_pages(spark, sf_dir), rec)
+    return flatten_geom(buildings.dpe_collectif(rows, B.DPE_DEPS))
+
+
+def q_parse_atmo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    lines = B.air_feature_lines(spark, sf_dir)
+    schema = B.air_features_input(spark, sf_dir).schema["properties"].dataType
+    from pyspark.sql.types import StructField, StructType
+    feats = lines.select(F.from_json("value", StructType([StructField("properties", schema)]))
+                         ["properties"].alias("properties"), "ordinal")
+    return flatten_geom(climate.air_quality(feats, B.AIR_DEPS))
+
+
 def _osm(layer: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return flatten_geom(osm.osm_layer(B.osm_input(spark, sf_dir), layer))
@@ -260,5 +302,11 @@ def queries() -> dict[str, Query]:
         "exposure_classes": q_exposure_classes,
         "exposure_regions": q_exposure_regions,
         "tiles_for_bbox": q_tiles_for_bbox,
+        "parse_geojson": q_parse_geojson,
+        "parse_osm": q_parse_osm,
+        "parse_decimal_csv": q_parse_decimal_csv,
+        "parse_entities": q_parse_entities,
+        "parse_dpe_pages": q_parse_dpe_pages,
+        "parse_atmo": q_parse_atmo,
     })
     return out

@@ -87,7 +87,7 @@ def oracle_sql() -> dict[str, str]:
     out.update(osm_oracles())
     for fn in (crime_oracles, rents_oracles, climate_oracles, storm_oracles, hazard_oracles,
                lookup_oracles, building_oracles, planning_oracles, atmo_oracles,
-               raster_oracles):
+               raster_oracles, parse_oracles):
         out.update(fn())
     return {k: expand_f32(v) for k, v in out.items()}
 
@@ -997,3 +997,31 @@ SELECT departement, lat, lon,
 FROM u
 """
     return q
+
+
+# --------------------------------------------------------------- text forms
+def parse_oracles() -> dict[str, str]:
+    q = {}
+    lon = f"((c_custkey % 800) / {D(100.0)})"
+    lat = f"({D(41.0)} + (c_custkey % 1000) / {D(100.0)})"
+    q["parse_geojson"] = f"""
+SELECT {sql_commune('c_custkey')} AS code_commune, 'Commune ' || CAST(c_custkey AS VARCHAR) AS nom,
+       {sql_dep_num('(c_custkey % 96 + 1)')} AS departement,
+       'Polygon' AS geom_type, CAST(1 AS BIGINT) AS geom_parts, CAST(4 AS BIGINT) AS geom_points,
+       {lon} AS geom_xmin, {lat} AS geom_ymin, {lon} + {D(0.01)} AS geom_xmax, {lat} + {D(0.01)} AS geom_ymax
+FROM customer
+"""
+    amount = ("CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE CAST(CAST(c_custkey * 37 % 100000 AS VARCHAR) "
+              "|| '.' || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0') AS DOUBLE) END")
+    q["parse_decimal_csv"] = f"""
+SELECT {sql_commune('c_custkey')} AS code, c_name AS name, {amount} AS amount, c_mktsegment AS segment
+FROM customer
+"""
+    osm = osm_oracles()
+    q["parse_osm"] = osm["osm_green_spaces"]
+    other = atmo_oracles()
+    ent = other["poi_enriched"].split("SELECT w.*")[0]
+    q["parse_entities"] = ent + "SELECT qid, description, image_url FROM ent\n"
+    q["parse_dpe_pages"] = building_oracles()["dpe_points"]
+    q["parse_atmo"] = other["air_quality"]
+    return q
