@@ -6,9 +6,10 @@ of its grid (``a`` = pixel width in degrees, ``e`` = -pixel height, ``c``/``f``
 = west/north edge).  Neighbour access is a window over one raster row (or
 column), so a task never holds more than one row/column of one department:
 bounded by the raster width, whatever the data volume.  Regions are the
-connected components of same-class cells, computed as a graph job over
-horizontal runs (iterative min-label propagation with shortcutting,
-lineage cut by checkpoints in the cluster's shared checkpoint folder).
+connected components of same-class cells: exact union-find inside bounded
+row bands (pandas inside the task), then a graph job over the band-border
+edges (iterative min-label propagation with shortcutting, lineage cut by
+checkpoints in the cluster's shared checkpoint folder).
 """
 
 from __future__ import annotations
@@ -127,49 +128,129 @@ def run_edges(cell_runs: DataFrame) -> DataFrame:
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame,
-                         max_rounds: int = 200, checkpoint_every: int = 1) -> DataFrame:
+                         max_rounds: int = 200) -> DataFrame:
     """Label every vertex with the smallest vertex id of its component.
 
     ``vertices``: (departement, v); ``edges``: (departement, src, dst).
     Each round takes the minimum label over neighbours (both directions),
     then shortcuts labels through the label table (``L(v) = L(L(v))``);
-    stops when no label changes.  The label table is checkpointed to the
-    shared checkpoint folder so lineage stays one round deep and a lost
-    executor only recomputes the current round.
+    stops when no label changes.  Every round's label table is checkpointed
+    to the shared checkpoint folder, so lineage stays one round deep and a
+    lost executor only recomputes the current round.
     """
     spark = vertices.sparkSession
     checkpoint_dir(spark)
     und = edges.select("departement", F.col("src").alias("a"), F.col("dst").alias("b")) \
-        .unionByName(edges.select("departement", F.col("dst").alias("a"), F.col("src").alias("b")))
-    und = und.checkpoint()
+        .unionByName(edges.select("departement", F.col("dst").alias("a"), F.col("src").alias("b"))) \
+        .checkpoint()
     labels = vertices.select("departement", "v", F.col("v").alias("label")).checkpoint()
     for i in range(max_rounds):
         nb = und.join(labels.select("departement", F.col("v").alias("b"), F.col("label").alias("nl")),
                       ["departement", "b"]) \
             .groupBy("departement", "a").agg(F.min("nl").alias("nl"))
         step = labels.join(nb.withColumnRenamed("a", "v"), ["departement", "v"], "left") \
-            .select("departement", "v", F.least("label", F.coalesce("nl", "label")).alias("label"))
+            .select("departement", "v", F.col("label").alias("old"),
+                    F.least("label", F.coalesce("nl", "label")).alias("label"))
         hop = step.select("departement", F.col("v").alias("label"), F.col("label").alias("l2"))
         new = step.join(hop, ["departement", "label"], "left") \
-            .select("departement", "v", F.least("label", F.coalesce("l2", "label")).alias("label"))
-        new = new.checkpoint() if (i + 1) % checkpoint_every == 0 else new
-        changed = new.join(labels.withColumnRenamed("label", "old"), ["departement", "v"]) \
-            .where(F.col("label") != F.col("old")).limit(1).count()
-        labels = new
+            .select("departement", "v", "old",
+                    F.least("label", F.coalesce("l2", "label")).alias("label")).checkpoint()
+        changed = new.where(F.col("label") != F.col("old")).limit(1).count()
+        labels = new.drop("old")
         if changed == 0:
             return labels
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 
-def exposure_regions(classes: DataFrame, max_rounds: int = 200) -> DataFrame:
+# Band height of the exact per-band labelling (rows); a band of one
+# department is the largest unit a task holds: band height x raster width.
+BAND_ROWS = 256
+_CLASS_CODES = {CLASS_FLAT: 0, CLASS_HIGH: 1, CLASS_LOW: 2, CLASS_MODERATE: 3}
+
+
+def _label_band(pdf):
+    """Exact 4-connected labelling of one band (pandas/numpy inside a task):
+    horizontal runs, vertical run adjacency, union-find over runs; every
+    cell gets the smallest cell id of its band-local component."""
+    import numpy as np
+    import pandas as pd
+
+    pdf = pdf.sort_values(["row", "col"], kind="mergesort").reset_index(drop=True)
+    row = pdf["row"].to_numpy(np.int64)
+    col = pdf["col"].to_numpy(np.int64)
+    cls = pdf["cls"].to_numpy(np.int64)
+    n = len(pdf)
+    new_run = np.ones(n, dtype=bool)
+    if n > 1:
+        new_run[1:] = (row[1:] != row[:-1]) | (col[1:] != col[:-1] + 1) | (cls[1:] != cls[:-1])
+    run = np.cumsum(new_run) - 1
+    start_id = (row * CELL_ID_STRIDE + col)[new_run]          # smallest cell id of each run
+    # Vertical adjacency: cell (r, c) and (r + 1, c) of the same class.
+    key = pd.DataFrame({"row": row, "col": col, "cls": cls, "run": run})
+    below = key.assign(row=key["row"] - 1)
+    pairs = key.merge(below, on=["row", "col", "cls"], suffixes=("", "_b"))[["run", "run_b"]]
+    pairs = pairs.drop_duplicates().to_numpy(np.int64)
+    parent = np.arange(len(start_id), dtype=np.int64)
+
+    def find(x):
+        root = x
+        while parent[root] != root:
+            root = parent[root]
+        while parent[x] != root:
+            parent[x], x = root, parent[x]
+        return root
+
+    for a, b in pairs:
+        ra, rb = find(a), find(b)
+        if ra != rb:
+            if ra < rb:
+                parent[rb] = ra
+            else:
+                parent[ra] = rb
+    roots = np.fromiter((find(i) for i in range(len(parent))), dtype=np.int64, count=len(parent))
+    # Runs are ordered by (row, col): the root (smallest run index) holds the
+    # component's smallest cell id.
+    label = start_id[roots][run]
+    return pd.DataFrame({"departement": pdf["departement"], "row": row.astype(np.int32),
+                         "col": col.astype(np.int32), "cls": cls.astype(np.int32),
+                         "label": label})
+
+
+def band_labels(classes: DataFrame, band_rows: int = BAND_ROWS) -> DataFrame:
+    """Per-band exact labels; groups are (department, band): bounded size."""
+    code = F.create_map(*[x for k, v in _CLASS_CODES.items() for x in (F.lit(k), F.lit(v))])
+    c = classes.select("departement", "row", "col", code[F.col("exposure")].alias("cls"),
+                       F.floor(F.col("row") / band_rows).alias("band"))
+    return c.groupBy("departement", "band").applyInPandas(
+        _label_band, "departement string, row int, col int, cls int, label long")
+
+
+def exposure_regions(classes: DataFrame, band_rows: int = BAND_ROWS,
+                     max_rounds: int = 200) -> DataFrame:
     """4-connected regions of equal exposure class, one row per region:
-    id (= smallest cell id row*1e6+col), class, cell count and extent."""
-    cr = runs(classes).checkpoint()
-    verts = cr.select("departement", F.col("run").alias("v")).distinct()
-    labels = connected_components(verts, run_edges(cr), max_rounds)
-    cells = cr.join(labels.select("departement", F.col("v").alias("run"), "label"),
-                    ["departement", "run"])
-    return cells.groupBy("departement", F.col("label").alias("region_id"), "exposure").agg(
+    id (= smallest cell id row*1e6+col), class, cell count and extent.
+
+    Exact labels inside row bands, then the band-local components are merged
+    across band borders by label propagation on the (small) border graph.
+    """
+    lab = band_labels(classes, band_rows).checkpoint()
+    top = lab.select("departement", "cls", "col", (F.col("row") + 1).alias("row"),
+                     F.col("label").alias("src")) \
+        .where(F.col("row") % band_rows == 0)
+    bottom = lab.select("departement", "cls", "col", "row", F.col("label").alias("dst")) \
+        .where(F.col("row") % band_rows == 0)
+    edges = top.join(bottom, ["departement", "cls", "row", "col"]) \
+        .select("departement", "src", "dst").distinct()
+    verts = edges.select("departement", F.col("src").alias("v")) \
+        .unionByName(edges.select("departement", F.col("dst").alias("v"))).distinct()
+    merged = connected_components(verts, edges, max_rounds)
+    cells = lab.join(merged.select("departement", F.col("v").alias("label"),
+                                   F.col("label").alias("glabel")),
+                     ["departement", "label"], "left") \
+        .select("departement", "row", "col", "cls",
+                F.coalesce("glabel", "label").alias("region_id"))
+    names = F.create_map(*[x for k, v in _CLASS_CODES.items() for x in (F.lit(v), F.lit(k))])
+    return cells.groupBy("departement", "region_id", names[F.col("cls")].alias("exposure")).agg(
         F.count(F.lit(1)).alias("n_cells"),
         F.min("row").alias("row_min"), F.max("row").alias("row_max"),
         F.min("col").alias("col_min"), F.max("col").alias("col_max"))
