@@ -167,11 +167,14 @@ def osm_select(df: DataFrame, layer: Layer) -> DataFrame:
     return df.where(cond)
 
 
-def _anchor_points() -> Column:
+def _anchor_points(zero_is_missing: bool = False) -> Column:
     """Points an element is located by: node position (center fallback),
     way vertices, relation member vertices."""
-    node_pt = point_array(F.coalesce(F.col("lat"), F.col("center.lat")),
-                          F.coalesce(F.col("lon"), F.col("center.lon")))
+    lat, lon = F.col("lat"), F.col("lon")
+    if zero_is_missing:
+        lat, lon = F.when(lat != 0, lat), F.when(lon != 0, lon)
+    node_pt = point_array(F.coalesce(lat, F.col("center.lat")),
+                          F.coalesce(lon, F.col("center.lon")))
     empty = F.array().cast("array<struct<lat:double,lon:double>>")
     member_pts = F.coalesce(F.flatten(F.transform(
         F.col("members"), lambda m: F.coalesce(m["geometry"], empty))), empty)
@@ -249,7 +252,8 @@ def osm_layer(elements: DataFrame, layer_name: str,
     sel = osm_select(elements, layer)
     if layer_name == "wiki_pois":
         sel = sel.where(nonempty(tag("wikidata")).isNotNull())
-    sel = sel.select("*", _geometry(layer_name).alias("geom"), _anchor_points().alias("_pts")) \
+    anchors = _anchor_points(zero_is_missing=layer_name == "wiki_pois")
+    sel = sel.select("*", _geometry(layer_name).alias("geom"), anchors.alias("_pts")) \
         .where(F.col("geom").isNotNull())
     rows = assign_departments(sel, F.col("_pts"), deps)
     cols = [F.col("id").alias("osm_id")]
