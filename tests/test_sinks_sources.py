@@ -80,3 +80,31 @@ def test_parse_delimited(spark):
     df = spark.createDataFrame([("a;1,5;x",)], "value string")
     r = P.parse_delimited(df, "a string, b string, c string").first()
     assert tuple(r) == ("a", "1,5", "x")
+
+
+def test_streaming_department_refresh(spark):
+    from pyspark.sql.types import StructField, StructType
+    from geolake.operators import prices
+    from geolake.streaming.refresh import department_file_stream, run_department_refresh
+    d = tempfile.mkdtemp(prefix="geolake-land-")
+    for dep, val in (("75", 100000), ("13", 50000)):
+        with open(os.path.join(d, f"{dep}.csv"), "w") as f:
+            f.write(f"m1,Vente,{val},Appartement,50,{dep}101000AB0001\n")
+            f.write(f"m2,Vente,{val * 2},Appartement,50,{dep}101000AB0002\n")
+    schema = StructType([StructField(c, StringType()) for c in (
+        "id_mutation", "nature_mutation", "valeur_fonciere", "type_local",
+        "surface_reelle_bati", "id_parcelle")])
+    stream = department_file_stream(spark, d, schema)
+
+    def transform(b):
+        b = b.withColumn("valeur_fonciere", F.col("valeur_fonciere").cast("double")) \
+             .withColumn("surface_reelle_bati", F.col("surface_reelle_bati").cast("double"))
+        return prices.section_prices(b)
+
+    K.ensure_namespace(spark, "t_stream")
+    spark.sql("DROP TABLE IF EXISTS t_stream.sections")
+    q = run_department_refresh(stream, transform, "t_stream.sections", "dvf_test",
+                               checkpoint=tempfile.mkdtemp(prefix="geolake-sck-"))
+    q.awaitTermination(120)
+    got = {r.departement: r.prix_m2_mean for r in spark.table("t_stream.sections").collect()}
+    assert got == {"75": 3000.0, "13": 1500.0}
