@@ -14,7 +14,7 @@ _KIND = {"POINT": "Point", "LINESTRING": "LineString", "POLYGON": "Polygon",
 
 def _vertex(s: Column) -> Column:
     nums = F.split(F.trim(s), r"\s+")
-    return xy(to_double(F.get(nums, 0)), to_double(F.get(nums, 1)))
+    return xy(F.get(nums, 0).try_cast("double"), F.get(nums, 1).try_cast("double"))
 
 
 def _ring(s: Column) -> Column:
@@ -25,23 +25,45 @@ def _polygon(s: Column) -> Column:
     return F.transform(F.split(s, r"\)\s*,\s*\("), _ring)
 
 
+def bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` (a let-binding).
+
+    Higher-order functions are interpreted, without common-subexpression
+    elimination; binding through a one-element ``transform`` keeps a value
+    used several times from being recomputed."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
+# Coordinates text may hold only numbers, separators and parentheses.
+_NUMERIC_BODY = r"^[-+0-9eE.,()\s]*$"
+
+
 def parse_wkt(wkt: Column) -> Column:
     """WKT (POINT, LINESTRING, POLYGON with holes, MULTIPOLYGON) -> geometry.
 
     NULL / empty text, an unknown type or any non-numeric coordinate gives a
     NULL geometry.
     """
-    kind = F.upper(F.regexp_extract(wkt, r"^\s*([A-Za-z]+)", 1))
-    body = F.regexp_replace(F.regexp_replace(wkt, r"^[^(]*\(+", ""), r"\)+\s*$", "")
-    parts = (F.when(kind.isin("POINT", "LINESTRING"), F.array(F.array(_ring(body))))
-             .when(kind == "POLYGON", F.array(_polygon(body)))
-             .when(kind == "MULTIPOLYGON",
-                   F.transform(F.split(body, r"\)\)\s*,\s*\(\("), _polygon)))
-    type_name = F.create_map(*[x for k, v in _KIND.items() for x in (F.lit(k), F.lit(v))])[kind]
-    geom = F.struct(type_name.alias("type"), parts.alias("parts"))
-    bad = F.exists(all_points(geom), lambda p: p["x"].isNull() | p["y"].isNull())
-    return F.when(parts.isNotNull() & ~bad & (F.trim(wkt) != ""), geom) \
-        .otherwise(F.lit(None).cast(GEOM_TYPE))
+    type_name = F.create_map(*[x for k, v in _KIND.items() for x in (F.lit(k), F.lit(v))])
+    head = F.struct(
+        type_name[F.upper(F.regexp_extract(wkt, r"^\s*([A-Za-z]+)", 1))].alias("t"),
+        F.regexp_replace(F.regexp_replace(wkt, r"^[^(]*\(+", ""), r"\)+\s*$", "").alias("b"))
+
+    def build(h):
+        t, body = h["t"], h["b"]
+        parts = (F.when(t.isin("Point", "LineString"), F.array(F.array(_ring(body))))
+                 .when(t == "Polygon", F.array(_polygon(body)))
+                 .when(t == "MultiPolygon",
+                       F.transform(F.split(body, r"\)\)\s*,\s*\(\("), _polygon)))
+        ok = t.isNotNull() & body.rlike(_NUMERIC_BODY) & (F.trim(body) != "")
+
+        def check(p):
+            pts = F.flatten(F.flatten(p))
+            good = ~F.exists(pts, lambda q: q["x"].isNull() | q["y"].isNull())
+            return F.when(good, F.struct(t.alias("type"), p.alias("parts")))
+        return F.when(ok, bind(parts, check))
+
+    return F.coalesce(bind(head, build), F.lit(None).cast(GEOM_TYPE))
 
 
 def find_geom_col(columns: list[str]) -> str | None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles
+from .quantiles import HEAVY_ROWS, grouped_stats
 
 # --- fixed values -----------------------------------------------------------
 # Kinds of mutation that count as a sale.
@@ -41,35 +41,30 @@ def built_sales(dvf: DataFrame) -> DataFrame:
             .withColumn("code_commune", F.substring("section_id", 1, 5)))
 
 
-def section_prices(dvf: DataFrame) -> DataFrame:
+def section_prices(dvf: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Per (departement, section_id): q1/median/q3/mean of EUR/m2, distinct
-    sales and median built surface."""
+    sales and median built surface (exact quantiles, linear interpolation)."""
     bati = built_sales(dvf)
-    keys = ["departement", "section_id"]
-    q = exact_quantiles(bati, keys, [
-        ("prix_m2", 0.25, "prix_m2_q1"),
-        ("prix_m2", 0.5, "prix_m2_median"),
-        ("prix_m2", 0.75, "prix_m2_q3"),
-        ("surface_reelle_bati", 0.5, "surface_mediane"),
-    ])
-    base = bati.groupBy(*keys).agg(
-        F.avg("prix_m2").alias("prix_m2_mean"),
-        F.count_distinct("id_mutation").alias("nb_ventes"))
-    return base.join(q, keys).select(
-        "section_id", "prix_m2_q1", "prix_m2_median", "prix_m2_q3",
-        "prix_m2_mean", "nb_ventes", "surface_mediane", "departement")
+    out = grouped_stats(
+        bati, ["departement", "section_id"],
+        [F.avg("prix_m2").alias("prix_m2_mean"),
+         F.count_distinct("id_mutation").alias("nb_ventes")],
+        [("prix_m2", 0.25, "prix_m2_q1"), ("prix_m2", 0.5, "prix_m2_median"),
+         ("prix_m2", 0.75, "prix_m2_q3"), ("surface_reelle_bati", 0.5, "surface_mediane")],
+        heavy_rows)
+    return out.select("section_id", "prix_m2_q1", "prix_m2_median", "prix_m2_q3",
+                      "prix_m2_mean", "nb_ventes", "surface_mediane", "departement")
 
 
-def commune_prices(dvf: DataFrame) -> DataFrame:
+def commune_prices(dvf: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Per (departement, code_commune): median and mean EUR/m2 over raw rows,
     distinct sales and distinct sections."""
     bati = built_sales(dvf)
-    keys = ["departement", "code_commune"]
-    q = exact_quantiles(bati, keys, [("prix_m2", 0.5, "commune_median_price_sqm")])
-    base = bati.groupBy(*keys).agg(
-        F.avg("prix_m2").alias("commune_mean_price_sqm"),
-        F.count_distinct("id_mutation").alias("commune_sales_count"),
-        F.count_distinct("section_id").alias("commune_sections_count"))
-    return base.join(q, keys).select(
-        "code_commune", "commune_median_price_sqm", "commune_mean_price_sqm",
-        "commune_sales_count", "commune_sections_count", "departement")
+    out = grouped_stats(
+        bati, ["departement", "code_commune"],
+        [F.avg("prix_m2").alias("commune_mean_price_sqm"),
+         F.count_distinct("id_mutation").alias("commune_sales_count"),
+         F.count_distinct("section_id").alias("commune_sections_count")],
+        [("prix_m2", 0.5, "commune_median_price_sqm")], heavy_rows)
+    return out.select("code_commune", "commune_median_price_sqm", "commune_mean_price_sqm",
+                      "commune_sales_count", "commune_sections_count", "departement")

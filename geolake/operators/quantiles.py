@@ -18,6 +18,11 @@ land in a single task.  This operator instead ranks values globally:
 Every step is a DataFrame operation; no group is ever materialised whole.
 The interpolation ``lo + (hi - lo) * frac`` is the one pandas, Spark's
 ``percentile`` and DuckDB's ``quantile_cont`` use.
+
+:func:`grouped_stats` is the entry point operators use: groups up to
+``heavy_rows`` rows (nearly all) take one exact ``percentile`` aggregation
+next to the other aggregates (per-group buffer bounded by ``heavy_rows``
+values); only groups above it go through :func:`exact_quantiles`.
 """
 
 from __future__ import annotations
@@ -27,6 +32,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Groups above this many rows are ranked by range partitioning instead of
+# being buffered in one task.  The number of such groups is at most
+# total rows / HEAVY_ROWS, which bounds the broadcast of their keys.
+HEAVY_ROWS = 1_000_000
+
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str],
                     specs: Sequence[tuple[str, float, str]]) -> DataFrame:
@@ -104,3 +114,60 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str],
         f = F.max(F.when(F.col("_q") == qi, F.col("_f")))
         aggs.append((lo_v + (hi_v - lo_v) * f).alias(name))
     return hits.groupBy(*keys).agg(*aggs)
+
+
+def _percentile_cols(specs: Sequence[tuple[str, float, str]]) -> tuple[list[Column], list[Column]]:
+    """One exact ``percentile`` per measure (array of its probabilities), and
+    the projections picking each output from those arrays."""
+    by_measure: dict[str, list[float]] = {}
+    for m, p, _ in specs:
+        by_measure.setdefault(m, [])
+        if p not in by_measure[m]:
+            by_measure[m].append(p)
+    aggs = [F.percentile(F.col(m).cast("double"), [float(p) for p in ps]).alias(f"_pct_{i}")
+            for i, (m, ps) in enumerate(by_measure.items())]
+    names = list(by_measure)
+    picks = [F.get(F.col(f"_pct_{names.index(m)}"), by_measure[m].index(p)).alias(out)
+             for m, p, out in specs]
+    return aggs, picks
+
+
+def grouped_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
+                  specs: Sequence[tuple[str, float, str]],
+                  heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Per group: the ordinary aggregates ``aggs`` plus exact quantiles.
+
+    A small per-group row count decides the plan: when no group exceeds
+    ``heavy_rows`` the whole result is one aggregation (partial aggregation
+    map-side, one shuffle).  Otherwise the heavy groups' keys (at most
+    rows / heavy_rows of them) are broadcast, light groups keep the single
+    aggregation and heavy groups get the range-ranked quantiles, joined to
+    their ordinary aggregates (both tables have one row per heavy group).
+    Rows with a NULL key are ignored.
+    """
+    keys = list(keys)
+    cond = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        cond = c if cond is None else cond & c
+    x = df.where(cond)
+    pct_aggs, picks = _percentile_cols(specs)
+    sizes = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = sizes.where(F.col("_n") > heavy_rows).select(*keys)
+    # The heavy-key table is tiny; materialise it once in the shared
+    # checkpoint folder so the decision and the routing read the same rows.
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    heavy = heavy.checkpoint()
+    agg_names = list(aggs)
+    if heavy.isEmpty():
+        out = x.groupBy(*keys).agg(*agg_names, *pct_aggs)
+        return out.select(*keys, *[c for c in out.columns if c not in keys and not c.startswith("_pct_")],
+                          *picks)
+    light = x.join(F.broadcast(heavy), keys, "left_anti").groupBy(*keys).agg(*agg_names, *pct_aggs)
+    light = light.select(*keys, *[c for c in light.columns if c not in keys and not c.startswith("_pct_")],
+                         *picks)
+    hx = x.join(F.broadcast(heavy), keys, "left_semi")
+    hq = exact_quantiles(hx, keys, specs)
+    hb = hx.groupBy(*keys).agg(*agg_names)
+    return light.unionByName(hb.join(hq, keys))

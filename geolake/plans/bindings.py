@@ -100,24 +100,29 @@ def osm_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     lat = F.lit(41.0) + ((F.col("l_partkey") * 7 + F.col("l_linenumber")) % 1000) / 100.0
     lon = F.lit(-5.0) + ((F.col("l_suppkey") * 13 + F.col("l_linenumber") * 3) % 1300) / 100.0
-    p = _vertex(lat, lon)
-    p1 = _vertex(lat, lon + 0.01)
-    p2 = _vertex(lat + 0.01, lon + 0.01)
-    ring = F.when(F.col("l_partkey") % 2 == 0, F.array(p, p1, p2, p)).otherwise(F.array(p, p1, p2))
-    member = F.struct(
-        F.when(F.col("l_linenumber") % 3 == 0, "node").otherwise("way").alias("type"),
-        F.when(F.col("l_linenumber") % 4 == 0, "inner").otherwise("outer").alias("role"),
-        ring.alias("geometry"))
+    # Flat per-line records are gathered per order (bounded: an order's lines);
+    # vertices and member rings are then built from them in place.
     lines = li.groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(F.struct(
             "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-            p.alias("p"), member.alias("m"))))
-        .alias("ls"))
+            lat.alias("lat"), lon.alias("lon")))).alias("ls"))
+
+    def member(x):
+        p = _vertex(x["lat"], x["lon"])
+        p1 = _vertex(x["lat"], x["lon"] + 0.01)
+        p2 = _vertex(x["lat"] + 0.01, x["lon"] + 0.01)
+        ring = F.when(x["l_partkey"] % 2 == 0, F.array(p, p1, p2, p)).otherwise(F.array(p, p1, p2))
+        return F.struct(
+            F.when(x["l_linenumber"] % 3 == 0, "node").otherwise("way").alias("type"),
+            F.when(x["l_linenumber"] % 4 == 0, "inner").otherwise("outer").alias("role"),
+            ring.alias("geometry"))
+
     lines = lines.select(
         F.col("l_orderkey").alias("o_orderkey"),
-        F.transform("ls", lambda x: x["p"]).alias("pts"),
-        F.transform("ls", lambda x: x["m"]).alias("mem"))
-    el = o.join(lines, "o_orderkey", "left")
+        F.transform("ls", lambda x: _vertex(x["lat"], x["lon"])).alias("pts"),
+        F.transform("ls", member).alias("mem"))
+    # Both sides grow with the data: a shuffle join, whatever the estimate.
+    el = o.join(lines.hint("merge"), "o_orderkey", "left")
     kind = F.col("o_orderkey") % 10
     etype = F.when(kind < 5, "way").when(kind < 8, "node").otherwise("relation")
     k1, v1 = _pick(OSM_PRIMARY, F.col("o_orderkey"), 0), _pick(OSM_PRIMARY, F.col("o_orderkey"), 1)

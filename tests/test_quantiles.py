@@ -23,3 +23,21 @@ def test_single_value_and_null_keys(spark):
     df = spark.createDataFrame([(1, 5.0), (None, 1.0), (2, None), (2, 3.0), (2, 4.0)], "k int, v double")
     got = {r["k"]: r["m"] for r in exact_quantiles(df, ["k"], [("v", 0.5, "m")]).collect()}
     assert got == {1: 5.0, 2: 3.5}
+
+
+def test_grouped_stats_heavy_path_equals_light_path(spark):
+    from pyspark.sql import functions as F
+    from geolake.operators.quantiles import grouped_stats
+    rng = np.random.default_rng(3)
+    keys = np.concatenate([np.zeros(4000, dtype=int), rng.integers(1, 30, 2000)])
+    pdf = pd.DataFrame({"k": keys.astype("int64"), "v": np.round(rng.gamma(2, 50, len(keys)), 2)})
+    df = spark.createDataFrame(pdf).repartition(5)
+    specs = [("v", 0.25, "q1"), ("v", 0.5, "med")]
+    aggs = [F.avg("v").alias("mean"), F.count_distinct("v").alias("nd")]
+    light = grouped_stats(df, ["k"], aggs, specs).toPandas().set_index("k").sort_index()
+    heavy = grouped_stats(df, ["k"], aggs, specs, heavy_rows=500).toPandas().set_index("k").sort_index()
+    assert list(light.index) == list(heavy.index)
+    for c in ["q1", "med", "mean", "nd"]:
+        assert np.allclose(light[c].astype(float), heavy[c].astype(float), atol=1e-9), c
+    exp = pdf.groupby("k")["v"].median()
+    assert np.allclose(light["med"].to_numpy(), exp.to_numpy())
