@@ -225,6 +225,35 @@ def band_labels(classes: DataFrame, band_rows: int = BAND_ROWS) -> DataFrame:
         _label_band, "departement string, row int, col int, cls int, label long")
 
 
+def region_cells(classes: DataFrame, band_rows: int = BAND_ROWS,
+                 max_rounds: int = 200) -> DataFrame:
+    """Every classified cell with the id of its 4-connected region."""
+    return _region_cells(classes, band_rows, max_rounds)
+
+
+def region_parts(classes: DataFrame, c: float, f: float, a: float, e: float,
+                 band_rows: int = BAND_ROWS) -> DataFrame:
+    """Vectorised regions as polygon parts: one rectangle per horizontal run
+    of a region (WGS84, from the grid's affine constants), with its area in
+    cells.  A region is the union of its parts; the parts are not dissolved
+    into rings, and a region is never gathered into one row."""
+    cells = _region_cells(classes, band_rows)
+    w = Window.partitionBy("departement", "region_id", "row").orderBy("col")
+    r = cells.select("*", (F.col("col") - F.row_number().over(w)).alias("_k"))
+    runs_ = r.groupBy("departement", "region_id", "exposure", "row", "_k").agg(
+        F.min("col").alias("col_start"), F.max("col").alias("col_end"))
+    x0 = F.lit(c) + F.col("col_start") * F.lit(a)
+    x1 = F.lit(c) + (F.col("col_end") + 1) * F.lit(a)
+    y0 = F.lit(f) + F.col("row") * F.lit(e)
+    y1 = F.lit(f) + (F.col("row") + 1) * F.lit(e)
+    from ..functions.geometry import xy
+    ring = F.array(xy(x0, y0), xy(x1, y0), xy(x1, y1), xy(x0, y1), xy(x0, y0))
+    return runs_.select(
+        "departement", "region_id", "exposure", "row", "col_start", "col_end",
+        (F.col("col_end") - F.col("col_start") + 1).alias("n_cells"),
+        F.struct(F.lit("Polygon").alias("type"), F.array(F.array(ring)).alias("parts")).alias("geom"))
+
+
 def exposure_regions(classes: DataFrame, band_rows: int = BAND_ROWS,
                      max_rounds: int = 200) -> DataFrame:
     """4-connected regions of equal exposure class, one row per region:
@@ -233,6 +262,15 @@ def exposure_regions(classes: DataFrame, band_rows: int = BAND_ROWS,
     Exact labels inside row bands, then the band-local components are merged
     across band borders by label propagation on the (small) border graph.
     """
+    cells = _region_cells(classes, band_rows, max_rounds)
+    return cells.groupBy("departement", "region_id", "exposure").agg(
+        F.count(F.lit(1)).alias("n_cells"),
+        F.min("row").alias("row_min"), F.max("row").alias("row_max"),
+        F.min("col").alias("col_min"), F.max("col").alias("col_max"))
+
+
+def _region_cells(classes: DataFrame, band_rows: int = BAND_ROWS,
+                  max_rounds: int = 200) -> DataFrame:
     lab = band_labels(classes, band_rows).checkpoint()
     top = lab.select("departement", "cls", "col", (F.col("row") + 1).alias("row"),
                      F.col("label").alias("src")) \
@@ -250,7 +288,5 @@ def exposure_regions(classes: DataFrame, band_rows: int = BAND_ROWS,
         .select("departement", "row", "col", "cls",
                 F.coalesce("glabel", "label").alias("region_id"))
     names = F.create_map(*[x for k, v in _CLASS_CODES.items() for x in (F.lit(v), F.lit(k))])
-    return cells.groupBy("departement", "region_id", names[F.col("cls")].alias("exposure")).agg(
-        F.count(F.lit(1)).alias("n_cells"),
-        F.min("row").alias("row_min"), F.max("row").alias("row_max"),
-        F.min("col").alias("col_min"), F.max("col").alias("col_max"))
+    return cells.select("departement", "row", "col", "region_id",
+                        names[F.col("cls")].alias("exposure"))

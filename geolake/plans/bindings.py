@@ -612,7 +612,7 @@ def pollen_features_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ raster
-DEM_A, DEM_E, DEM_F = 1 / 1200, -1 / 1200, 48.9
+DEM_A, DEM_E, DEM_F, DEM_C = 1 / 1200, -1 / 1200, 48.9, 2.2
 DEM_DEP = "75"
 
 

@@ -202,6 +202,11 @@ def q_exposure_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.exposure_regions(_exposure_classes(spark, sf_dir))
 
 
+def q_exposure_region_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = raster.region_parts(_exposure_classes(spark, sf_dir), B.DEM_C, B.DEM_F, B.DEM_A, B.DEM_E)
+    return round_doubles(flatten_geom(parts))
+
+
 def q_tiles_for_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.tiles_for_bbox(B.boxes_input(spark, sf_dir))
 
@@ -301,6 +306,7 @@ def queries() -> dict[str, Query]:
         "poi_enriched": q_poi_enriched,
         "exposure_classes": q_exposure_classes,
         "exposure_regions": q_exposure_regions,
+        "exposure_region_parts": q_exposure_region_parts,
         "tiles_for_bbox": q_tiles_for_bbox,
         "parse_geojson": q_parse_geojson,
         "parse_osm": q_parse_osm,

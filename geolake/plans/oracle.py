@@ -978,6 +978,20 @@ lab AS (SELECT id, min(label) AS region_id FROM cc GROUP BY id)
 SELECT departement, region_id, exposure, count(*) AS n_cells,
        min(row) AS row_min, max(row) AS row_max, min(col) AS col_min, max(col) AS col_max
 FROM nodes JOIN lab USING (id) GROUP BY departement, region_id, exposure
+"""
+    c = B.DEM_C
+    q["exposure_region_parts"] = q["exposure_regions"].split("SELECT departement, region_id, exposure, count(*)")[0].rstrip() + f""",
+rc AS (SELECT departement, region_id, exposure, row, col,
+              col - row_number() OVER (PARTITION BY departement, region_id, row ORDER BY col) AS k
+       FROM nodes JOIN lab USING (id)),
+runs AS (SELECT departement, region_id, exposure, row, min(col) AS col_start, max(col) AS col_end
+         FROM rc GROUP BY departement, region_id, exposure, row, k)
+SELECT departement, region_id, exposure, row, col_start, col_end,
+       CAST(col_end - col_start + 1 AS BIGINT) AS n_cells,
+       'Polygon' AS geom_type, CAST(1 AS BIGINT) AS geom_parts, CAST(5 AS BIGINT) AS geom_points,
+       F32({D(c)} + col_start * {D(a)}) AS geom_xmin, F32({D(f)} + (row + 1) * {D(e)}) AS geom_ymin,
+       F32({D(c)} + (col_end + 1) * {D(a)}) AS geom_xmax, F32({D(f)} + row * {D(e)}) AS geom_ymax
+FROM runs
 """
     south = f"({D(-20.0)} + (s_suppkey % 700) / {D(10.0)})"
     west = f"({D(-60.0)} + (s_suppkey % 1200) / {D(10.0)})"
