@@ -133,13 +133,19 @@ def dep_of(code: Column) -> Column:
 
 
 def in_departments_prefix(code: Column, deps: Iterable[str]) -> Column:
-    """Commune code starts with any of the department codes (OR of prefixes)."""
-    deps = list(deps)
-    if not deps:
+    """Commune code starts with any of the department codes.
+
+    Evaluated as one set-membership test per prefix length (``IN`` over
+    ``substring``), not an OR of one ``startswith`` per department, so the
+    code expression is referenced at most a few times."""
+    by_len: dict[int, list[str]] = {}
+    for d in deps:
+        by_len.setdefault(len(d), []).append(d)
+    if not by_len:
         return F.lit(False)
     cond = None
-    for d in deps:
-        c = code.startswith(d)
+    for n, ds in sorted(by_len.items()):
+        c = F.substring(code, 1, n).isin(ds)
         cond = c if cond is None else (cond | c)
     return F.coalesce(cond, F.lit(False))
 
