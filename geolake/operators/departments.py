@@ -6,8 +6,9 @@ boxes overlap, so an element may be emitted once per matching department.
 
 The box table is fixed (about 100 rows), so instead of a nested-loop range
 join every row looks up the 1-degree cells its points fall in, in a constant
-``cell -> departments`` map folded into the plan, and then refines with the
-exact inclusive box test.  No shuffle, no join, no Python.
+dense ``cell -> departments`` grid folded into the plan (O(1) per point), and
+then refines with the exact inclusive box test.  No shuffle, no join, no
+Python.
 """
 
 from __future__ import annotations
@@ -17,24 +18,29 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.departments import ALL_DEPARTMENTS, DEP_BBOX, cell_index, cell_of
+from ..functions.departments import ALL_DEPARTMENTS, DEP_BBOX, cell_index
 
 
-def _cell_map(deps: list[str]) -> Column:
-    idx = cell_index(deps)
-    entries = []
-    for cell, ds in sorted(idx.items()):
-        entries += [F.lit(cell).cast("long"), F.array(*[F.lit(d) for d in ds])]
-    return F.create_map(*entries)
-
+def _grid(deps: list[str]):
+    """Dense 1-degree grid over the boxes' extent: cell -> department indexes.
 
-def _box_map(deps: list[str]) -> Column:
-    entries = []
-    for d in deps:
-        s, w, n, e = DEP_BBOX[d]
-        entries += [F.lit(d), F.struct(F.lit(s).alias("s"), F.lit(w).alias("w"),
-                                       F.lit(n).alias("n"), F.lit(e).alias("e"))]
-    return F.create_map(*entries)
+    Returned as constant array columns (parsed once from JSON text and folded
+    into the plan), so a lookup is O(1) array indexing per point."""
+    import json
+    idx = cell_index(deps)
+    lats = [c // 1000 - 90 for c in idx]
+    lons = [c % 1000 - 180 for c in idx]
+    lat0, lat1, lon0, lon1 = min(lats), max(lats), min(lons), max(lons)
+    width = lon1 - lon0 + 1
+    pos = {d: i for i, d in enumerate(deps)}
+    cells = [[] for _ in range((lat1 - lat0 + 1) * width)]
+    for c, ds in idx.items():
+        la, lo = c // 1000 - 90, c % 1000 - 180
+        cells[(la - lat0) * width + (lo - lon0)] = [pos[d] for d in ds]
+    grid = F.from_json(F.lit(json.dumps(cells)), "array<array<int>>")
+    boxes = F.from_json(F.lit(json.dumps([list(DEP_BBOX[d]) for d in deps])), "array<array<double>>")
+    codes = F.array(*[F.lit(d) for d in deps])
+    return grid, boxes, codes, lat0, lat1, lon0, lon1, width
 
 
 def departments_of(points: Column, deps: Iterable[str] | None = None) -> Column:
@@ -42,18 +48,23 @@ def departments_of(points: Column, deps: Iterable[str] | None = None) -> Column:
     deps = [d for d in (list(deps) if deps else ALL_DEPARTMENTS) if d in DEP_BBOX]
     if not deps:
         return F.array().cast("array<string>")
-    cells = _cell_map(deps)
-    boxes = _box_map(deps)
+    grid, boxes, codes, lat0, lat1, lon0, lon1, width = _grid(deps)
+    empty = F.array().cast("array<int>")
     pts = F.filter(points, lambda p: p["lat"].isNotNull() & p["lon"].isNotNull())
-    cand = F.array_distinct(F.flatten(F.transform(
-        pts, lambda p: F.coalesce(cells[cell_of(p["lat"], p["lon"]).cast("long")],
-                                  F.array().cast("array<string>")))))
-
-    def inside(d):
-        b = boxes[d]
-        return F.exists(pts, lambda p: p["lat"].between(b["s"], b["n"])
-                        & p["lon"].between(b["w"], b["e"]))
-    return F.array_sort(F.filter(cand, inside))
+
+    def cell_deps(p):
+        la, lo = F.floor(p["lat"]), F.floor(p["lon"])
+        inside = la.between(lat0, lat1) & lo.between(lon0, lon1)
+        i = ((la - lat0) * width + (lo - lon0) + 1).cast("int")
+        return F.when(inside, F.element_at(grid, i)).otherwise(empty)
+
+    cand = F.array_distinct(F.flatten(F.transform(pts, cell_deps)))
+
+    def holds(i):
+        b = F.element_at(boxes, i + 1)
+        s, w, n, e = (F.element_at(b, k) for k in (1, 2, 3, 4))
+        return F.exists(pts, lambda p: p["lat"].between(s, n) & p["lon"].between(w, e))
+    return F.array_sort(F.transform(F.filter(cand, holds), lambda i: F.element_at(codes, i + 1)))
 
 
 def assign_departments(df: DataFrame, points: Column,

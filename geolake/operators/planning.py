@@ -45,11 +45,15 @@ def document_status(docs: DataFrame, communes: DataFrame, deps: Iterable[str]) -
     NULL type (national rules, 'RNU').
     """
     deps = list(deps)
-    dep_arr = F.array(*[F.lit(d) for d in deps])
-    d = (docs.where(F.col("grid_name").isNotNull() & (F.col("grid_name") != ""))
+    # partition LIKE 'DU_<dep>%': the candidates are the 2- and 3-character
+    # codes after the 'DU_' prefix that are requested departments.
+    part = F.col("partition")
+    cands = F.array_distinct(F.array(*[F.substring(part, 4, n)
+                                       for n in sorted({len(x) for x in deps})]))
+    d = (docs.where(F.col("grid_name").isNotNull() & (F.col("grid_name") != "")
+                    & part.startswith("DU_"))
          .select("grid_name", "du_type", "gid",
-                 F.explode(F.filter(dep_arr, lambda x: F.col("partition").startswith(
-                     F.concat(F.lit("DU_"), x)))).alias("departement")))
+                 F.explode(F.filter(cands, lambda x: x.isin(deps))).alias("departement")))
     com = communes.where(F.col("departement").isin(deps)).select("code_commune", "departement")
     hit = d.join(com, (d.grid_name == com.code_commune) & (d.departement == com.departement)) \
         .select(com.code_commune, com.departement, d.du_type, d.gid)
