@@ -108,3 +108,32 @@ def test_streaming_department_refresh(spark):
     q.awaitTermination(120)
     got = {r.departement: r.prix_m2_mean for r in spark.table("t_stream.sections").collect()}
     assert got == {"75": 3000.0, "13": 1500.0}
+
+
+def test_dataset_jobs_end_to_end(spark):
+    """D14/D15 and an OSM layer job from landed files to catalog tables."""
+    from geolake.plans import jobs as J
+    root = tempfile.mkdtemp(prefix="geolake-root-")
+    os.makedirs(os.path.join(root, "dvf", "2023"))
+    for dep, base in (("75", 10000), ("13", 5000)):
+        with gzip.open(os.path.join(root, "dvf", "2023", f"{dep}.csv.gz"), "wt") as f:
+            f.write("id_mutation,nature_mutation,valeur_fonciere,type_local,surface_reelle_bati,id_parcelle\n")
+            for i in range(1, 6):
+                f.write(f"m{i},Vente,{base * i},Appartement,10,{dep}101000AB000{i}\n")
+    spark.sql("DROP TABLE IF EXISTS dvf_prices.sections_stats")
+    spark.sql("DROP TABLE IF EXISTS dvf_prices.communes_stats")
+    J.job_dvf(spark, root, 2023, ["75", "13"])
+    got = {r.departement: r.prix_m2_median for r in spark.table("dvf_prices.sections_stats").collect()}
+    assert got == {"75": 3000.0, "13": 1500.0}
+    assert spark.table("dvf_prices.communes_stats").count() == 2
+
+    os.makedirs(os.path.join(root, "osm"))
+    with open(os.path.join(root, "osm", "extract.jsonl"), "w") as f:
+        f.write(json.dumps({"type": "node", "id": 1, "lat": 48.85, "lon": 2.3,
+                            "tags": {"amenity": "nightclub", "name": "x"}}) + "\n")
+        f.write(json.dumps({"type": "node", "id": 2, "lat": 43.3, "lon": 5.4,
+                            "tags": {"amenity": "bar"}}) + "\n")
+    spark.sql("DROP TABLE IF EXISTS osm.nightclubs")
+    J.JOBS["nightclubs"](spark, root, ["75", "13"])
+    rows = sorted((r.osm_id, r.departement) for r in spark.table("osm.nightclubs").collect())
+    assert rows == [(1, "75"), (2, "13")]
