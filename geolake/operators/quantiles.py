@@ -154,16 +154,15 @@ def grouped_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
     pct_aggs, picks = _percentile_cols(specs)
     sizes = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     heavy = sizes.where(F.col("_n") > heavy_rows).select(*keys)
-    # The heavy-key table is tiny; materialise it once in the shared
-    # checkpoint folder so the decision and the routing read the same rows.
-    from ..session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    heavy = heavy.checkpoint()
     agg_names = list(aggs)
     if heavy.isEmpty():
         out = x.groupBy(*keys).agg(*agg_names, *pct_aggs)
         return out.select(*keys, *[c for c in out.columns if c not in keys and not c.startswith("_pct_")],
                           *picks)
+    # Rare path: the heavy-key table (at most rows / heavy_rows keys) is
+    # written once to the shared checkpoint folder so routing reads it as is.
+    from ..session import materialize
+    heavy = materialize(heavy)
     light = x.join(F.broadcast(heavy), keys, "left_anti").groupBy(*keys).agg(*agg_names, *pct_aggs)
     light = light.select(*keys, *[c for c in light.columns if c not in keys and not c.startswith("_pct_")],
                          *picks)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 
 # --- fixed values -----------------------------------------------------------
 MIN_SLOPE_DEG = 2.0
@@ -141,9 +141,9 @@ def connected_components(vertices: DataFrame, edges: DataFrame,
     spark = vertices.sparkSession
     checkpoint_dir(spark)
     und = edges.select("departement", F.col("src").alias("a"), F.col("dst").alias("b")) \
-        .unionByName(edges.select("departement", F.col("dst").alias("a"), F.col("src").alias("b"))) \
-        .checkpoint()
-    labels = vertices.select("departement", "v", F.col("v").alias("label")).checkpoint()
+        .unionByName(edges.select("departement", F.col("dst").alias("a"), F.col("src").alias("b")))
+    und = materialize(und)
+    labels = materialize(vertices.select("departement", "v", F.col("v").alias("label")))
     for i in range(max_rounds):
         nb = und.join(labels.select("departement", F.col("v").alias("b"), F.col("label").alias("nl")),
                       ["departement", "b"]) \
@@ -154,7 +154,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame,
         hop = step.select("departement", F.col("v").alias("label"), F.col("label").alias("l2"))
         new = step.join(hop, ["departement", "label"], "left") \
             .select("departement", "v", "old",
-                    F.least("label", F.coalesce("l2", "label")).alias("label")).checkpoint()
+                    F.least("label", F.coalesce("l2", "label")).alias("label"))
+        new = materialize(new)
         changed = new.where(F.col("label") != F.col("old")).limit(1).count()
         labels = new.drop("old")
         if changed == 0:
@@ -271,7 +272,7 @@ def exposure_regions(classes: DataFrame, band_rows: int = BAND_ROWS,
 
 def _region_cells(classes: DataFrame, band_rows: int = BAND_ROWS,
                   max_rounds: int = 200) -> DataFrame:
-    lab = band_labels(classes, band_rows).checkpoint()
+    lab = materialize(band_labels(classes, band_rows))
     top = lab.select("departement", "cls", "col", (F.col("row") + 1).alias("row"),
                      F.col("label").alias("src")) \
         .where(F.col("row") % band_rows == 0)

@@ -80,3 +80,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A staging location under the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "staging", name)
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and return a
+    DataFrame reading it back.
+
+    The rows are persisted first, because a reliable checkpoint otherwise
+    computes its plan twice (once to count, once to write); the persisted
+    copy is dropped once the checkpoint files exist.
+    """
+    from pyspark import StorageLevel
+    checkpoint_dir(df.sparkSession)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = kept.checkpoint(eager=True)
+    kept.unpersist()
+    return out
