@@ -251,7 +251,7 @@ def region_parts(classes: DataFrame, c: float, f: float, a: float, e: float,
     ring = F.array(xy(x0, y0), xy(x1, y0), xy(x1, y1), xy(x0, y1), xy(x0, y0))
     return runs_.select(
         "departement", "region_id", "exposure", "row", "col_start", "col_end",
-        (F.col("col_end") - F.col("col_start") + 1).alias("n_cells"),
+        (F.col("col_end") - F.col("col_start") + 1).cast("long").alias("n_cells"),
         F.struct(F.lit("Polygon").alias("type"), F.array(F.array(ring)).alias("parts")).alias("geom"))
 
 

@@ -1004,7 +1004,7 @@ WITH b AS (SELECT 'B' || CAST(s_suppkey AS VARCHAR) AS departement,
            FROM supplier),
 t AS (SELECT departement, unnest(range(s0, n0 + 1)) AS lat, w0, e0 FROM b),
 u AS (SELECT departement, lat, unnest(range(w0, e0 + 1)) AS lon FROM t)
-SELECT departement, lat, lon,
+SELECT departement, CAST(lat AS INTEGER) AS lat, CAST(lon AS INTEGER) AS lon,
        'Copernicus_DSM_COG_30_' || CASE WHEN lat >= 0 THEN 'N' ELSE 'S' END
        || lpad(CAST(abs(lat) AS VARCHAR), 2, '0') || '_00_' || CASE WHEN lon >= 0 THEN 'E' ELSE 'W' END
        || lpad(CAST(abs(lon) AS VARCHAR), 3, '0') || '_00_DEM' AS tile

@@ -63,3 +63,7 @@ def test_query_matches_oracle(spark, duck, name):
     ec, er = _rows(exp)
     assert gc == ec
     assert gr == er
+    import sys
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from check_oracle import type_diff
+    assert type_diff(E.queries()[name](spark, SF).schema, duck, sql) == {}
