@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
@@ -299,4 +299,4 @@ def attach_wikidata(pois: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 __all__ = ["LAYERS", "osm_layer", "osm_select", "attach_wikidata", "dedupe_first_seen",
-           "transport_type", "water_type", "poi_category", "Window"]
+           "transport_type", "water_type", "poi_category"]

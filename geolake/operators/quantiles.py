@@ -32,6 +32,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Groups above this many rows are ranked by range partitioning instead of
 # being buffered in one task.  The number of such groups is at most
 # total rows / HEAVY_ROWS, which bounds the broadcast of their keys.
@@ -70,6 +72,10 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str],
                .select(*gkeys, "_v",
                        F.spark_partition_id().alias("_pid"),
                        F.monotonically_increasing_id().alias("_pos")))
+    # Positions are read twice (slice sizes, then the fetch); writing them
+    # once to the shared checkpoint folder makes both reads see the same
+    # numbering even if an executor is lost and a stage is recomputed.
+    ranked = materialize(ranked)
 
     # (3): slice sizes, tiny and map-side combined.
     slices = ranked.groupBy("_pid", *gkeys).agg(
@@ -161,7 +167,6 @@ def grouped_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
                           *picks)
     # Rare path: the heavy-key table (at most rows / heavy_rows keys) is
     # written once to the shared checkpoint folder so routing reads it as is.
-    from ..session import materialize
     heavy = materialize(heavy)
     light = x.join(F.broadcast(heavy), keys, "left_anti").groupBy(*keys).agg(*agg_names, *pct_aggs)
     light = light.select(*keys, *[c for c in light.columns if c not in keys and not c.startswith("_pct_")],

@@ -51,6 +51,21 @@ def get_spark(master: str | None = None, app: str = "geolake",
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a cluster run: enough initial shuffle partitions that each
+    holds about ``target_partition_bytes`` of the input (AQE coalesces the
+    small ones and splits skewed ones), never fewer than 3 waves of cores."""
+    parts = max(3 * total_cores, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def apply_semantic_conf(spark: SparkSession) -> None:
     """Re-apply the settings correctness depends on to an existing session."""
     for k, v in SEMANTIC_CONF.items():
