@@ -103,3 +103,50 @@ def test_clay_and_flood_labels(spark):
         .withColumn("geom", g)
     got = sorted((r.departement, r.exposure_level) for r in hazards.clay_zones(clay, ["01", "2A", "971", "75"]).collect())
     assert got == [("01", "medium"), ("2A", "unknown"), ("75", "high"), ("971", "unknown")]
+
+
+def test_air_quality_and_pollen_lookup(spark):
+    props_t = ("struct<code_zone:string,lib_zone:string,code_qual:int,lib_qual:string,code_no2:int,"
+               "code_o3:int,code_pm10:int,code_pm25:int,code_so2:int,source:string,date_ech:string,"
+               "x_wgs84:double,y_wgs84:double>")
+    air_rows = [({"code_zone": "75056", "x_wgs84": 2.35, "y_wgs84": 48.85}, 1),
+                ({"code_zone": "75056", "x_wgs84": 2.40, "y_wgs84": 48.90}, 2),   # later row wins
+                ({"code_zone": "97105", "x_wgs84": None, "y_wgs84": 16.2}, 3),    # no x: dropped
+                ({"code_zone": "13055", "x_wgs84": 5.37, "y_wgs84": 43.30}, 4)]
+    air_in = spark.createDataFrame(air_rows, f"properties {props_t}, ordinal long")
+    air = climate.air_quality(air_in)
+    assert sorted(r.commune_code for r in air.collect()) == ["13055", "75056", "75056"]
+    assert [r.commune_code for r in climate.air_quality(air_in, ["13"]).collect()] == ["13055"]
+    pol_t = "struct<code_zone:string," + ",".join(f"{s}:string" for _, s in climate.POLLEN_FIELDS) + ">"
+    pol = spark.createDataFrame([({"code_zone": "75056", "lib_zone": "Paris"},), (None,),
+                                 ({"code_zone": "69123"},)], f"properties {pol_t}")
+    got = climate.pollen_with_coords(pol, air).collect()
+    assert len(got) == 1 and got[0].commune_name == "Paris"
+    assert got[0].geom["parts"][0][0][0]["x"] == 2.40
+
+
+def test_dpe_geopoints_and_filter(spark):
+    from geolake.operators import buildings
+    rows = [("a", "immeuble", "75", "48.8,2.3"), ("b", "immeuble", "75", "x,2"),
+            ("c", "immeuble", "75", "1"), ("d", "immeuble", "75", ""), ("e", "immeuble", "75", None),
+            ("f", "maison", "75", "48.8,2.3"), ("g", "immeuble", "13", "43.3,5.4")]
+    df = spark.createDataFrame(rows, "numero_dpe string, type_batiment string, "
+                                     "code_departement_ban string, _geopoint string")
+    got = [r.numero_dpe for r in buildings.dpe_collectif(df, ["75"]).collect()]
+    assert got == ["a"]
+
+
+def test_document_status_last_wins_and_rnu(spark):
+    from geolake.operators import planning
+    docs = spark.createDataFrame(
+        [("75101", "PLU", "DU_75101", 1), ("75101", None, "DU_75101", 2),   # last has no type
+         ("75102", "CC", "DU_75102", 3), ("75102", "PLUi", "DU_75102", 1),
+         ("13001", "PLU", "DU_75999", 5)],                                  # other department's commune
+        "grid_name string, du_type string, partition string, gid long")
+    com = spark.createDataFrame([("75101", "75"), ("75102", "75"), ("75103", "75"), ("13001", "13")],
+                                "code_commune string, departement string")
+    st = {r.code_commune: r.du_type for r in planning.document_status(docs, com, ["75", "13"]).collect()}
+    assert st == {"75101": None, "75102": "CC", "75103": None, "13001": None}
+    counts = {(r.departement, r.du_type): r.n for r in planning.document_type_counts(
+        planning.document_status(docs, com, ["75", "13"])).collect()}
+    assert counts == {("75", "RNU"): 2, ("75", "CC"): 1, ("13", "RNU"): 1}
