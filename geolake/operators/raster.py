@@ -255,6 +255,41 @@ def region_parts(classes: DataFrame, c: float, f: float, a: float, e: float,
         F.struct(F.lit("Polygon").alias("type"), F.array(F.array(ring)).alias("parts")).alias("geom"))
 
 
+def region_shapes(classes: DataFrame, a: float, e: float,
+                  band_rows: int = BAND_ROWS) -> DataFrame:
+    """Per region: cell count, area (grid units squared) and ring count of
+    its polygon (1 exterior + holes), without assembling any polygon.
+
+    Holes come from the Euler number of the region under 4-connectivity,
+    counted locally on 2x2 cell quads around every grid corner (Gray's
+    bit-quad formula E4 = (Q1 - Q3 + 2 QD) / 4): each cell adds one bit to
+    the four quads it belongs to, quads are summed per (corner, region) and
+    then per region -- map-side combined aggregates, no region in one task.
+    A region is connected, so holes = 1 - E4.
+    """
+    cells = _region_cells(classes, band_rows)
+    corners = F.explode(F.array(
+        F.struct((F.col("row") + 1).alias("vr"), (F.col("col") + 1).alias("vc"), F.lit(1).alias("b")),
+        F.struct((F.col("row") + 1).alias("vr"), F.col("col").alias("vc"), F.lit(2).alias("b")),
+        F.struct(F.col("row").alias("vr"), (F.col("col") + 1).alias("vc"), F.lit(4).alias("b")),
+        F.struct(F.col("row").alias("vr"), F.col("col").alias("vc"), F.lit(8).alias("b"))))
+    q = cells.select("departement", "region_id", "exposure", corners.alias("q")) \
+        .groupBy("departement", "region_id", "exposure", "q.vr", "q.vc") \
+        .agg(F.sum("q.b").alias("mask"), F.count(F.lit(1)).alias("bits"))
+    per = q.groupBy("departement", "region_id", "exposure").agg(
+        F.sum(F.when(F.col("bits") == 1, 1).otherwise(0)).alias("q1"),
+        F.sum(F.when(F.col("bits") == 3, 1).otherwise(0)).alias("q3"),
+        F.sum(F.when(F.col("mask").isin(6, 9), 1).otherwise(0)).alias("qd"),
+        F.sum(F.when(F.col("bits") == 4, 4).otherwise(0) + F.when(F.col("bits") == 3, 3).otherwise(0)
+              + F.when(F.col("bits") == 2, 2).otherwise(0) + F.when(F.col("bits") == 1, 1).otherwise(0))
+        .alias("bit_total"))
+    euler = (F.col("q1") - F.col("q3") + 2 * F.col("qd")) / 4
+    n = (F.col("bit_total") / 4).cast("long")
+    return per.select("departement", "region_id", "exposure", n.alias("n_cells"),
+                      (n * F.lit(abs(a * e))).alias("area"),
+                      (F.lit(2) - euler).cast("long").alias("n_rings"))
+
+
 def exposure_regions(classes: DataFrame, band_rows: int = BAND_ROWS,
                      max_rounds: int = 200) -> DataFrame:
     """4-connected regions of equal exposure class, one row per region:

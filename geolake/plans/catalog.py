@@ -207,6 +207,10 @@ def q_exposure_region_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(flatten_geom(parts))
 
 
+def q_exposure_region_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(raster.region_shapes(_exposure_classes(spark, sf_dir), B.DEM_A, B.DEM_E))
+
+
 def q_tiles_for_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.tiles_for_bbox(B.boxes_input(spark, sf_dir))
 
@@ -307,6 +311,7 @@ def queries() -> dict[str, Query]:
         "exposure_classes": q_exposure_classes,
         "exposure_regions": q_exposure_regions,
         "exposure_region_parts": q_exposure_region_parts,
+        "exposure_region_shapes": q_exposure_region_shapes,
         "tiles_for_bbox": q_tiles_for_bbox,
         "parse_geojson": q_parse_geojson,
         "parse_osm": q_parse_osm,

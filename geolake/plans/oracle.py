@@ -992,6 +992,27 @@ SELECT departement, region_id, exposure, row, col_start, col_end,
        F32({D(c)} + col_start * {D(a)}) AS geom_xmin, F32({D(f)} + (row + 1) * {D(e)}) AS geom_ymin,
        F32({D(c)} + (col_end + 1) * {D(a)}) AS geom_xmax, F32({D(f)} + row * {D(e)}) AS geom_ymax
 FROM runs
+"""
+    q["exposure_region_shapes"] = q["exposure_regions"].split("SELECT departement, region_id, exposure, count(*)")[0].rstrip() + f""",
+lc AS (SELECT departement, region_id, exposure, row, col FROM nodes JOIN lab USING (id)),
+quads AS (
+  SELECT departement, region_id, exposure, vr, vc, sum(b) AS mask, count(*) AS bits FROM (
+    SELECT departement, region_id, exposure, row + 1 AS vr, col + 1 AS vc, 1 AS b FROM lc
+    UNION ALL SELECT departement, region_id, exposure, row + 1, col, 2 FROM lc
+    UNION ALL SELECT departement, region_id, exposure, row, col + 1, 4 FROM lc
+    UNION ALL SELECT departement, region_id, exposure, row, col, 8 FROM lc) t
+  GROUP BY departement, region_id, exposure, vr, vc),
+per AS (
+  SELECT departement, region_id, exposure,
+         sum(CASE WHEN bits = 1 THEN 1 ELSE 0 END) AS q1,
+         sum(CASE WHEN bits = 3 THEN 1 ELSE 0 END) AS q3,
+         sum(CASE WHEN mask IN (6, 9) THEN 1 ELSE 0 END) AS qd,
+         (SELECT count(*) FROM lc WHERE lc.region_id = quads.region_id
+            AND lc.departement = quads.departement) AS n
+  FROM quads GROUP BY departement, region_id, exposure)
+SELECT departement, region_id, exposure, CAST(n AS BIGINT) AS n_cells,
+       F32(n * {D(abs(a * e))}) AS area, CAST(2 - (q1 - q3 + 2 * qd) / 4 AS BIGINT) AS n_rings
+FROM per
 """
     south = f"({D(-20.0)} + (s_suppkey % 700) / {D(10.0)})"
     west = f"({D(-60.0)} + (s_suppkey % 1200) / {D(10.0)})"

@@ -69,3 +69,61 @@ def test_tiles_for_bbox(spark):
     assert len(tiles) == 3 * 3
     assert "Copernicus_DSM_COG_30_S01_00_W002_00_DEM" in tiles
     assert "Copernicus_DSM_COG_30_N01_00_E000_00_DEM" in tiles
+
+
+def _holes(cells):
+    """Enclosed 8-connected components of the complement (pure Python)."""
+    rows = [r for r, _ in cells]
+    cols = [c for _, c in cells]
+    r0, r1, c0, c1 = min(rows) - 1, max(rows) + 1, min(cols) - 1, max(cols) + 1
+    seen, holes = set(), 0
+    for r in range(r0, r1 + 1):
+        for c in range(c0, c1 + 1):
+            if (r, c) in cells or (r, c) in seen:
+                continue
+            stack, border = [(r, c)], False
+            seen.add((r, c))
+            while stack:
+                cr, cc = stack.pop()
+                if cr in (r0, r1) or cc in (c0, c1):
+                    border = True
+                for dr in (-1, 0, 1):
+                    for dc in (-1, 0, 1):
+                        nr, nc = cr + dr, cc + dc
+                        if r0 <= nr <= r1 and c0 <= nc <= c1 and (nr, nc) not in cells \
+                                and (nr, nc) not in seen:
+                            seen.add((nr, nc))
+                            stack.append((nr, nc))
+            holes += 0 if border else 1
+    return holes
+
+
+def test_region_ring_counts_match_flood_fill(spark):
+    rnd = random.Random(5)
+    names = ["flat", "high_exposure"]
+    grid = {(r, c): rnd.choice(names) for r in range(25) for c in range(20) if rnd.random() > 0.1}
+    # a ring with a hole and a ring with a diagonal leak (no hole under 4/8 connectivity)
+    for r in range(30, 35):
+        for c in range(0, 5):
+            grid[(r, c)] = "moderate" if (r in (30, 34) or c in (0, 4)) else "low_exposure"
+    df = spark.createDataFrame([("75", r, c, k) for (r, c), k in grid.items()],
+                               "departement string, row int, col int, exposure string")
+    shapes = {r.region_id: (r.n_cells, r.n_rings) for r in R.region_shapes(df, 1.0, -1.0, 7).collect()}
+    seen = set()
+    expected = {}
+    for (r, c), k in sorted(grid.items()):
+        if (r, c) in seen:
+            continue
+        stack, members = [(r, c)], {(r, c)}
+        seen.add((r, c))
+        while stack:
+            cr, cc = stack.pop()
+            for nr, nc in ((cr + 1, cc), (cr - 1, cc), (cr, cc + 1), (cr, cc - 1)):
+                if grid.get((nr, nc)) == k and (nr, nc) not in seen:
+                    seen.add((nr, nc))
+                    members.add((nr, nc))
+                    stack.append((nr, nc))
+        rid = min(a * R.CELL_ID_STRIDE + b for a, b in members)
+        expected[rid] = (len(members), 1 + _holes(members))
+    assert shapes == expected
+    assert any(v[1] > 1 for v in expected.values())
