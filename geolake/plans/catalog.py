@@ -211,6 +211,17 @@ def q_exposure_region_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(raster.region_shapes(_exposure_classes(spark, sf_dir), B.DEM_A, B.DEM_E))
 
 
+def q_department_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from ..operators.departments import assign_departments, point_array
+    c = B.table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    pts = c.select(k.alias("c_custkey"),
+                   (F.lit(41.0) + (k * 37 % 1100) / 100.0).alias("lat"),
+                   (F.lit(-5.0) + (k * 53 % 1400) / 100.0).alias("lon"))
+    return assign_departments(pts, point_array(F.col("lat"), F.col("lon")))
+
+
 def q_tiles_for_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.tiles_for_bbox(B.boxes_input(spark, sf_dir))
 
@@ -313,6 +324,7 @@ def queries() -> dict[str, Query]:
         "exposure_region_parts": q_exposure_region_parts,
         "exposure_region_shapes": q_exposure_region_shapes,
         "tiles_for_bbox": q_tiles_for_bbox,
+        "department_assign": q_department_assign,
         "parse_geojson": q_parse_geojson,
         "parse_osm": q_parse_osm,
         "parse_decimal_csv": q_parse_decimal_csv,

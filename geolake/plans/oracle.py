@@ -87,7 +87,7 @@ def oracle_sql() -> dict[str, str]:
     out.update(osm_oracles())
     for fn in (crime_oracles, rents_oracles, climate_oracles, storm_oracles, hazard_oracles,
                lookup_oracles, building_oracles, planning_oracles, atmo_oracles,
-               raster_oracles, parse_oracles):
+               raster_oracles, parse_oracles, assign_oracles):
         out.update(fn())
     return {k: expand_f32(v) for k, v in out.items()}
 
@@ -919,6 +919,15 @@ WHERE ent.description IS NOT NULL OR ent.image_url IS NOT NULL
 
 
 # ------------------------------------------------------------------ raster
+def assign_oracles() -> dict[str, str]:
+    lat = f"({D(41.0)} + (c_custkey * 37 % 1100) / {D(100.0)})"
+    lon = f"({D(-5.0)} + (c_custkey * 53 % 1400) / {D(100.0)})"
+    return {"department_assign": f"""
+SELECT c_custkey, {lat} AS lat, {lon} AS lon, b.dep AS departement
+FROM customer JOIN {_boxes_sql()} ON {lat} BETWEEN b.s AND b.n AND {lon} BETWEEN b.w AND b.e
+"""}
+
+
 def raster_oracles() -> dict[str, str]:
     from . import bindings as B
     a, e, f = B.DEM_A, B.DEM_E, B.DEM_F
