@@ -62,7 +62,9 @@ def storm_with_geometry(history: DataFrame, communes: DataFrame,
 
 def wind_zones(df: DataFrame) -> DataFrame:
     """Eurocode wind speed -> zone 1..4 (other speeds -> NULL)."""
-    return df.select(_lookup(WIND_ZONES, F.col("V_B0").cast("int")).alias("wind_zone"),
+    v = F.col("V_B0").cast("string").try_cast("double")
+    whole = F.when(v == F.floor(v), v.cast("int"))       # 22.5 is no zone
+    return df.select(_lookup(WIND_ZONES, whole).alias("wind_zone"),
                      F.col("V_B0").alias("wind_speed_ms"), "geom")
 
 

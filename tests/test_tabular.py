@@ -150,3 +150,11 @@ def test_document_status_last_wins_and_rnu(spark):
     counts = {(r.departement, r.du_type): r.n for r in planning.document_type_counts(
         planning.document_status(docs, com, ["75", "13"])).collect()}
     assert counts == {("75", "RNU"): 2, ("75", "CC"): 1, ("13", "RNU"): 1}
+
+
+def test_wind_zone_exact_speeds_only(spark):
+    from geolake.functions.geometry import GEOM_TYPE
+    df = spark.createDataFrame([(22.0,), (22.5,), (28.0,), (25.0,), (None,)], "V_B0 double") \
+        .withColumn("geom", F.lit(None).cast(GEOM_TYPE))
+    got = [r.wind_zone for r in hazards.wind_zones(df).collect()]
+    assert got == [1, None, 4, None, None]
