@@ -243,6 +243,31 @@ def job_osm(spark: SparkSession, root: str, layer: str, deps=None) -> None:
         K.replace_departments(out, f"osm.{table}", deps)
 
 
+def stage_osm(spark: SparkSession, root: str) -> DataFrame:
+    """Parse the landed extract once into Parquet in the shared staging area.
+
+    JSON parsing is the expensive part of every OSM layer; the layers then
+    read the columnar copy (pruned to the columns each one needs)."""
+    from ..session import scratch_path
+    path = scratch_path(spark, "osm_elements")
+    R.read_osm(spark, _p(root, "osm", "*.jsonl")).write.mode("overwrite") \
+        .partitionBy("type").parquet(path)
+    return spark.read.parquet(path)
+
+
+def job_osm_all(spark: SparkSession, root: str, deps=None) -> None:
+    """D1-D7, D9-D12 in one run over a single parse of the extract."""
+    deps = _deps(deps)
+    el = stage_osm(spark, root)
+    K.ensure_namespace(spark, "osm")
+    for layer, (table, mode) in OSM_TABLES.items():
+        out = osm.osm_layer(el, layer, deps)
+        if mode == "K3":
+            K.replace_table(out, f"osm.{table}")
+        else:
+            K.replace_departments(out, f"osm.{table}", deps)
+
+
 def job_wiki_pois(spark: SparkSession, root: str, deps=None) -> None:
     """Wikidata-tagged POIs enriched with description and image."""
     el = R.read_osm(spark, _p(root, "osm", "*.jsonl"))
@@ -258,7 +283,7 @@ JOBS: dict[str, Callable] = {
     "storm-risk": job_storm, "flood-tri": job_flood, "clay-risk": job_clay,
     "coastal-erosion": job_coastal, "icu": job_icu, "air-quality": job_air_quality,
     "pollens": job_pollens, "dpe-collectif": job_dpe, "bdnb": job_bdnb, "plu": job_plu,
-    "exposition": job_exposure, "wiki-pois": job_wiki_pois,
+    "exposition": job_exposure, "wiki-pois": job_wiki_pois, "osm-all": job_osm_all,
     **{name.replace("_", "-"): (lambda layer: (lambda spark, root, deps=None:
                                                 job_osm(spark, root, layer, deps)))(name)
        for name in OSM_TABLES},

@@ -137,3 +137,6 @@ def test_dataset_jobs_end_to_end(spark):
     J.JOBS["nightclubs"](spark, root, ["75", "13"])
     rows = sorted((r.osm_id, r.departement) for r in spark.table("osm.nightclubs").collect())
     assert rows == [(1, "75"), (2, "13")]
+    J.JOBS["osm-all"](spark, root, ["75", "13"])
+    assert sorted(r.osm_id for r in spark.table("osm.shops").collect()) == [2]
+    assert spark.table("osm.nightclubs").count() == 2
