@@ -140,3 +140,24 @@ def test_dataset_jobs_end_to_end(spark):
     J.JOBS["osm-all"](spark, root, ["75", "13"])
     assert sorted(r.osm_id for r in spark.table("osm.shops").collect()) == [2]
     assert spark.table("osm.nightclubs").count() == 2
+
+
+def test_rent_and_crime_files(spark):
+    from geolake.operators import communes
+    d = tempfile.mkdtemp(prefix="geolake-rent-")
+    with open(os.path.join(d, "house.csv"), "w", encoding="latin-1") as f:
+        f.write("INSEE_C;DEP;LIBGEO;loypredm2;lwr.IPm2;upr.IPm2;TYPPRED;nbobs_com;R2_adj\n")
+        f.write("01001;01;L'Abergement-Clémenciat;10,5;8,1;13,2;commune;12;0,61\n")
+        f.write("2B033;2B;Bastia;12,25;NA;14;maille;3;0,5\n")
+    df = R.read_rents(spark, os.path.join(d, "house.csv"))
+    got = {r.code_commune: r for r in communes.rents_long({"house": df}, ["01", "2B"]).collect()}
+    assert got["01001"].loyer_m2_median == 10.5 and got["01001"].departement == "01"
+    assert got["2B033"].loyer_m2_lower is None and got["2B033"].r2_adj == 0.5
+    with gzip.open(os.path.join(d, "crime.csv.gz"), "wt") as f:
+        f.write("CODGEO_2025;annee;indicateur;unite_de_compte;taux_pour_mille;nombre\n")
+        f.write("75101;2024;Vols d'objets;infraction;;4\n")
+        f.write("75101;2024;Vols d'objets;infraction;1,5;5\n")
+        f.write("75102;2024;Vols d'objets;infraction;ndiff;7\n")
+    cr = R.read_crime(spark, os.path.join(d, "crime.csv.gz"))
+    out = {r.code_commune: r.taux_vols_dobjets for r in communes.crime_pivot(cr, 2024, ["75"]).collect()}
+    assert out == {"75101": 1.5}
