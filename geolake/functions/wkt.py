@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .geometry import GEOM_TYPE, all_points, xy
+from .geometry import GEOM_TYPE, xy
 from .text import to_double
 
 _KIND = {"POINT": "Point", "LINESTRING": "LineString", "POLYGON": "Polygon",
