@@ -161,3 +161,35 @@ def test_rent_and_crime_files(spark):
     cr = R.read_crime(spark, os.path.join(d, "crime.csv.gz"))
     out = {r.code_commune: r.taux_vols_dobjets for r in communes.crime_pivot(cr, 2024, ["75"]).collect()}
     assert out == {"75101": 1.5}
+
+
+def test_layer_discovery_meteo_catnat_and_full_replace(spark):
+    d = tempfile.mkdtemp(prefix="geolake-layers-")
+    # Only *inondable_*_s_* layers, found recursively
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    for rel, keep in (("a/n_inondable_01_s_x.parquet", True), ("b/c/n_inondable_02_s_y.parquet", True),
+                      ("b/n_inondable_03_l_z.parquet", False)):
+        path = os.path.join(d, "flood", rel)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        pq.write_table(pa.table({"src": [rel], "keep": [keep]}), path)
+    found = R.read_flood_layers(spark, os.path.join(d, "flood")).collect()
+    assert sorted(r.src for r in found) == ["a/n_inondable_01_s_x.parquet", "b/c/n_inondable_02_s_y.parquet"]
+    # Monthly climate file, department from the file name
+    with gzip.open(os.path.join(d, "13.csv.gz"), "wt") as f:
+        f.write("NUM_POSTE;NOM_USUEL;LAT;LON;ALTI;AAAAMM;TX;TN;TXAB;NBJTX25;NBJTX30;NBJTX35\n")
+        f.write("13001;MARIGNANE;43.43;5.21;9;202401;14.2;4.1;19.0;0;0;0\n")
+    m = R.read_mens(spark, os.path.join(d, "13.csv.gz")).first()
+    assert m.departement == "13" and m.AAAAMM == 202401 and m.TX == 14.2
+    # Natural disasters, pandas missing tokens -> NULL
+    with open(os.path.join(d, "catnat.csv"), "w") as f:
+        f.write("cod_commune;lib_risque_jo;dat_deb;dat_fin\n13001;Tempête;2020-01-02;NA\n")
+    c = R.read_catnat(spark, os.path.join(d, "catnat.csv")).first()
+    assert c.lib_risque_jo == "Tempête" and c.dat_fin is None
+    # K3 full replace and K4 truncate + load keep only the new rows
+    K.ensure_namespace(spark, "t_full")
+    for fn, t in ((K.replace_table, "t_full.a"), (K.truncate_load, "t_full.b")):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+        fn(spark.createDataFrame([("01", 1)], "departement string, v int"), t)
+        fn(spark.createDataFrame([("02", 2)], "departement string, v int"), t)
+        assert [tuple(r) for r in spark.table(t).select("departement", "v").collect()] == [("02", 2)]
