@@ -222,6 +222,15 @@ def q_department_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_departments(pts, point_array(F.col("lat"), F.col("lon")))
 
 
+def q_exposure_region_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    rings = raster.region_rings(_exposure_classes(spark, sf_dir), B.DEM_C, B.DEM_F, B.DEM_A, B.DEM_E)
+    per_ring = rings.groupBy("departement", "region_id", "exposure", "ring_id") \
+        .agg(F.first("ring_area").alias("ring_area"))
+    return per_ring.groupBy("departement", "region_id", "exposure").agg(
+        F.count(F.lit(1)).alias("n_rings"), F.sum("ring_area").alias("n_cells"))
+
+
 def q_tiles_for_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.tiles_for_bbox(B.boxes_input(spark, sf_dir))
 
@@ -323,6 +332,7 @@ def queries() -> dict[str, Query]:
         "exposure_regions": q_exposure_regions,
         "exposure_region_parts": q_exposure_region_parts,
         "exposure_region_shapes": q_exposure_region_shapes,
+        "exposure_region_rings": q_exposure_region_rings,
         "tiles_for_bbox": q_tiles_for_bbox,
         "department_assign": q_department_assign,
         "parse_geojson": q_parse_geojson,

@@ -1022,6 +1022,11 @@ per AS (
 SELECT departement, region_id, exposure, CAST(n AS BIGINT) AS n_cells,
        F32(n * {D(abs(a * e))}) AS area, CAST(2 - (q1 - q3 + 2 * qd) / 4 AS BIGINT) AS n_rings
 FROM per
+"""
+    q["exposure_region_rings"] = q["exposure_region_shapes"].split("SELECT departement, region_id, exposure, CAST(n AS BIGINT)")[0] + """
+SELECT departement, region_id, exposure, CAST(2 - (q1 - q3 + 2 * qd) / 4 AS BIGINT) AS n_rings,
+       CAST(n AS BIGINT) AS n_cells
+FROM per
 """
     south = f"({D(-20.0)} + (s_suppkey % 700) / {D(10.0)})"
     west = f"({D(-60.0)} + (s_suppkey % 1200) / {D(10.0)})"

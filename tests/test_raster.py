@@ -127,3 +127,30 @@ def test_region_ring_counts_match_flood_fill(spark):
         expected[rid] = (len(members), 1 + _holes(members))
     assert shapes == expected
     assert any(v[1] > 1 for v in expected.values())
+
+
+def test_region_rings_close_and_match_shapes(spark):
+    rnd = random.Random(9)
+    names = ["flat", "high_exposure"]
+    grid = {(r, c): rnd.choice(names) for r in range(14) for c in range(12) if rnd.random() > 0.08}
+    for r in range(20, 25):                     # ring with a hole, plus a diagonal pinch
+        for c in range(0, 5):
+            grid[(r, c)] = "moderate" if (r in (20, 24) or c in (0, 4)) else "low_exposure"
+    grid[(25, 5)] = "moderate"                  # touches the ring only at a corner
+    df = spark.createDataFrame([("75", r, c, k) for (r, c), k in grid.items()],
+                               "departement string, row int, col int, exposure string")
+    shapes = {r.region_id: (r.n_rings, r.n_cells) for r in R.region_shapes(df, 1.0, -1.0).collect()}
+    rings = R.region_rings(df, 0.0, 0.0, 1.0, 1.0).collect()
+    per = {}
+    for r in rings:
+        per.setdefault(r.region_id, {}).setdefault(r.ring_id, []).append(r)
+    got = {}
+    for rid, rs in per.items():
+        areas = [v[0].ring_area for v in rs.values()]
+        assert sum(1 for x in areas if x > 0) == 1           # one exterior ring per region
+        got[rid] = (len(rs), sum(areas))
+        for pts in rs.values():                               # axis-parallel closed rings
+            pts = sorted(pts, key=lambda p: p.seq)
+            for p, q in zip(pts, pts[1:] + pts[:1]):
+                assert p.lon == q.lon or p.lat == q.lat
+    assert got == shapes
