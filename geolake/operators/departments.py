@@ -67,11 +67,77 @@ def departments_of(points: Column, deps: Iterable[str] | None = None) -> Column:
     return F.array_sort(F.transform(F.filter(cand, holds), lambda i: F.element_at(codes, i + 1)))
 
 
+def _segment_hits_box(p0: Column, p1: Column, s, w, n, e) -> Column:
+    """Closed segment p0-p1 meets the closed box (separating-axis test: the
+    bounding ranges overlap and the box corners are not all strictly on one
+    side of the segment's line)."""
+    x0, y0, x1, y1 = p0["lon"], p0["lat"], p1["lon"], p1["lat"]
+    overlap = ((F.greatest(x0, x1) >= w) & (F.least(x0, x1) <= e)
+               & (F.greatest(y0, y1) >= s) & (F.least(y0, y1) <= n))
+    dx, dy = x1 - x0, y1 - y0
+
+    def side(cx, cy):
+        return dx * (cy - y0) - dy * (cx - x0)
+    c = [side(w, s), side(w, n), side(e, s), side(e, n)]
+    all_pos = (c[0] > 0) & (c[1] > 0) & (c[2] > 0) & (c[3] > 0)
+    all_neg = (c[0] < 0) & (c[1] < 0) & (c[2] < 0) & (c[3] < 0)
+    return overlap & ~all_pos & ~all_neg
+
+
+def departments_of_lines(lines: Column, deps: Iterable[str] | None = None) -> Column:
+    """``array<array<struct<lat,lon>>>`` (polylines) -> departments whose box
+    a polyline touches: a vertex inside or a segment crossing it.
+
+    Candidates are the boxes overlapping the element's extent (a scan of the
+    fixed box list), refined by the exact segment test."""
+    deps = [d for d in (list(deps) if deps else ALL_DEPARTMENTS) if d in DEP_BBOX]
+    if not deps:
+        return F.array().cast("array<string>")
+    _, boxes, codes, *_ = _grid(deps)
+    ls = F.filter(F.transform(lines, lambda l: F.filter(
+        l, lambda p: p["lat"].isNotNull() & p["lon"].isNotNull())), lambda l: F.size(l) > 0)
+    pts = F.flatten(ls)
+    xmin = F.array_min(F.transform(pts, lambda p: p["lon"]))
+    xmax = F.array_max(F.transform(pts, lambda p: p["lon"]))
+    ymin = F.array_min(F.transform(pts, lambda p: p["lat"]))
+    ymax = F.array_max(F.transform(pts, lambda p: p["lat"]))
+
+    def bounds(i):
+        b = F.element_at(boxes, i + 1)
+        return tuple(F.element_at(b, k) for k in (1, 2, 3, 4))   # s, w, n, e
+
+    def near(i):
+        s, w, n, e = bounds(i)
+        return (xmax >= w) & (xmin <= e) & (ymax >= s) & (ymin <= n)
+
+    def hits(i):
+        s, w, n, e = bounds(i)
+
+        def line_hits(l):
+            single = F.get(l, 0)
+            point_in = single["lat"].between(s, n) & single["lon"].between(w, e)
+            segs = F.sequence(F.lit(0), F.size(l) - 2)
+            seg_in = F.exists(segs, lambda k: _segment_hits_box(
+                F.element_at(l, k + 1), F.element_at(l, k + 2), s, w, n, e))
+            return F.when(F.size(l) == 1, point_in).otherwise(seg_in)
+        return F.exists(ls, line_hits)
+
+    idx = F.sequence(F.lit(0), F.lit(len(deps) - 1))
+    return F.array_sort(F.transform(F.filter(F.filter(idx, near), hits),
+                                    lambda i: F.element_at(codes, i + 1)))
+
+
 def assign_departments(df: DataFrame, points: Column,
                        deps: Iterable[str] | None = None) -> DataFrame:
     """One output row per (row, matching department); unknown codes -> none."""
     return df.select("*", F.explode(departments_of(points, deps)).alias("departement"))
 
 
+def assign_departments_lines(df: DataFrame, lines: Column,
+                             deps: Iterable[str] | None = None) -> DataFrame:
+    """Polyline version of :func:`assign_departments` (ways, relations)."""
+    return df.select("*", F.explode(departments_of_lines(lines, deps)).alias("departement"))
+
+
 def point_array(lat: Column, lon: Column) -> Column:
     return F.array(F.struct(lat.cast("double").alias("lat"), lon.cast("double").alias("lon")))

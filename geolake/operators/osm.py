@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.text import nonempty
-from .departments import assign_departments, point_array
+from .departments import departments_of, departments_of_lines, point_array
 
 # --- fixed values -----------------------------------------------------------
 # Tag values selected per layer (exact, case-sensitive matches).
@@ -167,20 +167,21 @@ def osm_select(df: DataFrame, layer: Layer) -> DataFrame:
     return df.where(cond)
 
 
-def _anchor_points(zero_is_missing: bool = False) -> Column:
-    """Points an element is located by: node position (center fallback),
-    way vertices, relation member vertices."""
+def _anchor_lines(zero_is_missing: bool = False) -> Column:
+    """Polylines an element is located by: its node position (center
+    fallback), its way vertices, or each member's vertices (a relation's
+    members are separate lines: no segment joins two members)."""
     lat, lon = F.col("lat"), F.col("lon")
     if zero_is_missing:
         lat, lon = F.when(lat != 0, lat), F.when(lon != 0, lon)
     node_pt = point_array(F.coalesce(lat, F.col("center.lat")),
                           F.coalesce(lon, F.col("center.lon")))
     empty = F.array().cast("array<struct<lat:double,lon:double>>")
-    member_pts = F.coalesce(F.flatten(F.transform(
-        F.col("members"), lambda m: F.coalesce(m["geometry"], empty))), empty)
-    return (F.when(F.col("type") == "node", node_pt)
-            .when(F.col("type") == "way", F.col("geometry"))
-            .otherwise(member_pts))
+    members = F.coalesce(F.transform(F.col("members"), lambda m: F.coalesce(m["geometry"], empty)),
+                         F.array().cast("array<array<struct<lat:double,lon:double>>>"))
+    return (F.when(F.col("type") == "node", F.array(node_pt))
+            .when(F.col("type") == "way", F.array(F.coalesce(F.col("geometry"), empty)))
+            .otherwise(members))
 
 
 def transport_type() -> Column:
@@ -252,10 +253,14 @@ def osm_layer(elements: DataFrame, layer_name: str,
     sel = osm_select(elements, layer)
     if layer_name == "wiki_pois":
         sel = sel.where(nonempty(tag("wikidata")).isNotNull())
-    anchors = _anchor_points(zero_is_missing=layer_name == "wiki_pois")
-    sel = sel.select("*", _geometry(layer_name).alias("geom"), anchors.alias("_pts")) \
+    anchors = _anchor_lines(zero_is_missing=layer_name == "wiki_pois")
+    sel = sel.select("*", _geometry(layer_name).alias("geom"), anchors.alias("_lines")) \
         .where(F.col("geom").isNotNull())
-    rows = assign_departments(sel, F.col("_pts"), deps)
+    # Nodes: O(1) grid lookup; ways and relations: vertex or crossing segment.
+    node_deps = departments_of(F.get(F.col("_lines"), 0), deps)
+    line_deps = departments_of_lines(F.col("_lines"), deps)
+    rows = sel.select("*", F.explode(F.when(F.col("type") == "node", node_deps)
+                                     .otherwise(line_deps)).alias("departement"))
     cols = [F.col("id").alias("osm_id")]
     for out, key in layer.columns:
         cols.append((F.col("type") if key == "@type" else tag(key)).alias(out))

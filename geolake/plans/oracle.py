@@ -187,6 +187,24 @@ def _pts_in_box(g: str) -> str:
             f"AND p.lon BETWEEN b.w AND b.e)) > 0")
 
 
+def _seg_in_box(p0: str, p1: str) -> str:
+    """Closed segment meets the closed box: overlapping ranges and the box
+    corners not all strictly on one side of the segment's line."""
+    def side(cx, cy):
+        return (f"(({p1}.lon - {p0}.lon) * ({cy} - {p0}.lat) - ({p1}.lat - {p0}.lat) * ({cx} - {p0}.lon))")
+    sides = [side("b.w", "b.s"), side("b.w", "b.n"), side("b.e", "b.s"), side("b.e", "b.n")]
+    return (f"(greatest({p0}.lon, {p1}.lon) >= b.w AND least({p0}.lon, {p1}.lon) <= b.e "
+            f"AND greatest({p0}.lat, {p1}.lat) >= b.s AND least({p0}.lat, {p1}.lat) <= b.n "
+            f"AND NOT ({' AND '.join(x + ' > 0' for x in sides)}) "
+            f"AND NOT ({' AND '.join(x + ' < 0' for x in sides)}))")
+
+
+def _line_in_box(g: str, var: str = "k") -> str:
+    return (f"(CASE WHEN len({g}) = 1 THEN {g}[1].lat BETWEEN b.s AND b.n AND {g}[1].lon BETWEEN b.w AND b.e "
+            f"ELSE len(list_filter(range(1, len({g})), lambda {var}: "
+            f"{_seg_in_box(f'{g}[{var}]', f'{g}[{var} + 1]')})) > 0 END)")
+
+
 def _osm_layer_sql(where: str, geom_cases: list[tuple[str, str, str, str]],
                    cols: list[tuple[str, str]], wiki: bool = False) -> str:
     """``geom_cases``: (condition, type name, parts-count expr, points-list expr)."""
@@ -196,8 +214,9 @@ def _osm_layer_sql(where: str, geom_cases: list[tuple[str, str, str, str]],
     anchor = f"""CASE WHEN s.type = 'node' THEN
                    coalesce(s.lat, s.center_lat) BETWEEN b.s AND b.n
                    AND coalesce(s.lon, s.center_lon) BETWEEN b.w AND b.e
-                 WHEN s.type = 'way' THEN {_pts_in_box('s.geometry')}
-                 ELSE {_pts_in_box('flatten(list_transform(s.members, lambda m: m.geometry))')} END"""
+                 WHEN s.type = 'way' THEN coalesce({_line_in_box('s.geometry')}, false)
+                 ELSE coalesce(len(list_filter(s.members, lambda m: m.geometry IS NOT NULL
+                        AND len(m.geometry) > 0 AND {_line_in_box('m.geometry', 'k2')})) > 0, false) END"""
     proj = ", ".join(f"{expr} AS {name}" for name, expr in cols)
     body = f"""
 WITH {_osm_el_sql()},

@@ -83,3 +83,19 @@ def test_wiki_first_seen_dedupe_and_center(spark):
     df = spark.createDataFrame(rows, OSM_ELEMENT)
     got = {r.osm_id: r.category for r in osm.osm_layer(df, "wiki_pois", ["75"]).collect()}
     assert got == {1: "museum", 3: "ruins"}
+
+
+def test_way_crossing_a_box_without_vertex_inside(spark):
+    from geolake.operators.departments import departments_of_lines
+    # box 75 is lat 48.815..48.905, lon 2.22..2.47; the segment crosses it
+    # with both vertices outside every box but 75's neighbours.
+    line = [{"lat": 48.86, "lon": 2.0}, {"lat": 48.86, "lon": 2.7}]
+    miss = [{"lat": 48.95, "lon": 2.0}, {"lat": 49.2, "lon": 2.2}]
+    df = spark.createDataFrame([([line],), ([miss],), ([[line[0]]],)],
+                               "l array<array<struct<lat:double,lon:double>>>")
+    got = [r[0] for r in df.select(departments_of_lines(F.col("l"), ["75", "92", "93", "94"])).collect()]
+    assert "75" in got[0] and got[1] == [] and got[2] == []
+    rows = [_el(type="way", id=1, tags={"highway": "primary"}, geometry=line)]
+    out = {r.departement for r in osm.osm_layer(spark.createDataFrame(rows, OSM_ELEMENT), "roads",
+                                                 ["75"]).collect()}
+    assert out == {"75"}
