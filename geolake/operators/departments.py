@@ -84,47 +84,62 @@ def _segment_hits_box(p0: Column, p1: Column, s, w, n, e) -> Column:
     return overlap & ~all_pos & ~all_neg
 
 
+def _bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once for use inside interpreted lambdas."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
 def departments_of_lines(lines: Column, deps: Iterable[str] | None = None) -> Column:
     """``array<array<struct<lat,lon>>>`` (polylines) -> departments whose box
     a polyline touches: a vertex inside or a segment crossing it.
 
     Candidates are the boxes overlapping the element's extent (a scan of the
-    fixed box list), refined by the exact segment test."""
+    fixed box list), refined by the exact segment test.  The cleaned lines
+    and the extent are bound once per element (higher-order functions are
+    interpreted without common-subexpression elimination)."""
     deps = [d for d in (list(deps) if deps else ALL_DEPARTMENTS) if d in DEP_BBOX]
     if not deps:
         return F.array().cast("array<string>")
     _, boxes, codes, *_ = _grid(deps)
+    idx = F.sequence(F.lit(0), F.lit(len(deps) - 1))
     ls = F.filter(F.transform(lines, lambda l: F.filter(
         l, lambda p: p["lat"].isNotNull() & p["lon"].isNotNull())), lambda l: F.size(l) > 0)
-    pts = F.flatten(ls)
-    xmin = F.array_min(F.transform(pts, lambda p: p["lon"]))
-    xmax = F.array_max(F.transform(pts, lambda p: p["lon"]))
-    ymin = F.array_min(F.transform(pts, lambda p: p["lat"]))
-    ymax = F.array_max(F.transform(pts, lambda p: p["lat"]))
 
     def bounds(i):
         b = F.element_at(boxes, i + 1)
         return tuple(F.element_at(b, k) for k in (1, 2, 3, 4))   # s, w, n, e
 
-    def near(i):
-        s, w, n, e = bounds(i)
-        return (xmax >= w) & (xmin <= e) & (ymax >= s) & (ymin <= n)
-
-    def hits(i):
-        s, w, n, e = bounds(i)
-
-        def line_hits(l):
-            single = F.get(l, 0)
-            point_in = single["lat"].between(s, n) & single["lon"].between(w, e)
-            segs = F.sequence(F.lit(0), F.size(l) - 2)
-            seg_in = F.exists(segs, lambda k: _segment_hits_box(
-                F.element_at(l, k + 1), F.element_at(l, k + 2), s, w, n, e))
-            return F.when(F.size(l) == 1, point_in).otherwise(seg_in)
-        return F.exists(ls, line_hits)
-
-    idx = F.sequence(F.lit(0), F.lit(len(deps) - 1))
-    return F.array_sort(F.transform(F.filter(F.filter(idx, near), hits),
-                                    lambda i: F.element_at(codes, i + 1)))
+    def with_lines(L):
+        pts = F.flatten(L)
+        ext = F.struct(F.array_min(F.transform(pts, lambda p: p["lon"])).alias("x0"),
+                       F.array_max(F.transform(pts, lambda p: p["lon"])).alias("x1"),
+                       F.array_min(F.transform(pts, lambda p: p["lat"])).alias("y0"),
+                       F.array_max(F.transform(pts, lambda p: p["lat"])).alias("y1"))
+
+        def with_extent(x):
+            def near(i):
+                s, w, n, e = bounds(i)
+                return (x["x1"] >= w) & (x["x0"] <= e) & (x["y1"] >= s) & (x["y0"] <= n)
+
+            def hits(i):
+                def with_box(b):
+                    s, w, n, e = (F.element_at(b, k) for k in (1, 2, 3, 4))
+
+                    def line_hits(l):
+                        single = F.get(l, 0)
+                        point_in = single["lat"].between(s, n) & single["lon"].between(w, e)
+                        segs = F.sequence(F.lit(0), F.size(l) - 2)
+                        seg_in = F.exists(segs, lambda k: _segment_hits_box(
+                            F.element_at(l, k + 1), F.element_at(l, k + 2), s, w, n, e))
+                        return F.when(F.size(l) == 1, point_in).otherwise(seg_in)
+                    return F.exists(L, line_hits)
+                return _bind(F.element_at(boxes, i + 1), with_box)
+
+            return F.transform(F.filter(F.filter(idx, near), hits),
+                               lambda i: F.element_at(codes, i + 1))
+        return _bind(ext, with_extent)
+
+    return F.array_sort(_bind(ls, with_lines))
 
 
 def assign_departments(df: DataFrame, points: Column,

@@ -258,9 +258,12 @@ def osm_layer(elements: DataFrame, layer_name: str,
         .where(F.col("geom").isNotNull())
     # Nodes: O(1) grid lookup; ways and relations: vertex or crossing segment.
     node_deps = departments_of(F.get(F.col("_lines"), 0), deps)
-    line_deps = departments_of_lines(F.col("_lines"), deps)
-    rows = sel.select("*", F.explode(F.when(F.col("type") == "node", node_deps)
-                                     .otherwise(line_deps)).alias("departement"))
+    if all(r.types == ("node",) for r in layer.rules):
+        found = node_deps
+    else:
+        found = F.when(F.col("type") == "node", node_deps) \
+            .otherwise(departments_of_lines(F.col("_lines"), deps))
+    rows = sel.select("*", F.explode(found).alias("departement"))
     cols = [F.col("id").alias("osm_id")]
     for out, key in layer.columns:
         cols.append((F.col("type") if key == "@type" else tag(key)).alias(out))
