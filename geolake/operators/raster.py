@@ -217,8 +217,18 @@ def _label_band(pdf):
                          "label": label})
 
 
+def _ship_by_value() -> None:
+    """Pickle this module's task functions by value, so Python workers run
+    them without the package being installed on the executors."""
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def band_labels(classes: DataFrame, band_rows: int = BAND_ROWS) -> DataFrame:
     """Per-band exact labels; groups are (department, band): bounded size."""
+    _ship_by_value()
     code = F.create_map(*[x for k, v in _CLASS_CODES.items() for x in (F.lit(k), F.lit(v))])
     c = classes.select("departement", "row", "col", code[F.col("exposure")].alias("cls"),
                        F.floor(F.col("row") / band_rows).alias("band"))
