@@ -112,9 +112,10 @@ def _found(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str)
 
     near = near.withColumn("at", where_hit("g"))
     starts = F.when(F.col("n") >= SPAN, F.array_distinct(F.flatten(F.transform("at", around)))).otherwise(F.array().cast("array<int>"))
-    spans = F.transform(starts, lambda s: F.struct(s.alias("s"), F.lit(SPAN).alias("len")))
-    for n in lengths:
-        spans = F.concat(spans, F.transform(where_hit(f"g{n}"), lambda s, n=n: F.struct(s.alias("s"), F.lit(n).alias("len"))))
+    def as_spans(at: Column, length: int) -> Column:
+        return F.transform(at, lambda s: F.struct(s.alias("s"), F.lit(length).alias("len")))
+
+    spans = F.concat(as_spans(starts, SPAN), *(as_spans(where_hit(f"g{n}"), n) for n in lengths))
     near = near.select("id", "x", "words", spans.alias("spans"))
     tried = near.select("id", "x", F.explode(F.transform("spans", lambda p: F.struct(
         p.s.alias("s"), p.len.alias("len"), F.array_join(F.slice("words", p.s + 1, p.len), " ").alias("window")))).alias("p"))

@@ -30,7 +30,7 @@ DEFAULT_KEY = "change-me"
 # matcher's depth is bounded on any text) -------------------------------------
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z])"
 KEY_ID = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-SECRET = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9+/_.-]{6,200}"
+SECRET = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9+/_.-]{5,199}[A-Za-z0-9+/_-]"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
@@ -94,8 +94,17 @@ def _chars(text: Column, first: Column, last: Column, hex_only: Column | None =
     return F.transform(F.split(text, ""), one)
 
 
-def _written(elements: Column) -> Column:
-    return F.array_join(F.transform(elements, lambda x: F.when(x.r == 1, x.c).otherwise(F.char(x.b + x.v))), "")
+def _rewritten(elements: Column, kind: str, key: str) -> Column:
+    """The text after permuting the elements that may change; separators take
+    no part, so a number is linked however it is grouped."""
+    def write(e: Column) -> Column:
+        def with_new(p: Column) -> Column:
+            def one(x: Column, j: Column) -> Column:
+                place = F.size(F.filter(F.slice(e, F.lit(1), j + 1), lambda y: y.r > 1))
+                return F.when(x.r == 1, x.c).otherwise(F.char(x.b + F.get(p, place - 1).v))
+            return F.array_join(F.transform(e, one), "")
+        return _bound(_permuted(F.filter(e, lambda x: x.r > 1), kind, key), with_new)
+    return _bound(elements, write)
 
 
 def _numbers(pairs: list[tuple[Column, int]]) -> Column:
@@ -131,24 +140,24 @@ def _mod97(text: Column) -> Column:
 # ------------------------------------------------------------ kinds
 def _email(m: Column, key: str) -> Column:
     tld = F.length(F.substring_index(m, ".", -1))
-    return _written(_permuted(_chars(m, F.lit(0), F.length(m) - tld - 1), "email", key))
+    return _rewritten(_chars(m, F.lit(0), F.length(m) - tld - 1), "email", key)
 
 
 def _key_id(m: Column, key: str) -> Column:
-    return _written(_permuted(_chars(m, F.lit(4), F.length(m)), "credential", key))
+    return _rewritten(_chars(m, F.lit(4), F.length(m)), "credential", key)
 
 
 def _secret(m: Column, key: str) -> Column:
     value = F.regexp_extract(m, r"[=:][ ]{0,3}[\"']?(.*)$", 1)
     head = F.length(m) - F.length(value)
-    new = _written(_permuted(_chars(value, F.lit(0), F.length(value), value.rlike("^[0-9a-f]+$")), "credential", key))
+    new = _rewritten(_chars(value, F.lit(0), F.length(value), value.rlike("^[0-9a-f]+$")), "credential", key)
     return F.concat(m.substr(F.lit(1), head), new)
 
 
 def _iban(m: Column, key: str) -> Column:
     plain = F.regexp_replace(m, " ", "")
     turned = F.concat(plain.substr(F.lit(5), F.length(plain)), plain.substr(F.lit(1), F.lit(4)))
-    new = _written(_permuted(_chars(m, F.lit(4), F.length(m)), "iban", key))
+    new = _rewritten(_chars(m, F.lit(4), F.length(m)), "iban", key)
 
     def checked(s: Column) -> Column:
         bare = F.regexp_replace(s, " ", "")
@@ -160,7 +169,7 @@ def _iban(m: Column, key: str) -> Column:
 
 def _card(m: Column, key: str) -> Column:
     digits = F.regexp_replace(m, "[^0-9]", "")
-    new = _written(_permuted(_chars(m, F.lit(1), F.length(m) - 2), "card", key))
+    new = _rewritten(_chars(m, F.lit(1), F.length(m) - 2), "card", key)
 
     def checked(s: Column) -> Column:
         body = F.concat(F.regexp_replace(s.substr(F.lit(1), F.length(s) - 1), "[^0-9]", ""), F.lit("0"))
@@ -170,7 +179,7 @@ def _card(m: Column, key: str) -> Column:
 
 def _phone(m: Column, key: str) -> Column:
     code = F.length(F.regexp_extract(m, r"^(\+[0-9]{1,3}(?=[ .(-])|\+[0-9]|)", 1))
-    return _written(_permuted(_chars(m, code, F.length(m)), "phone", key))
+    return _rewritten(_chars(m, code, F.length(m)), "phone", key)
 
 
 def _ipv4(m: Column, key: str) -> Column:
