@@ -18,8 +18,10 @@ LOWER = UPPER.lower()
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings that bound the memory of Python tasks."""
+    """Session settings: bounded Arrow batches, and Spark's runtime Bloom
+    filter (at most 8 MB) for joins that pick rows of tables over 16 MB."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "16MB")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

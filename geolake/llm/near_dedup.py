@@ -14,11 +14,15 @@ the Jaccard similarity, so bands of register values find candidates:
 3. a pair goes on if the joint likelihood of its register comparisons allows
    the threshold, and becomes a link if the full sets confirm it exactly;
 4. the links' connected components are found, and buckets that still hold
-   several components are finished: every pair of members of different
-   components is estimated and verified the same way, in blocks, so no link
-   between different texts is lost to a star;
+   several components are finished: their members of different components meet
+   in cells of bounded size, which compare the full sets of all their pairs and
+   return only the links that tie components together, so no link between
+   different texts is lost to a star, and no list of pairs leaves a task;
 5. the components after both rounds are the result.
 
+Texts and registers are fetched once, for the members of shared buckets only
+(Spark's runtime Bloom filter keeps the others out of the shuffle).
+
 With M = 256 registers in 51 bands of 5 a pair of similarity 0.75 meets in
 some band with probability 1 - 1e-6, a more similar pair almost surely.
 
@@ -27,8 +31,9 @@ A text of fewer than five words has its whole sequence as the one shingle;
 null, empty or blank texts have the empty set, are linked with nothing and
 kept.  Rows of one doc_id are one document (linked with each other).  Rows
 with a null doc_id have a null component and are kept.  Groups of copies of
-any size are split over tasks: aggregations combine on the map side, and a
-leader's members are verified in blocks of BLOCK rows.
+any size are split over tasks: aggregations combine on the map side, a leader's
+members are verified in blocks of BLOCK rows, and cells hold at most about
+CELL_ROWS rows and CELL_SHINGLES shingles of either side.
 """
 
 from __future__ import annotations
@@ -48,9 +53,11 @@ M, BANDS, ROWS = 256, 51, 5
 B, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 1
 #: A pair is dropped when the threshold is exp(SLACK) times less likely than
 #: the best similarity.
-SLACK = 18.0
-#: Members verified against one leader, or a block of a bucket, per step.
+SLACK = 14.0
+#: Members verified against one leader per step.
 BLOCK = 256
+#: Size of one side of a cell, and the columns of one step of its comparison.
+CELL_ROWS, CELL_SHINGLES, CELL_COLUMNS = 1024, 500_000, 8192
 
 
 # ------------------------------------------------------------ registers
@@ -179,16 +186,15 @@ def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             .select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long").distinct())
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) confirmed on the full sets: the text of a leader goes to
     each block of its members, a task holds one leader and a batch."""
     blocks = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
     members = (pairs.join(blocks, "a")
                .select("a", F.pmod(F.xxhash64("b"), "blocks").alias("block"), F.col("b").alias("id"), F.lit(1).alias("role")))
     leaders = members.select("a", "block").distinct().select("a", "block", F.col("a").alias("id"), F.lit(0).alias("role"))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     rows = (texts.join(members.unionByName(leaders), "id").select("a", "block", "role", "id", "t")
-            .repartition(shuffle_parts(docs.sparkSession), "a", "block").sortWithinPartitions("a", "block", "role"))
+            .repartition(shuffle_parts(texts.sparkSession), "a", "block").sortWithinPartitions("a", "block", "role"))
 
     def run(batches):
         group, heads = None, []
@@ -207,72 +213,117 @@ def _verified(pairs: DataFrame, docs: DataFrame, percent: int, id_col: str, text
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def _crossing(mixed: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Pairs (a < b) of one bucket and different components, without pairing
-    members of the bucket's largest component with each other: they stand in
-    blocks, and every block of the others meets each of them."""
-    sizes = mixed.groupBy("bkey", "comp").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("bkey").agg(F.max(F.struct("c", "comp")).alias("m"), F.sum("c").alias("all"))
-    largest = largest.select("bkey", F.col("m.comp").alias("main"),
-                             F.ceil(F.col("m.c") / F.lit(BLOCK)).alias("nm"),
-                             F.ceil((F.col("all") - F.col("m.c")) / F.lit(BLOCK)).alias("no"))
-    rows = mixed.join(largest, "bkey")
-    main = F.col("comp") == F.col("main")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.when(main, F.col("nm")).otherwise(F.col("no"))))
-    others = F.sequence(F.lit(0).cast("long"), F.col("no") - 1)
-    cells_main = F.transform(others, lambda i: F.struct(F.lit(0).alias("x"), F.col("own").alias("i"), i.alias("j")))
-    cells_other = F.concat(
-        F.transform(F.sequence(F.lit(0).cast("long"), F.col("nm") - 1),
-                    lambda i: F.struct(F.lit(0).alias("x"), i.alias("i"), F.col("own").alias("j"))),
-        F.transform(others, lambda i: F.struct(F.lit(1).alias("x"), F.least(i, F.col("own")).alias("i"),
-                                               F.greatest(i, F.col("own")).alias("j"))))
-    cells = (rows.select("bkey", "id", "comp", "n", main.alias("main"),
-                         F.explode(F.when(main, cells_main).otherwise(cells_other)).alias("cell"), "own")
-             .select("bkey", "cell.x", "cell.i", "cell.j", "id", "comp", "n", "main", "own")
-             .repartition(parts, "bkey", "x", "i", "j").sortWithinPartitions("bkey", "x", "i", "j"))
+def _cells(mixed: DataFrame) -> DataFrame:
+    """(bkey, x, i, j, id, comp, side): the members of each open bucket dealt
+    into cells in which every two members of different components meet.  The
+    bucket's largest component stands apart (its members need not meet each
+    other): cell (0, i, j) joins its block i with block j of the others, cell
+    (1, i, j) joins blocks i and j of the others."""
+    sizes = mixed.groupBy("bkey", "comp").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+    top = sizes.groupBy("bkey").agg(F.max(F.struct("c", "comp", "n")).alias("m"), F.sum("c").alias("c"), F.sum("n").alias("n"))
+
+    def blocks(rows, shingles):
+        return F.greatest(F.ceil(rows / CELL_ROWS), F.ceil(shingles / CELL_SHINGLES)).cast("int")
+    top = top.select("bkey", F.col("m.comp").alias("main"), blocks(F.col("m.c"), F.col("m.n")).alias("nm"),
+                     blocks(F.col("c") - F.col("m.c"), F.col("n") - F.col("m.n")).alias("no"))
+    rows = mixed.join(top, "bkey").withColumn("is_main", F.col("comp") == F.col("main"))
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("is_main"), F.col("nm")).otherwise(F.col("no"))).cast("int")
+
+    def cell(x, i, j):
+        return F.struct(F.lit(x).alias("x"), i.cast("int").alias("i"), j.cast("int").alias("j"))
+    rows = rows.withColumn("own", own)
+    others = F.sequence(F.lit(0), F.col("no") - 1)
+    for_main = F.transform(others, lambda j: cell(0, F.col("own"), j))
+    for_other = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("nm") - 1), lambda i: cell(0, i, F.col("own"))),
+        F.transform(others, lambda j: cell(1, F.least(j, F.col("own")), F.greatest(j, F.col("own")))))
+    rows = rows.withColumn("cell", F.explode(F.when(F.col("is_main"), for_main).otherwise(for_other)))
+    return rows.select("bkey", "cell.x", "cell.i", "cell.j", "id", "comp", F.when(F.col("is_main"), -1).otherwise(F.col("own")).alias("side"))
+
+
+def _finished(cells: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that tie different components of a cell together."""
+    key = ["bkey", "x", "i", "j"]
+    rows = (cells.join(texts, "id").select(*key, "id", "comp", "side", "t")
+            .repartition(shuffle_parts(texts.sparkSession), *key).sortWithinPartitions(*key))
 
     def run(batches):
-        held, key = [], None
+        now, held = None, []
         for batch in batches:
             out = []
-            cols = [batch.column(i).to_pylist() for i in range(9)]
-            for bkey, x, i, j, row, comp, n, is_main, own in zip(*cols):
-                if key != (bkey, x, i, j):
-                    out += _cell_pairs(key, held, percent)
-                    held, key = [], (bkey, x, i, j)
-                held.append((row, comp, n, is_main, own))
-            if out:
-                yield _pairs_batch(out)
-        yield _pairs_batch(_cell_pairs(key, held, percent))
+            cols = [batch.column(c).to_pylist() for c in range(7)]
+            for *cell, row, comp, side, own in zip(*cols, shingle_sets(batch.column(7))):
+                if now != cell:
+                    out += _ties(now, held, percent)
+                    now, held = cell, []
+                held.append((row, comp, side, own))
+            yield _links_batch(out)
+        yield _links_batch(_ties(now, held, percent))
 
-    return cells.mapInArrow(run, "a long, b long").distinct()
+    return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def _pairs_batch(pairs) -> pa.RecordBatch:
-    flat = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], names=["a", "b"])
+def _links_batch(links) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
-def _cell_pairs(key, held, percent) -> list[np.ndarray]:
+def _ties(cell, held, percent) -> list[tuple[int, int]]:
+    """The links of a cell, but for those inside components already tied."""
     if len(held) < 2:
         return []
-    ids, comp, n, main, own = (np.array(x) for x in zip(*held))
-    _, x, i, j = key
-    if x == 0:
-        left, right = np.flatnonzero(main), np.flatnonzero(~main)
-    else:
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-    l, r = (g.ravel() for g in np.meshgrid(left, right))
-    near = (100 * np.minimum(n[l], n[r]) >= percent * np.maximum(n[l], n[r])) & (comp[l] != comp[r]) & (ids[l] != ids[r])
-    l, r = l[near], r[near]
-    return [np.stack([np.minimum(ids[l], ids[r]), np.maximum(ids[l], ids[r])], axis=1)]
+    ids, comp, side = (np.array([h[c] for h in held]) for c in range(3))
+    sets = [h[3] for h in held]
+    left = np.flatnonzero(side == (-1 if cell[1] == 0 else cell[2]))
+    right = np.flatnonzero(side == cell[3])
+    if not len(left) or not len(right):
+        return []
+    both = _shared([sets[k] for k in left], [sets[k] for k in right])
+    n = np.array([len(x) for x in sets])
+    hit = (both > 0) & (100 * both >= percent * (n[left][:, None] + n[right][None, :] - both))
+    hit &= comp[left][:, None] != comp[right][None, :]
+    tied: dict[int, int] = {}
+
+    def root(c):
+        while tied.get(c, c) != c:
+            c = tied[c]
+        return c
+    out = []
+    for l, r in zip(*np.nonzero(hit)):
+        a, b = root(int(comp[left[l]])), root(int(comp[right[r]]))
+        if a != b:
+            tied[max(a, b)] = min(a, b)
+            x, y = int(ids[left[l]]), int(ids[right[r]])
+            out.append((min(x, y), max(x, y)))
+    return out
+
+
+def _shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of the sets ``a`` with the sets ``b``: a
+    product of 0/1 matrices over the shingles of both sides, in slabs."""
+    (fa, ra), (fb, rb) = ((np.concatenate(x), np.repeat(np.arange(len(x)), [len(s) for s in x])) for x in (a, b))
+    vocab = np.intersect1d(fa, fb)
+    total = np.zeros((len(a), len(b)), np.int64)
+    where = []
+    for flat, row in ((fa, ra), (fb, rb)):
+        col = np.searchsorted(vocab, flat)
+        on = col < len(vocab)
+        on[on] = vocab[col[on]] == flat[on]
+        order = np.argsort(col[on], kind="stable")
+        where.append((col[on][order], row[on][order]))
+    for start in range(0, len(vocab), CELL_COLUMNS):
+        slabs = []
+        for (col, row), n in zip(where, (len(a), len(b))):
+            lo, hi = np.searchsorted(col, (start, start + CELL_COLUMNS))
+            m = np.zeros((n, min(CELL_COLUMNS, len(vocab) - start)), np.float32)
+            m[row[lo:hi], col[lo:hi] - start] = 1
+            slabs.append(m)
+        total += (slabs[0] @ slabs[1].T).astype(np.int64)  # exact: sums of at most CELL_COLUMNS ones
+    return total
 
 
 # ------------------------------------------------------------ operator
 def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``docs``."""
-    spark = docs.sparkSession
-    parts = shuffle_parts(spark)
     made = stage(sketch(docs, id_col, text_col), "sketch")
     member = made.where("n > 0 and id is not null")
     same = ["n", "f1", "f2"]
@@ -283,9 +334,17 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     all_buckets = _buckets(reps)
     shared = all_buckets.groupBy("bkey").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last")
     buckets = stage(all_buckets.join(shared.select("bkey", "lead"), "bkey"), "buckets")
+    needed = stage(buckets.select("id").distinct(), "needed")
+    # The comparison marks the side as selective, which lets Spark build its
+    # runtime Bloom filter from it.
+    needed = needed.where(F.col("id") >= F.lit(-(1 << 63)).cast("long"))
+    near = stage(reps.join(needed, "id"), "near")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    texts = stage(texts.join(needed, "id"), "texts")
+
     star = buckets.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    likely_star = stage(_estimated(star, reps, percent), "star")
-    links = stage(_verified(likely_star, docs, percent, id_col, text_col), "links")
+    likely_star = stage(_estimated(star, near, percent), "star")
+    links = stage(_verified(likely_star, texts, percent), "links")
     # A doc_id with several texts ties its sets together.
     of_row = member.select("id", *same).join(rep_of, same).select("id", "rep")
     tied = of_row.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last")
@@ -294,18 +353,15 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     label = connected_components(edges)
 
     # Buckets that hold several components still.
-    named = (buckets.join(label.select("id", "comp"), "id", "left").join(reps.select("id", "n"), "id")
-             .select("bkey", "id", "lead", "n", F.coalesce("comp", "id").alias("comp")))
+    named = (buckets.join(label, "id", "left").join(near.groupBy("id").agg(F.max("n").alias("n")), "id")
+             .select("bkey", "id", "n", F.coalesce("comp", "id").alias("comp")))
     open_keys = (named.groupBy("bkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"))
                  .where("lo < hi and c > 2").select("bkey"))
     mixed = stage(named.join(open_keys, "bkey", "left_semi"), "mixed")
-    pairs = _crossing(mixed, percent, parts).join(star, ["a", "b"], "left_anti")
-    likely_rest = stage(_estimated(pairs, reps, percent), "rest")
-    if not likely_rest.isEmpty():
-        more = _verified(likely_rest, docs, percent, id_col, text_col)
-        edges = stage(edges.unionByName(more), "edges2")
-        label = connected_components(edges)
-    for t in (buckets, mixed, likely_star, likely_rest):
+    more = stage(_finished(_cells(mixed), texts, percent), "ties")
+    if not more.isEmpty():
+        label = connected_components(edges.unionByName(more))
+    for t in (buckets, mixed, likely_star, near, texts):
         drop_stage(t)
 
     comp = rep_of.join(label, rep_of.rep == label.id, "left").select(*same, F.coalesce("comp", "rep").alias("component_id"))
