@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on for correctness (not tuning).
 SEMANTIC_CONF = {
@@ -72,12 +73,17 @@ def apply_semantic_conf(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (unit tests, a bare local session) a scratch
-    folder is created and registered.
+    Only a single-JVM session (tests, a laptop) without that setting gets a
+    scratch folder; on a cluster its absence is an error, since executors do
+    not see each other's local folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -86,28 +92,40 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not _is_local(spark):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="geolake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A staging location under the shared checkpoint folder."""
+    """A new staging location under the shared checkpoint folder (each call
+    gets its own, so concurrent runs never overwrite each other)."""
     base = checkpoint_dir(spark)
-    return os.path.join(base, "staging", name)
+    return os.path.join(base, "staging", f"{name}-{uuid.uuid4().hex}")
 
 
-def materialize(df):
-    """Cut lineage: write ``df`` to the shared checkpoint folder and return a
-    DataFrame reading it back.
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder through Hadoop's FileSystem (any storage)."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
-    The rows are persisted first, because a reliable checkpoint otherwise
-    computes its plan twice (once to count, once to write); the persisted
-    copy is dropped once the checkpoint files exist.
-    """
-    from pyspark import StorageLevel
-    checkpoint_dir(df.sparkSession)
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = kept.checkpoint(eager=True)
-    kept.unpersist()
+
+def materialize(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Cut lineage: write ``df`` as Parquet to the shared checkpoint folder and
+    return a DataFrame reading it back.  The plan runs once, nothing stays in
+    executor memory, and a lost executor costs no recomputation."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
     return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a materialised table that nothing reads any more."""
+    path = getattr(df, "_staged_at", None)
+    if path is not None:
+        delete_path(df.sparkSession, path)

@@ -4,9 +4,10 @@ Two forms of each contract:
 
 * a pure query (``*_query``): the table state after the refresh, as a lazy
   DataFrame (anti-join + union) — testable and composable;
-* a catalog action that writes it: partitioned by ``departement`` with
-  dynamic partition overwrite, so a refresh rewrites only the partitions it
-  touches and never rewrites the rest of a 100 TB table.
+* a catalog action that writes it: partitioned by ``departement`` (yearly
+  datasets by ``year``, ``departement``) with dynamic partition overwrite, so
+  a refresh rewrites only the partitions it was asked for and never touches
+  the rest of a 100 TB table.
 
 New data is always materialised to a staging location first, so a failed
 read or transform aborts before anything is deleted.
@@ -14,30 +15,42 @@ read or transform aborts before anything is deleted.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import apply_semantic_conf, materialize, release
 
 
 # ----------------------------------------------------------- query forms
-def replace_departments_query(existing: DataFrame, new: DataFrame,
-                              requested: Iterable[str], key: str = "departement") -> DataFrame:
-    """K1: drop rows of the requested departments (even if the new data has
-    none for them), then append the new rows."""
-    requested = list(requested)
-    kept = existing.where(~F.coalesce(F.col(key).isin(requested), F.lit(False)))
+def _requested_rows(requested: Iterable[str], key: str, within: dict | None) -> Column:
+    """True for rows of the requested departments (of the ``within`` slice,
+    e.g. one year); a NULL key is never requested."""
+    cond = F.coalesce(F.col(key).isin(list(requested)), F.lit(False))
+    for name, value in (within or {}).items():
+        cond = cond & F.col(name).eqNullSafe(F.lit(value))
+    return cond
+
+
+def replace_departments_query(existing: DataFrame, new: DataFrame, requested: Iterable[str],
+                              key: str = "departement", within: dict | None = None) -> DataFrame:
+    """K1: drop the rows of the requested departments (even if the new data
+    has none for them), then append the new rows.  With ``within`` (K6) only
+    that slice of the table, e.g. ``{"year": 2023}``, is refreshed."""
+    kept = existing.where(~_requested_rows(requested, key, within))
     return kept.unionByName(new, allowMissingColumns=True)
 
 
-def replace_present_query(existing: DataFrame, new: DataFrame,
-                          key: str = "departement") -> DataFrame:
+def replace_present_query(existing: DataFrame, new: DataFrame, key: str = "departement",
+                          within: dict | None = None) -> DataFrame:
     """K2: replace only the departments present in the new data."""
-    present = new.select(key).where(F.col(key).isNotNull()).distinct()
-    kept = existing.join(present, key, "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
+    present = new.select(F.col(key).alias("_present")).where(F.col("_present").isNotNull()).distinct()
+    same = existing[key] == present["_present"]
+    for name, value in (within or {}).items():
+        same = same & existing[name].eqNullSafe(F.lit(value))
+    return existing.join(present, same, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
 # ---------------------------------------------------------- catalog actions
@@ -50,64 +63,87 @@ def _exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
-def _stage(df: DataFrame, name: str) -> DataFrame:
-    """Write the new rows to the shared staging area and read them back: the
-    source is fully read before the target changes, and lineage is cut."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+@contextmanager
+def _staged(df: DataFrame, table: str) -> Iterator[DataFrame]:
+    """The new rows, written to the shared staging area first: the source is
+    fully read before the target changes; each run stages under a name of its
+    own, deleted afterwards."""
+    apply_semantic_conf(df.sparkSession)
+    staged = materialize(df, table.replace(".", "_"))
+    try:
+        yield staged
+    finally:
+        release(staged)
+
+
+def _create(df: DataFrame, table: str, partition_by: list[str]) -> None:
+    w = df.write.format("parquet")
+    (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(table)
 
 
 def replace_departments(df: DataFrame, table: str, requested: Iterable[str],
-                        key: str = "departement") -> None:
-    """K1 / K5: requested departments are replaced, others kept.
+                        key: str = "departement", within: dict | None = None) -> None:
+    """K1 / K5 / K6: the requested departments are replaced, all others kept.
 
-    The table is partitioned by ``key``; requested departments missing from
-    the new data are dropped explicitly, the others are overwritten
-    partition-wise (dynamic mode).
+    The table is partitioned by ``within``'s columns and ``key``.  Partitions
+    of requested departments are overwritten (dynamic mode), requested ones
+    without new rows dropped; new rows of other departments are appended, as
+    in :func:`replace_departments_query`.
     """
     spark = df.sparkSession
     requested = list(requested)
-    staged = _stage(df, table.replace(".", "_") + "_k1")
-    if not _exists(spark, table):
-        staged.write.partitionBy(key).format("parquet").saveAsTable(table)
-        return
-    present = {r[0] for r in staged.select(key).distinct().collect()}  # <= #departments
-    for dep in requested:
-        if dep not in present:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{key}` = '{dep}')")
-    staged.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-
-
-def replace_present(df: DataFrame, table: str, key: str = "departement") -> None:
+    parts = [*(within or {}), key]
+    with _staged(df, table) as staged:
+        if not _exists(spark, table):
+            _create(staged, table, parts)
+            return
+        rows = staged.select(*spark.table(table).columns)
+        asked = F.coalesce(F.col(key).isin(requested), F.lit(False))
+        own = rows.where(asked)
+        present = {r[0] for r in own.select(key).distinct().collect()}  # at most the requested ones
+        prefix = "".join(f"`{n}` = '{v}', " for n, v in (within or {}).items())
+        for dep in requested:
+            if dep not in present:
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({prefix}`{key}` = '{dep}')")
+        if present:
+            own.write.insertInto(table, overwrite=True)
+        rest = rows.where(~asked)
+        if not rest.isEmpty():
+            rest.write.insertInto(table)
+
+
+def replace_present(df: DataFrame, table: str, key: str = "departement",
+                    within: dict | None = None) -> None:
     """K2: dynamic partition overwrite of the departments in the new data."""
     spark = df.sparkSession
-    staged = _stage(df, table.replace(".", "_") + "_k2")
-    if not _exists(spark, table):
-        staged.write.partitionBy(key).format("parquet").saveAsTable(table)
-        return
-    staged.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    with _staged(df, table) as staged:
+        if not _exists(spark, table):
+            _create(staged, table, [*(within or {}), key])
+            return
+        rows = staged.select(*spark.table(table).columns)
+        rows.where(F.col(key).isNotNull()).write.insertInto(table, overwrite=True)
+        unkeyed = rows.where(F.col(key).isNull())
+        if not unkeyed.isEmpty():
+            unkeyed.write.insertInto(table)
 
 
 def replace_table(df: DataFrame, table: str, partition_by: str | None = "departement") -> None:
     """K3: full replace."""
-    staged = _stage(df, table.replace(".", "_") + "_k3")
-    w = staged.write.mode("overwrite").format("parquet")
-    if partition_by and partition_by in staged.columns:
-        w = w.partitionBy(partition_by)
-    w.saveAsTable(table)
+    with _staged(df, table) as staged:
+        w = staged.write.mode("overwrite").format("parquet")
+        if partition_by and partition_by in staged.columns:
+            w = w.partitionBy(partition_by)
+        w.saveAsTable(table)
 
 
 def truncate_load(df: DataFrame, table: str) -> None:
-    """K4: keep the table definition, replace all rows."""
+    """K4: keep the table definition, replace all rows in one statement."""
     spark = df.sparkSession
-    staged = _stage(df, table.replace(".", "_") + "_k4")
-    if not _exists(spark, table):
-        staged.write.format("parquet").saveAsTable(table)
-        return
-    spark.sql(f"TRUNCATE TABLE {table}")
-    staged.select(*spark.table(table).columns).write.insertInto(table)
+    with _staged(df, table) as staged:
+        if not _exists(spark, table):
+            _create(staged, table, [])
+            return
+        staged.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
 
 
 def drop_tables(spark: SparkSession, tables: Iterable[str]) -> None:

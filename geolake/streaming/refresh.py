@@ -13,13 +13,14 @@ driver resumes where it stopped.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import scratch_path
+from ..session import checkpoint_dir
 from ..sinks import tables as K
 
 
@@ -50,6 +51,6 @@ def run_department_refresh(stream: DataFrame, transform: Callable[[DataFrame], D
         K.replace_present(transform(batch), table)
 
     w = (stream.writeStream.queryName(name).foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, f"stream_{name}")))
+         .option("checkpointLocation", checkpoint or os.path.join(checkpoint_dir(spark), "streams", name)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
