@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import HEAVY_ROWS, grouped_stats
+from .quantiles import exact_quantiles
 
 # --- fixed values -----------------------------------------------------------
 # Kinds of mutation that count as a sale.
@@ -41,30 +41,43 @@ def built_sales(dvf: DataFrame) -> DataFrame:
             .withColumn("code_commune", F.substring("section_id", 1, 5)))
 
 
-def section_prices(dvf: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def _known(df: DataFrame, *keys: str) -> DataFrame:
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
+    return df
+
+
+def section_prices(dvf: DataFrame) -> DataFrame:
     """Per (departement, section_id): q1/median/q3/mean of EUR/m2, distinct
-    sales and median built surface (exact quantiles, linear interpolation)."""
-    bati = built_sales(dvf)
-    out = grouped_stats(
-        bati, ["departement", "section_id"],
-        [F.avg("prix_m2").alias("prix_m2_mean"),
-         F.count_distinct("id_mutation").alias("nb_ventes")],
-        [("prix_m2", 0.25, "prix_m2_q1"), ("prix_m2", 0.5, "prix_m2_median"),
-         ("prix_m2", 0.75, "prix_m2_q3"), ("surface_reelle_bati", 0.5, "surface_mediane")],
-        heavy_rows)
-    return out.select("section_id", "prix_m2_q1", "prix_m2_median", "prix_m2_q3",
-                      "prix_m2_mean", "nb_ventes", "surface_mediane", "departement")
-
-
-def commune_prices(dvf: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    sales and median built surface (exact quantiles, linear interpolation).
+
+    Distinct sales come from rows already reduced to one per sale, whose sums
+    give the mean, so no quantile buffer meets a distinct count.
+    """
+    keys = ["departement", "section_id"]
+    bati = _known(built_sales(dvf), *keys)
+    sales = bati.groupBy(*keys, "id_mutation").agg(F.sum("prix_m2").alias("s"), F.count("prix_m2").alias("c"))
+    totals = sales.groupBy(*keys).agg((F.sum("s") / F.sum("c")).alias("prix_m2_mean"),
+                                      F.count("id_mutation").alias("nb_ventes"))
+    q = exact_quantiles(bati, keys, [
+        ("prix_m2", 0.25, "prix_m2_q1"), ("prix_m2", 0.5, "prix_m2_median"),
+        ("prix_m2", 0.75, "prix_m2_q3"), ("surface_reelle_bati", 0.5, "surface_mediane")])
+    return totals.join(q, keys).select(
+        "section_id", "prix_m2_q1", "prix_m2_median", "prix_m2_q3", "prix_m2_mean", "nb_ventes",
+        "surface_mediane", "departement")
+
+
+def commune_prices(dvf: DataFrame) -> DataFrame:
     """Per (departement, code_commune): median and mean EUR/m2 over raw rows,
     distinct sales and distinct sections."""
-    bati = built_sales(dvf)
-    out = grouped_stats(
-        bati, ["departement", "code_commune"],
-        [F.avg("prix_m2").alias("commune_mean_price_sqm"),
-         F.count_distinct("id_mutation").alias("commune_sales_count"),
-         F.count_distinct("section_id").alias("commune_sections_count")],
-        [("prix_m2", 0.5, "commune_median_price_sqm")], heavy_rows)
-    return out.select("code_commune", "commune_median_price_sqm", "commune_mean_price_sqm",
-                      "commune_sales_count", "commune_sections_count", "departement")
+    keys = ["departement", "code_commune"]
+    bati = _known(built_sales(dvf), *keys)
+    sections = bati.groupBy(*keys, "section_id").agg(F.sum("prix_m2").alias("s"), F.count("prix_m2").alias("c"))
+    totals = sections.groupBy(*keys).agg((F.sum("s") / F.sum("c")).alias("commune_mean_price_sqm"),
+                                         F.count("section_id").alias("commune_sections_count"))
+    sales = (bati.select(*keys, "id_mutation").distinct().groupBy(*keys)
+             .agg(F.count("id_mutation").alias("commune_sales_count")))
+    q = exact_quantiles(bati, keys, [("prix_m2", 0.5, "commune_median_price_sqm")])
+    return totals.join(sales, keys).join(q, keys).select(
+        "code_commune", "commune_median_price_sqm", "commune_mean_price_sqm",
+        "commune_sales_count", "commune_sections_count", "departement")

@@ -1,28 +1,20 @@
 """Exact, skew-safe grouped quantiles (pandas ``quantile`` / linear interpolation).
 
-``percentile`` in Spark is exact but its final merge holds every distinct
-value of a group in one task: a section holding a third of all sales would
-land in a single task.  This operator instead ranks values globally:
-
-1. range-partition ``(keys, value)`` and sort inside each partition, so a hot
-   group is cut by value across as many tasks as its size demands;
-2. tag every row with its partition id and a per-partition position
-   (``monotonically_increasing_id`` after the sort is dense per partition);
-3. per ``(partition, group)`` count rows — a table no larger than
-   groups + partitions, pre-aggregated map-side;
-4. a running sum over that small table (per group at most one row per
-   partition) gives each slice's rank offset and the group size ``n``;
-5. the ranks ``floor``/``ceil`` of ``p * (n - 1)`` are mapped back to row
-   positions and fetched with one equi-join on the position.
-
-Every step is a DataFrame operation; no group is ever materialised whole.
+Spark's ``percentile`` is exact too, but gathers every distinct value of a
+group in one task.  This operator finds the wanted ranks by counting instead,
+one plan for every group size, lazy from end to end:
+
+1. rows are counted per (group, measure, value), combined on the map side;
+2. counts are summed per (group, measure, digit), where the digit is a
+   monotone coarse value (256 steps per power of two), so a group has a few
+   thousand digits at most, whatever its size;
+3. a running sum over that small table finds the digit that holds each wanted
+   rank ``floor``/``ceil`` of ``p * (n - 1)``, and the rank inside it;
+4. only the values of those digits are ranked (about a thousandth of a large
+   group per window partition) and the wanted ones picked by an equi-join.
+
 The interpolation ``lo + (hi - lo) * frac`` is the one pandas, Spark's
 ``percentile`` and DuckDB's ``quantile_cont`` use.
-
-:func:`grouped_stats` is the entry point operators use: groups up to
-``heavy_rows`` rows (nearly all) take one exact ``percentile`` aggregation
-next to the other aggregates (per-group buffer bounded by ``heavy_rows``
-values); only groups above it go through :func:`exact_quantiles`.
 """
 
 from __future__ import annotations
@@ -32,12 +24,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+#: Digits per power of two.
+STEPS = 256
+_OFFSET = 1 << 20  # above STEPS * 1100, the range of a double's exponent
+
 
-# Groups above this many rows are ranked by range partitioning instead of
-# being buffered in one task.  The number of such groups is at most
-# total rows / HEAVY_ROWS, which bounds the broadcast of their keys.
-HEAVY_ROWS = 1_000_000
+def digit(v: Column) -> Column:
+    """A monotone integer of a double: equal or smaller for smaller values."""
+    scaled = F.floor(F.log2(F.abs(v)) * STEPS) + _OFFSET
+    return F.when(v > 0, scaled).when(v < 0, -scaled).otherwise(F.lit(0)).cast("long")
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str],
@@ -45,133 +40,56 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str],
     """Exact quantiles per group.
 
     ``specs`` is a list of ``(value_column, probability, output_name)``.
-    Rows whose group key or value is NULL are ignored (pandas semantics).
-    Returns one row per group that has at least one non-null value for some
-    measure, with one column per spec (NULL if that measure had no values).
+    Rows whose group key is NULL, and NULL or NaN values, are ignored (pandas
+    semantics).  Returns one row per group that has at least one value for
+    some measure, one column per spec (NULL if that measure had no values).
     """
     keys = list(keys)
     measures = list(dict.fromkeys(v for v, _, _ in specs))
-    not_null_keys = [F.col(k).isNotNull() for k in keys]
-    key_filter = not_null_keys[0]
-    for c in not_null_keys[1:]:
-        key_filter = key_filter & c
-
-    # Long form: one row per (group, measure, value).
-    stacked = df.where(key_filter).select(
-        *keys,
-        F.explode(F.array(*[
-            F.struct(F.lit(i).alias("m"), F.col(m).cast("double").alias("v"))
-            for i, m in enumerate(measures)])).alias("_mv"))
-    x = stacked.select(*keys, F.col("_mv.m").alias("_m"), F.col("_mv.v").alias("_v")) \
-        .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-
-    gkeys = keys + ["_m"]
-    # (1)-(2): global order on (group, value); hot groups span many tasks.
-    ranked = (x.repartitionByRange(*gkeys, "_v")
-               .sortWithinPartitions(*gkeys, "_v")
-               .select(*gkeys, "_v",
-                       F.spark_partition_id().alias("_pid"),
-                       F.monotonically_increasing_id().alias("_pos")))
-    # Positions are read twice (slice sizes, then the fetch); writing them
-    # once to the shared checkpoint folder makes both reads see the same
-    # numbering even if an executor is lost and a stage is recomputed.
-    ranked = materialize(ranked)
-
-    # (3): slice sizes, tiny and map-side combined.
-    slices = ranked.groupBy("_pid", *gkeys).agg(
-        F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0"))
-    # (4): rank offset of each slice inside its group.
-    w_run = Window.partitionBy(*gkeys).orderBy("_pid") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy(*gkeys)
-    slices = slices.select(
-        "*",
-        (F.sum("_c").over(w_run) - F.col("_c")).alias("_off"),
-        F.sum("_c").over(w_all).alias("_n"))
-
-    # (5): wanted ranks per measure.
-    wanted: list[Column] = []
-    for qi, (m, p, _) in enumerate(specs):
-        mi = measures.index(m)
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
-        lo = F.floor(pos).cast("long")
-        hi = F.ceil(pos).cast("long")
-        frac = pos - lo
-        wanted.append(F.when(F.col("_m") == mi, F.array(
-            F.struct(F.lit(qi).alias("q"), F.lit(0).alias("side"), lo.alias("r"), frac.alias("f")),
-            F.struct(F.lit(qi).alias("q"), F.lit(1).alias("side"), hi.alias("r"), frac.alias("f")),
-        )))
-    targets = (slices
-               .select(*gkeys, "_off", "_c", "_p0",
-                       F.explode(F.flatten(F.filter(F.array(*wanted), lambda a: a.isNotNull())))
-                       .alias("_t"))
-               .where((F.col("_t.r") >= F.col("_off"))
-                      & (F.col("_t.r") < F.col("_off") + F.col("_c")))
-               .select(*keys,
-                       (F.col("_p0") + F.col("_t.r") - F.col("_off")).alias("_tpos"),
-                       F.col("_t.q").alias("_q"), F.col("_t.side").alias("_side"),
-                       F.col("_t.f").alias("_f")))
-
-    hits = targets.join(ranked.select(F.col("_pos").alias("_tpos"), "_v"), "_tpos")
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    stacked = df.where(known).select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("m"), F.col(m).cast("double").alias("v"))
+        for i, m in enumerate(measures)])).alias("_mv"))
+    values = (stacked.select(*keys, F.col("_mv.m").alias("_m"), F.col("_mv.v").alias("_v"))
+              .where(F.col("_v").isNotNull() & ~F.isnan("_v")))
+    group = [*keys, "_m"]
+    counts = values.groupBy(*group, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    counts = counts.withColumn("_d", digit(F.col("_v")))
+
+    below = Window.partitionBy(*group).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    hist = counts.groupBy(*group, "_d").agg(F.sum("_c").alias("_c"))
+    hist = hist.select(*group, "_d", "_c", F.coalesce(F.sum("_c").over(below), F.lit(0)).alias("_b"),
+                       F.sum("_c").over(Window.partitionBy(*group)).alias("_n"))
+
+    def targets_of(mi: int) -> Column:
+        out = []
+        for qi, (m, p, _) in enumerate(specs):
+            if measures.index(m) != mi:
+                continue
+            pos = F.lit(float(p)) * (F.col("_n") - 1)
+            for side, rank in enumerate((F.floor(pos), F.ceil(pos))):
+                out.append(F.struct(F.lit(qi).alias("q"), F.lit(side).alias("side"),
+                                    (rank.cast("long") - F.col("_b")).alias("r"),
+                                    (pos - F.floor(pos)).alias("f")))
+        return F.array(*out)
+
+    wanted = F.lit(None)
+    for mi in reversed(range(len(measures))):
+        wanted = F.when(F.col("_m") == mi, targets_of(mi)).otherwise(wanted)
+    here = F.filter(wanted, lambda t: (t["r"] >= 0) & (t["r"] < F.col("_c")))
+    targets = hist.select(*group, "_d", here.alias("_t")).where(F.size("_t") > 0)
+
+    inside = Window.partitionBy(*group, "_d").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    near = counts.join(targets, [*group, "_d"])
+    ranked = near.select(*keys, "_v", "_c", "_t", F.coalesce(F.sum("_c").over(inside), F.lit(0)).alias("_from"))
+    hits = ranked.select(*keys, "_v", F.explode(F.filter("_t", lambda t: (
+        t["r"] >= F.col("_from")) & (t["r"] < F.col("_from") + F.col("_c")))).alias("_t"))
     aggs = []
     for qi, (_, _, name) in enumerate(specs):
-        lo_v = F.max(F.when((F.col("_q") == qi) & (F.col("_side") == 0), F.col("_v")))
-        hi_v = F.max(F.when((F.col("_q") == qi) & (F.col("_side") == 1), F.col("_v")))
-        f = F.max(F.when(F.col("_q") == qi, F.col("_f")))
-        aggs.append((lo_v + (hi_v - lo_v) * f).alias(name))
+        q = F.col("_t.q") == qi
+        lo = F.max(F.when(q & (F.col("_t.side") == 0), F.col("_v")))
+        hi = F.max(F.when(q & (F.col("_t.side") == 1), F.col("_v")))
+        aggs.append((lo + (hi - lo) * F.max(F.when(q, F.col("_t.f")))).alias(name))
     return hits.groupBy(*keys).agg(*aggs)
-
-
-def _percentile_cols(specs: Sequence[tuple[str, float, str]]) -> tuple[list[Column], list[Column]]:
-    """One exact ``percentile`` per measure (array of its probabilities), and
-    the projections picking each output from those arrays."""
-    by_measure: dict[str, list[float]] = {}
-    for m, p, _ in specs:
-        by_measure.setdefault(m, [])
-        if p not in by_measure[m]:
-            by_measure[m].append(p)
-    aggs = [F.percentile(F.col(m).cast("double"), [float(p) for p in ps]).alias(f"_pct_{i}")
-            for i, (m, ps) in enumerate(by_measure.items())]
-    names = list(by_measure)
-    picks = [F.get(F.col(f"_pct_{names.index(m)}"), by_measure[m].index(p)).alias(out)
-             for m, p, out in specs]
-    return aggs, picks
-
-
-def grouped_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
-                  specs: Sequence[tuple[str, float, str]],
-                  heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Per group: the ordinary aggregates ``aggs`` plus exact quantiles.
-
-    A small per-group row count decides the plan: when no group exceeds
-    ``heavy_rows`` the whole result is one aggregation (partial aggregation
-    map-side, one shuffle).  Otherwise the heavy groups' keys (at most
-    rows / heavy_rows of them) are broadcast, light groups keep the single
-    aggregation and heavy groups get the range-ranked quantiles, joined to
-    their ordinary aggregates (both tables have one row per heavy group).
-    Rows with a NULL key are ignored.
-    """
-    keys = list(keys)
-    cond = None
-    for k in keys:
-        c = F.col(k).isNotNull()
-        cond = c if cond is None else cond & c
-    x = df.where(cond)
-    pct_aggs, picks = _percentile_cols(specs)
-    sizes = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    heavy = sizes.where(F.col("_n") > heavy_rows).select(*keys)
-    agg_names = list(aggs)
-    if heavy.isEmpty():
-        out = x.groupBy(*keys).agg(*agg_names, *pct_aggs)
-        return out.select(*keys, *[c for c in out.columns if c not in keys and not c.startswith("_pct_")],
-                          *picks)
-    # Rare path: the heavy-key table (at most rows / heavy_rows keys) is
-    # written once to the shared checkpoint folder so routing reads it as is.
-    heavy = materialize(heavy)
-    light = x.join(F.broadcast(heavy), keys, "left_anti").groupBy(*keys).agg(*agg_names, *pct_aggs)
-    light = light.select(*keys, *[c for c in light.columns if c not in keys and not c.startswith("_pct_")],
-                         *picks)
-    hx = x.join(F.broadcast(heavy), keys, "left_semi")
-    hq = exact_quantiles(hx, keys, specs)
-    hb = hx.groupBy(*keys).agg(*agg_names)
-    return light.unionByName(hb.join(hq, keys))
