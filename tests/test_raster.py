@@ -8,6 +8,11 @@ from geolake.operators import raster as R
 A, E, FN = 1 / 1200, -1 / 1200, 48.9
 
 
+def _grid(spark, nrows, ncols, a=A, e=E, c=2.2, f=FN, deps=("75",)):
+    return spark.createDataFrame([(d, a, e, c, f, nrows, ncols) for d in deps],
+                                 "departement string, a double, e double, c double, f double, nrows int, ncols int")
+
+
 def _plane(spark, fz, n=12):
     rows = [("75", 0, r, c, float(fz(r, c))) for r in range(n) for c in range(n)]
     return spark.createDataFrame(rows, "departement string, tile_rank int, row int, col int, z double")
@@ -20,17 +25,58 @@ def _plane(spark, fz, n=12):
     (lambda r, c: 100.0, "flat"),
 ])
 def test_planes(spark, fz, expected):
-    cls = R.classify_exposure(R.mosaic(_plane(spark, fz)), A, E, FN)
+    cls = R.classify_exposure(R.mosaic(_plane(spark, fz)), _grid(spark, 12, 12))
+    assert cls.count() == 144
     assert {r.exposure for r in cls.collect()} == {expected}
 
 
 def test_isolated_nodata_cell_classified_neighbours_excluded(spark):
     cells = _plane(spark, lambda r, c: -9999 if (r, c) == (5, 5) else 100 + 10 * r)
-    got = {(r.row, r.col) for r in R.classify_exposure(cells, A, E, FN).collect()}
+    got = {(r.row, r.col) for r in R.classify_exposure(cells, _grid(spark, 12, 12)).collect()}
     assert (5, 5) in got
     assert not ({(4, 5), (6, 5), (5, 4), (5, 6)} & got)
 
 
+def _unit(spark):
+    return _grid(spark, 100, 100, 1.0, 1.0, 0.0, 0.0)
+
+
+def test_gap_of_absent_cells_is_nodata_not_an_edge(spark):
+    """Absent rows and columns give what the same cells with nodata give."""
+    def fz(r, c):
+        return 100 + 10 * r + 3 * c
+    gone = {(r, c) for r in range(12) for c in range(12) if c in (5, 6) or r == 8 or (r, c) == (2, 2)}
+    absent = _plane(spark, fz).where(~F.struct("row", "col").isin([F.struct(F.lit(r), F.lit(c)) for r, c in sorted(gone)]))
+    nodata = _plane(spark, lambda r, c: -9999 if (r, c) in gone else fz(r, c))
+    a, b = (sorted(map(tuple, R.slope_aspect(x, _grid(spark, 12, 12)).where("slope is not null").collect())) for x in (absent, nodata))
+    assert a == b and 0 < len(a) < 144
+    assert not {(r, 4) for r in range(12)} & {(x[1], x[2]) for x in a}
+
+
+def test_each_department_uses_its_own_grid(spark):
+    plane = _plane(spark, lambda r, c: 100 + 2 * c)
+    both = plane.unionByName(plane.withColumn("departement", F.lit("971")))
+    grid = _grid(spark, 12, 12).unionByName(_grid(spark, 12, 12, f=16.5, a=1 / 300, deps=("971",)))
+    got = {r.departement: r.s for r in R.slope_aspect(both, grid).groupBy("departement").agg(F.max("slope").alias("s")).collect()}
+    import math
+    for dep, a, f in (("75", A, FN), ("971", 1 / 300, 16.5)):
+        dx = a * 111320.0 * math.cos(math.radians(f + 6 * E))
+        assert abs(got[dep] - math.degrees(math.atan(2 / dx))) < 1e-9
+
+
+def test_tiles_are_clipped_to_department_grids(spark):
+    boxes = spark.createDataFrame([("A", 44.5, 1.5, 46.0, 2.5)], "departement string, south double, west double, north double, east double")
+    grid = R.department_grid(boxes, 0.1, -0.1)
+    assert (grid.first().nrows, grid.first().ncols) == (15, 10)
+    rows = [(la, lo, r, c, la * 1000 + lo * 100 + r * 10 + c * 1.0) for la, lo in ((44, 1), (45, 1), (45, 2), (50, 5)) for r in range(10) for c in range(10)]
+    got = {(r.row, r.col): r.z for r in R.mosaic(R.department_cells(spark.createDataFrame(
+        rows, "lat int, lon int, row int, col int, z double"), boxes, grid)).collect()}
+    # North-west corner: the middle of tile (45, 1); below row 10 tile (44, 1); (44, 2) is absent.
+    assert got[(0, 0)] == 45000 + 100 + 0 + 5 and got[(9, 4)] == 45000 + 100 + 90 + 9 and got[(0, 5)] == 45000 + 200
+    assert got[(10, 0)] == 44000 + 100 + 5 and got[(14, 4)] == 44000 + 100 + 40 + 9 and (10, 5) not in got
+    assert len(got) == 150 - 25
+
+
 def _flood_fill(grid):
     lab, comps = {}, []
     for (r, c), k in grid.items():
@@ -49,8 +95,8 @@ def _flood_fill(grid):
     return sorted(comps)
 
 
-@pytest.mark.parametrize("band_rows", [256, 5, 1])
-def test_regions_match_flood_fill(spark, band_rows):
+@pytest.mark.parametrize("tile", [(256, 1024), (5, 4), (1, 1000), (1000, 3)])
+def test_regions_match_flood_fill(spark, tile):
     rnd = random.Random(11)
     names = ["flat", "high_exposure", "low_exposure", "moderate"]
     grid = {(r, c): rnd.choice(names[:2]) for r in range(30) for c in range(17)
@@ -58,7 +104,7 @@ def test_regions_match_flood_fill(spark, band_rows):
     df = spark.createDataFrame([("75", r, c, k) for (r, c), k in grid.items()],
                                "departement string, row int, col int, exposure string")
     got = sorted((r.region_id, r.exposure, r.n_cells)
-                 for r in R.exposure_regions(df, band_rows=band_rows).collect())
+                 for r in R.exposure_regions(df, *tile).collect())
     assert got == _flood_fill(grid)
 
 
@@ -108,7 +154,7 @@ def test_region_ring_counts_match_flood_fill(spark):
             grid[(r, c)] = "moderate" if (r in (30, 34) or c in (0, 4)) else "low_exposure"
     df = spark.createDataFrame([("75", r, c, k) for (r, c), k in grid.items()],
                                "departement string, row int, col int, exposure string")
-    shapes = {r.region_id: (r.n_cells, r.n_rings) for r in R.region_shapes(df, 1.0, -1.0, 7).collect()}
+    shapes = {r.region_id: (r.n_cells, r.n_rings) for r in R.region_shapes(df, _unit(spark), 7, 6).collect()}
     seen = set()
     expected = {}
     for (r, c), k in sorted(grid.items()):
@@ -139,8 +185,8 @@ def test_region_rings_close_and_match_shapes(spark):
     grid[(25, 5)] = "moderate"                  # touches the ring only at a corner
     df = spark.createDataFrame([("75", r, c, k) for (r, c), k in grid.items()],
                                "departement string, row int, col int, exposure string")
-    shapes = {r.region_id: (r.n_rings, r.n_cells) for r in R.region_shapes(df, 1.0, -1.0).collect()}
-    rings = R.region_rings(df, 0.0, 0.0, 1.0, 1.0).collect()
+    shapes = {r.region_id: (r.n_rings, r.n_cells) for r in R.region_shapes(df, _unit(spark)).collect()}
+    rings = R.region_rings(df, _unit(spark), 6, 5).collect()
     per = {}
     for r in rings:
         per.setdefault(r.region_id, {}).setdefault(r.ring_id, []).append(r)
@@ -154,3 +200,13 @@ def test_region_rings_close_and_match_shapes(spark):
             for p, q in zip(pts, pts[1:] + pts[:1]):
                 assert p.lon == q.lon or p.lat == q.lat
     assert got == shapes
+
+
+def test_region_polygons_have_their_holes(spark):
+    cells = [(r, c, "moderate" if r in (0, 4) or c in (0, 4) else "flat") for r in range(5) for c in range(5)]
+    df = spark.createDataFrame([("75", *x) for x in cells], "departement string, row int, col int, exposure string")
+    got = {r.exposition: r.geom for r in R.region_polygons(R.region_rings(df, _unit(spark))).collect()}
+    outer, hole = got["moderate"].parts[0]
+    assert len(got["flat"].parts[0]) == 1 and len(outer) == len(hole) == 5
+    assert outer[0] == outer[-1] and {(p.x, p.y) for p in outer} == {(0, 0), (5, 0), (5, 5), (0, 5)}
+    assert {(p.x, p.y) for p in hole} == {(1, 1), (4, 1), (4, 4), (1, 4)}
