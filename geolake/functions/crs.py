@@ -1,4 +1,5 @@
-"""Lambert-93 (EPSG:2154) <-> WGS84 as pure Column math.
+"""Projected coordinates -> WGS84 as pure Column math: Lambert-93 (EPSG:2154)
+and the UTM zones of the overseas departments (any WGS84 UTM zone works).
 
 Lambert Conformal Conic, two standard parallels, on the GRS80 ellipsoid.
 RGF93 is treated as identical to WGS84 (no datum shift, as for the usual
@@ -14,7 +15,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .geometry import map_points, xy
+from .geometry import bind, map_points, xy
 
 # --- fixed values -----------------------------------------------------------
 # GRS80 ellipsoid and the Lambert-93 projection parameters (EPSG:2154).
@@ -26,6 +27,11 @@ L93_LAT0 = 46.5
 L93_LON0 = 3.0
 L93_X0 = 700000.0
 L93_Y0 = 6600000.0
+# UTM: scale on the central meridian, false easting, false northing (south).
+UTM_K0, UTM_E0, UTM_N0_SOUTH = 0.9996, 500000.0, 10000000.0
+# National realisations of UTM: EPSG code -> (zone, southern).
+UTM_NATIONAL = {4559: (20, False), 5490: (20, False), 2972: (22, False), 4471: (38, True), 2975: (40, True)}
+WGS84_CODES = (4326, 4171, 4258)   # geographic, same as WGS84 within a metre
 # --- end of fixed values ----------------------------------------------------
 
 _E = math.sqrt(2 * GRS80_F - GRS80_F ** 2)
@@ -53,17 +59,57 @@ def l93_to_lonlat(x: Column, y: Column) -> tuple[Column, Column]:
     dx = x - F.lit(L93_X0)
     dy = F.lit(RHO0) - (y - F.lit(L93_Y0))
     rho = F.sqrt(dx * dx + dy * dy)
-    theta = F.atan2(dx, dy)
-    t = F.pow(rho / F.lit(AF), F.lit(1.0 / N))
-    lon = theta / F.lit(N) + F.lit(LON0)
-    phi = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t)
-    for _ in range(_ITER):
-        # (1 - es) / (1 + es) written with es once, keeping the tree linear.
-        ratio = F.lit(2.0) / (F.lit(1.0) + F.lit(_E) * F.sin(phi)) - F.lit(1.0)
-        phi = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t * F.pow(ratio, F.lit(_E / 2)))
+    lon = F.atan2(dx, dy) / F.lit(N) + F.lit(LON0)
+
+    def latitude(t):
+        phi = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t)
+        for _ in range(_ITER):
+            # (1 - es) / (1 + es) written with es once, keeping the tree linear.
+            ratio = F.lit(2.0) / (F.lit(1.0) + F.lit(_E) * F.sin(phi)) - F.lit(1.0)
+            phi = F.lit(math.pi / 2) - F.lit(2.0) * F.atan(t * F.pow(ratio, F.lit(_E / 2)))
+        return phi
+    phi = bind(F.pow(rho / F.lit(AF), F.lit(1.0 / N)), latitude)
     return F.degrees(lon), F.degrees(phi)
 
 
+# Third flattening and the inverse transverse Mercator series (Krueger).
+_N3 = GRS80_F / (2 - GRS80_F)
+TM_RADIUS = GRS80_A / (1 + _N3) * (1 + _N3 ** 2 / 4 + _N3 ** 4 / 64)
+TM_BETA = (_N3 / 2 - 2 * _N3 ** 2 / 3 + 37 * _N3 ** 3 / 96, _N3 ** 2 / 48 + _N3 ** 3 / 15, 17 * _N3 ** 3 / 480)
+TM_DELTA = (2 * _N3 - 2 * _N3 ** 2 / 3 - 2 * _N3 ** 3, 7 * _N3 ** 2 / 3 - 8 * _N3 ** 3 / 5, 56 * _N3 ** 3 / 15)
+
+
+def utm_to_lonlat(x: Column, y: Column, zone: int, south: bool) -> tuple[Column, Column]:
+    """UTM (easting, northing) metres -> (lon, lat) degrees."""
+    scale = UTM_K0 * TM_RADIUS
+    xi = (y - F.lit(UTM_N0_SOUTH if south else 0.0)) / F.lit(scale)
+    eta = (x - F.lit(UTM_E0)) / F.lit(scale)
+    xi1, eta1 = xi, eta
+    for j, b in enumerate(TM_BETA, 1):
+        xi1 = xi1 - F.lit(b) * F.sin(xi * (2.0 * j)) * F.cosh(eta * (2.0 * j))
+        eta1 = eta1 - F.lit(b) * F.cos(xi * (2.0 * j)) * F.sinh(eta * (2.0 * j))
+    lon = F.lit(math.radians(6 * zone - 183)) + F.atan2(F.sinh(eta1), F.cos(xi1))
+
+    def latitude(chi):
+        phi = chi
+        for j, d in enumerate(TM_DELTA, 1):
+            phi = phi + F.lit(d) * F.sin(chi * (2.0 * j))
+        return phi
+    lat = bind(F.asin(F.sin(xi1) / F.cosh(eta1)), latitude)
+    return F.degrees(lon), F.degrees(lat)
+
+
+def utm_zone(epsg: int) -> tuple[int, bool] | None:
+    """(zone, southern) of an EPSG code, None if it is no UTM code known here."""
+    if epsg in UTM_NATIONAL:
+        return UTM_NATIONAL[epsg]
+    if 32601 <= epsg <= 32660:
+        return epsg - 32600, False
+    if 32701 <= epsg <= 32760:
+        return epsg - 32700, True
+    return None
+
+
 def lonlat_to_l93(lon: Column, lat: Column) -> tuple[Column, Column]:
     """(lon, lat) degrees -> (easting, northing) metres (forward LCC)."""
     phi = F.radians(lat)
@@ -76,16 +122,41 @@ def lonlat_to_l93(lon: Column, lat: Column) -> tuple[Column, Column]:
 
 def l93_to_wgs84(geom: Column) -> Column:
     """Reproject every vertex of a Lambert-93 geometry to WGS84."""
-    def fn(x, y):
-        lon, lat = l93_to_lonlat(x, y)
-        return xy(lon, lat)
-    return map_points(geom, fn)
+    return map_points(geom, lambda x, y: xy(*l93_to_lonlat(x, y)))
+
+
+def utm_to_wgs84(geom: Column, zone: int, south: bool) -> Column:
+    return map_points(geom, lambda x, y: xy(*utm_to_lonlat(x, y, zone, south)))
+
+
+# Codes a column of codes may hold: the national grids.
+COLUMN_CODES = (2154, *UTM_NATIONAL)
 
 
 def to_wgs84(geom: Column, src_epsg: Column | int | None) -> Column:
-    """Reproject only when the source CRS is 2154; 4326 and unknown pass as is."""
+    """Reproject from the source CRS.  WGS84 and an undeclared CRS (None /
+    NULL) pass as is; an unknown code is an error, never a silent pass."""
     if src_epsg is None:
         return geom
     if isinstance(src_epsg, int):
-        return l93_to_wgs84(geom) if src_epsg == 2154 else geom
-    return F.when(src_epsg == 2154, l93_to_wgs84(geom)).otherwise(geom)
+        if src_epsg in WGS84_CODES:
+            return geom
+        if src_epsg == 2154:
+            return l93_to_wgs84(geom)
+        zone = utm_zone(src_epsg)
+        if zone is None:
+            raise ValueError(f"EPSG:{src_epsg} is not supported")
+        return utm_to_wgs84(geom, *zone)
+    code = src_epsg.cast("int")
+    out = F.when(code.isNull() | code.isin(*WGS84_CODES), geom)
+    for c in COLUMN_CODES:
+        out = out.when(code == c, to_wgs84(geom, c))
+    return out.otherwise(F.raise_error(F.concat(F.lit("unsupported EPSG:"), code.cast("string"))))
+
+
+def source_crs(df, default: int | None) -> Column | int | None:
+    """The CRS of a layer's rows: their ``src_epsg`` column (``default`` where
+    it is NULL) if they carry one, else ``default``."""
+    if "src_epsg" not in df.columns:
+        return default
+    return F.coalesce(F.col("src_epsg").cast("int"), F.lit(default).cast("int"))

@@ -193,11 +193,6 @@ def cell_id(lat_floor: int, lon_floor: int) -> int:
     return (lat_floor + 90) * 1000 + (lon_floor + 180)
 
 
-def cell_of(lat: Column, lon: Column) -> Column:
-    """Column version of :func:`cell_id`."""
-    return (F.floor(lat) + 90) * 1000 + (F.floor(lon) + 180)
-
-
 def cell_index(deps: Iterable[str] | None = None) -> dict[int, list[str]]:
     """1-degree cell -> departments whose box touches it (bounded: fixed boxes)."""
     deps = list(deps) if deps else ALL_DEPARTMENTS

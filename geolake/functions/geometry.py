@@ -6,6 +6,7 @@ Canonical column type::
                  parts: array<array<array<struct<x: double, y: double>>>>>
 
 part -> ring -> vertex; Point = [[[p]]], LineString = [[pts]],
+MultiPoint = [[pts]], MultiLineString = [[line, line...]],
 Polygon = [[exterior, hole...]], MultiPolygon = [polygon...].  x = lon,
 y = lat (EPSG:4326).  Everything here is a higher-order Column expression
 (``transform``/``filter``/``aggregate``), evaluated inside whole-stage
@@ -31,10 +32,6 @@ def _geom(kind: str, parts: Column) -> Column:
     return F.struct(F.lit(kind).alias("type"), parts.alias("parts"))
 
 
-def null_geom() -> Column:
-    return F.lit(None).cast(GEOM_TYPE)
-
-
 def point(lon: Column, lat: Column) -> Column:
     """Point from lon/lat; NULL when either is NULL (callers drop such rows)."""
     return F.when(lon.isNotNull() & lat.isNotNull(),
@@ -141,28 +138,27 @@ def flatten_geom(df, col: str = "geom", prefix: str = "geom"):
     return df.select(*others, *geom_stats(F.col(col), prefix))
 
 
-def to_wkt(geom: Column) -> Column:
-    """WKT text of a geometry (sink-side export)."""
-    def ring(r):
-        return F.concat(F.lit("("), F.array_join(
-            F.transform(r, lambda p: F.concat_ws(" ", p["x"].cast("string"),
-                                                 p["y"].cast("string"))), ", "), F.lit(")"))
-
-    def poly(p):
-        return F.concat(F.lit("("), F.array_join(F.transform(p, ring), ", "), F.lit(")"))
+def bind(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` (a let-binding).
 
-    t = geom["type"]
-    parts = geom["parts"]
-    return (F.when(t == "Point", F.concat(F.lit("POINT "), ring(F.get(F.get(parts, 0), 0))))
-            .when(t == "LineString", F.concat(F.lit("LINESTRING "), ring(F.get(F.get(parts, 0), 0))))
-            .when(t == "Polygon", F.concat(F.lit("POLYGON "), poly(F.get(parts, 0))))
-            .when(t == "MultiPolygon", F.concat(
-                F.lit("MULTIPOLYGON ("), F.array_join(F.transform(parts, poly), ", "), F.lit(")"))))
+    Higher-order functions are interpreted, without common-subexpression
+    elimination; binding through a one-element ``transform`` keeps a value
+    used several times from being recomputed."""
+    return F.get(F.transform(F.array(value), fn), 0)
 
 
 def map_points(geom: Column, fn) -> Column:
     """Apply ``fn(x, y) -> struct<x,y>`` to every vertex (e.g. reprojection)."""
-    return F.when(geom.isNotNull(), F.struct(
-        geom["type"].alias("type"),
-        F.transform(geom["parts"], lambda part: F.transform(
-            part, lambda r: F.transform(r, lambda p: fn(p["x"], p["y"])))).alias("parts")))
+    def moved(g):
+        return F.when(g.isNotNull(), F.struct(
+            g["type"].alias("type"),
+            F.transform(g["parts"], lambda part: F.transform(
+                part, lambda r: F.transform(r, lambda p: fn(p["x"], p["y"])))).alias("parts")))
+    return bind(geom, moved)
+
+
+def with_geom(df, geom: Column, col: str = "geom"):
+    """``df`` with the geometry column, rows without a geometry dropped.  The
+    geometry goes through a one-row explode, so the optimiser cannot copy its
+    expression into a pushed-down filter."""
+    return df.withColumn(col, F.explode(F.array(geom))).where(F.col(col).isNotNull())

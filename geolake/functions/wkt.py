@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .geometry import GEOM_TYPE, xy
+from .geometry import GEOM_TYPE, bind, xy
 from .text import to_double
 
 _KIND = {"POINT": "Point", "LINESTRING": "LineString", "POLYGON": "Polygon",
+         "MULTIPOINT": "MultiPoint", "MULTILINESTRING": "MultiLineString",
          "MULTIPOLYGON": "MultiPolygon"}
 
 
@@ -25,21 +26,12 @@ def _polygon(s: Column) -> Column:
     return F.transform(F.split(s, r"\)\s*,\s*\("), _ring)
 
 
-def bind(value: Column, fn) -> Column:
-    """Evaluate ``value`` once and pass it to ``fn`` (a let-binding).
-
-    Higher-order functions are interpreted, without common-subexpression
-    elimination; binding through a one-element ``transform`` keeps a value
-    used several times from being recomputed."""
-    return F.get(F.transform(F.array(value), fn), 0)
-
-
 # Coordinates text may hold only numbers, separators and parentheses.
 _NUMERIC_BODY = r"^[-+0-9eE.,()\s]*$"
 
 
 def parse_wkt(wkt: Column) -> Column:
-    """WKT (POINT, LINESTRING, POLYGON with holes, MULTIPOLYGON) -> geometry.
+    """WKT (points, lines and polygons with holes, single or multiple) -> geometry.
 
     NULL / empty text, an unknown type or any non-numeric coordinate gives a
     NULL geometry.
@@ -52,7 +44,8 @@ def parse_wkt(wkt: Column) -> Column:
     def build(h):
         t, body = h["t"], h["b"]
         parts = (F.when(t.isin("Point", "LineString"), F.array(F.array(_ring(body))))
-                 .when(t == "Polygon", F.array(_polygon(body)))
+                 .when(t == "MultiPoint", F.array(F.array(_ring(F.translate(body, "()", "")))))
+                 .when(t.isin("Polygon", "MultiLineString"), F.array(_polygon(body)))
                  .when(t == "MultiPolygon",
                        F.transform(F.split(body, r"\)\)\s*,\s*\(\("), _polygon)))
         ok = t.isNotNull() & body.rlike(_NUMERIC_BODY) & (F.trim(body) != "")

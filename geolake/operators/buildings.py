@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.crs import to_wgs84
-from ..functions.geometry import point
+from ..functions.geometry import point, with_geom
 from ..functions.text import null_tokens
 from ..functions.wkt import find_geom_col, parse_geopoint, parse_wkt
 
@@ -42,7 +42,7 @@ def building_table(df: DataFrame, src_epsg: int = 2154) -> DataFrame:
     if gcol is None:
         return out
     g = to_wgs84(parse_wkt(F.col(f"`{gcol}`")), src_epsg)
-    return out.withColumn("geom", g).drop(gcol).where(F.col("geom").isNotNull())
+    return with_geom(out, g).drop(gcol)
 
 
 def dpe_collectif(df: DataFrame, deps: Iterable[str] | None = None,

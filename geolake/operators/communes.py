@@ -63,11 +63,6 @@ def crime_pivot(df: DataFrame, year: int, deps: Iterable[str],
             .withColumn("departement", dep_of(F.col("code_commune"))))
 
 
-def indicator_slug(df: DataFrame, col: str = "indicateur") -> DataFrame:
-    """Column-expression slug of the indicator name (for long-form outputs)."""
-    return df.withColumn("indicator_slug", slug(F.col(col)))
-
-
 # ------------------------------------------------------------------ rents (A4)
 RENT_COLUMNS = [
     ("INSEE_C", "code_commune", "text"), ("DEP", "departement", "text"),

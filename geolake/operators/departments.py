@@ -93,14 +93,15 @@ def departments_of_lines(lines: Column, deps: Iterable[str] | None = None) -> Co
     """``array<array<struct<lat,lon>>>`` (polylines) -> departments whose box
     a polyline touches: a vertex inside or a segment crossing it.
 
-    Candidates are the boxes overlapping the element's extent (a scan of the
-    fixed box list), refined by the exact segment test.  The cleaned lines
+    Candidates are the boxes of the grid cells under the element's extent
+    (all boxes, if it spans more cells than there are boxes), refined by the
+    extents and then by the exact segment test.  The cleaned lines
     and the extent are bound once per element (higher-order functions are
     interpreted without common-subexpression elimination)."""
     deps = [d for d in (list(deps) if deps else ALL_DEPARTMENTS) if d in DEP_BBOX]
     if not deps:
         return F.array().cast("array<string>")
-    _, boxes, codes, *_ = _grid(deps)
+    grid, boxes, codes, lat0, lat1, lon0, lon1, width = _grid(deps)
     idx = F.sequence(F.lit(0), F.lit(len(deps) - 1))
     ls = F.filter(F.transform(lines, lambda l: F.filter(
         l, lambda p: p["lat"].isNotNull() & p["lon"].isNotNull())), lambda l: F.size(l) > 0)
@@ -135,7 +136,14 @@ def departments_of_lines(lines: Column, deps: Iterable[str] | None = None) -> Co
                     return F.exists(L, line_hits)
                 return _bind(F.element_at(boxes, i + 1), with_box)
 
-            return F.transform(F.filter(F.filter(idx, near), hits),
+            la0, la1 = F.greatest(F.floor(x["y0"]), F.lit(lat0)), F.least(F.floor(x["y1"]), F.lit(lat1))
+            lo0, lo1 = F.greatest(F.floor(x["x0"]), F.lit(lon0)), F.least(F.floor(x["x1"]), F.lit(lon1))
+            by_cell = F.transform(F.sequence(la0, la1), lambda la: F.transform(
+                F.sequence(lo0, lo1), lambda lo: F.element_at(grid, ((la - lat0) * width + (lo - lon0) + 1).cast("int"))))
+            cand = (F.when((la0 > la1) | (lo0 > lo1), F.array().cast("array<int>"))
+                    .when((la1 - la0 + 1) * (lo1 - lo0 + 1) <= len(deps), F.array_distinct(F.flatten(F.flatten(by_cell))))
+                    .otherwise(idx))
+            return F.transform(F.filter(F.filter(cand, near), hits),
                                lambda i: F.element_at(codes, i + 1))
         return _bind(ext, with_extent)
 

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.crs import to_wgs84
+from ..functions.crs import source_crs, to_wgs84
 from ..functions.departments import in_departments_code, zfill_dep
 from ..functions.text import parse_date
 
@@ -86,7 +86,7 @@ def flood_zones(layers: Sequence[DataFrame], dep: str | Column | None = None,
         F.col("cours_deau").alias("watercourse"),
         F.col("id_tri").alias("tri_id"),
         "departement",
-        to_wgs84(F.col("geom"), src_epsg).alias("geom"))
+        to_wgs84(F.col("geom"), source_crs(out, src_epsg)).alias("geom"))
 
 
 def clay_zones(df: DataFrame, deps: Iterable[str], src_epsg: int = 2154) -> DataFrame:
@@ -98,13 +98,15 @@ def clay_zones(df: DataFrame, deps: Iterable[str], src_epsg: int = 2154) -> Data
     return (df.where(dep.isin(list(deps)))
             .select(F.coalesce(_lookup(CLAY_LEVELS, level), F.lit("unknown")).alias("exposure_level"),
                     dep.alias("departement"),
-                    to_wgs84(F.col("geom"), src_epsg).alias("geom")))
+                    to_wgs84(F.col("geom"), source_crs(df, src_epsg)).alias("geom")))
 
 
 # ------------------------------------------------- pass-through geo layers
 def coastal_erosion(df: DataFrame, src_epsg: Column | int | None = 2154) -> DataFrame:
     """All attribute columns as is; geometry reprojected when not WGS84."""
-    return df.withColumn("geom", to_wgs84(F.col("geom"), src_epsg))
+    if isinstance(src_epsg, Column):
+        return df.withColumn("geom", to_wgs84(F.col("geom"), src_epsg))
+    return df.withColumn("geom", to_wgs84(F.col("geom"), source_crs(df, src_epsg))).drop("src_epsg")
 
 
 def icu_union(layers: Sequence[DataFrame]) -> DataFrame:

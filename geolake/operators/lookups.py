@@ -34,8 +34,10 @@ def prices_with_geometry(prices: DataFrame, sections: DataFrame, how: str = "inn
 
 
 def attach_commune(df: DataFrame, communes: DataFrame, how: str = "inner") -> DataFrame:
-    """Any commune-level table joined to commune names/geometry."""
-    return df.join(communes.drop("departement", "geom"), "code_commune", how)
+    """Any commune-level table joined to commune names and geometries (columns
+    that the table has itself are kept from it)."""
+    extra = [c for c in communes.columns if c == "code_commune" or c not in df.columns]
+    return df.join(communes.select(*extra), "code_commune", how)
 
 
 def sections_of_commune(sections: DataFrame, code: str) -> DataFrame:
@@ -60,6 +62,11 @@ def sample_rows(df: DataFrame, n: int, order: Sequence[str] | None = None) -> Da
 
 
 # ------------------------------------------------------------ wikidata
+def wikidata_ids(pois: DataFrame) -> DataFrame:
+    """The distinct QIDs to look up."""
+    return pois.select("wikidata_id").where(F.col("wikidata_id").isNotNull()).distinct()
+
+
 def entity_enrichment(entities: DataFrame) -> DataFrame:
     """QID -> description (fr if the key exists, even with a NULL value, else
     en) and image URL from the first P18 claim; entities flagged missing are

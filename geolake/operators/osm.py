@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
@@ -289,13 +289,12 @@ def dedupe_first_seen(rows: DataFrame, layer: Layer) -> DataFrame:
     returned it.  Rows of that same first category are all kept, as the
     reference updates its seen-set after each whole query.
 
-    The minimum rank per (department, id) is a map-side combined aggregate,
-    joined back: a hot id never lands whole in one window task.
+    One pass: the minimum rank over the few rows of a (department, id), an
+    id being one OSM element.
     """
-    ranked = rows.withColumn("_rank", category_rank())
-    first = ranked.groupBy("departement", "id").agg(F.min("_rank").alias("_first"))
-    return ranked.join(first, ["departement", "id"]) \
-        .where(F.col("_rank") == F.col("_first")).drop("_rank", "_first")
+    first = F.min("_rank").over(Window.partitionBy("departement", "id"))
+    ranked = rows.withColumn("_rank", category_rank()).withColumn("_first", first)
+    return ranked.where(F.col("_rank") == F.col("_first")).drop("_rank", "_first")
 
 
 def attach_wikidata(pois: DataFrame, entities: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.crs import to_wgs84
+from ..functions.crs import source_crs, to_wgs84
 
 # --- fixed values -----------------------------------------------------------
 # Exact zone types and their category; other types fall back on their base
@@ -81,7 +81,7 @@ def covered_zones(zones: DataFrame, status: DataFrame, src_epsg: int = 2154) ->
         "typezone", zone_category(F.col("typezone")).alias("zone_category"),
         "libelle", "libelong", col_or_null(z, "destdomi").alias("destdomi"), "idurba",
         col_or_null(z, "datappro").alias("datappro"), col_or_null(z, "urlfic").alias("urlfic"),
-        "departement", to_wgs84(F.col("geom"), src_epsg).alias("geom"))
+        "departement", to_wgs84(F.col("geom"), source_crs(z, src_epsg)).alias("geom"))
 
 
 def covered_prescriptions(presc: DataFrame, status: DataFrame, src_epsg: int = 2154) -> DataFrame:
@@ -90,7 +90,7 @@ def covered_prescriptions(presc: DataFrame, status: DataFrame, src_epsg: int = 2
     return p.select(
         "typepsc", col_or_null(p, "stypepsc").alias("stypepsc"), "libelle",
         col_or_null(p, "txt").alias("txt"), "departement",
-        to_wgs84(F.col("geom"), src_epsg).alias("geom"))
+        to_wgs84(F.col("geom"), source_crs(p, src_epsg)).alias("geom"))
 
 
 def union_layers(layers) -> DataFrame:

@@ -29,7 +29,8 @@ def _xy(p: Column) -> Column:
 
 
 def geojson_geometry(geometry: Column) -> Column:
-    """GeoJSON geometry struct (type + raw coordinates text) -> geometry."""
+    """GeoJSON geometry struct (type + raw coordinates text) -> geometry; a
+    GeometryCollection has no one type and gives NULL."""
     t, raw = geometry["type"], geometry["coordinates"]
 
     def parts_of(kind: str) -> Column:
@@ -42,10 +43,9 @@ def geojson_geometry(geometry: Column) -> Column:
             return F.array(F.transform(c, lambda r: F.transform(r, _xy)))
         return F.transform(c, lambda poly: F.transform(poly, lambda r: F.transform(r, _xy)))
 
-    kind_out = {"MultiPoint": "LineString", "MultiLineString": "Polygon"}
     expr = None
     for kind in _COORDS:
-        g = F.struct(F.lit(kind_out.get(kind, kind)).alias("type"), parts_of(kind).alias("parts"))
+        g = F.struct(F.lit(kind).alias("type"), parts_of(kind).alias("parts"))
         expr = F.when(t == kind, g) if expr is None else expr.when(t == kind, g)
     return expr.otherwise(F.lit(None).cast(GEOM_TYPE))
 
@@ -75,6 +75,16 @@ def explode_collection(docs: DataFrame, properties: StructType, col: str = "valu
     return f.select("f.properties.*", geojson_geometry(F.col("f.geometry")).alias("geom"))
 
 
+def explode_properties(docs: DataFrame, properties: StructType, col: str = "value") -> DataFrame:
+    """Feature documents ``{"features": [...]}`` (one per row, bounded: an API
+    answer) -> one row per feature with its ``properties`` (NULL allowed).
+    ``ordinal`` becomes (the document's ordinal, the feature's place)."""
+    schema = StructType([S.StructField("features", S.ArrayType(StructType([
+        S.StructField("properties", properties)])))])
+    rows = docs.select("ordinal", F.posexplode(F.from_json(F.col(col), schema)["features"]).alias("place", "f"))
+    return rows.select(F.col("f.properties").alias("properties"), F.struct("ordinal", "place").alias("ordinal"))
+
+
 def parse_osm(lines: DataFrame, col: str = "value") -> DataFrame:
     """Line-delimited Overpass elements -> element rows."""
     return lines.select(F.from_json(F.col(col), S.OSM_ELEMENT).alias("e")).select("e.*")

@@ -10,10 +10,11 @@ single file is large.
 
 from __future__ import annotations
 
-import os
+import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -21,15 +22,20 @@ from ..functions.text import null_tokens
 from . import parse as P
 from . import schemas as S
 
+_log = logging.getLogger(__name__)
+
 
 def _file_stem() -> F.Column:
     """Base name of the source file without extensions (e.g. ``75``)."""
     return F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]+)", 1)
 
 
-def _ordinal() -> F.Column:
-    """File order: increasing with file offset within a file split."""
-    return F.monotonically_increasing_id()
+def _ordinal() -> Column:
+    """File order over any number of files: path, split offset, place in the
+    split (one split is one task's, which numbers its rows in order)."""
+    return F.struct(F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
 
 
 # ---------------------------------------------------------------------- CSV
@@ -93,7 +99,7 @@ def read_geojson(spark: SparkSession, path: str, properties: StructType,
     (splittable) by default; a FeatureCollection document otherwise."""
     if line_delimited:
         return P.parse_features(spark.read.text(path), properties)
-    return P.explode_collection(spark.read.option("wholetext", True).text(path), properties)
+    return P.explode_collection(spark.read.text(path, wholetext=True), properties)
 
 
 def read_osm(spark: SparkSession, path: str, line_delimited: bool = True) -> DataFrame:
@@ -108,11 +114,8 @@ def read_osm(spark: SparkSession, path: str, line_delimited: bool = True) -> Dat
 def read_atmo(spark: SparkSession, path: str, properties: StructType) -> DataFrame:
     """Atmo feature documents -> rows with a ``properties`` struct (NULL
     properties allowed)."""
-    schema = StructType([S.StructField("features", S.ArrayType(StructType([
-        S.StructField("properties", properties)])))])
-    return (spark.read.schema(schema).option("multiLine", True).json(path)
-            .select(F.explode("features").alias("f"))
-            .select(F.col("f.properties").alias("properties"), _ordinal().alias("ordinal")))
+    docs = spark.read.text(path, wholetext=True).select("value", _ordinal().alias("ordinal"))
+    return P.explode_properties(docs, properties)
 
 
 def read_dpe(spark: SparkSession, path: str, record: StructType) -> DataFrame:
@@ -123,34 +126,52 @@ def read_dpe(spark: SparkSession, path: str, record: StructType) -> DataFrame:
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    """Elevation cell table ``(departement, tile_rank, row, col, z)``."""
+    """Elevation cells ``(lat, lon, row, col, z)``: the south-west corner
+    of the 1-degree tile and the cell's place from its north-west corner."""
     return spark.read.parquet(path)
 
 
 def read_layers(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> DataFrame:
     """Several layers of differing schemas, stacked by column name
-    (missing columns -> NULL).  An unreadable layer is skipped."""
+    (missing columns -> NULL).  A layer whose path or schema cannot be read is
+    skipped with a warning; none readable is an error."""
     out = None
     for p in paths:
         try:
             df = spark.read.format(fmt).load(p)
-        except Exception:  # noqa: BLE001 - a broken layer is skipped, like the reference
+        except AnalysisException as e:
+            _log.warning("layer %s skipped: %s", p, e)
             continue
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"none of the layers can be read: {list(paths)}")
     return out
 
 
 def read_flood_layers(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
     """Every flood-zone surface layer under ``root`` (name pattern
-    ``*inondable_*_s_*``), searched recursively."""
-    return (spark.read.format(fmt).option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*inondable_*_s_*").load(root))
+    ``*inondable_*_s_*``), searched recursively.  Columns are merged over the
+    files (optional ones are NULL where absent); without a ``departement``
+    column the nearest folder named like a department code gives it."""
+    df = (spark.read.format(fmt).option("recursiveFileLookup", True).option("mergeSchema", True)
+          .option("pathGlobFilter", "*inondable_*_s_*").load(root))
+    if "departement" in df.columns:
+        return df
+    dep = F.regexp_extract(F.col("_metadata.file_path"), r"/(0[1-9]|[1-8][0-9]|9[0-5]|2[AB]|97[0-9])(?=/)(?!.*/(?:0[1-9]|[1-8][0-9]|9[0-5]|2[AB]|97[0-9])/)", 1)
+    return df.withColumn("departement", F.when(dep != "", dep))
+
+
+def read_folder(spark: SparkSession, path: str) -> DataFrame:
+    """A folder of Parquet files of differing optional columns."""
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on whatever storage it is."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
 def read_entities(spark: SparkSession, path: str) -> DataFrame:
     """Entity batch documents (one JSON document per line)."""
     return P.parse_entities(spark.read.text(path))
-
-
-def landed(root: str, *parts: str) -> str:
-    return os.path.join(root, *parts)
