@@ -134,7 +134,7 @@ def osm_input(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.concat(F.lit("el"), F.col("o_orderkey").cast("string")).alias("value")),
         F.struct(F.lit("wikidata").alias("key"),
                  F.when(F.col("o_custkey") % 3 != 0,
-                        F.concat(F.lit("Q"), (F.col("o_custkey") % 400).cast("string")))
+                        F.concat(F.lit("Q"), F.expr("o_orderkey div 7").cast("string")))
                  .alias("value")))
     tags = F.map_from_entries(F.filter(entries, lambda e: e["key"].isNotNull() & e["value"].isNotNull()))
     closed = F.when(F.col("o_orderkey") % 2 == 0,
@@ -444,7 +444,7 @@ def building_geo_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def building_star_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """orders as buildings; their first three lines as satellite tables."""
+    """orders as buildings; their lines 1 to 7 as the seven satellite tables."""
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
     bid = F.concat(F.lit("BG"), F.col("o_orderkey").cast("string"))
@@ -459,6 +459,14 @@ def building_star_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, di
             lid, F.col("l_linestatus").alias("classe"), (F.col("l_quantity") * 10).alias("conso")),
         "natural_risks": li.where(F.col("l_linenumber") == 3).select(
             lid, (F.col("l_discount") > 0.05).alias("alea_fort")),
+        "property_values": li.where(F.col("l_linenumber") == 4).select(
+            lid, F.col("l_extendedprice").alias("valeur")),
+        "coproperty": li.where(F.col("l_linenumber") == 5).select(
+            lid, F.col("l_partkey").alias("nb_lots")),
+        "social_housing": li.where(F.col("l_linenumber") == 6).select(
+            lid, F.col("l_suppkey").alias("bailleur"), F.col("l_tax").alias("part_sociale")),
+        "addresses": li.where(F.col("l_linenumber") == 7).select(
+            lid, F.concat(F.lit("Rue "), F.col("l_suppkey").cast("string")).alias("libelle")),
     }
     return buildings, sats
 
@@ -506,6 +514,19 @@ def k1_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return old, new
 
 
+def k6_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int]:
+    """orders as a table of several years, and a load of one year whose rows
+    also hold departments that were not requested."""
+    year = 1996
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", dep_num_code(F.col("o_custkey") % 96 + 1).alias("departement"),
+        F.year("o_orderdate").alias("year"))
+    old = o.select("*", F.lit("old").alias("vintage"))
+    new = o.where(F.col("o_orderkey") % 5 == 1).select(
+        "o_orderkey", "departement", F.lit(year).alias("year"), F.lit("new").alias("vintage"))
+    return old, new, year
+
+
 # ---------------------------------------------------------------- planning
 PLU_DEPS = [f"{i:02d}" for i in range(1, 96) if i != 20] + ["2A", "971"]
 ZONE_TYPES = ["U", "AUc", "AUs", "AU", "A", "N", "Uh", "AUs1", "AUS", "1AU", "ua", "", None, "Nh2"]
@@ -611,28 +632,106 @@ def pollen_features_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.when(i % 50 != 0, props).alias("properties"))
 
 
+# ------------------------------------------------------- geometry and CRS
+PROJECTED = [2975, 5490, 2972, 4471, 4559, 2154, 4326, None]
+
+
+def projected_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as points of several source CRS (one undeclared)."""
+    from ..functions.geometry import point
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    code = F.get(F.array(*[F.lit(c).cast("int") for c in PROJECTED]), (k % len(PROJECTED)).cast("int"))
+    geographic = code.isNull() | (code == 4326)
+    x = F.when(geographic, (k % 300) / 10.0 - 15).otherwise(F.lit(300000.0) + (k % 400) * 1000.0)
+    y = (F.when(geographic, (k % 170) / 2.0 - 40)
+         .when(code.isin(2975, 4471), F.lit(7600000.0) + (k % 900) * 700.0)
+         .when(code == 2154, F.lit(6300000.0) + (k % 700) * 1000.0)
+         .otherwise(F.lit(300000.0) + (k % 1500) * 1000.0))
+    return p.select("p_partkey", code.alias("src_epsg"), point(x, y).alias("geom"))
+
+
+def multi_geometry_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as WKT and GeoJSON texts of multi-points and multi-lines."""
+    p = table(spark, sf_dir, "part")
+    k, n = F.col("p_partkey"), F.col("p_size")
+    a = [F.concat_ws(" ", (k + i).cast("string"), (n * i).cast("string")) for i in range(5)]
+    j = [F.concat(F.lit("["), (k + i).cast("string"), F.lit(","), (n * i).cast("string"), F.lit("]")) for i in range(5)]
+    kind = k % 4
+    wkt = (F.when(kind == 0, F.concat(F.lit("MULTIPOINT ("), F.concat_ws(", ", *a[:3]), F.lit(")")))
+           .when(kind == 1, F.concat(F.lit("MULTIPOINT (("), F.concat_ws("), (", *a[:4]), F.lit("))")))
+           .when(kind == 2, F.concat(F.lit("MULTILINESTRING (("), F.concat_ws(", ", *a[:2]), F.lit("), ("),
+                                     F.concat_ws(", ", *a[2:]), F.lit("))")))
+           .otherwise(F.lit("GEOMETRYCOLLECTION (POINT (1 2))")))
+
+    def feature(t: str, coords: Column) -> Column:
+        return F.concat(F.lit('{"type":"' + t + '","coordinates":'), coords, F.lit("}"))
+
+    def array(*items: Column) -> Column:
+        return F.concat(F.lit("["), F.concat_ws(",", *items), F.lit("]"))
+    geojson = (F.when(kind == 0, feature("MultiPoint", array(*j[:3]))).when(kind == 1, feature("MultiPoint", array(*j[:4])))
+               .when(kind == 2, feature("MultiLineString", array(array(*j[:2]), array(*j[2:]))))
+               .otherwise(F.lit('{"type":"GeometryCollection","geometries":[]}')))
+    return p.select("p_partkey", wkt.alias("wkt"), geojson.alias("geojson"))
+
+
 # ------------------------------------------------------------------ raster
-DEM_A, DEM_E, DEM_F, DEM_C = 1 / 1200, -1 / 1200, 48.9, 2.2
-DEM_DEP = "75"
+# Grids of differing size and resolution: department, columns, a, e, c, f.
+DEM_GRIDS = [("75", 40, 1 / 1200, -1 / 1200, 2.2, 48.9), ("2A", 23, 1 / 800, -1 / 800, 8.5, 43.1),
+             ("971", 31, 1 / 1000, -1 / 1000, -61.8, 16.5)]
 
 
 def dem_cells_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """part as elevation cells of one department grid, 40 columns wide;
-    every tenth cell is also covered by a second (overlapping) tile."""
+    """part as elevation cells of three departments' grids: every tenth cell
+    is also covered by a second tile, some cells by the second tile only and
+    some by none, and some hold nodata."""
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
-    row, col = F.floor(k / 40), k % 40
+    i = (k % len(DEM_GRIDS)).cast("int")
+    j = F.expr(f"p_partkey div {len(DEM_GRIDS)}")
+    dep = F.get(F.array(*[F.lit(g[0]) for g in DEM_GRIDS]), i)
+    width = F.get(F.array(*[F.lit(g[1]) for g in DEM_GRIDS]), i)
+    row, col = F.floor(j / width), j % width
     z = (F.when(k % 97 == 0, F.lit(-9999.0))
          .when(row < 25, (F.floor(F.col("p_size") / 17) * 20).cast("double"))
          .otherwise((F.abs(row - 37) * 3 + F.abs(col - 20) * 2).cast("double")))
-    base = p.select(F.lit(DEM_DEP).alias("departement"), F.lit(0).alias("tile_rank"),
-                    row.cast("int").alias("row"), col.cast("int").alias("col"), z.alias("z"))
-    over = p.where(k % 10 == 0).select(
-        F.lit(DEM_DEP).alias("departement"), F.lit(1).alias("tile_rank"),
-        row.cast("int").alias("row"), col.cast("int").alias("col"), (z + 500.0).alias("z"))
+    cells = p.select(dep.alias("departement"), j.alias("j"), row.cast("int").alias("row"), col.cast("int").alias("col"),
+                     z.alias("z"), (k % 10 == 0).alias("twice"))
+    absent = F.col("j") % 53 == 7
+    base = cells.where(~absent).select("departement", F.lit(0).alias("tile_rank"), "row", "col", "z")
+    over = cells.where(F.col("twice") | (absent & (F.col("j") % 2 == 0))).select(
+        "departement", F.lit(1).alias("tile_rank"), "row", "col", (F.col("z") + 500.0).alias("z"))
     return base.unionByName(over)
 
 
+def dem_grid_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grids, as high as the part keys reach (absent cells included)."""
+    top = table(spark, sf_dir, "part").agg(F.max("p_partkey").alias("k"))
+    rows = spark.createDataFrame([(i, *g) for i, g in enumerate(DEM_GRIDS)],
+                                 "i int, departement string, ncols int, a double, e double, c double, f double")
+    n = len(DEM_GRIDS)
+    last = F.expr(f"(k - pmod(k - i, {n}) - i) div {n}")   # the department's last cell
+    return rows.join(F.broadcast(top)).select(
+        "departement", "a", "e", "c", "f", (F.floor(last / F.col("ncols")) + 1).cast("int").alias("nrows"), "ncols")
+
+
+TILE_SIDE = 20
+
+
+def dem_tiles_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """part as cells of 1-degree tiles of 20 x 20 pixels (some tiles absent),
+    and boxes that cut through them."""
+    p = table(spark, sf_dir, "part")
+    tile = F.expr(f"p_partkey div {TILE_SIDE * TILE_SIDE}")
+    at = F.col("p_partkey") % (TILE_SIDE * TILE_SIDE)
+    cells = p.select((F.lit(43) + tile % 3).cast("int").alias("lat"), (F.lit(1) + F.expr(f"(p_partkey div {TILE_SIDE * TILE_SIDE}) div 3")).cast("int").alias("lon"),
+                     F.floor(at / TILE_SIDE).cast("int").alias("row"), (at % TILE_SIDE).cast("int").alias("col"),
+                     F.col("p_retailprice").alias("z"))
+    boxes = spark.createDataFrame([("A", 43.31, 1.27, 45.12, 3.43), ("B", 44.0, 2.0, 45.0, 4.0), ("C", 60.0, 1.0, 61.0, 2.0)],
+                                  "departement string, south double, west double, north double, east double")
+    return cells, boxes
+
+
 def boxes_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """supplier as bounding boxes (south, west, north, east)."""
     s = table(spark, sf_dir, "supplier")

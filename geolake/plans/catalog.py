@@ -113,7 +113,7 @@ def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_crime_with_commune(spark: SparkSession, sf_dir: str) -> DataFrame:
     pv = communes.crime_pivot(B.crime_input(spark, sf_dir), B.CRIME_YEAR, B.CRIME_DEPS)
-    return round_doubles(lookups.attach_commune(pv, B.communes_input(spark, sf_dir)))
+    return round_doubles(flatten_geom(lookups.attach_commune(pv, B.communes_input(spark, sf_dir))))
 
 
 def q_wkt_reproject(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,6 +142,11 @@ def q_replace_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.replace_departments_query(old, new, B.K1_REQUESTED)
 
 
+def q_replace_year_departments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new, year = B.k6_inputs(spark, sf_dir)
+    return sinks.replace_departments_query(old, new, B.K1_REQUESTED, within={"year": year})
+
+
 def q_zone_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
     p = B.table(spark, sf_dir, "part")
@@ -183,6 +188,10 @@ def q_pollen_with_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_geom(climate.pollen_with_coords(B.pollen_features_input(spark, sf_dir), air))
 
 
+def q_wikidata_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.wikidata_ids(osm.osm_layer(B.osm_input(spark, sf_dir), "wiki_pois"))
+
+
 def q_poi_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     pois = osm.osm_layer(B.osm_input(spark, sf_dir), "wiki_pois")
     ent = lookups.entity_enrichment(B.entities_input(spark, sf_dir))
@@ -191,7 +200,7 @@ def q_poi_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _exposure_classes(spark, sf_dir):
     cells = raster.mosaic(B.dem_cells_input(spark, sf_dir))
-    return raster.classify_exposure(cells, B.DEM_A, B.DEM_E, B.DEM_F)
+    return raster.classify_exposure(cells, B.dem_grid_input(spark, sf_dir))
 
 
 def q_exposure_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,12 +212,12 @@ def q_exposure_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_exposure_region_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = raster.region_parts(_exposure_classes(spark, sf_dir), B.DEM_C, B.DEM_F, B.DEM_A, B.DEM_E)
+    parts = raster.region_parts(_exposure_classes(spark, sf_dir), B.dem_grid_input(spark, sf_dir))
     return round_doubles(flatten_geom(parts))
 
 
 def q_exposure_region_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(raster.region_shapes(_exposure_classes(spark, sf_dir), B.DEM_A, B.DEM_E))
+    return round_doubles(raster.region_shapes(_exposure_classes(spark, sf_dir), B.dem_grid_input(spark, sf_dir)))
 
 
 def q_department_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,19 +231,58 @@ def q_department_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_departments(pts, point_array(F.col("lat"), F.col("lon")))
 
 
+def _region_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raster.region_rings(_exposure_classes(spark, sf_dir), B.dem_grid_input(spark, sf_dir))
+
+
 def q_exposure_region_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
-    rings = raster.region_rings(_exposure_classes(spark, sf_dir), B.DEM_C, B.DEM_F, B.DEM_A, B.DEM_E)
-    per_ring = rings.groupBy("departement", "region_id", "exposure", "ring_id") \
+    per_ring = _region_rings(spark, sf_dir).groupBy("departement", "region_id", "exposure", "ring_id") \
         .agg(F.first("ring_area").alias("ring_area"))
     return per_ring.groupBy("departement", "region_id", "exposure").agg(
         F.count(F.lit(1)).alias("n_rings"), F.sum("ring_area").alias("n_cells"))
 
 
+def q_exposure_ring_corners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every corner of every ring, as grid-independent coordinates."""
+    return round_doubles(_region_rings(spark, sf_dir).select("departement", "region_id", "exposure", "lon", "lat"))
+
+
+def q_exposure_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    polygons = raster.region_polygons(_region_rings(spark, sf_dir))
+    return round_doubles(flatten_geom(polygons.withColumn("n_rings", F.size(F.col("geom.parts")[0]).cast("long"))))
+
+
+def q_department_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells, boxes = B.dem_tiles_input(spark, sf_dir)
+    side = 1 / B.TILE_SIDE
+    on = raster.department_cells(cells, boxes, raster.department_grid(boxes, side, -side))
+    return raster.mosaic(on)
+
+
 def q_tiles_for_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.tiles_for_bbox(B.boxes_input(spark, sf_dir))
 
 
+def q_reproject_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from ..functions.crs import to_wgs84
+    rows = B.projected_points(spark, sf_dir)
+    return round_doubles(flatten_geom(rows.withColumn("geom", to_wgs84(F.col("geom"), F.col("src_epsg")))))
+
+
+def q_parse_multigeom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    from ..functions.wkt import parse_wkt
+    from ..sources.schemas import GEOJSON_GEOMETRY
+    rows = B.multi_geometry_texts(spark, sf_dir)
+    json = P.geojson_geometry(F.from_json("geojson", GEOJSON_GEOMETRY))
+    both = rows.select("p_partkey", F.lit("wkt").alias("form"), parse_wkt(F.col("wkt")).alias("geom")).unionByName(
+        rows.select("p_partkey", F.lit("geojson").alias("form"), json.alias("geom")))
+    return flatten_geom(both)
+
+
 def q_parse_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql.types import StringType, StructField, StructType
     props = StructType([StructField(n, StringType()) for n in ("id", "nom", "departement")])
@@ -270,10 +318,9 @@ def q_parse_atmo(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
     lines = B.air_feature_lines(spark, sf_dir)
     schema = B.air_features_input(spark, sf_dir).schema["properties"].dataType
-    from pyspark.sql.types import StructField, StructType
-    feats = lines.select(F.from_json("value", StructType([StructField("properties", schema)]))
-                         ["properties"].alias("properties"), "ordinal")
-    return flatten_geom(climate.air_quality(feats, B.AIR_DEPS))
+    docs = lines.select(F.concat(F.lit('{"features": ['), "value", F.lit("]}")).alias("value"), "ordinal")
+    feats = P.explode_properties(docs, schema)
+    return flatten_geom(climate.air_quality(feats, B.AIR_DEPS).withColumn("ordinal", F.col("ordinal.ordinal")))
 
 
 def _osm(layer: str) -> Query:
@@ -328,11 +375,18 @@ def queries() -> dict[str, Query]:
         "air_quality": q_air_quality,
         "pollen_with_coords": q_pollen_with_coords,
         "poi_enriched": q_poi_enriched,
+        "wikidata_ids": q_wikidata_ids,
         "exposure_classes": q_exposure_classes,
         "exposure_regions": q_exposure_regions,
         "exposure_region_parts": q_exposure_region_parts,
         "exposure_region_shapes": q_exposure_region_shapes,
         "exposure_region_rings": q_exposure_region_rings,
+        "reproject_utm": q_reproject_utm,
+        "parse_multigeom": q_parse_multigeom,
+        "exposure_ring_corners": q_exposure_ring_corners,
+        "exposure_polygons": q_exposure_polygons,
+        "department_cells": q_department_cells,
+        "replace_year_departments": q_replace_year_departments,
         "tiles_for_bbox": q_tiles_for_bbox,
         "department_assign": q_department_assign,
         "parse_geojson": q_parse_geojson,

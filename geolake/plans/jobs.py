@@ -8,8 +8,8 @@ and writes its table(s).  Layout, relative to ``root``::
 
     dvf/<year>/<dep>.csv.gz            crime/*.csv.gz       rents/<year>/<type>.csv
     meteo/<dep>.csv.gz                 catnat/*.csv         buildings/<table>/*.csv
-    geojson/<layer>/*.geojsonl         osm/<layer>/*.jsonl  atmo/<feed>/*.json
-    dpe/*.json                         dem/cells.parquet    flood/**  icu/*  erosion/*
+    geojson/<layer>/*.geojsonl         osm/*.jsonl          atmo/<feed>/*.json
+    dpe/*.json                         dem/cells.parquet    flood/**  icu/*  erosion/*  clay/*.parquet
     plu/{documents,communes,zones,prescriptions}/*.parquet  wikidata/*.jsonl
 """
 
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..functions.departments import ALL_DEPARTMENTS, bbox_table
+from ..functions.geometry import st_x, st_y
 from ..operators import (buildings, climate, communes, hazards, lookups, osm, planning,
                          prices, raster)
 from ..sinks import tables as K
@@ -48,9 +49,9 @@ def job_dvf(spark: SparkSession, root: str, year: int, deps=None) -> None:
     dvf = R.read_dvf(spark, [_p(root, "dvf", str(year), f"{d}.csv.gz") for d in deps])
     K.ensure_namespace(spark, "dvf_prices")
     K.replace_departments(prices.section_prices(dvf).withColumn("year", F.lit(year)),
-                          "dvf_prices.sections_stats", deps)
+                          "dvf_prices.sections_stats", deps, within={"year": year})
     K.replace_departments(prices.commune_prices(dvf).withColumn("year", F.lit(year)),
-                          "dvf_prices.communes_stats", deps)
+                          "dvf_prices.communes_stats", deps, within={"year": year})
 
 
 def job_dvf_sections(spark: SparkSession, root: str, deps=None) -> None:
@@ -58,14 +59,18 @@ def job_dvf_sections(spark: SparkSession, root: str, deps=None) -> None:
     feats = R.read_geojson(spark, _p(root, "geojson", "sections"),
                            _props("id", "commune", "prefixe", "code", "departement"))
     K.ensure_namespace(spark, "dvf_prices")
-    K.replace_departments(lookups.sections_table(feats), "dvf_prices.sections", _deps(deps))
+    deps = _deps(deps)
+    rows = lookups.sections_table(feats).where(F.col("departement").isin(deps))
+    K.replace_departments(rows, "dvf_prices.sections", deps)
 
 
 def job_commune_geoms(spark: SparkSession, root: str, deps=None) -> None:
     """Commune geometries."""
     feats = R.read_geojson(spark, _p(root, "geojson", "communes"), _props("id", "nom", "departement"))
     K.ensure_namespace(spark, "geom_utils")
-    K.replace_departments(lookups.commune_geoms(feats), "geom_utils.communes", _deps(deps))
+    deps = _deps(deps)
+    rows = lookups.commune_geoms(feats).where(F.col("departement").isin(deps))
+    K.replace_departments(rows, "geom_utils.communes", deps)
 
 
 # -------------------------------------------------------------- indicators
@@ -75,7 +80,7 @@ def job_crime(spark: SparkSession, root: str, year: int, deps=None) -> None:
     df = R.read_crime(spark, _p(root, "crime"))
     K.ensure_namespace(spark, "crime_stats")
     K.replace_departments(communes.crime_pivot(df, year, deps).withColumn("year", F.lit(year)),
-                          "crime_stats.indicators", deps)
+                          "crime_stats.indicators", deps, within={"year": year})
 
 
 RENT_YEARS = (2022, 2023, 2024, 2025)
@@ -85,12 +90,11 @@ RENT_TYPES = ("apartment_all", "apartment_t1_t2", "apartment_t3_plus", "house")
 def job_rents(spark: SparkSession, root: str, year: int, deps=None) -> None:
     """Rent indicators (four property types) for a mapped year."""
     if year not in RENT_YEARS:
-        raise ValueError(f"No rent resources mapped for {year}. Available: "
-                         + ", ".join(map(str, RENT_YEARS)))
+        raise ValueError(f"rents have no landed files for year {year}; years with files: {list(RENT_YEARS)}")
     frames = {t: R.read_rents(spark, _p(root, "rents", str(year), f"{t}.csv")) for t in RENT_TYPES}
     K.ensure_namespace(spark, "rents")
     K.replace_present(communes.rents_long(frames, deps).withColumn("year", F.lit(year)),
-                      "rents.indicators")
+                      "rents.indicators", within={"year": year})
 
 
 def job_climate(spark: SparkSession, root: str, deps=None, start_year: int = 2014) -> None:
@@ -155,14 +159,17 @@ def job_air_quality(spark: SparkSession, root: str, deps=None) -> None:
                                            StructField("y_wgs84", DoubleType())])
     feats = R.read_atmo(spark, _p(root, "atmo", "air"), props)
     K.ensure_namespace(spark, "climate")
-    K.replace_table(climate.air_quality(feats, deps), "climate.air_quality", partition_by=None)
+    K.replace_table(climate.air_quality(feats, deps).drop("ordinal"), "climate.air_quality", partition_by=None)
 
 
 def job_pollens(spark: SparkSession, root: str) -> None:
     """Pollen indices placed at air-quality commune coordinates."""
     props = _props("code_zone", *[s for _, s in climate.POLLEN_FIELDS])
     feats = R.read_atmo(spark, _p(root, "atmo", "pollen"), props)
-    air = spark.table("climate.air_quality").withColumn("ordinal", F.monotonically_increasing_id())
+    # The loaded table has no file order: of a commune's rows the latest date
+    # is used, ties by coordinates.
+    air = spark.table("climate.air_quality")
+    air = air.withColumn("ordinal", F.struct("date", st_x(F.col("geom")).alias("x"), st_y(F.col("geom")).alias("y")))
     K.replace_table(climate.pollen_with_coords(feats, air), "climate.pollens", partition_by=None)
 
 
@@ -185,8 +192,8 @@ def job_bdnb(spark: SparkSession, root: str, deps=None, reset: bool = False,
         K.drop_tables(spark, [f"bati.{t}" for t in buildings.BUILDING_TABLES])
     for t in buildings.BUILDING_TABLES:
         path = _p(root, "buildings", t)
-        if not os.path.exists(path):
-            continue
+        if not R.path_exists(spark, path):
+            continue        # a register may be landed without some satellites
         df = buildings.building_table(R.read_building_table(spark, path), src_epsg)
         K.replace_departments(df, f"bati.{t}", deps, key="code_departement_insee")
 
@@ -195,24 +202,32 @@ def job_bdnb(spark: SparkSession, root: str, deps=None, reset: bool = False,
 def job_plu(spark: SparkSession, root: str, deps=None) -> None:
     """D31 + D32: planning zones and prescriptions of covered communes."""
     deps = _deps(deps)
-    docs = spark.read.parquet(_p(root, "plu", "documents"))
-    coms = spark.read.parquet(_p(root, "plu", "communes"))
+    docs = R.read_folder(spark, _p(root, "plu", "documents"))
+    coms = R.read_folder(spark, _p(root, "plu", "communes"))
     status = planning.document_status(docs, coms, deps)
-    zones = spark.read.parquet(_p(root, "plu", "zones"))
-    presc = spark.read.parquet(_p(root, "plu", "prescriptions"))
+    zones = R.read_folder(spark, _p(root, "plu", "zones"))
+    presc = R.read_folder(spark, _p(root, "plu", "prescriptions"))
     K.ensure_namespace(spark, "plu")
     K.replace_departments(planning.covered_zones(zones, status), "plu.zones", deps)
     K.replace_departments(planning.covered_prescriptions(presc, status), "plu.prescriptions", deps)
 
 
 # ------------------------------------------------------------------ raster
-def job_exposure(spark: SparkSession, root: str, a: float, e: float, f: float, deps=None) -> None:
-    """Exposure classes and regions from the elevation cell table."""
+DEM_PIXEL = 1 / 1200   # degrees
+
+
+def job_exposure(spark: SparkSession, root: str, deps=None, pixel: float = DEM_PIXEL) -> None:
+    """Exposure polygons from the landed elevation tiles: every tile's
+    cells go to the grids of the departments it touches, clipped to their
+    boxes, and each department is classified on its own grid."""
     deps = _deps(deps)
-    cells = R.read_cells(spark, _p(root, "dem", "cells.parquet")).where(F.col("departement").isin(deps))
-    classes = raster.classify_exposure(raster.mosaic(cells), a, e, f)
+    boxes = bbox_table(spark, deps)
+    grid = raster.department_grid(boxes, pixel, -pixel)
+    cells = raster.department_cells(R.read_cells(spark, _p(root, "dem", "cells.parquet")), boxes, grid)
+    classes = raster.classify_exposure(raster.mosaic(cells), grid)
+    polygons = raster.region_polygons(raster.region_rings(classes, grid))
     K.ensure_namespace(spark, "mnt")
-    K.replace_departments(raster.exposure_regions(classes), "mnt.exposure", deps)
+    K.replace_departments(polygons.drop("region_id"), "mnt.exposure", deps)
 
 
 def dem_tiles(spark: SparkSession, deps=None) -> DataFrame:
@@ -250,8 +265,7 @@ def stage_osm(spark: SparkSession, root: str) -> DataFrame:
     read the columnar copy (pruned to the columns each one needs)."""
     from ..session import scratch_path
     path = scratch_path(spark, "osm_elements")
-    R.read_osm(spark, _p(root, "osm", "*.jsonl")).write.mode("overwrite") \
-        .partitionBy("type").parquet(path)
+    R.read_osm(spark, _p(root, "osm", "*.jsonl")).write.partitionBy("type").parquet(path)
     return spark.read.parquet(path)
 
 

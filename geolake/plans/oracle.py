@@ -85,6 +85,7 @@ FROM bati GROUP BY departement, code_commune
 def oracle_sql() -> dict[str, str]:
     out = dict(_ORACLES)
     out.update(osm_oracles())
+    out.update(geometry_oracles())
     for fn in (crime_oracles, rents_oracles, climate_oracles, storm_oracles, hazard_oracles,
                lookup_oracles, building_oracles, planning_oracles, atmo_oracles,
                raster_oracles, parse_oracles, assign_oracles):
@@ -157,7 +158,7 @@ el AS (
          {D(2.0)} + (o_custkey % 50) / {D(100.0)} AS center_lon,
          k1, v1, CASE WHEN k2_ <> k1 THEN k2_ END AS k2, v2,
          'el' || CAST(id AS VARCHAR) AS tag_name,
-         CASE WHEN o_custkey % 3 <> 0 THEN 'Q' || CAST(o_custkey % 400 AS VARCHAR) END AS tag_wikidata,
+         CASE WHEN o_custkey % 3 <> 0 THEN 'Q' || CAST(id // 7 AS VARCHAR) END AS tag_wikidata,
          CASE WHEN type = 'way' THEN
               CASE WHEN id % 2 = 0 THEN list_concat(pts, [pts[1]]) ELSE pts END END AS geometry,
          CASE WHEN type = 'relation' THEN mem END AS members
@@ -230,8 +231,8 @@ asg AS (
     if wiki:
         body += f""",
 rk AS (SELECT *, {_wiki_rank()} AS rnk FROM asg),
-asg2 AS (SELECT * FROM rk WHERE rnk = (SELECT min(r2.rnk) FROM rk r2
-                                       WHERE r2.departement = rk.departement AND r2.id = rk.id))"""
+mn AS (SELECT *, min(rnk) OVER (PARTITION BY departement, id) AS first_rnk FROM rk),
+asg2 AS (SELECT * FROM mn WHERE rnk = first_rnk)"""
     src = "asg2" if wiki else "asg"
     return body + f"""
 SELECT id AS osm_id, {proj}, departement,
@@ -412,6 +413,49 @@ def sql_l93(x: str, y: str) -> tuple[str, str]:
     return lon, f"degrees({phi})"
 
 
+def sql_utm(x: str, y: str, zone: int, south: bool) -> tuple[str, str]:
+    """Inverse UTM in SQL (same series)."""
+    import math
+    from ..functions import crs as C
+    scale = C.UTM_K0 * C.TM_RADIUS
+    xi = f"(({y} - {D(C.UTM_N0_SOUTH if south else 0.0)}) / {D(scale)})"
+    eta = f"(({x} - {D(C.UTM_E0)}) / {D(scale)})"
+    xi1 = f"({xi}" + "".join(f" - {D(b)} * sin({xi} * {D(2.0 * j)}) * cosh({eta} * {D(2.0 * j)})" for j, b in enumerate(C.TM_BETA, 1)) + ")"
+    eta1 = f"({eta}" + "".join(f" - {D(b)} * cos({xi} * {D(2.0 * j)}) * sinh({eta} * {D(2.0 * j)})" for j, b in enumerate(C.TM_BETA, 1)) + ")"
+    chi = f"asin(sin({xi1}) / cosh({eta1}))"
+    lat = f"({chi}" + "".join(f" + {D(d)} * sin({chi} * {D(2.0 * j)})" for j, d in enumerate(C.TM_DELTA, 1)) + ")"
+    return f"degrees({D(math.radians(6 * zone - 183))} + atan2(sinh({eta1}), cos({xi1})))", f"degrees({lat})"
+
+
+def geometry_oracles() -> dict[str, str]:
+    from . import bindings as B
+    from ..functions import crs as C
+    codes = ", ".join("NULL" if c is None else str(c) for c in B.PROJECTED)
+    cases = {2154: sql_l93("x", "y"), **{c: sql_utm("x", "y", *C.utm_zone(c)) for c in B.PROJECTED if c and C.utm_zone(c)}}
+    lon = "CASE src_epsg " + " ".join(f"WHEN {c} THEN {v[0]}" for c, v in cases.items()) + " ELSE x END"
+    lat = "CASE src_epsg " + " ".join(f"WHEN {c} THEN {v[1]}" for c, v in cases.items()) + " ELSE y END"
+    q = {"reproject_utm": f"""
+WITH c AS (SELECT p_partkey, CAST([{codes}][p_partkey % {len(B.PROJECTED)} + 1] AS INTEGER) AS src_epsg FROM part),
+p AS (SELECT p_partkey, src_epsg,
+        CASE WHEN src_epsg IS NULL OR src_epsg = 4326 THEN (p_partkey % 300) / {D(10.0)} - 15 ELSE {D(300000.0)} + (p_partkey % 400) * {D(1000.0)} END AS x,
+        CASE WHEN src_epsg IS NULL OR src_epsg = 4326 THEN (p_partkey % 170) / {D(2.0)} - 40
+             WHEN src_epsg IN (2975, 4471) THEN {D(7600000.0)} + (p_partkey % 900) * {D(700.0)}
+             WHEN src_epsg = 2154 THEN {D(6300000.0)} + (p_partkey % 700) * {D(1000.0)}
+             ELSE {D(300000.0)} + (p_partkey % 1500) * {D(1000.0)} END AS y FROM c),
+g AS (SELECT p_partkey, src_epsg, {lon} AS lon, {lat} AS lat FROM p)
+SELECT p_partkey, src_epsg, {point_stats('lon', 'lat')} FROM g
+"""}
+    q["parse_multigeom"] = """
+WITH k AS (SELECT p_partkey, p_partkey % 4 AS kind, CASE p_partkey % 4 WHEN 0 THEN 3 WHEN 1 THEN 4 WHEN 2 THEN 5 END AS n, p_size FROM part),
+f AS (SELECT *, unnest(['wkt', 'geojson']) AS form FROM k)
+SELECT p_partkey, form, CASE WHEN kind < 2 THEN 'MultiPoint' WHEN kind = 2 THEN 'MultiLineString' END AS geom_type,
+       CASE WHEN n IS NOT NULL THEN 1::BIGINT END AS geom_parts, n::BIGINT AS geom_points,
+       CASE WHEN n IS NOT NULL THEN p_partkey::DOUBLE END AS geom_xmin, CASE WHEN n IS NOT NULL THEN 0::DOUBLE END AS geom_ymin,
+       (p_partkey + n - 1)::DOUBLE AS geom_xmax, (p_size * (n - 1))::DOUBLE AS geom_ymax FROM f
+"""
+    return q
+
+
 def point_stats(lon: str, lat: str, f32: bool = True) -> str:
     w = (lambda e: f"F32({e})") if f32 else (lambda e: e)
     return (f"'Point' AS geom_type, CAST(1 AS BIGINT) AS geom_parts, CAST(1 AS BIGINT) AS geom_points, "
@@ -466,8 +510,9 @@ FROM pairs GROUP BY code_commune HAVING count(rate) > 0
 pv AS (SELECT code_commune, {cols}, {sql_dep_of('code_commune')} AS departement
        FROM pairs GROUP BY code_commune HAVING count(rate) > 0),
 com AS (SELECT {sql_commune('c_custkey')} AS code_commune,
-               'Commune ' || CAST(c_custkey AS VARCHAR) AS nom FROM customer)
-SELECT pv.*, com.nom FROM pv JOIN com USING (code_commune)
+               'Commune ' || CAST(c_custkey AS VARCHAR) AS nom,
+               {D(-5.0)} + (c_custkey % 1300) / {D(100.0)} AS lon, {D(41.0)} + (c_custkey % 1000) / {D(100.0)} AS lat FROM customer)
+SELECT pv.*, com.nom, {point_stats('lon', 'lat')} FROM pv JOIN com USING (code_commune)
 """
     return q
 
@@ -772,9 +817,18 @@ e AS (SELECT 'BG' || CAST(l_orderkey AS VARCHAR) AS batiment_groupe_id,
              l_linestatus AS energy_dpe_classe, F32(l_quantity * 10) AS energy_dpe_conso
       FROM lineitem WHERE l_linenumber = 2),
 r AS (SELECT 'BG' || CAST(l_orderkey AS VARCHAR) AS batiment_groupe_id,
-             l_discount > 0.05 AS natural_risks_alea_fort FROM lineitem WHERE l_linenumber = 3)
+             l_discount > 0.05 AS natural_risks_alea_fort FROM lineitem WHERE l_linenumber = 3),
+p AS (SELECT 'BG' || CAST(l_orderkey AS VARCHAR) AS batiment_groupe_id,
+             F32(l_extendedprice) AS property_values_valeur FROM lineitem WHERE l_linenumber = 4),
+o AS (SELECT 'BG' || CAST(l_orderkey AS VARCHAR) AS batiment_groupe_id,
+             l_partkey AS coproperty_nb_lots FROM lineitem WHERE l_linenumber = 5),
+s AS (SELECT 'BG' || CAST(l_orderkey AS VARCHAR) AS batiment_groupe_id, l_suppkey AS social_housing_bailleur,
+             F32(l_tax) AS social_housing_part_sociale FROM lineitem WHERE l_linenumber = 6),
+a AS (SELECT 'BG' || CAST(l_orderkey AS VARCHAR) AS batiment_groupe_id,
+             'Rue ' || CAST(l_suppkey AS VARCHAR) AS addresses_libelle FROM lineitem WHERE l_linenumber = 7)
 SELECT * FROM b LEFT JOIN c USING (batiment_groupe_id) LEFT JOIN e USING (batiment_groupe_id)
-LEFT JOIN r USING (batiment_groupe_id)
+LEFT JOIN r USING (batiment_groupe_id) LEFT JOIN p USING (batiment_groupe_id) LEFT JOIN o USING (batiment_groupe_id)
+LEFT JOIN s USING (batiment_groupe_id) LEFT JOIN a USING (batiment_groupe_id)
 """.replace("{dep}", sql_dep_num("(o_custkey % 96 + 1)"))
     x = f"({D(700000.0)} + (s_suppkey % 40) * {D(5000.0)})"
     y = f"({D(6500000.0)} + ((s_suppkey // 40) % 40) * {D(5000.0)})"
@@ -804,6 +858,13 @@ WHERE {dep} NOT IN {sql_list(B.K1_REQUESTED)}
 UNION ALL
 SELECT {dep} AS departement, s_suppkey, s_name, 'new' AS vintage FROM supplier
 WHERE s_suppkey % 2 = 1 AND {dep} IN {sql_list(B.K1_REQUESTED)}
+"""
+    odep = sql_dep_num("(o_custkey % 96 + 1)")
+    q["replace_year_departments"] = f"""
+WITH o AS (SELECT o_orderkey, {odep} AS departement, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)
+SELECT *, 'old' AS vintage FROM o WHERE NOT (year = 1996 AND departement IN {sql_list(B.K1_REQUESTED)})
+UNION ALL
+SELECT o_orderkey, departement, CAST(1996 AS INTEGER) AS year, 'new' AS vintage FROM o WHERE o_orderkey % 5 = 1
 """
     return q
 
@@ -922,6 +983,7 @@ SELECT pol.*, {point_stats('c.lon', 'c.lat', f32=False)} FROM pol JOIN coords US
 """
     from ..operators.lookups import IMAGE_URL_PREFIX, IMAGE_URL_SUFFIX
     wiki = osm_oracles()["osm_wiki_pois"]
+    q["wikidata_ids"] = f"SELECT DISTINCT wikidata_id FROM ({wiki}) w WHERE wikidata_id IS NOT NULL"
     q["poi_enriched"] = f"""
 WITH ent AS (
   SELECT 'Q' || CAST(p_partkey AS VARCHAR) AS qid,
@@ -949,34 +1011,41 @@ FROM customer JOIN {_boxes_sql()} ON {lat} BETWEEN b.s AND b.n AND {lon} BETWEEN
 
 def raster_oracles() -> dict[str, str]:
     from . import bindings as B
-    a, e, f = B.DEM_A, B.DEM_E, B.DEM_F
+    from ..operators.raster import CELL_ID_STRIDE
+    grids = ", ".join(f"({i}, '{dep}', {n}, {D(a)}, {D(e)}, {D(c)}, {D(f)})"
+                      for i, (dep, n, a, e, c, f) in enumerate(B.DEM_GRIDS))
+    n = len(B.DEM_GRIDS)
     cls = f"""
+gr AS (SELECT * FROM (VALUES {grids}) t(i, departement, ncols, a, e, c, f)),
+c1 AS (SELECT gr.departement, p_partkey, p_size, (p_partkey - i) // {n} AS j,
+              ((p_partkey - i) // {n}) // ncols AS r, ((p_partkey - i) // {n}) % ncols AS q
+       FROM part JOIN gr ON p_partkey % {n} = gr.i),
 c0 AS (
-  SELECT '{B.DEM_DEP}' AS departement, CAST(p_partkey // 40 AS INTEGER) AS row,
-         CAST(p_partkey % 40 AS INTEGER) AS col,
+  SELECT departement, r AS row, q AS col, p_partkey, j,
          CASE WHEN p_partkey % 97 = 0 THEN {D(-9999.0)}
-              WHEN p_partkey // 40 < 25 THEN CAST((p_size // 17) * 20 AS DOUBLE)
-              ELSE CAST(abs(p_partkey // 40 - 37) * 3 + abs(p_partkey % 40 - 20) * 2 AS DOUBLE) END AS z0
-  FROM part
+              WHEN r < 25 THEN CAST((p_size // 17) * 20 AS DOUBLE)
+              ELSE CAST(abs(r - 37) * 3 + abs(q - 20) * 2 AS DOUBLE) END AS z0
+  FROM c1
 ),
-v AS (SELECT departement, row, col,
-             CASE WHEN z0 >= {D(-1000.0)} AND z0 <= {D(9000.0)} THEN z0 END AS z FROM c0),
-g AS (SELECT departement, max(row) + 1 AS nrows FROM v GROUP BY departement),
-k AS (SELECT v.*, {D(abs(a) * 111320.0)} * cos(radians({D(f)} + (nrows // 2) * {D(e)})) AS dx,
-             {D(abs(e) * 111320.0)} AS dy
-      FROM v JOIN g USING (departement)),
-w AS (SELECT *, lag(col) OVER wr AS lc, lead(col) OVER wr AS rc,
-             lag(z) OVER wr AS lz, lead(z) OVER wr AS rz,
-             lag(row) OVER wc AS ur, lead(row) OVER wc AS dr,
-             lag(z) OVER wc AS uz, lead(z) OVER wc AS dz
-      FROM k WINDOW wr AS (PARTITION BY departement, row ORDER BY col),
-                    wc AS (PARTITION BY departement, col ORDER BY row)),
-d AS (SELECT *,
-        CASE WHEN lc IS NOT NULL AND rc IS NOT NULL THEN (rz - lz) / ({D(2.0)} * dx)
-             WHEN rc IS NOT NULL THEN (rz - z) / dx WHEN lc IS NOT NULL THEN (z - lz) / dx END AS gx,
-        CASE WHEN ur IS NOT NULL AND dr IS NOT NULL THEN (dz - uz) / ({D(2.0)} * dy)
-             WHEN dr IS NOT NULL THEN (dz - z) / dy WHEN ur IS NOT NULL THEN (z - uz) / dy END AS gy
-      FROM w),
+g AS (SELECT gr.*, max(row) + 1 AS nrows FROM gr JOIN c0 USING (departement) GROUP BY ALL),
+m AS (SELECT departement, row, col, CASE WHEN j % 53 <> 7 THEN z0 WHEN j % 2 = 0 OR p_partkey % 10 = 0 THEN z0 + 500 END AS z0 FROM c0),
+v AS (SELECT departement, row, col, z0 AS z FROM m WHERE z0 >= {D(-1000.0)} AND z0 <= {D(9000.0)}),
+dense AS (SELECT departement, row, unnest(range(0, ncols)) AS col, nrows, ncols, dx, dy FROM (
+            SELECT departement, unnest(range(0, nrows)) AS row, nrows, ncols,
+                   a * {D(111320.0)} * cos(radians(f + (nrows // 2) * e)) AS dx, abs(e) * {D(111320.0)} AS dy FROM g)),
+k AS (SELECT dense.*, o.z AS z, w.z AS wz, x.z AS ez, u.z AS nz, d.z AS sz
+      FROM dense
+      LEFT JOIN v o ON o.departement = dense.departement AND o.row = dense.row AND o.col = dense.col
+      LEFT JOIN v w ON w.departement = dense.departement AND w.row = dense.row AND w.col = dense.col - 1
+      LEFT JOIN v x ON x.departement = dense.departement AND x.row = dense.row AND x.col = dense.col + 1
+      LEFT JOIN v u ON u.departement = dense.departement AND u.row = dense.row - 1 AND u.col = dense.col
+      LEFT JOIN v d ON d.departement = dense.departement AND d.row = dense.row + 1 AND d.col = dense.col),
+d AS (SELECT departement, CAST(row AS INTEGER) AS row, CAST(col AS INTEGER) AS col,
+        CASE WHEN ncols < 2 THEN NULL WHEN col = 0 THEN (ez - z) / dx WHEN col = ncols - 1 THEN (z - wz) / dx
+             ELSE (ez - wz) / ({D(2.0)} * dx) END AS gx,
+        CASE WHEN nrows < 2 THEN NULL WHEN row = 0 THEN (sz - z) / dy WHEN row = nrows - 1 THEN (z - nz) / dy
+             ELSE (sz - nz) / ({D(2.0)} * dy) END AS gy
+      FROM k),
 s AS (SELECT departement, row, col, degrees(atan(sqrt(gx * gx + gy * gy))) AS slope,
              (degrees(atan2(-gx, gy)) + 360) % 360 AS aspect FROM d),
 cls AS (
@@ -990,39 +1059,38 @@ cls AS (
     q["exposure_classes"] = f"WITH {cls} SELECT * FROM cls"
     q["exposure_regions"] = f"""
 WITH RECURSIVE {cls},
-nodes AS (SELECT departement, CAST(row AS BIGINT) * 1000000 + col AS id, exposure, row, col FROM cls),
-e1 AS (SELECT a.id AS s, b.id AS d FROM nodes a JOIN nodes b
+nodes AS (SELECT departement, CAST(row AS BIGINT) * {CELL_ID_STRIDE} + col AS id, exposure, row, col FROM cls),
+e1 AS (SELECT a.departement, a.id AS s, b.id AS d FROM nodes a JOIN nodes b
          ON a.departement = b.departement AND a.exposure = b.exposure AND b.row = a.row AND b.col = a.col + 1
        UNION ALL
-       SELECT a.id AS s, b.id AS d FROM nodes a JOIN nodes b
+       SELECT a.departement, a.id AS s, b.id AS d FROM nodes a JOIN nodes b
          ON a.departement = b.departement AND a.exposure = b.exposure AND b.row = a.row + 1 AND b.col = a.col),
-edges AS (SELECT s, d FROM e1 UNION ALL SELECT d AS s, s AS d FROM e1),
-cc(id, label) AS (
-  SELECT id, id FROM nodes
+edges AS (SELECT departement, s, d FROM e1 UNION ALL SELECT departement, d AS s, s AS d FROM e1),
+cc(departement, id, label) AS (
+  SELECT departement, id, id FROM nodes
   UNION
-  SELECT edges.d, cc.label FROM cc JOIN edges ON cc.id = edges.s
+  SELECT cc.departement, edges.d, cc.label FROM cc JOIN edges ON cc.departement = edges.departement AND cc.id = edges.s
 ),
-lab AS (SELECT id, min(label) AS region_id FROM cc GROUP BY id)
+lab AS (SELECT departement, id, min(label) AS region_id FROM cc GROUP BY departement, id)
 SELECT departement, region_id, exposure, count(*) AS n_cells,
        min(row) AS row_min, max(row) AS row_max, min(col) AS col_min, max(col) AS col_max
-FROM nodes JOIN lab USING (id) GROUP BY departement, region_id, exposure
+FROM nodes JOIN lab USING (departement, id) GROUP BY departement, region_id, exposure
 """
-    c = B.DEM_C
     q["exposure_region_parts"] = q["exposure_regions"].split("SELECT departement, region_id, exposure, count(*)")[0].rstrip() + f""",
 rc AS (SELECT departement, region_id, exposure, row, col,
               col - row_number() OVER (PARTITION BY departement, region_id, row ORDER BY col) AS k
-       FROM nodes JOIN lab USING (id)),
+       FROM nodes JOIN lab USING (departement, id)),
 runs AS (SELECT departement, region_id, exposure, row, min(col) AS col_start, max(col) AS col_end
          FROM rc GROUP BY departement, region_id, exposure, row, k)
 SELECT departement, region_id, exposure, row, col_start, col_end,
        CAST(col_end - col_start + 1 AS BIGINT) AS n_cells,
        'Polygon' AS geom_type, CAST(1 AS BIGINT) AS geom_parts, CAST(5 AS BIGINT) AS geom_points,
-       F32({D(c)} + col_start * {D(a)}) AS geom_xmin, F32({D(f)} + (row + 1) * {D(e)}) AS geom_ymin,
-       F32({D(c)} + (col_end + 1) * {D(a)}) AS geom_xmax, F32({D(f)} + row * {D(e)}) AS geom_ymax
-FROM runs
+       F32(c + col_start * a) AS geom_xmin, F32(f + (row + 1) * e) AS geom_ymin,
+       F32(c + (col_end + 1) * a) AS geom_xmax, F32(f + row * e) AS geom_ymax
+FROM runs JOIN gr USING (departement)
 """
     q["exposure_region_shapes"] = q["exposure_regions"].split("SELECT departement, region_id, exposure, count(*)")[0].rstrip() + f""",
-lc AS (SELECT departement, region_id, exposure, row, col FROM nodes JOIN lab USING (id)),
+lc AS (SELECT departement, region_id, exposure, row, col FROM nodes JOIN lab USING (departement, id)),
 quads AS (
   SELECT departement, region_id, exposure, vr, vc, sum(b) AS mask, count(*) AS bits FROM (
     SELECT departement, region_id, exposure, row + 1 AS vr, col + 1 AS vc, 1 AS b FROM lc
@@ -1039,8 +1107,46 @@ per AS (
             AND lc.departement = quads.departement) AS n
   FROM quads GROUP BY departement, region_id, exposure)
 SELECT departement, region_id, exposure, CAST(n AS BIGINT) AS n_cells,
-       F32(n * {D(abs(a * e))}) AS area, CAST(2 - (q1 - q3 + 2 * qd) / 4 AS BIGINT) AS n_rings
-FROM per
+       F32(n * abs(a * e)) AS area, CAST(2 - (q1 - q3 + 2 * qd) / 4 AS BIGINT) AS n_rings
+FROM per JOIN gr USING (departement)
+"""
+    # Ring corners: grid vertices where the region's boundary turns, i.e. one
+    # or three of the four cells around belong to it (one corner), or two
+    # diagonal ones (two corners).
+    q["exposure_ring_corners"] = q["exposure_region_shapes"].split("per AS (")[0].rstrip() + """
+turns AS (SELECT departement, region_id, exposure, vr, vc, 1 AS k FROM quads WHERE bits IN (1, 3)
+          UNION ALL SELECT departement, region_id, exposure, vr, vc, unnest([1, 2]) FROM quads WHERE bits = 2 AND mask IN (6, 9))
+SELECT departement, region_id, exposure, F32(c + vc * a) AS lon, F32(f + vr * e) AS lat
+FROM turns JOIN gr USING (departement)
+"""
+    q["exposure_polygons"] = q["exposure_region_shapes"].split("per AS (")[0].rstrip() + """
+cor AS (SELECT departement, region_id, exposure, sum(CASE WHEN bits IN (1, 3) THEN 1 WHEN mask IN (6, 9) THEN 2 ELSE 0 END) AS n,
+               sum(CASE WHEN bits = 1 THEN 1 ELSE 0 END) AS q1, sum(CASE WHEN bits = 3 THEN 1 ELSE 0 END) AS q3,
+               sum(CASE WHEN mask IN (6, 9) THEN 1 ELSE 0 END) AS qd FROM quads GROUP BY departement, region_id, exposure),
+ext AS (SELECT departement, region_id, min(row) AS r0, max(row) + 1 AS r1, min(col) AS c0, max(col) + 1 AS c1
+        FROM lc GROUP BY departement, region_id)
+SELECT departement, region_id, exposure AS exposition, CAST(2 - (q1 - q3 + 2 * qd) / 4 AS BIGINT) AS n_rings,
+       'Polygon' AS geom_type, CAST(1 AS BIGINT) AS geom_parts,
+       CAST(n + 2 - (q1 - q3 + 2 * qd) / 4 AS BIGINT) AS geom_points,
+       F32(c + c0 * a) AS geom_xmin, F32(f + r1 * e) AS geom_ymin, F32(c + c1 * a) AS geom_xmax, F32(f + r0 * e) AS geom_ymax
+FROM cor JOIN ext USING (departement, region_id) JOIN gr USING (departement)
+"""
+    side = 1 / B.TILE_SIDE
+    q["department_cells"] = f"""
+WITH t AS (SELECT CAST(43 + (p_partkey // {B.TILE_SIDE ** 2}) % 3 AS INTEGER) AS lat,
+                  CAST(1 + (p_partkey // {B.TILE_SIDE ** 2}) // 3 AS INTEGER) AS lon,
+                  (p_partkey % {B.TILE_SIDE ** 2}) // {B.TILE_SIDE} AS r, (p_partkey % {B.TILE_SIDE ** 2}) % {B.TILE_SIDE} AS q,
+                  p_retailprice AS z FROM part),
+b AS (SELECT * FROM (VALUES ('A', {D(43.31)}, {D(1.27)}, {D(45.12)}, {D(3.43)}), ('B', {D(44.0)}, {D(2.0)}, {D(45.0)}, {D(4.0)}),
+                            ('C', {D(60.0)}, {D(1.0)}, {D(61.0)}, {D(2.0)})) v(departement, s, w, n, e)),
+x AS (SELECT departement, lat, lon, z,
+             CAST(floor(((lat + 1 + (r + {D(0.5)}) * {D(-side)}) - n) / {D(-side)}) AS INTEGER) AS row,
+             CAST(floor(((lon + (q + {D(0.5)}) * {D(side)}) - w) / {D(side)}) AS INTEGER) AS col,
+             CAST(round((n - s) / {D(side)}) AS INTEGER) AS nrows, CAST(round((e - w) / {D(side)}) AS INTEGER) AS ncols
+      FROM t JOIN b ON lat BETWEEN floor(s) AND floor(n) AND lon BETWEEN floor(w) AND floor(e)),
+k AS (SELECT *, row_number() OVER (PARTITION BY departement, row, col ORDER BY lat, lon, z) AS rn FROM x
+      WHERE row >= 0 AND row < nrows AND col >= 0 AND col < ncols)
+SELECT departement, row, col, z FROM k WHERE rn = 1
 """
     q["exposure_region_rings"] = q["exposure_region_shapes"].split("SELECT departement, region_id, exposure, CAST(n AS BIGINT)")[0] + """
 SELECT departement, region_id, exposure, CAST(2 - (q1 - q3 + 2 * qd) / 4 AS BIGINT) AS n_rings,
