@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from .text import MARKED, U64, WordHasher, text_chunks
 
-MAX_PER_CLASS = 8_000
+MAX_PER_CLASS = 4_000
 CATEGORIES = ("abusive_term", "abusive_repeatedly", "toxic")
 FOLDS = 3
 #: A term is a feature if its association with a category's labels has this
@@ -41,7 +41,7 @@ MIN_Z, MIN_ROWS, MARK_SHARE = 3.0, 3, 0.98
 RIDGE, STEPS = 1e-6, 800
 #: The deciding probability is twice what one clean training text in a thousand
 #: gets out of fold, within these limits.
-THRESHOLD = (0.1, 0.5)
+THRESHOLD = (0.03, 0.5)
 
 
 def term_sets(column: pa.Array):
@@ -123,6 +123,7 @@ def fit_chain(sets: list[np.ndarray], toxic: np.ndarray) -> dict | None:
     marked = Rows(sets, marks).dot(np.ones(len(marks)))
     labels = {"abusive_term": y * (marked >= 1), "abusive_repeatedly": y * (marked >= 3), "toxic": y}
     x, fold = Rows(sets, vocab), np.arange(len(y)) % FOLDS
+    del sets, terms, n, p, z
     before, links = np.zeros((len(y), 0)), []
     for name in CATEGORIES:
         links.append(fit_linear(x, before, labels[name], np.ones(len(y), bool)))
@@ -163,8 +164,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS)
     # At most 2 * max_per_class ids: a proven bound for the broadcast.
     texts = (docs.select(F.col("doc_id").cast("long").alias("key"), F.col("text").alias("t"))
              .join(F.broadcast(chosen.withColumnRenamed("doc_id", "key")), "key").select("key", "y", "t"))
-    got = sorted((r.key, r.y, bytes(r.terms)) for r in texts.mapInArrow(run, "key long, y int, terms binary").collect())
-    return fit_chain([np.frombuffer(t, U64) for _, _, t in got], np.array([y for _, y, _ in got]))
+    got = texts.mapInArrow(run, "key long, y int, terms binary").toArrow().sort_by([("key", "ascending"), ("y", "ascending")])
+    return fit_chain([np.frombuffer(t, U64) for t in got.column("terms").to_pylist()], got.column("y").to_numpy())
 
 
 def _scored(docs: DataFrame, chain: dict | None, text_col: str, keep: list[str]) -> DataFrame:
