@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import materialize, release, scratch_path
+
+#: Names the operators use for the library's helpers.
+drop_stage, scratch = release, scratch_path
 
 #: Rows of one Arrow batch handed to a Python task: documents are up to some
 #: hundred kB, so the default of 10,000 rows could be GBs.
@@ -37,27 +38,7 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet into the shared checkpoint folder
     and read it back, so later steps survive the loss of any executor."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._llm_path = path
-    return out
-
-
-def drop_stage(df: DataFrame) -> None:
-    """Delete a staged table that nothing reads any more."""
-    path = getattr(df, "_llm_path", None)
-    if path is None:
-        return
-    spark = df.sparkSession
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+    return materialize(df, f"llm-{name}")

@@ -43,8 +43,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.graph import connected_components
 from .common import drop_stage, shuffle_parts, stage
-from .components import connected_components
 from .text import U64, mix, odd_randoms, shingle_sets
 
 M, BANDS, ROWS = 256, 51, 5
@@ -334,10 +334,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     all_buckets = _buckets(reps)
     shared = all_buckets.groupBy("bkey").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last")
     buckets = stage(all_buckets.join(shared.select("bkey", "lead"), "bkey"), "buckets")
-    needed = stage(buckets.select("id").distinct(), "needed")
+    wanted = stage(buckets.select("id").distinct(), "needed")
     # The comparison marks the side as selective, which lets Spark build its
     # runtime Bloom filter from it.
-    needed = needed.where(F.col("id") >= F.lit(-(1 << 63)).cast("long"))
+    needed = wanted.where(F.col("id") >= F.lit(-(1 << 63)).cast("long"))
     near = stage(reps.join(needed, "id"), "near")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     texts = stage(texts.join(needed, "id"), "texts")
@@ -361,7 +361,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     more = stage(_finished(_cells(mixed), texts, percent), "ties")
     if not more.isEmpty():
         label = connected_components(edges.unionByName(more))
-    for t in (buckets, mixed, likely_star, near, texts):
+    for t in (reps, buckets, wanted, near, texts, likely_star, links, edges, mixed, more):
         drop_stage(t)
 
     comp = rep_of.join(label, rep_of.rep == label.id, "left").select(*same, F.coalesce("comp", "rep").alias("component_id"))
