@@ -76,3 +76,10 @@ def test_repeated_rows_and_no_python(spark):
     assert len(set(run(spark, ["call +1 (555) 123-4567"] * 5))) == 1
     df = pii.pseudonymise(spark.createDataFrame([("a",)], "text string"))
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_neighbouring_numbers_are_found_each(spark):
+    one, two = "4111111111111111", "5500000000000004"
+    a, b, pair, invalid, grouped = run(spark, [one, two, f"x {one} {two}-y", f"4111111111111112 {two}", f"4111 1111 1111 1111 {two}"])
+    assert pair == f"x {a} {b}-y" and invalid == f"4111111111111112 {b}"
+    assert re.sub(r"\D", "", grouped) == a + b
