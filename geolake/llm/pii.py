@@ -11,7 +11,9 @@ Kinds: e-mail addresses (letters and digits of the local part and the domain
 but its last label), IPv4 addresses, payment cards (Luhn), IBANs (mod 97), US
 social security numbers, phone numbers, dates (yyyy-mm-dd, dd/mm/yyyy,
 dd.mm.yyyy; within blocks of 72,900 days), and credentials (access key ids,
-values after password, token and the like).
+values after password, token and the like: from 6 characters to the closing
+quote, or without quotes to the next white space or quote, however long; their
+ASCII letters and digits change, other characters stay).
 
 Defined cases: null stays null, empty stays empty; a candidate that fails its
 validation (wrong check digit, day 31/02) is left; equal rows get equal
@@ -30,7 +32,8 @@ DEFAULT_KEY = "change-me"
 # matcher's depth is bounded on any text) -------------------------------------
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z])"
 KEY_ID = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-SECRET = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}[\"']?[A-Za-z0-9+/_.-]{5,199}[A-Za-z0-9+/_-]"
+SECRET = (r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}"
+          r"(?:\"[^\"\r\n]{6,}+\"|'[^'\r\n]{6,}+'|[\"']?[^\s\"']{6,}+)")
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
@@ -50,8 +53,10 @@ def _whole(kind: str) -> str:
 
 
 # ------------------------------------------------------------ Feistel core
-def _element(value: Column, radix: Column, base: Column, char: Column) -> Column:
-    return F.struct(value.cast("int").alias("v"), radix.cast("int").alias("r"), base.cast("int").alias("b"), char.alias("c"))
+def _element(value: Column, radix: Column, base: Column, char: Column, place: Column | None = None) -> Column:
+    place = F.lit(0) if place is None else place
+    return F.struct(value.cast("int").alias("v"), radix.cast("int").alias("r"), base.cast("int").alias("b"), char.alias("c"),
+                    place.cast("int").alias("p"))
 
 
 def _permuted(elements: Column, kind: str, key: str) -> Column:
@@ -71,7 +76,7 @@ def _permuted(elements: Column, kind: str, key: str) -> Column:
 
     def _moved(x: Column, j: Column, d: Column) -> Column:
         draw = F.conv(F.substring(F.sha2(F.concat(d, j.cast("string")), 256), 1, 12), 16, 10).cast("long")
-        return F.when(x.r > 1, _element(F.pmod(x.v + draw, x.r), x.r, x.b, x.c)).otherwise(x)
+        return F.when(x.r > 1, _element(F.pmod(x.v + draw, x.r), x.r, x.b, x.c, x.p)).otherwise(x)
 
     def turn(acc: Column, i: Column) -> Column:
         return F.when(i % 2 == 0, state(shifted(acc.left, acc.right, i), acc.right)).otherwise(
@@ -86,24 +91,27 @@ def _chars(text: Column, first: Column, last: Column, hex_only: Column | None =
     (from 0) may change within their class, all others stay."""
     letters = F.lit(26) if hex_only is None else F.when(hex_only, F.lit(6)).otherwise(F.lit(26))
 
-    def one(c: Column, j: Column) -> Column:
-        code = F.ascii(c)
-        base = (F.when(code.between(48, 57), 48).when(code.between(97, 122), 97).when(code.between(65, 90), 65).otherwise(0))
-        radix = F.when((j < first) | (j > last) | (base == 0), 1).when(base == 48, 10).when(base == 97, letters).otherwise(26)
-        return _element(F.when(radix > 1, code - base).otherwise(0), radix, base, c)
-    return F.transform(F.split(text, ""), one)
+    def all_of(of: Column) -> Column:
+        def one(c: Column, j: Column) -> Column:
+            code = F.ascii(c)
+            base = (F.when(code.between(48, 57), 48).when(code.between(97, 122), 97).when(code.between(65, 90), 65).otherwise(0))
+            radix = (F.when((j < of.first) | (j > of.last) | (base == 0), 1).when(base == 48, 10)
+                     .when(base == 97, of.letters).otherwise(26))
+            return _element(F.when(radix > 1, code - base).otherwise(0), radix, base, c, j)
+        return F.transform(F.split(text, ""), one)
+    # Bound, or a long value would be measured again for each of its characters.
+    return _bound(F.struct(first.alias("first"), last.alias("last"), letters.alias("letters")), all_of)
 
 
 def _rewritten(elements: Column, kind: str, key: str) -> Column:
     """The text after permuting the elements that may change; separators take
     no part, so a number is linked however it is grouped."""
     def write(e: Column) -> Column:
-        def with_new(p: Column) -> Column:
-            def one(x: Column, j: Column) -> Column:
-                place = F.size(F.filter(F.slice(e, F.lit(1), j + 1), lambda y: y.r > 1))
-                return F.when(x.r == 1, x.c).otherwise(F.char(x.b + F.get(p, place - 1).v))
-            return F.array_join(F.transform(e, one), "")
-        return _bound(_permuted(F.filter(e, lambda x: x.r > 1), kind, key), with_new)
+        def at(x: Column, char: Column) -> Column:
+            return F.struct(x.p.alias("p"), char.alias("c"))
+        new = F.transform(_permuted(F.filter(e, lambda x: x.r > 1), kind, key), lambda x: at(x, F.char(x.b + x.v)))
+        kept = F.transform(F.filter(e, lambda x: x.r == 1), lambda x: at(x, x.c))
+        return F.array_join(F.transform(F.sort_array(F.concat(new, kept)), lambda x: x.c), "")
     return _bound(elements, write)
 
 
@@ -148,10 +156,10 @@ def _key_id(m: Column, key: str) -> Column:
 
 
 def _secret(m: Column, key: str) -> Column:
-    value = F.regexp_extract(m, r"[=:][ ]{0,3}[\"']?(.*)$", 1)
-    head = F.length(m) - F.length(value)
-    new = _rewritten(_chars(value, F.lit(0), F.length(value), value.rlike("^[0-9a-f]+$")), "credential", key)
-    return F.concat(m.substr(F.lit(1), head), new)
+    def changed(value: Column) -> Column:
+        chars = _chars(value, F.lit(0), F.length(value), value.rlike("^[0-9a-f]+[^0-9A-Za-z]*$"))
+        return F.concat(m.substr(F.lit(1), F.length(m) - F.length(value)), _rewritten(chars, "credential", key))
+    return _bound(F.regexp_extract(m, r"(?s)[=:][ ]{0,3}[\"']?(.*)$", 1), changed)
 
 
 def _iban(m: Column, key: str) -> Column:

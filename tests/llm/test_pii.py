@@ -83,3 +83,23 @@ def test_neighbouring_numbers_are_found_each(spark):
     a, b, pair, invalid, grouped = run(spark, [one, two, f"x {one} {two}-y", f"4111111111111112 {two}", f"4111 1111 1111 1111 {two}"])
     assert pair == f"x {a} {b}-y" and invalid == f"4111111111111112 {b}"
     assert re.sub(r"\D", "", grouped) == a + b
+
+
+def test_whole_secrets_change(spark):
+    rnd = random.Random(7)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    long = "".join(rnd.choice(chars) for _ in range(600))
+    huge = "".join(rnd.choice(chars) for _ in range(20000))
+    texts = [f"token={long} end", f"secret: {huge}", "password=hunter2!Extra99 end", "password: P@ssw0rd!", 'pwd="correct horse battery" end',
+             "Password = Secr3tValue.", "token=1beb58b8af68854f."]
+    got = run(spark, texts)
+    # A value of n letters and digits keeps about one in 26 at its place, never a long piece.
+    for old, new in zip((long, huge), (got[0][6:-4], got[1][8:])):
+        assert len(new) == len(old) and new.isalnum()
+        assert all(old[i:i + 8] != new[i:i + 8] for i in range(len(old) - 7))
+    assert got[0].startswith("token=") and got[0].endswith(" end")
+    assert re.fullmatch(r"password=[a-z]{6}[0-9]![A-Z][a-z]{4}[0-9]{2} end", got[2]) and "Extra99" not in got[2] and "hunter2" not in got[2]
+    assert re.fullmatch(r"password: [A-Z]@[a-z]{3}[0-9][a-z]{2}!", got[3]) and got[3] != texts[3]
+    assert re.fullmatch(r'pwd="[a-z]{7} [a-z]{5} [a-z]{7}" end', got[4]) and not re.search("correct|horse|battery", got[4])
+    assert run(spark, ["password=Secr3tValue"])[0].split("=")[1] + "." == got[5].split(" ")[-1]
+    assert run(spark, ["token=1beb58b8af68854f"])[0] + "." == got[6]
