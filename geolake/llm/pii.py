@@ -9,12 +9,19 @@ document, different values different ones, and the key holder can invert them.
 
 Kinds: e-mail addresses (letters and digits of the local part and the domain
 but its last label), IPv4 addresses, payment cards (Luhn), IBANs (mod 97), US
-social security numbers, phone numbers, dates (yyyy-mm-dd, dd/mm/yyyy,
+social security numbers, phone numbers (below), dates (yyyy-mm-dd, dd/mm/yyyy,
 dd.mm.yyyy; within blocks of 72,900 days), and credentials (access key ids,
 values after password, token and the like: from 6 characters to the closing
 quote, or without quotes to the next white space or quote, however long; their
 ASCII letters and digits change, other characters stay).
 
+Phone numbers: + and 7 to 15 digits in groups of any size (a (0) after the
+country code included); (ddd) ddd-dddd and ddd ddd dddd, each also after a 1;
+national forms with a leading 0 in pairs (06 12 34 56 78), as area and two groups
+((020) 7946 0958, 0161 496 0000) or as area and one group (07700 900123).  Left
+out: numbers of bare digits without + (0612345678, 5551234567), the prefix 00,
+other national groupings without a leading 0, and extensions.
+
 Defined cases: null stays null, empty stays empty; a candidate that fails its
 validation (wrong check digit, day 31/02) is left; equal rows get equal
 results; every other column is returned untouched, whatever its name.
@@ -39,9 +46,17 @@ DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 IPV4 = r"(?<![0-9])(?<![0-9]\.)(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])"
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9])"
-PHONE = (r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
+#: After +: countries whose numbers have a fixed length, then any other.
+PHONE = (r"(?<![0-9A-Za-z])\+(?:(?:1|7|30|44|52|90|91)(?:SEP?\(0\))?(?:SEP{0,2}[0-9]){10}"
+         r"|(?:27|31|33|34|41|48|61|212|351)(?:SEP?\(0\))?(?:SEP{0,2}[0-9]){9}|(?:45|47|65|216|852)(?:SEP{0,2}[0-9]){8}"
+         r"|[0-9]{1,3}(?:SEP{0,2}[0-9]){6,12})(?![0-9])"
+         r"|(?<![0-9A-Za-z.-])(?:1[ .-])?\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
          r"|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-         r"|(?<![0-9A-Za-z.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9]|[.-][0-9])")
+         r"|(?<![0-9A-Za-z])\(0[0-9]{1,4}\)[ -]?[0-9]{3,4}[ -]?[0-9]{3,4}(?![0-9])"
+         r"|(?<![0-9A-Za-z.-])(?:1[ .-])?[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])"
+         r"|(?<![0-9A-Za-z.-])0[1-9](?:GAP[0-9]{2}){4}(?![0-9]|[.-][0-9])"
+         r"|(?<![0-9A-Za-z.-])(?:0[1-9][0-9]{0,3}GAP[0-9]{3,4}GAP[0-9]{3,4}|0[1-9][0-9]{2,4}[ /-][0-9]{6,8})(?![0-9]|[.-][0-9])"
+         ).replace("SEP", "[ \u00a0\u202f./()-]").replace("GAP", "[ \u00a0\u202f.-]")
 # ------------------------------------------------------------------------------
 _ANY = "|".join((EMAIL, KEY_ID, SECRET, IBAN, DATE, SSN, IPV4, CARD, PHONE))
 #: Characters without which nothing above can match.
@@ -186,7 +201,7 @@ def _card(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    code = F.length(F.regexp_extract(m, r"^(\+[0-9]{1,3}(?=[ .(-])|\+[0-9]|)", 1))
+    code = F.length(F.regexp_extract(m, r"^(\+[0-9]{1,3}(?=[^0-9])|\+[0-9]|)", 1))
     return _rewritten(_chars(m, code, F.length(m)), "phone", key)
 
 

@@ -103,3 +103,21 @@ def test_whole_secrets_change(spark):
     assert re.fullmatch(r'pwd="[a-z]{7} [a-z]{5} [a-z]{7}" end', got[4]) and not re.search("correct|horse|battery", got[4])
     assert run(spark, ["password=Secr3tValue"])[0].split("=")[1] + "." == got[5].split(" ")[-1]
     assert run(spark, ["token=1beb58b8af68854f"])[0] + "." == got[6]
+
+
+def test_phone_forms(spark):
+    phones = ["+33 1 23 45 67 89", "+33 6 12 34 56 78", "06 12 34 56 78", "06.12.34.56.78", "+61 2 9374 4000", "1-800-555-1234", "555 123 4567",
+              "(020) 7946 0958", "020 7946 0958", "0161 496 0000", "07700 900123", "+44 (0)20 7946 0958", "+33123456789", "+49 30 123456",
+              "+33\u00a01\u00a023\u00a045\u00a067\u00a089", "1 (800) 555-1234", "+1 (555) 123-4567", "555.123.4567", "(555) 123-4567"]
+    got = run(spark, phones)
+    for old, new in zip(phones, got):
+        assert re.sub("[0-9]", "9", old) == re.sub("[0-9]", "9", new)
+        a, b = re.sub("[^0-9]", "", old)[3:], re.sub("[^0-9]", "", new)[3:]
+        assert a != b and sum(x == y for x, y in zip(a, b)) < len(a) - 2, (old, new)
+    out = dict(zip(phones, got))
+    assert run(spark, [f"call {p}, or {p}." for p in phones]) == [f"call {out[p]}, or {out[p]}." for p in phones]
+    # Numbers one after the other are found each.
+    pairs = [("+33 1 23 45 67 89", "06 12 34 56 78"), ("06 12 34 56 78", "06.12.34.56.78"), ("555 123 4567", "555.123.4567"), ("+61 2 9374 4000", "+33 6 12 34 56 78")]
+    assert run(spark, [f"{a} {b}" for a, b in pairs]) == [f"{out[a]} {out[b]}" for a, b in pairs]
+    rest = ["in 2024 12 34", "10 000 000", "01-02-2024 10:30", "0.25 0.5", "1 2 3 4 5 6 7 8 9 10", "+5 and +12", "12 345 678"]
+    assert run(spark, rest) == rest
