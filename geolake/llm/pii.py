@@ -8,7 +8,9 @@ the kind and the value alone, so equal values get equal pseudonyms in every
 document, different values different ones, and the key holder can invert them.
 
 Kinds: e-mail addresses (letters and digits of the local part and the domain
-but its last label), IPv4 addresses, payment cards (Luhn), IBANs (mod 97), US
+but its last label), IPv4 addresses, payment cards (Luhn; 13 to
+19 digits, alone in any grouping, beside other numbers in the usual layouts, the
+longest valid one first), IBANs (mod 97), US
 social security numbers, phone numbers (below), dates (yyyy-mm-dd, dd/mm/yyyy,
 dd.mm.yyyy; within blocks of 72,900 days), and credentials (access key ids,
 values after password, token and the like: from 6 characters to the closing
@@ -45,7 +47,16 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 IPV4 = r"(?<![0-9])(?<![0-9]\.)(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])"
-CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9])"
+#: A run of digits in groups that starts with 13 digits and may hold several cards and
+#: other numbers (_card_run); it stops before a group that begins an address or date.
+_RUN = r"[0-9][0-9 -]{11,}(?<=[0-9])(?![0-9])"
+CARD = (r"(?<![0-9])(?=[0-9](?:[ -]?[0-9]){12})(?:" + _RUN
+        + r"(?!\.[0-9]{1,3}\.[0-9]|/[0-9]{2}/[0-9]|[A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9])|" + _RUN + ")")
+#: Layouts of a card that has other numbers beside it, and any grouping of one alone.
+CARD_GROUPS, LAYOUT = 5, (r"^(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,3}"
+                          r"|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}"
+                          r"|[0-9]{4}[ -][0-9]{8}[ -][0-9]{1,7})$")
+CARD_ALONE = r"^[0-9](?:[ -]?[0-9]){12,18}$"
 #: After +: countries whose numbers have a fixed length, then any other.
 PHONE = (r"(?<![0-9A-Za-z])\+(?:(?:1|7|30|44|52|90|91)(?:SEP?\(0\))?(?:SEP{0,2}[0-9]){10}"
          r"|(?:27|31|33|34|41|48|61|212|351)(?:SEP?\(0\))?(?:SEP{0,2}[0-9]){9}|(?:45|47|65|216|852)(?:SEP{0,2}[0-9]){8}"
@@ -200,6 +211,62 @@ def _card(m: Column, key: str) -> Column:
     return F.when(_luhn_sum(digits) % 10 == 0, _bound(new, checked)).otherwise(m)
 
 
+#: What is looked for in a run of digit groups after _marked_cards.
+_IN_RUN = "|".join(("<[^>]*>", DATE, SSN, PHONE))
+
+
+def _marked_cards(m: Column) -> Column:
+    """A run of digit groups with every valid card in it, from left to right,
+    between < and > (which are in no run)."""
+    def marked(part: Column) -> Column:
+        def card(text: Column, layout: str) -> Column:
+            return text.rlike(layout) & (_luhn_sum(F.regexp_replace(text, "[^0-9]", "")) % 10 == 0)
+
+        def of(groups: Column) -> Column:
+            size = F.size(groups)
+
+            def longest(i: Column) -> Column:
+                tries = [F.when((i + n <= size) & _bound(F.concat(F.regexp_replace(F.get(groups, i), "^[ -]+", ""),
+                                                                 *(F.get(groups, i + k) for k in range(1, n))),
+                                                        lambda t: card(t, LAYOUT)), n) for n in range(CARD_GROUPS, 0, -1)]
+                return F.struct(i.alias("i"), F.coalesce(*tries, F.lit(0)).alias("n"))
+
+            def take(acc: Column, x: Column) -> Column:
+                more = F.struct((x.i + x.n).alias("end"), F.concat(acc.cards, F.array(x)).alias("cards"))
+                return F.when(x.i >= acc.end, more).otherwise(acc)
+            starts = F.filter(F.transform(F.sequence(F.lit(0), size - 1), longest), lambda x: x.n > 0)
+            none = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<i:int,n:int>>").alias("cards"))
+            alone = F.regexp_replace(part, "^[ -]+", "")
+            whole = F.array(F.struct(F.lit(0).alias("i"), size.alias("n")))
+
+            def joined(first: Column, n: Column) -> Column:
+                return F.array_join(F.slice(groups, first + 1, n), "")
+
+            def written(cards: Column) -> Column:
+                def one(x: Column, k: Column) -> Column:
+                    end = F.when(k > 0, F.get(cards, k - 1).i + F.get(cards, k - 1).n).otherwise(0)
+                    return F.concat(joined(end, x.i - end), F.regexp_replace(joined(x.i, x.n), "^([ -]*)(.*)$", "$1<$2>"))
+                last = F.coalesce(F.element_at(cards, -1).i + F.element_at(cards, -1).n, F.lit(0))
+                return F.when(F.size(cards) == 0, part).otherwise(
+                    F.concat(F.array_join(F.transform(cards, one), ""), _bound(last, lambda e: joined(e, size - e))))
+            found = _bound(F.aggregate(starts, none, take, lambda acc: acc.cards),
+                           lambda c: F.when((F.size(c) == 0) & card(alone, CARD_ALONE), whole).otherwise(c))
+            return _bound(found, written)
+        return _bound(F.regexp_extract_all(part, F.lit("[ -]*[0-9]+"), F.lit(0)), of)
+
+    # Double separators part the run.
+    return F.array_join(F.transform(F.split(m, "(?<=[0-9])(?=[ -][ -])", -1), marked), "")
+
+
+def _card_run(m: Column, key: str) -> Column:
+    """A run with its cards rewritten and other kinds looked for in the rest."""
+    def one(x: Column) -> Column:
+        inner = x.substr(F.lit(2), F.length(x) - 2)
+        return F.when(x.startswith("<"), _bound(inner, lambda c: _card(c, key))).otherwise(
+            _by_kind(x, key, ((DATE, _date), (SSN, _ssn), (PHONE, _phone))))
+    return _bound(_marked_cards(m), lambda s: _replaced(s, _IN_RUN, one))
+
+
 def _phone(m: Column, key: str) -> Column:
     code = F.length(F.regexp_extract(m, r"^(\+[0-9]{1,3}(?=[^0-9])|\+[0-9]|)", 1))
     return _rewritten(_chars(m, code, F.length(m)), "phone", key)
@@ -239,10 +306,7 @@ def _date(m: Column, key: str) -> Column:
     return F.when(day.isNotNull(), _bound(new, text)).otherwise(m)
 
 
-def pseudonym(m: Column, key: str) -> Column:
-    """The pseudonym of one found value (itself if it fails validation)."""
-    kinds = ((EMAIL, _email), (KEY_ID, _key_id), (SECRET, _secret), (IBAN, _iban), (DATE, _date), (SSN, _ssn),
-             (IPV4, _ipv4), (CARD, _card), (PHONE, _phone))
+def _by_kind(m: Column, key: str, kinds: tuple) -> Column:
     out = None
     for kind, make in kinds:
         test = m.rlike(_whole(kind))
@@ -250,15 +314,31 @@ def pseudonym(m: Column, key: str) -> Column:
     return out.otherwise(m)
 
 
+def pseudonym(m: Column, key: str) -> Column:
+    """The pseudonym of one found value (itself if it fails validation)."""
+    return _by_kind(m, key, ((EMAIL, _email), (KEY_ID, _key_id), (SECRET, _secret), (IBAN, _iban), (DATE, _date), (SSN, _ssn),
+                             (IPV4, _ipv4), (CARD, _card_run), (PHONE, _phone)))
+
+
+def _replaced(text: Column, pattern: str, use) -> Column:
+    """The text with use(match) for every match of the pattern."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), use)
+    pieces = F.zip_with(F.split(text, pattern, -1), found, lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
+    return F.array_join(pieces, "")
+
+
 def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` rewritten; all columns kept, in order."""
     text = F.col(text_col)
-    found = F.transform(F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)), lambda m: pseudonym(m, key))
-    pieces = F.zip_with(F.split(text, _ANY, -1), found, lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
-    new = F.when(text.rlike(_HINT), F.array_join(pieces, "")).otherwise(text)
+    new = F.when(text.rlike(_HINT), _replaced(text, _ANY, lambda m: pseudonym(m, key))).otherwise(text)
     return docs.select(*(new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
 
 
 def count_found(text: Column) -> Column:
-    """Values of the looked-for formats in a text (before validation)."""
-    return F.when(text.rlike(_HINT), F.size(F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)))).otherwise(F.lit(0)).cast("long")
+    """Values of the looked-for formats in a text (before validation; a run of
+    digit groups counts the values found in it, at least 1)."""
+    def count(m: Column) -> Column:
+        inside = F.size(F.regexp_extract_all(_marked_cards(m), F.lit(_IN_RUN), F.lit(0)))
+        return F.when(m.rlike(_whole(CARD)), F.greatest(inside, F.lit(1))).otherwise(1)
+    found = F.aggregate(F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)), F.lit(0), lambda n, m: n + count(m))
+    return F.when(text.rlike(_HINT), found).otherwise(F.lit(0)).cast("long")

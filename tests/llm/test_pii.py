@@ -121,3 +121,32 @@ def test_phone_forms(spark):
     assert run(spark, [f"{a} {b}" for a, b in pairs]) == [f"{out[a]} {out[b]}" for a, b in pairs]
     rest = ["in 2024 12 34", "10 000 000", "01-02-2024 10:30", "0.25 0.5", "1 2 3 4 5 6 7 8 9 10", "+5 and +12", "12 345 678"]
     assert run(spark, rest) == rest
+
+
+def test_cards_in_any_grouping_and_beside_numbers(spark):
+    def digits(s):
+        return re.sub("[^0-9]", "", s)
+
+    def valid(n):  # n with a last digit that makes it pass Luhn
+        return next(n + str(d) for d in range(10) if luhn(n + str(d)))
+    assert not luhn("6212345678901234")
+    long = valid("6212 3456 7890 1234 56")
+    cards = [long, "4111 11111111 1111", "41 11 11 11 11 11 11 11", "3782 822463 10005", "4111111111111111", "5500 0000 0000 0004"]
+    got = run(spark, cards)
+    out = dict(zip(cards, got))
+    for c in cards:
+        assert out[c] != c and luhn(out[c]) and re.sub("[0-9]", "9", out[c]) == re.sub("[0-9]", "9", c)
+        assert sum(x == y for x, y in zip(digits(c), digits(out[c]))) < len(digits(c)) - 4
+    assert digits(out["4111 11111111 1111"]) == digits(out["41 11 11 11 11 11 11 11"]) == out["4111111111111111"]
+    phone, day, ssn = run(spark, ["555 123 4567", "2024-02-29", "123-45-6789"])
+    a, b, c = cards[3], cards[4], cards[5]
+    texts = [f"{long} 12", f"{b} 12", f"7 {c} 12", f"{a} {b} {c}", f"{b}  {long}", f"{c} 555 123 4567", f"{b} 2024-02-29 {c} 123-45-6789",
+             f"{c} {c}", f"{b}.5", f"{c} 192.168.0.1"]
+    o = out
+    ip = run(spark, ["192.168.0.1"])[0]
+    assert run(spark, texts) == [f"{o[long]} 12", f"{o[b]} 12", f"7 {o[c]} 12", f"{o[a]} {o[b]} {o[c]}", f"{o[b]}  {o[long]}", f"{o[c]} {phone}",
+                                 f"{o[b]} {day} {o[c]} {ssn}", f"{o[c]} {o[c]}", f"{o[b]}.5", f"{o[c]} {ip}"]
+    pair = "06 12 34 56 78"
+    assert run(spark, [f"{pair} {pair}"]) == [" ".join(run(spark, [pair]) * 2)]
+    counts = spark.createDataFrame([(f"{a} {b} {c}",), ("4111111111111112",), (f"{c} 555 123 4567 x@y.org",), ("none",)], "text string")
+    assert [r.n for r in counts.select(pii.count_found(counts.text).alias("n")).collect()] == [3, 1, 3, 0]
