@@ -10,7 +10,8 @@ document, different values different ones, and the key holder can invert them.
 Kinds: e-mail addresses (letters and digits of the local part and the domain
 but its last label), IPv4 addresses, payment cards (Luhn; 13 to
 19 digits, alone in any grouping, beside other numbers in the usual layouts, the
-longest valid one first), IBANs (mod 97), US
+longest valid one first), IBANs (mod 97, of their country's length;
+of a country not in the table only if no capitals or digits follow), US
 social security numbers, phone numbers (below), dates (yyyy-mm-dd, dd/mm/yyyy,
 dd.mm.yyyy; within blocks of 72,900 days), and credentials (access key ids,
 values after password, token and the like: from 6 characters to the closing
@@ -43,7 +44,31 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){
 KEY_ID = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 SECRET = (r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}"
           r"(?:\"[^\"\r\n]{6,}+\"|'[^'\r\n]{6,}+'|[\"']?[^\s\"']{6,}+)")
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Length of an IBAN by country (the registry's and other published ones).
+IBAN_LENGTH = {
+    15: "NO",
+    16: "BE",
+    18: "DK|FI|FK|FO|GL|NL|SD",
+    19: "MK|SI",
+    20: "AT|BA|EE|KZ|LT|LU|MN|XK",
+    21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA",
+    23: "AE|GI|IL|IQ|OM|SO|TL",
+    24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG",
+    25: "AO|CV|GW|LY|MZ|PT|ST",
+    26: "DZ|IR|IS|TR",
+    27: "BI|CF|CG|CM|DJ|FR|GA|GQ|GR|IT|KM|MC|MG|MR|SM|TD",
+    28: "AL|AZ|BF|BJ|BY|CI|CY|DO|GT|HN|HU|LB|MA|ML|NE|NI|PL|SN|SV|TG",
+    29: "BR|EG|PS|QA|UA",
+    30: "JO|KW|MU|YE",
+    31: "MT|SC",
+    32: "LC",
+    33: "RU",
+}
+#: A listed country's ends at its own length, any other's before a group that begins an IBAN.
+IBAN = (r"(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{c})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTH.items())
+        + f"|(?!{'|'.join(IBAN_LENGTH.values())})"
+        + r"[A-Z]{2}[0-9]{2}(?: ?(?![A-Z]{2}[0-9]{2} )[A-Z0-9]{4}){2,7}(?: ?(?![A-Z]{2}[0-9]{2})[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 IPV4 = r"(?<![0-9])(?<![0-9]\.)(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])"

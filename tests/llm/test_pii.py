@@ -150,3 +150,19 @@ def test_cards_in_any_grouping_and_beside_numbers(spark):
     assert run(spark, [f"{pair} {pair}"]) == [" ".join(run(spark, [pair]) * 2)]
     counts = spark.createDataFrame([(f"{a} {b} {c}",), ("4111111111111112",), (f"{c} 555 123 4567 x@y.org",), ("none",)], "text string")
     assert [r.n for r in counts.select(pii.count_found(counts.text).alias("n")).collect()] == [3, 1, 3, 0]
+
+
+def test_ibans_end_at_their_own_length(spark):
+    ibans = ["BE68 5390 0754 7034", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "NO93 8601 1117 947", "FR14 2004 1010 0505 0001 3M02 606"]
+    assert all(mod97(i) == 1 for i in ibans)
+    got = run(spark, ibans)
+    out = dict(zip(ibans, got))
+    assert all(a != b and mod97(b) == 1 for a, b in out.items())
+    after = ["100 EUR", "EUR", "PAID", "1000", ibans[0], ibans[1]]
+    assert run(spark, [f"{i} {x}" for i in ibans for x in after]) == [f"{out[i]} {out.get(x, x)}" for i in ibans for x in after]
+    # A country that is not listed, before another IBAN and alone.
+    body = "ABCD 1234 5678 9012"
+    other = next(f"ZZ{c:02} {body}" for c in range(2, 99) if mod97(f"ZZ{c:02} {body}") == 1)
+    new = run(spark, [other])[0]
+    assert new != other and mod97(new) == 1
+    assert run(spark, [f"{other} {ibans[0]}"]) == [f"{new} {out[ibans[0]]}"]
