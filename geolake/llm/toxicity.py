@@ -3,7 +3,8 @@
 The categories are predicted one after the other by linear (logistic) models
 over the words a text holds; each later model also gets the probabilities of
 the earlier categories.  It is trained with their out-of-fold predictions, so
-it learns from probabilities as good as those it meets on new texts.
+it learns from probabilities as good as those it meets on new texts: each
+fold's features and weak labels are chosen without its rows.
 
 Categories, in chain order: ``abusive_term`` (a toxic text with a term that
 marks toxic texts), ``abusive_repeatedly`` (with at least three of them) and
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 
 from .text import MARKED, U64, WordHasher, text_chunks
 
-MAX_PER_CLASS = 4_000
+MAX_PER_CLASS = 8_000
 CATEGORIES = ("abusive_term", "abusive_repeatedly", "toxic")
 FOLDS = 3
 #: A term is a feature if its association with a category's labels has this
@@ -41,7 +42,7 @@ MIN_Z, MIN_ROWS, MARK_SHARE = 3.0, 3, 0.98
 RIDGE, STEPS = 1e-6, 800
 #: The deciding probability is twice what one clean training text in a thousand
 #: gets out of fold, within these limits.
-THRESHOLD = (0.03, 0.5)
+THRESHOLD = (0.1, 0.5)
 
 
 def term_sets(column: pa.Array):
@@ -101,37 +102,51 @@ def fit_linear(x: Rows, extra: np.ndarray, y: np.ndarray, use: np.ndarray):
 
 
 def _association(sets, y):
-    flat = np.concatenate(sets) if sets else np.zeros(0, U64)
-    lab = np.repeat(y, [len(s) for s in sets])
-    terms, inv = np.unique(flat, return_inverse=True)
-    n = np.bincount(inv, minlength=len(terms)).astype(float)
-    p = np.bincount(inv, weights=lab, minlength=len(terms))
+    def counts(some):
+        return np.unique(np.concatenate(some) if some else np.zeros(0, U64), return_counts=True)
+    terms, n = counts(sets)
+    found, times = counts([s for s, t in zip(sets, y) if t])
+    n, p = n.astype(float), np.zeros(len(terms))
+    p[np.searchsorted(terms, found)] = times
     pos, neg = y.sum(), len(y) - y.sum()
     odds = np.log((p + .5) / (pos - p + .5)) - np.log((n - p + .5) / (neg - n + p + .5))
     z = odds / np.sqrt(1 / (p + .5) + 1 / (n - p + .5))
     return terms, n, p, z
 
 
-def fit_chain(sets: list[np.ndarray], toxic: np.ndarray) -> dict | None:
-    """Train the chain on term sets and 0/1 labels."""
-    y = np.asarray(toxic, float)
-    if not len(y) or y.min() == y.max():
-        return None
-    terms, n, p, z = _association(sets, y)
+def _features(sets: list[np.ndarray], y: np.ndarray, use: np.ndarray):
+    """(feature terms, rows over them, labels of each category), the terms and
+    the weak labels found in the rows ``use`` alone."""
+    terms, n, p, z = _association([s for s, u in zip(sets, use) if u], y[use])
     vocab = terms[(z >= MIN_Z) & (n >= MIN_ROWS)]
     marks = terms[(z >= MIN_Z) & (n >= MIN_ROWS) & (p >= MARK_SHARE * n)]
     marked = Rows(sets, marks).dot(np.ones(len(marks)))
     labels = {"abusive_term": y * (marked >= 1), "abusive_repeatedly": y * (marked >= 3), "toxic": y}
-    x, fold = Rows(sets, vocab), np.arange(len(y)) % FOLDS
-    del sets, terms, n, p, z
-    before, links = np.zeros((len(y), 0)), []
+    return vocab, Rows(sets, vocab), labels
+
+
+def out_of_fold(sets: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """Probability of each category for each row by models that saw nothing of its fold."""
+    fold = np.arange(len(y)) % FOLDS
+    parts = [_features(sets, y, fold != k)[1:] for k in range(FOLDS)]
+    before = np.zeros((len(y), 0))
     for name in CATEGORIES:
-        links.append(fit_linear(x, before, labels[name], np.ones(len(y), bool)))
         out = np.zeros(len(y))
-        for k in range(FOLDS):
+        for k, (x, labels) in enumerate(parts):
             w, v, b = fit_linear(x, before, labels[name], fold != k)
             out[fold == k] = _sigmoid(x.dot(w) + before @ v + b)[fold == k]
         before = np.column_stack([before, out])
+    return before
+
+
+def fit_chain(sets: list[np.ndarray], toxic: np.ndarray) -> dict | None:
+    """Train the chain on term sets and 0/1 labels."""
+    y = np.asarray(toxic, float)
+    if not len(y) or y.min() == y.max():
+        return None
+    before, every = out_of_fold(sets, y), np.ones(len(y), bool)
+    vocab, x, labels = _features(sets, y, every)
+    links = [fit_linear(x, before[:, :i], labels[name], every) for i, name in enumerate(CATEGORIES)]
     clean = np.quantile(before[y == 0, -1], 0.999)
     return {"vocab": vocab, "links": links, "threshold": float(np.clip(2 * clean, *THRESHOLD))}
 
@@ -165,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS)
     texts = (docs.select(F.col("doc_id").cast("long").alias("key"), F.col("text").alias("t"))
              .join(F.broadcast(chosen.withColumnRenamed("doc_id", "key")), "key").select("key", "y", "t"))
     got = texts.mapInArrow(run, "key long, y int, terms binary").toArrow().sort_by([("key", "ascending"), ("y", "ascending")])
-    return fit_chain([np.frombuffer(t, U64) for t in got.column("terms").to_pylist()], got.column("y").to_numpy())
+    return fit_chain([np.frombuffer(t.as_buffer(), U64) for t in got.column("terms")], got.column("y").to_numpy())
 
 
 def _scored(docs: DataFrame, chain: dict | None, text_col: str, keep: list[str]) -> DataFrame:

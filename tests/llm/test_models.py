@@ -87,3 +87,27 @@ def test_toxicity_edge_cases(spark):
     both = spark.createDataFrame([(4, 1), (5, 0), (5, 1), (6, 0), (2, 0)], "doc_id long, toxic int")
     assert len(toxicity.score(docs, toxicity.fit(docs, both)).collect()) == len(EDGE)
     assert toxicity.score(docs.limit(0), chain).count() == 0
+
+
+def test_toxicity_out_of_fold_scores_see_nothing_of_their_fold():
+    rnd = np.random.default_rng(3)
+    terms = np.unique(rnd.integers(1, 1 << 60, size=8000).astype(np.uint64))
+    y = (np.arange(900) // 3 % 2).astype(float)  # labels that no term explains
+    sets = [np.unique(rnd.choice(terms, 200)) for _ in y]
+    p = toxicity.out_of_fold(sets, y)[:, -1]
+    bad, good = p[y == 1], p[y == 0]
+    above = (bad[:, None] > good[None, :]).mean() + 0.5 * (bad[:, None] == good[None, :]).mean()
+    assert abs(above - 0.5) < 0.06
+
+
+def test_toxicity_learns_terms_of_few_toxic_rows(spark):
+    # In 0.6 % of 8,000 toxic rows, and no other sign of toxicity there.
+    n = 8000
+    bad = [f"w{i % 97} x{i % 89} " + ("zorgle" if i % 167 == 0 else "idiot") for i in range(n)]
+    good = [f"w{i % 97} x{i % 89} fine" for i in range(n)]
+    rows = [(i, t, int(i < n)) for i, t in enumerate(bad + good)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    chain = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", docs.y.alias("toxic")))
+    new = spark.createDataFrame([(1, "you zorgle"), (2, "you idiot"), (3, "w1 x1 fine")], "doc_id long, text string")
+    assert [r.is_toxic for r in sorted(toxicity.score(new, chain).collect())] == [True, True, False]
+    assert toxicity.THRESHOLD[0] == 0.1
