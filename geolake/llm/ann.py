@@ -12,7 +12,9 @@ component order.  Defined cases: vectors that are null, empty, all zero or
 hold a null or non-finite component take no part; only vectors of a query's
 own length are its candidates; rows with the query's own id are not; a row
 repeated in full counts once; ties go to the smaller id; rows with a null id
-take no part.  With fewer candidates than k, all are returned.
+take no part.  With fewer candidates than k, all are returned.  A query id with
+several different vectors is searched with each of them; a row's distance to it
+is the smallest of theirs.
 """
 
 from __future__ import annotations
@@ -64,13 +66,13 @@ class Tree:
         return best, sides
 
     def search(self, q: np.ndarray, q_ids: np.ndarray, k: int, factor: float = 1.0):
-        """(distances, ids) of the k best rows of every query; inf pads."""
+        """(distances, row numbers) of the k best rows of every query; inf pads."""
         best_d = np.full((len(q), k), np.inf)
         best_i = np.full((len(q), k), np.iinfo(np.int64).max)
 
         def offer(at, d, rows):
-            ids = np.broadcast_to(self.ids[rows], d.shape)
-            d = np.where(ids == q_ids[at, None], np.inf, d)
+            d = np.where(self.ids[rows] == q_ids[at, None], np.inf, d)
+            ids = np.broadcast_to(rows, d.shape)
             some = (d <= best_d[at, -1:]).any(axis=1)
             at, d, ids = at[some], d[some], ids[some]
             d, ids = np.concatenate([best_d[at], d], axis=1), np.concatenate([best_i[at], ids], axis=1)
@@ -116,7 +118,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, factor: float = 1.
     """(query_id, rank, vec_id, score) of the k nearest rows of each query."""
     points, asked = (t.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
                      .where(F.col("id").isNotNull() & usable(F.col("vec"))) for t in (rows, queries))
-    asked = asked.groupBy("id").agg(F.min("vec").alias("vec"))
+    asked = asked.distinct()
     points, asked = stage(points, "points"), stage(asked, "asked")
     shards = max(1, -(-points.count() // SHARD_ROWS))
     blocks = max(1, -(-asked.count() // BLOCK_ROWS))
@@ -135,9 +137,13 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, factor: float = 1.
         if not len(p) or not len(q):
             return empty
         q_ids, q_vecs = _distinct_rows(q)
-        d, i = Tree(*_distinct_rows(p)).search(q_vecs, q_ids, k, factor)
+        ids, vecs = _distinct_rows(p)
+        d, i = Tree(ids, vecs).search(q_vecs, q_ids, k, factor)
         found = np.isfinite(d)
-        return pd.DataFrame({"query_id": np.repeat(q_ids, found.sum(axis=1)), "vec_id": i[found], "score": d[found]})
+        # The vectors of one query id are all in this cell: each row counts once, by its smallest distance.
+        out = pd.DataFrame({"query_id": np.repeat(q_ids, found.sum(axis=1)), "row": i[found], "score": d[found]})
+        out = out.sort_values("score", kind="stable").drop_duplicates(["query_id", "row"])
+        return pd.DataFrame({"query_id": out["query_id"], "vec_id": ids[out["row"]], "score": out["score"]})
 
     found = (points.groupBy(*cell).cogroup(asked.groupBy(*cell))
              .applyInPandas(search, "query_id long, vec_id long, score double"))

@@ -53,3 +53,25 @@ def test_relaxed_pruning_keeps_recall_and_skips_work(spark, monkeypatch):
     exact = {r[:1] + r[2:3] for r in run(spark, rows)}
     near = {r[:1] + r[2:3] for r in run(spark, rows, factor=0.7)}
     assert len(exact & near) / len(exact) >= 0.9
+
+
+def test_query_id_with_several_vectors(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 150)
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 2)
+    rows = vectors(600, 6)
+    for i in (100, 300):
+        rows += [(i, [x + s for x in rows[i + 7][1]]) for s in (0.01, 0.02, 3.0)] + [(i, [1.0, 2.0])]
+    rows += [(601, [1.0, 2.5]), (602, rows[1][1]), (602, rows[2][1]), rows[100]]
+    expected, vecs = {}, {}
+    for i, v in rows:
+        vecs.setdefault(i, {})[tuple(map(float, np.float32(v)))] = None
+    for q in (x for x in vecs if x % 100 == 0):
+        best = []
+        for j, many in vecs.items():
+            for w in many if j != q else ():
+                d = [float(np.sqrt(sum((a - b) ** 2 for a, b in zip(v, w)))) for v in vecs[q] if len(v) == len(w)]
+                best += [(min(d), j)] if d else []
+        expected[q] = sorted(best)[:10]
+    got, want = run(spark, rows), sorted((q, r + 1, j, s) for q, best in expected.items() for r, (s, j) in enumerate(best))
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert np.allclose([r[3] for r in got], [r[3] for r in want], rtol=1e-12, atol=0)
