@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, decontaminate, near_dedup, pii, quality, toxicity, url_filter, warc_zip
+from . import (ann, bpe, chat, decontaminate, filter_audit, near_dedup, packing, periodic_runs, pii, quality, toxicity,
+               url_filter, warc_zip)
 from .common import prepare, table
 from .oracles import ORACLES
 
@@ -77,8 +78,27 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(rows, rows.where(F.col("vec_id") % 100 == 0))
 
 
+WORD_FILE = "word_bpe_49k.json"
+
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    found = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_FILE))
+    return packing.pack(found.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    texts = docs.select("doc_id", periodic_runs.planted(F.col("text"), F.col("doc_id")).alias("text"))
+    return periodic_runs.digests(periodic_runs.periodic_runs(texts))
+
+
 _QUERIES = (op1_url_filter, op2_near_dedup, op3_bpe, op4_toxicity, op5_quality, op6_decontaminate, op7_chat, op8_warc,
-            op9_pii, op10_ann)
+            op9_pii, op10_ann, op11_packing, op12_filter_audit, op13_periodic_runs)
 
 
 def _prepared(q: Callable) -> Callable[[SparkSession, str], DataFrame]:

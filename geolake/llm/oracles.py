@@ -96,3 +96,37 @@ d AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10
 """
+
+ORACLES["op12_filter_audit"] = r"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS caps,
+         min(doc_id) OVER (PARTITION BY t) < doc_id AS copy FROM t),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * caps > 5 * length(t),
+                regexp_matches(t, '[#$%&*|]'), coalesce(copy, false)] AS fails,
+         coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+  FROM w LEFT JOIN l USING (doc_id)),
+x AS (SELECT unnest([1, 2, 3, 4, 5]) AS x),
+o AS (
+  SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (
+  SELECT o, k AS step, o[k] AS own, o[1:k - 1] AS before FROM o, (SELECT x AS k FROM x)),
+g AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic,
+         len(list_filter(fails, lambda v: v)) AS k FROM f GROUP BY part, fails),
+m AS (
+  SELECT part, s.o, step, n, good, toxic, k, fails[own] AS own, len(list_filter(before, lambda i: fails[i])) > 0 AS earlier
+  FROM g, s)
+SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, step::INT AS step,
+       coalesce(sum(n) FILTER (NOT own AND NOT earlier), 0)::BIGINT AS kept,
+       coalesce(sum(n) FILTER (own AND NOT earlier), 0)::BIGINT AS removed,
+       coalesce(sum(n) FILTER (own AND earlier), 0)::BIGINT AS redundant,
+       coalesce(sum(n) FILTER (own AND k = 1), 0)::BIGINT AS unique_fails,
+       coalesce(sum(good) FILTER (own AND NOT earlier), 0)::BIGINT AS good_lost,
+       coalesce(sum(toxic) FILTER (own AND NOT earlier), 0)::BIGINT AS toxic_lost,
+       coalesce(sum(n * 120 // greatest(k, 1)) FILTER (own), 0)::BIGINT AS shapley
+FROM m GROUP BY part, o, step
+"""
