@@ -11,8 +11,8 @@ plan lists, for each length, which ranks go to which sequences at which
 offset, in runs of alike sequences.  Its size is bounded by the capacity, not by
 the data.  Every piece then finds its place from its rank among the pieces of
 its length.  Ranks come from the counts per (length, bucket of the id) and a
-numbering inside one bucket; there are so many buckets that each holds about
-BUCKET_ROWS pieces, so a length shared by a third of all pieces is split too.
+numbering inside one bucket; a length of n pieces has about sqrt(n) buckets of
+sqrt(n) pieces, so a length shared by a third of all pieces is split too.
 
 A document longer than the capacity, and only such a one, is cut into pieces of
 the capacity and a shorter last one.
@@ -26,6 +26,9 @@ must not be among them (an error otherwise).
 
 from __future__ import annotations
 
+import math
+import re
+import struct
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -37,30 +40,77 @@ from pyspark.sql import types as T
 from .common import drop_stage, stage
 
 CAPACITY, END = 4096, 1
-#: Pieces a bucket holds on average.
-BUCKET_ROWS = 100_000
-#: Distinct words a task remembers the ids of.
-MEMORY = 400_000
+#: Distinct words, and distinct parts of words, that a worker remembers the
+#: ids of: about 350 MB.
+WORDS, PARTS = 600_000, 1_000_000
 
 
 # ------------------------------------------------------------ tokens
+#: Words of printable ASCII and Latin-1 letters: composed already, and folded
+#: character by character.
+SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+#: What the tokenizer's pattern takes from such a word, folded.
+CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary:
+    itself if it shows in Latin-1, else the next one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class PartIds(dict):
+    """The token ids of a part of a word, by the tokenizer's merges."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize, self.letters = model.tokenize, byte_letters()
+
+    def __missing__(self, part: str) -> bytes:
+        text = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+        ids = _packed([t.id for t in self.tokenize(text)])
+        if len(self) < PARTS:
+            self[part] = ids
+        return ids
+
+
 class WordIds(dict):
     """The token ids of a word, as little-endian 32-bit integers.
 
     For a tokenizer that drops white space and looks at each stretch between
     white space by itself (case folding and composition by character), the ids
-    of a text are those of its words in turn."""
+    of a text are those of its words in turn.  A simple word is folded and cut
+    by the tokenizer's pattern, and each part merged by its model; a word with
+    other characters, or that may hold a special token, is encoded as it is.
+    Words beyond the first WORDS ones are not remembered.
+
+    An instance travels as its file's name and is filled in each worker."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
         super().__init__()
-        self.encode = Tokenizer.from_file(path).encode
+        self.path, self.tokenizer = path, None
+
+    def __reduce__(self):
+        return WordIds, (self.path,)
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= MEMORY:
-            self.clear()
-        ids = np.array(self.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = ids
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+            self.tokenizer = Tokenizer.from_file(self.path)
+            self.parts = PartIds(self.tokenizer.model)
+        text = word.decode()
+        if SIMPLE.fullmatch(text) and "<|" not in text:
+            ids = b"".join(map(self.parts.__getitem__, CUT.findall(text.lower())))
+        else:
+            ids = _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if len(self) < WORDS:
+            self[word] = ids
         return ids
 
     def of(self, text: str | None) -> bytes:
@@ -76,9 +126,10 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END,
     stop = np.array([end], "<u4").tobytes()
     rows = docs.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").cast("string").alias("t"))
     names = [id_col, "piece", "start", "length", "ids"]
+    shared = docs.sparkSession.sparkContext.broadcast(WordIds(path))  # a file name; a worker keeps what it learns
 
     def run(batches):
-        words = WordIds(path)
+        words = shared.value
         for batch in batches:
             found, size = ([], [], [], [], []), 0
             for k, text in enumerate(batch.column(1)):
@@ -212,6 +263,13 @@ def _fit_small(plan: _Plan, length: int, count: int) -> None:
 
 
 # ------------------------------------------------------------ places
+def _in_buckets(rows: DataFrame, lengths: dict[int, int]) -> DataFrame:
+    """``rows`` with ``bucket``, one of sqrt(n) for a length of n rows."""
+    known = rows.sparkSession.createDataFrame([(n, math.isqrt(c) + 1) for n, c in lengths.items()] or [(0, 1)], "len long, buckets long")
+    return (rows.join(F.broadcast(known), "len")   # at most capacity rows
+            .withColumn("bucket", F.pmod(F.xxhash64("row"), F.col("buckets"))).drop("buckets"))
+
+
 def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``found`` (rows with a ``length`` of 1 .. capacity) with ``sequence_id``
     and ``offset``."""
@@ -220,17 +278,16 @@ def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     # The staged number tells rows apart, equal ones too.
     kept = stage(found.select(F.struct(*(F.col(f"`{c}`") for c in found.columns)).alias("own"), F.col("length").cast("long").alias("len"),
                               F.monotonically_increasing_id().alias("row")), "pieces")
-    buckets = kept.count() // BUCKET_ROWS + 1
-    dealt = kept.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
-    counts = stage(dealt.groupBy("len", "bucket").agg(F.count("*").alias("n")), "piece_counts")
-    lengths = {r["len"]: r["n"] for r in counts.groupBy("len").agg(F.sum("n").alias("n")).limit(capacity + 2).collect()}
+    lengths = {r["len"]: r["n"] for r in kept.groupBy("len").agg(F.count("*").alias("n")).limit(capacity + 2).collect()}
     if any(n is None or not 0 < n <= capacity for n in lengths):
         raise ValueError("lengths must be 1 to the capacity")
+    dealt = _in_buckets(kept, lengths)
+    counts = stage(dealt.groupBy("len", "bucket").agg(F.count("*").alias("n")), "piece_counts")
     plan = np.array(sorted(packing_plan(lengths, capacity)), np.int64).reshape(-1, 6)
     shared = found.sparkSession.sparkContext.broadcast(plan)  # bounded by the capacity
 
     before = Window.partitionBy("len").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # A group has a row for each bucket: N / BUCKET_ROWS rows.
+    # A group has a row for each bucket of a length.
     starts = stage(counts.select("len", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "piece_starts")
     inside = Window.partitionBy("len", "bucket").orderBy("row")
     ranked = dealt.withColumn("r", F.row_number().over(inside)).join(starts, ["len", "bucket"])

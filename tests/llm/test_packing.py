@@ -93,13 +93,24 @@ def test_ids_are_those_of_the_library(spark):
     assert len(got[len(texts) - 1]) > 2 * 4096
 
 
-def test_words_are_forgotten_and_looked_up_again(monkeypatch):
-    monkeypatch.setattr(pk, "MEMORY", 2)
+def test_words_beyond_the_memory_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(pk, "WORDS", 2)
+    monkeypatch.setattr(pk, "PARTS", 2)
     whole = tokenizers.Tokenizer.from_file(FILE)
     words = pk.WordIds(FILE)
     text = "one two three one four two " * 3
     assert np.frombuffer(words.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
-    assert len(words) <= 2
+    assert len(words) == 2 and len(words.parts) == 2
+
+
+def test_words_equal_the_library_in_any_mixture():
+    rnd = random.Random(7)
+    whole, words = tokenizers.Tokenizer.from_file(FILE), pk.WordIds(FILE)
+    bits = ["'", "s", "'S", "'re", "ve", "ll", "Don", "A", "0", "12", "-", "\"", "...", "<|", "<|ENDOFTEXT|>", "<|endoftext|>", "|>", "_", "é", "É", "ß", "Ö", "×", "÷", "ÿ", "Ñandú", "ª", "µ",
+            "W\u030a", "I\u0307", "\u0301", "\x1c", "\x00", "\x7f", "\xa0", "\u2003", "\u200b", "Σ", "ẞ", "漢", "１", "²", "🙂", "~", "^`"]
+    for _ in range(3000):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 6)))
+        assert np.frombuffer(words.of(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, ascii(text)
 
 
 def check_packed(rows, capacity):
@@ -115,8 +126,7 @@ def check_packed(rows, capacity):
     return len(bins)
 
 
-def test_packing_of_documents(spark, monkeypatch):
-    monkeypatch.setattr(pk, "BUCKET_ROWS", 40)
+def test_packing_of_documents(spark):
     rnd = random.Random(4)
     rows = [(i, "word " * rnd.choice([0, 1, 5, 5, 5, 5, 40, 300, 1500, 5000])) for i in range(200)] + [(3, "same")] * 50 + [(None, None), (None, "a b")]
     docs = spark.createDataFrame([(i, t, "s", 7) for i, t in rows], "doc_id long, text string, own string, len int")
@@ -135,8 +145,7 @@ def test_packing_of_documents(spark, monkeypatch):
         assert whole[r.sequence_id][4 * r.offset:4 * (r.offset + r.length)] == bytes(r.ids)
 
 
-def test_callers_columns_and_equal_rows(spark, monkeypatch):
-    monkeypatch.setattr(pk, "BUCKET_ROWS", 16)
+def test_callers_columns_and_equal_rows(spark):
     rows = [(1, 7, "own", 2, 3)] * 200 + [(None, 4, None, None, None)] * 5
     found = spark.createDataFrame(rows, "doc_id long, length int, own string, rank int, bucket int")
     got = pk.pack(found, 10)
