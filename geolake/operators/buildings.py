@@ -31,6 +31,10 @@ DPE_FIELDS = [
 ]
 # --- end of fixed values ----------------------------------------------------
 
+#: Column that joins the eight tables, and the number of buckets it is dealt
+#: into: of a national register about 200 MB each; a parameter of the job.
+KEY, BUCKETS = "batiment_groupe_id", 256
+
 
 def building_table(df: DataFrame, src_epsg: int = 2154) -> DataFrame:
     """One building CSV table (all text): pandas missing tokens -> NULL; if a

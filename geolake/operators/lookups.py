@@ -17,6 +17,13 @@ IMAGE_URL_SUFFIX = "?width=400"
 # --- end of fixed values ----------------------------------------------------
 
 
+def of_department(features: DataFrame) -> DataFrame:
+    """Feature rows with ``departement``: the department that their file was
+    landed for; a property of that name only where the file names none."""
+    own = [F.col("departement")] if "departement" in features.columns else []
+    return features.withColumn("departement", F.coalesce(F.col("file_departement"), *own)).drop("file_departement")
+
+
 def sections_table(features: DataFrame) -> DataFrame:
     """Cadastral sections from GeoJSON feature rows (properties + geom)."""
     return features.select(F.col("id").alias("section_id"), "commune", "prefixe", "code",
@@ -25,7 +32,7 @@ def sections_table(features: DataFrame) -> DataFrame:
 
 def commune_geoms(features: DataFrame) -> DataFrame:
     """Commune geometries from GeoJSON feature rows."""
-    return features.select(F.col("id").alias("code_commune"), "nom", "departement", "geom")
+    return features.select(F.col("id").alias("code_commune"), F.col("nom").alias("nom_commune"), "departement", "geom")
 
 
 def prices_with_geometry(prices: DataFrame, sections: DataFrame, how: str = "inner") -> DataFrame:
@@ -87,8 +94,9 @@ def building_profile(buildings: DataFrame, satellites: dict[str, DataFrame],
                      key: str = "batiment_groupe_id") -> DataFrame:
     """Buildings left-joined with each satellite table on the building id.
 
-    At scale the building tables are bucketed on the id so these joins run
-    without a shuffle; otherwise AQE picks the strategy per join.
+    The tables that the building job writes are bucketed alike on the id, so
+    these joins run without a shuffle; over other tables AQE picks the strategy
+    per join.
     """
     out = buildings
     for name, sat in satellites.items():

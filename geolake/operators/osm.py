@@ -243,11 +243,12 @@ def _extra(name: str) -> Column:
 
 
 def osm_layer(elements: DataFrame, layer_name: str,
-              deps: Iterable[str] | None = None) -> DataFrame:
+              deps: Iterable[str] | None = None, dedupe: bool = False) -> DataFrame:
     """Full layer job: select -> assign departments -> geometry -> projection.
 
     Rows without a valid geometry are dropped.  An element inside several
-    (overlapping) department boxes is emitted once per department.
+    (overlapping) department boxes is emitted once per department; with
+    ``dedupe`` once, for the smallest department code.
     """
     layer = LAYERS[layer_name]
     sel = osm_select(elements, layer)
@@ -263,6 +264,8 @@ def osm_layer(elements: DataFrame, layer_name: str,
     else:
         found = F.when(F.col("type") == "node", node_deps) \
             .otherwise(departments_of_lines(F.col("_lines"), deps))
+    if dedupe:
+        found = F.slice(F.array_sort(found), 1, 1)
     rows = sel.select("*", F.explode(found).alias("departement"))
     cols = [F.col("id").alias("osm_id")]
     for out, key in layer.columns:

@@ -307,7 +307,7 @@ def communes_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = commune_code(k)
     return c.select(
         code.alias("code_commune"),
-        F.concat(F.lit("Commune "), k.cast("string")).alias("nom"),
+        F.concat(F.lit("Commune "), k.cast("string")).alias("nom_commune"),
         dep_num_code(k % 96 + 1).alias("departement"),
         point(F.lit(-5.0) + (k % 1300) / 100.0, F.lit(41.0) + (k % 1000) / 100.0).alias("geom"))
 
@@ -500,15 +500,17 @@ def erosion_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(k.alias("id_trait"), "s_name", F.col("s_acctbal").alias("taux"), g.alias("geom"))
 
 
-K1_REQUESTED = [f"{i:02d}" for i in range(1, 31) if i != 20]
+#: No supplier or order has a department overseas: requested, but absent.
+K1_REQUESTED = [f"{i:02d}" for i in range(1, 31) if i != 20] + ["971"]
 
 
 def k1_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """supplier as an existing department table and a new load (odd keys)."""
+    """supplier as an existing department table and as a new load of the
+    requested departments."""
     s = table(spark, sf_dir, "supplier")
     dep = dep_num_code(F.col("s_suppkey") % 96 + 1)
     old = s.select(dep.alias("departement"), "s_suppkey", "s_name", F.lit("old").alias("vintage"))
-    new = s.where(F.col("s_suppkey") % 2 == 1).select(
+    new = s.select(
         dep.alias("departement"), "s_suppkey", "s_name", F.lit("new").alias("vintage")) \
         .where(F.col("departement").isin(K1_REQUESTED))
     return old, new
@@ -522,7 +524,7 @@ def k6_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, i
         "o_orderkey", dep_num_code(F.col("o_custkey") % 96 + 1).alias("departement"),
         F.year("o_orderdate").alias("year"))
     old = o.select("*", F.lit("old").alias("vintage"))
-    new = o.where(F.col("o_orderkey") % 5 == 1).select(
+    new = o.select(
         "o_orderkey", "departement", F.lit(year).alias("year"), F.lit("new").alias("vintage"))
     return old, new, year
 
@@ -720,15 +722,20 @@ TILE_SIDE = 20
 
 def dem_tiles_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """part as cells of 1-degree tiles of 20 x 20 pixels (some tiles absent),
-    and boxes that cut through them."""
+    and boxes over all of them that cut through some."""
     p = table(spark, sf_dir, "part")
     tile = F.expr(f"p_partkey div {TILE_SIDE * TILE_SIDE}")
     at = F.col("p_partkey") % (TILE_SIDE * TILE_SIDE)
     cells = p.select((F.lit(43) + tile % 3).cast("int").alias("lat"), (F.lit(1) + F.expr(f"(p_partkey div {TILE_SIDE * TILE_SIDE}) div 3")).cast("int").alias("lon"),
                      F.floor(at / TILE_SIDE).cast("int").alias("row"), (at % TILE_SIDE).cast("int").alias("col"),
                      F.col("p_retailprice").alias("z"))
-    boxes = spark.createDataFrame([("A", 43.31, 1.27, 45.12, 3.43), ("B", 44.0, 2.0, 45.0, 4.0), ("C", 60.0, 1.0, 61.0, 2.0)],
-                                  "departement string, south double, west double, north double, east double")
+    # A box for every two tile columns, as far as the part keys reach, whose
+    # edges cut through tiles and overlap the next box's.
+    last = p.agg(F.max(F.expr(f"(p_partkey div {TILE_SIDE * TILE_SIDE}) div 6")).alias("n"))
+    i = F.col("i").cast("double")
+    boxes = last.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("n"))).alias("i")).select(
+        F.concat(F.lit("B"), F.col("i").cast("string")).alias("departement"), F.lit(42.81).alias("south"),
+        (F.lit(0.77) + i * 2.0).alias("west"), F.lit(46.12).alias("north"), (F.lit(3.31) + i * 2.0).alias("east"))
     return cells, boxes
 
 
@@ -803,3 +810,37 @@ def air_feature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Air-quality features serialised one per line, with the file order."""
     a = air_features_input(spark, sf_dir)
     return a.select(F.to_json(F.struct("properties")).alias("value"), "ordinal")
+
+
+# ------------------------------------------------------------ landed files
+def quoted_files(spark: SparkSession, sf_dir: str) -> str:
+    """customer as landed CSV files whose fields hold quotes, separators and
+    line ends; the folder."""
+    from ..session import scratch_path
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    shop = F.concat(F.lit('Shop "'), F.col("c_name"), F.lit('", '), F.col("c_mktsegment"))
+    note = F.when(k % 7 == 0, F.lit(None)).when(k % 3 == 0, F.concat(F.lit('first\n"second"; line,\n'), k.cast("string"))) \
+        .when(k % 3 == 1, F.lit('"')).otherwise(F.concat(F.lit("plain "), k.cast("string")))
+    path = scratch_path(spark, "quoted")
+    c.select(commune_code(k).alias("code"), shop.alias("shop"), note.alias("note"), k.cast("string").alias("key")).write.option(
+        "header", True).option("escape", '"').csv(path)
+    return path
+
+
+DOCUMENT_FEATURES = 1000
+
+
+def commune_documents(spark: SparkSession, sf_dir: str) -> str:
+    """The commune features as FeatureCollection documents, a file each, with
+    other objects before and after the features; the folder."""
+    from ..session import scratch_path
+    lines = commune_feature_lines(spark, sf_dir)
+    code = F.get_json_object("value", "$.properties.nom")
+    number = F.expr(f"cast(substring(nom, 9) as bigint) div {DOCUMENT_FEATURES}")
+    docs = lines.withColumn("nom", code).groupBy(number.alias("doc")).agg(F.sort_array(F.collect_list("value")).alias("features"))
+    text = F.concat(F.lit('{"type": "FeatureCollection", "note": "a { and a }", "crs": {"properties": {"name": "x"}}, "features": [\n'),
+                    F.array_join("features", ",\n"), F.lit('\n], "about": {"n": {"type": "Feature"}}}'))
+    path = scratch_path(spark, "collections")
+    docs.select("doc", text.alias("value")).write.partitionBy("doc").option("lineSep", "\n").text(path)
+    return path

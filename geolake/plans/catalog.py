@@ -17,6 +17,7 @@ from ..operators import (buildings, climate, communes, hazards, lookups, osm, pl
                          prices, raster)
 from ..sinks import tables as sinks
 from ..sources import parse as P
+from ..sources import readers as R
 from . import bindings as B
 from .tables import round_doubles
 
@@ -129,6 +130,14 @@ def q_building_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(lookups.building_profile(b, sats))
 
 
+def q_building_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b, sats = B.building_star_input(spark, sf_dir)
+
+    def bucketed(df: DataFrame) -> DataFrame:
+        return sinks.bucketed_copy(df, "building_star", buildings.KEY, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return round_doubles(lookups.building_profile(bucketed(b), {n: bucketed(s) for n, s in sats.items()}))
+
+
 def q_icu_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(flatten_geom(hazards.icu_union(B.icu_layers(spark, sf_dir))))
 
@@ -290,6 +299,17 @@ def q_parse_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_geom(lookups.commune_geoms(feats))
 
 
+def q_parse_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql.types import StringType, StructField, StructType
+    props = StructType([StructField(n, StringType()) for n in ("id", "nom", "departement")])
+    feats = R.read_geojson(spark, B.commune_documents(spark, sf_dir), props, line_delimited=False)
+    return flatten_geom(lookups.commune_geoms(feats))
+
+
+def q_parse_quoted_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.read_building_table(spark, B.quoted_files(spark, sf_dir), ",")
+
+
 def q_parse_osm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_geom(osm.osm_layer(P.parse_osm(B.osm_lines(spark, sf_dir)), "green_spaces"))
 
@@ -315,12 +335,10 @@ def q_parse_dpe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_parse_atmo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
     lines = B.air_feature_lines(spark, sf_dir)
     schema = B.air_features_input(spark, sf_dir).schema["properties"].dataType
-    docs = lines.select(F.concat(F.lit('{"features": ['), "value", F.lit("]}")).alias("value"), "ordinal")
-    feats = P.explode_properties(docs, schema)
-    return flatten_geom(climate.air_quality(feats, B.AIR_DEPS).withColumn("ordinal", F.col("ordinal.ordinal")))
+    feats = P.parse_properties(lines, schema)
+    return flatten_geom(climate.air_quality(feats, B.AIR_DEPS))
 
 
 def _osm(layer: str) -> Query:
@@ -364,6 +382,7 @@ def queries() -> dict[str, Query]:
         "wkt_reproject": q_wkt_reproject,
         "dpe_points": q_dpe_points,
         "building_profile": q_building_profile,
+        "building_star": q_building_star,
         "icu_union": q_icu_union,
         "coastal_erosion": q_coastal_erosion,
         "replace_departments": q_replace_departments,
@@ -390,6 +409,8 @@ def queries() -> dict[str, Query]:
         "tiles_for_bbox": q_tiles_for_bbox,
         "department_assign": q_department_assign,
         "parse_geojson": q_parse_geojson,
+        "parse_collections": q_parse_collections,
+        "parse_quoted_csv": q_parse_quoted_csv,
         "parse_osm": q_parse_osm,
         "parse_decimal_csv": q_parse_decimal_csv,
         "parse_entities": q_parse_entities,

@@ -8,7 +8,7 @@ and writes its table(s).  Layout, relative to ``root``::
 
     dvf/<year>/<dep>.csv.gz            crime/*.csv.gz       rents/<year>/<type>.csv
     meteo/<dep>.csv.gz                 catnat/*.csv         buildings/<table>/*.csv
-    geojson/<layer>/*.geojsonl         osm/*.jsonl          atmo/<feed>/*.json
+    geojson/<layer>/{,<dep>/}*.{geojsonl,json}[.gz]   osm/*.jsonl   atmo/<feed>/*.json
     dpe/*.json                         dem/cells.parquet    flood/**  icu/*  erosion/*  clay/*.parquet
     plu/{documents,communes,zones,prescriptions}/*.parquet  wikidata/*.jsonl
 """
@@ -26,8 +26,10 @@ from ..functions.departments import ALL_DEPARTMENTS, bbox_table
 from ..functions.geometry import st_x, st_y
 from ..operators import (buildings, climate, communes, hazards, lookups, osm, planning,
                          prices, raster)
+from ..session import release, scratch_path
 from ..sinks import tables as K
 from ..sources import readers as R
+from ..sources.manifest import readable
 
 
 def _p(root: str, *parts: str) -> str:
@@ -42,11 +44,45 @@ def _deps(deps: Iterable[str] | None) -> list[str]:
     return list(deps) if deps else list(ALL_DEPARTMENTS)
 
 
+def _read_departments(spark: SparkSession, folder: str, deps: Iterable[str] | None) -> tuple[list[str], list[str]]:
+    """The requested departments whose landed file can be read, and the files.
+    Those are the ones that a refresh replaces: a department without a readable
+    file keeps its rows."""
+    found = R.probe_department_files(spark, folder, _deps(deps), ".csv.gz")
+    return [d for d, s in found.items() if s.status == "readable"], readable(found.values())
+
+
+def _features(spark: SparkSession, root: str, layer: str, *names: str) -> DataFrame:
+    """The features of a layer, landed as lines (``.geojsonl``) or as
+    FeatureCollection documents (``.json``, ``.geojson``), any of them gzipped."""
+    kinds = ((f"*.geojsonl{gz}", True) for gz in ("", ".gz")), ((f"*.{e}{gz}", False) for e in ("json", "geojson") for gz in ("", ".gz"))
+    out = None
+    for pattern, lines in (x for kind in kinds for x in kind):
+        for path in (_p(root, "geojson", layer, pattern), _p(root, "geojson", layer, "*", pattern)):
+            if R.path_exists(spark, path):
+                rows = R.read_geojson(spark, path, _props(*names), line_delimited=lines)
+                out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise FileNotFoundError(f"no features under {_p(root, 'geojson', layer)}")
+    return out
+
+
+def _known_departments(rows: DataFrame, what: str) -> DataFrame:
+    """``rows``, none of which may lack its department: such a load would
+    replace departments by nothing."""
+    lost = rows.where(F.col("departement").isNull()).limit(1)
+    if not lost.isEmpty():
+        raise ValueError(f"{what}: features of no known department; land them in a file or folder named by its code")
+    return rows
+
+
 # ------------------------------------------------------------------ prices
 def job_dvf(spark: SparkSession, root: str, year: int, deps=None) -> None:
     """D14 + D15: section and commune price statistics for one year."""
-    deps = _deps(deps)
-    dvf = R.read_dvf(spark, [_p(root, "dvf", str(year), f"{d}.csv.gz") for d in deps])
+    deps, files = _read_departments(spark, _p(root, "dvf", str(year)), deps)
+    if not deps:
+        return
+    dvf = R.read_dvf(spark, files)
     K.ensure_namespace(spark, "dvf_prices")
     K.replace_departments(prices.section_prices(dvf).withColumn("year", F.lit(year)),
                           "dvf_prices.sections_stats", deps, within={"year": year})
@@ -55,22 +91,23 @@ def job_dvf(spark: SparkSession, root: str, year: int, deps=None) -> None:
 
 
 def job_dvf_sections(spark: SparkSession, root: str, deps=None) -> None:
-    """Cadastral section geometries."""
-    feats = R.read_geojson(spark, _p(root, "geojson", "sections"),
-                           _props("id", "commune", "prefixe", "code", "departement"))
+    """Cadastral section geometries; a section's department is the one
+    its file is landed for."""
+    feats = _features(spark, root, "sections", "id", "commune", "prefixe", "code", "departement")
     K.ensure_namespace(spark, "dvf_prices")
     deps = _deps(deps)
-    rows = lookups.sections_table(feats).where(F.col("departement").isin(deps))
-    K.replace_departments(rows, "dvf_prices.sections", deps)
+    rows = lookups.sections_table(_known_departments(lookups.of_department(feats), "sections"))
+    K.replace_departments(rows.where(F.col("departement").isin(deps)), "dvf_prices.sections", deps, keep_if_empty=True)
 
 
 def job_commune_geoms(spark: SparkSession, root: str, deps=None) -> None:
-    """Commune geometries."""
-    feats = R.read_geojson(spark, _p(root, "geojson", "communes"), _props("id", "nom", "departement"))
+    """Commune geometries; a commune's department is the one its file is
+    landed for."""
+    feats = _features(spark, root, "communes", "id", "nom", "departement")
     K.ensure_namespace(spark, "geom_utils")
     deps = _deps(deps)
-    rows = lookups.commune_geoms(feats).where(F.col("departement").isin(deps))
-    K.replace_departments(rows, "geom_utils.communes", deps)
+    rows = lookups.commune_geoms(_known_departments(lookups.of_department(feats), "communes"))
+    K.replace_departments(rows.where(F.col("departement").isin(deps)), "geom_utils.communes", deps, keep_if_empty=True)
 
 
 # -------------------------------------------------------------- indicators
@@ -97,23 +134,35 @@ def job_rents(spark: SparkSession, root: str, year: int, deps=None) -> None:
                       "rents.indicators", within={"year": year})
 
 
-def job_climate(spark: SparkSession, root: str, deps=None, start_year: int = 2014) -> None:
-    """Climate station statistics."""
-    df = R.read_mens(spark, [_p(root, "meteo", f"{d}.csv.gz") for d in _deps(deps)])
+def _replace(rows: DataFrame, table: str, deps: list[str], mode: str, partition_by: str | None = "departement") -> None:
+    """K3, or with ``mode="by_department"`` only the departments given."""
+    if mode == "by_department":
+        K.replace_departments(rows, table, deps)
+    elif mode == "table":
+        K.replace_table(rows, table, partition_by)
+    else:
+        raise ValueError(f"mode is table or by_department, not {mode}")
+
+
+def job_climate(spark: SparkSession, root: str, deps=None, start_year: int = 2014, mode: str = "table") -> None:
+    """Climate station statistics of the departments whose file can be
+    read; without any, the table stays as it is."""
+    deps, files = _read_departments(spark, _p(root, "meteo"), deps)
+    if not deps:
+        return
     K.ensure_namespace(spark, "climate")
-    K.replace_table(climate.climate_stations(df, start_year), "climate.stations")
+    _replace(climate.climate_stations(R.read_mens(spark, files), start_year), "climate.stations", deps, mode)
 
 
 # ------------------------------------------------------------------ hazards
 def job_storm(spark: SparkSession, root: str, deps=None) -> None:
     """D23 + D24: wind zones (truncate + load) and storm history per commune."""
     deps = _deps(deps)
-    wind = R.read_geojson(spark, _p(root, "geojson", "wind"), StructType(
-        [StructField("V_B0", StringType())]))
+    wind = _features(spark, root, "wind", "V_B0").drop("file_departement")
     K.ensure_namespace(spark, "storm_risk")
     K.truncate_load(hazards.wind_zones(wind), "storm_risk.wind_zones")
     hist = hazards.storm_history(R.read_catnat(spark, _p(root, "catnat")), deps)
-    com = spark.table("geom_utils.communes")
+    com = K.read_table(spark, "geom_utils.communes")
     K.replace_departments(hazards.storm_with_geometry(hist, com, deps),
                           "storm_risk.catnat_storm", deps)
 
@@ -168,7 +217,7 @@ def job_pollens(spark: SparkSession, root: str) -> None:
     feats = R.read_atmo(spark, _p(root, "atmo", "pollen"), props)
     # The loaded table has no file order: of a commune's rows the latest date
     # is used, ties by coordinates.
-    air = spark.table("climate.air_quality")
+    air = K.read_table(spark, "climate.air_quality")
     air = air.withColumn("ordinal", F.struct("date", st_x(F.col("geom")).alias("x"), st_y(F.col("geom")).alias("y")))
     K.replace_table(climate.pollen_with_coords(feats, air), "climate.pollens", partition_by=None)
 
@@ -184,8 +233,9 @@ def job_dpe(spark: SparkSession, root: str, deps=None) -> None:
 
 
 def job_bdnb(spark: SparkSession, root: str, deps=None, reset: bool = False,
-             src_epsg: int = 2154) -> None:
-    """The eight building tables, refreshed by department code."""
+             src_epsg: int = 2154, buckets: int = buildings.BUCKETS) -> None:
+    """The eight building tables, refreshed by department code, all
+    bucketed alike on the building id so that they join without a shuffle."""
     deps = _deps(deps)
     K.ensure_namespace(spark, "bati")
     if reset:
@@ -195,7 +245,8 @@ def job_bdnb(spark: SparkSession, root: str, deps=None, reset: bool = False,
         if not R.path_exists(spark, path):
             continue        # a register may be landed without some satellites
         df = buildings.building_table(R.read_building_table(spark, path), src_epsg)
-        K.replace_departments(df, f"bati.{t}", deps, key="code_departement_insee")
+        K.replace_departments(df, f"bati.{t}", deps, key="code_departement_insee",
+                              bucket=(buildings.KEY, buckets) if buildings.KEY in df.columns else None)
 
 
 # ---------------------------------------------------------------- planning
@@ -227,7 +278,8 @@ def job_exposure(spark: SparkSession, root: str, deps=None, pixel: float = DEM_P
     classes = raster.classify_exposure(raster.mosaic(cells), grid)
     polygons = raster.region_polygons(raster.region_rings(classes, grid))
     K.ensure_namespace(spark, "mnt")
-    K.replace_departments(polygons.drop("region_id"), "mnt.exposure", deps)
+    # Departments without polygons keep those they have.
+    K.replace_present(polygons.drop("region_id"), "mnt.exposure")
 
 
 def dem_tiles(spark: SparkSession, deps=None) -> DataFrame:
@@ -243,19 +295,25 @@ OSM_TABLES = {
     "green_spaces": ("green_spaces", "K1"), "transport": ("transport", "K3"),
     "roads": ("roads", "K1"), "parking": ("parking", "K1"), "water": ("water", "K1"),
 }
+#: Layers whose tables stay as they are when a load has no row at all.
+KEPT_IF_EMPTY = ("railways", "railway_stations")
 
 
-def job_osm(spark: SparkSession, root: str, layer: str, deps=None) -> None:
-    """One OSM layer from the landed extract."""
-    deps = _deps(deps)
+def _publish_osm(el: DataFrame, layer: str, deps: list[str], mode: str, dedupe_osm: bool) -> None:
+    table, kind = OSM_TABLES[layer]
+    out = osm.osm_layer(el, layer, deps, dedupe=dedupe_osm)
+    if kind == "K3":
+        _replace(out, f"osm.{table}", deps, mode)
+    else:
+        K.replace_departments(out, f"osm.{table}", deps, keep_if_empty=layer in KEPT_IF_EMPTY)
+
+
+def job_osm(spark: SparkSession, root: str, layer: str, deps=None, mode: str = "table", dedupe_osm: bool = False) -> None:
+    """One OSM layer from the landed extract.  ``mode`` (T2) and
+    ``dedupe_osm`` (T14: an element of several departments once) are options."""
     el = R.read_osm(spark, _p(root, "osm", "*.jsonl"))
-    table, mode = OSM_TABLES[layer]
-    out = osm.osm_layer(el, layer, deps)
     K.ensure_namespace(spark, "osm")
-    if mode == "K3":
-        K.replace_table(out, f"osm.{table}")
-    else:
-        K.replace_departments(out, f"osm.{table}", deps)
+    _publish_osm(el, layer, _deps(deps), mode, dedupe_osm)
 
 
 def stage_osm(spark: SparkSession, root: str) -> DataFrame:
@@ -263,32 +321,28 @@ def stage_osm(spark: SparkSession, root: str) -> DataFrame:
 
     JSON parsing is the expensive part of every OSM layer; the layers then
     read the columnar copy (pruned to the columns each one needs)."""
-    from ..session import scratch_path
     path = scratch_path(spark, "osm_elements")
     R.read_osm(spark, _p(root, "osm", "*.jsonl")).write.partitionBy("type").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._staged_at = path
+    return out
 
 
-def job_osm_all(spark: SparkSession, root: str, deps=None) -> None:
+def job_osm_all(spark: SparkSession, root: str, deps=None, mode: str = "table", dedupe_osm: bool = False) -> None:
     """D1-D7, D9-D12 in one run over a single parse of the extract."""
-    deps = _deps(deps)
     el = stage_osm(spark, root)
     K.ensure_namespace(spark, "osm")
-    for layer, (table, mode) in OSM_TABLES.items():
-        out = osm.osm_layer(el, layer, deps)
-        if mode == "K3":
-            K.replace_table(out, f"osm.{table}")
-        else:
-            K.replace_departments(out, f"osm.{table}", deps)
+    for layer in OSM_TABLES:
+        _publish_osm(el, layer, _deps(deps), mode, dedupe_osm)
+    release(el)
 
 
-def job_wiki_pois(spark: SparkSession, root: str, deps=None) -> None:
+def job_wiki_pois(spark: SparkSession, root: str, deps=None, mode: str = "table") -> None:
     """Wikidata-tagged POIs enriched with description and image."""
     el = R.read_osm(spark, _p(root, "osm", "*.jsonl"))
     ent = lookups.entity_enrichment(R.read_entities(spark, _p(root, "wikidata")))
     K.ensure_namespace(spark, "osm")
-    K.replace_table(osm.attach_wikidata(osm.osm_layer(el, "wiki_pois", _deps(deps)), ent),
-                    "osm.poi_wiki")
+    _replace(osm.attach_wikidata(osm.osm_layer(el, "wiki_pois", _deps(deps)), ent), "osm.poi_wiki", _deps(deps), mode)
 
 
 JOBS: dict[str, Callable] = {
@@ -298,7 +352,7 @@ JOBS: dict[str, Callable] = {
     "coastal-erosion": job_coastal, "icu": job_icu, "air-quality": job_air_quality,
     "pollens": job_pollens, "dpe-collectif": job_dpe, "bdnb": job_bdnb, "plu": job_plu,
     "exposition": job_exposure, "wiki-pois": job_wiki_pois, "osm-all": job_osm_all,
-    **{name.replace("_", "-"): (lambda layer: (lambda spark, root, deps=None:
-                                                job_osm(spark, root, layer, deps)))(name)
+    **{name.replace("_", "-"): (lambda layer: (lambda spark, root, deps=None, **options:
+                                                job_osm(spark, root, layer, deps, **options)))(name)
        for name in OSM_TABLES},
 }

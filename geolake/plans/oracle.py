@@ -510,9 +510,9 @@ FROM pairs GROUP BY code_commune HAVING count(rate) > 0
 pv AS (SELECT code_commune, {cols}, {sql_dep_of('code_commune')} AS departement
        FROM pairs GROUP BY code_commune HAVING count(rate) > 0),
 com AS (SELECT {sql_commune('c_custkey')} AS code_commune,
-               'Commune ' || CAST(c_custkey AS VARCHAR) AS nom,
+               'Commune ' || CAST(c_custkey AS VARCHAR) AS nom_commune,
                {D(-5.0)} + (c_custkey % 1300) / {D(100.0)} AS lon, {D(41.0)} + (c_custkey % 1000) / {D(100.0)} AS lat FROM customer)
-SELECT pv.*, com.nom, {point_stats('lon', 'lat')} FROM pv JOIN com USING (code_commune)
+SELECT pv.*, com.nom_commune, {point_stats('lon', 'lat')} FROM pv JOIN com USING (code_commune)
 """
     return q
 
@@ -830,6 +830,7 @@ SELECT * FROM b LEFT JOIN c USING (batiment_groupe_id) LEFT JOIN e USING (batime
 LEFT JOIN r USING (batiment_groupe_id) LEFT JOIN p USING (batiment_groupe_id) LEFT JOIN o USING (batiment_groupe_id)
 LEFT JOIN s USING (batiment_groupe_id) LEFT JOIN a USING (batiment_groupe_id)
 """.replace("{dep}", sql_dep_num("(o_custkey % 96 + 1)"))
+    q["building_star"] = q["building_profile"]
     x = f"({D(700000.0)} + (s_suppkey % 40) * {D(5000.0)})"
     y = f"({D(6500000.0)} + ((s_suppkey // 40) % 40) * {D(5000.0)})"
     slon, slat = sql_l93(x, y)
@@ -857,14 +858,14 @@ SELECT {dep} AS departement, s_suppkey, s_name, 'old' AS vintage FROM supplier
 WHERE {dep} NOT IN {sql_list(B.K1_REQUESTED)}
 UNION ALL
 SELECT {dep} AS departement, s_suppkey, s_name, 'new' AS vintage FROM supplier
-WHERE s_suppkey % 2 = 1 AND {dep} IN {sql_list(B.K1_REQUESTED)}
+WHERE {dep} IN {sql_list(B.K1_REQUESTED)}
 """
     odep = sql_dep_num("(o_custkey % 96 + 1)")
     q["replace_year_departments"] = f"""
 WITH o AS (SELECT o_orderkey, {odep} AS departement, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders)
 SELECT *, 'old' AS vintage FROM o WHERE NOT (year = 1996 AND departement IN {sql_list(B.K1_REQUESTED)})
 UNION ALL
-SELECT o_orderkey, departement, CAST(1996 AS INTEGER) AS year, 'new' AS vintage FROM o WHERE o_orderkey % 5 = 1
+SELECT o_orderkey, departement, CAST(1996 AS INTEGER) AS year, 'new' AS vintage FROM o
 """
     return q
 
@@ -1137,8 +1138,9 @@ WITH t AS (SELECT CAST(43 + (p_partkey // {B.TILE_SIDE ** 2}) % 3 AS INTEGER) AS
                   CAST(1 + (p_partkey // {B.TILE_SIDE ** 2}) // 3 AS INTEGER) AS lon,
                   (p_partkey % {B.TILE_SIDE ** 2}) // {B.TILE_SIDE} AS r, (p_partkey % {B.TILE_SIDE ** 2}) % {B.TILE_SIDE} AS q,
                   p_retailprice AS z FROM part),
-b AS (SELECT * FROM (VALUES ('A', {D(43.31)}, {D(1.27)}, {D(45.12)}, {D(3.43)}), ('B', {D(44.0)}, {D(2.0)}, {D(45.0)}, {D(4.0)}),
-                            ('C', {D(60.0)}, {D(1.0)}, {D(61.0)}, {D(2.0)})) v(departement, s, w, n, e)),
+b AS (SELECT 'B' || CAST(i AS VARCHAR) AS departement, {D(42.81)} AS s, {D(0.77)} + CAST(i AS DOUBLE) * {D(2.0)} AS w,
+             {D(46.12)} AS n, {D(3.31)} + CAST(i AS DOUBLE) * {D(2.0)} AS e
+      FROM (SELECT unnest(range(0, max((p_partkey // {B.TILE_SIDE ** 2}) // 6) + 1)) AS i FROM part)),
 x AS (SELECT departement, lat, lon, z,
              CAST(floor(((lat + 1 + (r + {D(0.5)}) * {D(-side)}) - n) / {D(-side)}) AS INTEGER) AS row,
              CAST(floor(((lon + (q + {D(0.5)}) * {D(side)}) - w) / {D(side)}) AS INTEGER) AS col,
@@ -1179,7 +1181,7 @@ def parse_oracles() -> dict[str, str]:
     lon = f"((c_custkey % 800) / {D(100.0)})"
     lat = f"({D(41.0)} + (c_custkey % 1000) / {D(100.0)})"
     q["parse_geojson"] = f"""
-SELECT {sql_commune('c_custkey')} AS code_commune, 'Commune ' || CAST(c_custkey AS VARCHAR) AS nom,
+SELECT {sql_commune('c_custkey')} AS code_commune, 'Commune ' || CAST(c_custkey AS VARCHAR) AS nom_commune,
        {sql_dep_num('(c_custkey % 96 + 1)')} AS departement,
        'Polygon' AS geom_type, CAST(1 AS BIGINT) AS geom_parts, CAST(4 AS BIGINT) AS geom_points,
        {lon} AS geom_xmin, {lat} AS geom_ymin, {lon} + {D(0.01)} AS geom_xmax, {lat} + {D(0.01)} AS geom_ymax
@@ -1191,6 +1193,14 @@ FROM customer
 SELECT {sql_commune('c_custkey')} AS code, c_name AS name, {amount} AS amount, c_mktsegment AS segment
 FROM customer
 """
+    note = ("CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN 'first' || chr(10) || '\"second\"; line,' || chr(10) "
+            "|| CAST(c_custkey AS VARCHAR) WHEN c_custkey % 3 = 1 THEN '\"' ELSE 'plain ' || CAST(c_custkey AS VARCHAR) END")
+    q["parse_quoted_csv"] = f"""
+SELECT {sql_commune('c_custkey')} AS code, 'Shop \"' || c_name || '\", ' || c_mktsegment AS shop, {note} AS note,
+       CAST(c_custkey AS VARCHAR) AS key
+FROM customer
+"""
+    q["parse_collections"] = q["parse_geojson"]
     osm = osm_oracles()
     q["parse_osm"] = osm["osm_green_spaces"]
     other = atmo_oracles()

@@ -11,17 +11,25 @@ Two forms of each contract:
 
 New data is always materialised to a staging location first, so a failed
 read or transform aborts before anything is deleted.
+
+Several catalog commands make up one refresh of a catalog table, and a driver
+killed between them leaves a part of it.  With the session setting
+``geolake.tables.root`` the same calls publish versioned tables under that
+folder instead (:mod:`.versions`): one atomic commit per refresh, read with
+:func:`read_table`.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import apply_semantic_conf, materialize, release
+from ..session import apply_semantic_conf, materialize, release, scratch_path
+from .versions import VersionedTable
 
 
 # ----------------------------------------------------------- query forms
@@ -54,6 +62,15 @@ def replace_present_query(existing: DataFrame, new: DataFrame, key: str = "depar
 
 
 # ---------------------------------------------------------- catalog actions
+def bucketed_copy(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """``df`` written as a table of the catalog, bucketed and sorted by ``key``:
+    copies of the same number of buckets join on it without a shuffle."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", scratch_path(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
 def ensure_namespace(spark: SparkSession, name: str) -> None:
     """K8: create the database if missing."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
@@ -63,6 +80,23 @@ def _exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
+def versioned(spark: SparkSession, table: str) -> VersionedTable | None:
+    """The versioned table of that name, if the session publishes such ones."""
+    root = spark.conf.get("geolake.tables.root", None)
+    return VersionedTable(spark, f"{root.rstrip('/')}/{table.replace('.', '/')}") if root else None
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """A published table, wherever the session publishes."""
+    v = versioned(spark, table)
+    return spark.table(table) if v is None else v.read()
+
+
+def table_exists(spark: SparkSession, table: str) -> bool:
+    v = versioned(spark, table)
+    return _exists(spark, table) if v is None else v.exists()
+
+
 @contextmanager
 def _staged(df: DataFrame, table: str) -> Iterator[DataFrame]:
     """The new rows, written to the shared staging area first: the source is
@@ -76,14 +110,18 @@ def _staged(df: DataFrame, table: str) -> Iterator[DataFrame]:
         release(staged)
 
 
-def _create(df: DataFrame, table: str, partition_by: list[str]) -> None:
+def _create(df: DataFrame, table: str, partition_by: list[str], bucket: tuple[str, int] | None = None) -> None:
     w = df.write.format("parquet")
+    if bucket:
+        w = w.bucketBy(bucket[1], bucket[0]).sortBy(bucket[0])
     (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(table)
 
 
-def replace_departments(df: DataFrame, table: str, requested: Iterable[str],
-                        key: str = "departement", within: dict | None = None) -> None:
+def replace_departments(df: DataFrame, table: str, requested: Iterable[str], key: str = "departement",
+                        within: dict | None = None, keep_if_empty: bool = False, bucket: tuple[str, int] | None = None) -> None:
     """K1 / K5 / K6: the requested departments are replaced, all others kept.
+    With ``keep_if_empty`` a load without any row changes nothing.  ``bucket``
+    (column, number) buckets and sorts a table that is made here.
 
     The table is partitioned by ``within``'s columns and ``key``.  Partitions
     of requested departments are overwritten (dynamic mode), requested ones
@@ -94,8 +132,13 @@ def replace_departments(df: DataFrame, table: str, requested: Iterable[str],
     requested = list(requested)
     parts = [*(within or {}), key]
     with _staged(df, table) as staged:
+        if keep_if_empty and table_exists(spark, table) and staged.isEmpty():
+            return
+        if (v := versioned(spark, table)) is not None:
+            v.replace_departments(staged, requested, key, within)
+            return
         if not _exists(spark, table):
-            _create(staged, table, parts)
+            _create(staged, table, parts, bucket)
             return
         rows = staged.select(*spark.table(table).columns)
         asked = F.coalesce(F.col(key).isin(requested), F.lit(False))
@@ -117,6 +160,9 @@ def replace_present(df: DataFrame, table: str, key: str = "departement",
     """K2: dynamic partition overwrite of the departments in the new data."""
     spark = df.sparkSession
     with _staged(df, table) as staged:
+        if (v := versioned(spark, table)) is not None:
+            v.replace_present(staged, key, within)
+            return
         if not _exists(spark, table):
             _create(staged, table, [*(within or {}), key])
             return
@@ -130,6 +176,9 @@ def replace_present(df: DataFrame, table: str, key: str = "departement",
 def replace_table(df: DataFrame, table: str, partition_by: str | None = "departement") -> None:
     """K3: full replace."""
     with _staged(df, table) as staged:
+        if (v := versioned(df.sparkSession, table)) is not None:
+            v.replace_table(staged, partition_by)
+            return
         w = staged.write.mode("overwrite").format("parquet")
         if partition_by and partition_by in staged.columns:
             w = w.partitionBy(partition_by)
@@ -140,6 +189,9 @@ def truncate_load(df: DataFrame, table: str) -> None:
     """K4: keep the table definition, replace all rows in one statement."""
     spark = df.sparkSession
     with _staged(df, table) as staged:
+        if (v := versioned(spark, table)) is not None:
+            v.replace_table(staged, None)
+            return
         if not _exists(spark, table):
             _create(staged, table, [])
             return
@@ -149,4 +201,7 @@ def truncate_load(df: DataFrame, table: str) -> None:
 def drop_tables(spark: SparkSession, tables: Iterable[str]) -> None:
     """K5 reset: drop every table of a family."""
     for t in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
+        if (v := versioned(spark, t)) is not None:
+            v.drop()
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {t}")

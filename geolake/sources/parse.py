@@ -7,6 +7,8 @@ line) and parsed in parallel; nothing is gathered into one task.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,6 +26,32 @@ _COORDS = {
 }
 
 
+_BAD = "_bad"
+
+
+def record(col: Column, schema: StructType) -> Column:
+    """JSON text -> struct of ``schema`` and ``_bad``: the text, where it is no
+    JSON object.  (A value of another type than the schema's makes that field
+    NULL and leaves the record.)"""
+    wide = StructType([*schema.fields, S.StructField(_BAD, S.StringType())])
+    parsed = F.from_json(col, wide, {"columnNameOfCorruptRecord": _BAD})
+    return F.transform(F.array(parsed), lambda r: r.withField(_BAD, F.when(
+        F.coalesce(*(F.when(r[f.name].isNotNull(), F.lit(True)) for f in schema.fields)).isNull(), r[_BAD])))[0]
+
+
+def json_rejects(lines: DataFrame, schema: StructType, col: str = "value", place: Sequence[str] = ()) -> DataFrame:
+    """The records that are no JSON object: ``place``, the text, the reason.
+    Blank lines are no records."""
+    bad = lines.where(F.trim(F.col(col)) != "").select(*place, record(F.col(col), schema)[_BAD].alias("record"))
+    return bad.where(F.col("record").isNotNull()).withColumn("reason", F.lit("not a JSON object"))
+
+
+def _records(lines: DataFrame, schema: StructType, col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``f`` and the columns ``keep`` for every record that is a JSON object."""
+    f = lines.where(F.trim(F.col(col)) != "").select(record(F.col(col), schema).alias("f"), *keep)
+    return f.where(F.col(f"f.{_BAD}").isNull())
+
+
 def _xy(p: Column) -> Column:
     return F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y"))
 
@@ -50,44 +78,27 @@ def geojson_geometry(geometry: Column) -> Column:
     return expr.otherwise(F.lit(None).cast(GEOM_TYPE))
 
 
-def parse_features(lines: DataFrame, properties: StructType, col: str = "value") -> DataFrame:
-    """Line-delimited GeoJSON features -> ``properties.*`` + ``geom``."""
+def parse_features(lines: DataFrame, properties: StructType, col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Line-delimited GeoJSON features -> ``properties.*`` + ``geom`` and the
+    columns ``keep``."""
     schema = StructType([
         S.StructField("type", S.StringType()),
         S.StructField("properties", properties),
         S.StructField("geometry", S.GEOJSON_GEOMETRY),
     ])
-    f = lines.select(F.from_json(F.col(col), schema).alias("f"))
-    return f.select("f.properties.*", geojson_geometry(F.col("f.geometry")).alias("geom"))
-
-
-def explode_collection(docs: DataFrame, properties: StructType, col: str = "value") -> DataFrame:
-    """Whole FeatureCollection documents (one per row) -> one row per feature.
-
-    Only for bounded documents (an API page, a small reference layer); large
-    layers should be landed line-delimited and go through
-    :func:`parse_features`.
-    """
-    schema = StructType([S.StructField("features", S.ArrayType(StructType([
-        S.StructField("properties", properties),
-        S.StructField("geometry", S.GEOJSON_GEOMETRY)])))])
-    f = docs.select(F.explode(F.from_json(F.col(col), schema)["features"]).alias("f"))
-    return f.select("f.properties.*", geojson_geometry(F.col("f.geometry")).alias("geom"))
+    f = _records(lines, schema, col, keep)
+    return f.select("f.properties.*", geojson_geometry(F.col("f.geometry")).alias("geom"), *keep)
 
 
-def explode_properties(docs: DataFrame, properties: StructType, col: str = "value") -> DataFrame:
-    """Feature documents ``{"features": [...]}`` (one per row, bounded: an API
-    answer) -> one row per feature with its ``properties`` (NULL allowed).
-    ``ordinal`` becomes (the document's ordinal, the feature's place)."""
-    schema = StructType([S.StructField("features", S.ArrayType(StructType([
-        S.StructField("properties", properties)])))])
-    rows = docs.select("ordinal", F.posexplode(F.from_json(F.col(col), schema)["features"]).alias("place", "f"))
-    return rows.select(F.col("f.properties").alias("properties"), F.struct("ordinal", "place").alias("ordinal"))
+def parse_properties(records: DataFrame, properties: StructType, col: str = "value") -> DataFrame:
+    """Feature records with ``ordinal`` -> their ``properties`` (NULL allowed)."""
+    schema = StructType([S.StructField("properties", properties)])
+    return _records(records, schema, col, ["ordinal"]).select("f.properties", "ordinal")
 
 
 def parse_osm(lines: DataFrame, col: str = "value") -> DataFrame:
     """Line-delimited Overpass elements -> element rows."""
-    return lines.select(F.from_json(F.col(col), S.OSM_ELEMENT).alias("e")).select("e.*")
+    return _records(lines, S.OSM_ELEMENT, col).select("f.*").drop(_BAD)
 
 
 def explode_results(pages: DataFrame, record: StructType, key: str = "results",
