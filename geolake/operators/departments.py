@@ -8,7 +8,7 @@ The box table is fixed (about 100 rows), so instead of a nested-loop range
 join every row looks up the 1-degree cells its points fall in, in a constant
 dense ``cell -> departments`` grid folded into the plan (O(1) per point), and
 then refines with the exact inclusive box test.  No shuffle, no join, no
-Python.
+Python.  Any other box table goes through the grid join of :mod:`.boxes`.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.departments import ALL_DEPARTMENTS, DEP_BBOX, cell_index
+from .boxes import assign_to_boxes
 
 
 def _grid(deps: list[str]):
@@ -150,9 +151,13 @@ def departments_of_lines(lines: Column, deps: Iterable[str] | None = None) -> Co
     return F.array_sort(_bind(ls, with_lines))
 
 
-def assign_departments(df: DataFrame, points: Column,
-                       deps: Iterable[str] | None = None) -> DataFrame:
-    """One output row per (row, matching department); unknown codes -> none."""
+def assign_departments(df: DataFrame, points: Column, deps: Iterable[str] | None = None,
+                       boxes: DataFrame | None = None) -> DataFrame:
+    """One output row per (row, matching department); unknown codes -> none.
+    ``boxes`` (departement, south, west, north, east) are any boxes, of any
+    number, in place of the fixed table."""
+    if boxes is not None:
+        return assign_to_boxes(df, points, boxes if deps is None else boxes.where(F.col("departement").isin(list(deps))))
     return df.select("*", F.explode(departments_of(points, deps)).alias("departement"))
 
 

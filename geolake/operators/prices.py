@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .quantiles import exact_quantiles
 
 # --- fixed values -----------------------------------------------------------
@@ -41,43 +42,58 @@ def built_sales(dvf: DataFrame) -> DataFrame:
             .withColumn("code_commune", F.substring("section_id", 1, 5)))
 
 
-def _known(df: DataFrame, *keys: str) -> DataFrame:
-    for k in keys:
-        df = df.where(F.col(k).isNotNull())
-    return df
+#: One row for every different sale line, and how often it comes.
+_LINE = ["departement", "section_id", "code_commune", "id_mutation", "prix_m2", "surface_reelle_bati"]
 
 
-def section_prices(dvf: DataFrame) -> DataFrame:
+def counted_sales(dvf: DataFrame) -> DataFrame:
+    """The built sales as different lines and their counts ``n``: the one read
+    of the transactions, from which every statistic follows."""
+    bati = built_sales(dvf).where(F.col("departement").isNotNull())
+    # Every use needs the count, so that all of them share one shuffle.
+    return bati.groupBy(*_LINE).agg(F.count("*").alias("n")).where(F.col("n") > 0)
+
+
+def staged_sales(dvf: DataFrame) -> DataFrame:
+    """:func:`counted_sales`, written to the checkpoint folder for several jobs."""
+    return materialize(counted_sales(dvf), "sales")
+
+
+def _totals(lines: DataFrame, keys: list[str], distinct: str, mean: str, count: str) -> DataFrame:
+    """Mean price over lines and number of different ``distinct`` per group,
+    from rows already reduced to one per ``distinct``."""
+    each = lines.groupBy(*keys, distinct).agg(F.sum(F.col("prix_m2") * F.col("n")).alias("s"),
+                                              F.sum(F.when(F.col("prix_m2").isNotNull(), F.col("n"))).alias("c"))
+    return each.groupBy(*keys).agg((F.sum("s") / F.sum("c")).alias(mean), F.count(distinct).alias(count))
+
+
+def section_prices(dvf: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """Per (departement, section_id): q1/median/q3/mean of EUR/m2, distinct
     sales and median built surface (exact quantiles, linear interpolation).
-
-    Distinct sales come from rows already reduced to one per sale, whose sums
-    give the mean, so no quantile buffer meets a distinct count.
+    ``lines``, if given, are :func:`staged_sales` of ``dvf``, and the
+    quantiles are made step by step; otherwise the result is lazy.
     """
     keys = ["departement", "section_id"]
-    bati = _known(built_sales(dvf), *keys)
-    sales = bati.groupBy(*keys, "id_mutation").agg(F.sum("prix_m2").alias("s"), F.count("prix_m2").alias("c"))
-    totals = sales.groupBy(*keys).agg((F.sum("s") / F.sum("c")).alias("prix_m2_mean"),
-                                      F.count("id_mutation").alias("nb_ventes"))
-    q = exact_quantiles(bati, keys, [
+    staged = lines is not None
+    lines = lines if staged else counted_sales(dvf)
+    q = exact_quantiles(lines, keys, [
         ("prix_m2", 0.25, "prix_m2_q1"), ("prix_m2", 0.5, "prix_m2_median"),
-        ("prix_m2", 0.75, "prix_m2_q3"), ("surface_reelle_bati", 0.5, "surface_mediane")])
-    return totals.join(q, keys).select(
+        ("prix_m2", 0.75, "prix_m2_q3"), ("surface_reelle_bati", 0.5, "surface_mediane")], "n", staged)
+    return _totals(lines, keys, "id_mutation", "prix_m2_mean", "nb_ventes").join(q, keys).select(
         "section_id", "prix_m2_q1", "prix_m2_median", "prix_m2_q3", "prix_m2_mean", "nb_ventes",
         "surface_mediane", "departement")
 
 
-def commune_prices(dvf: DataFrame) -> DataFrame:
+def commune_prices(dvf: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """Per (departement, code_commune): median and mean EUR/m2 over raw rows,
-    distinct sales and distinct sections."""
+    distinct sales and distinct sections.  ``lines`` as in
+    :func:`section_prices`."""
     keys = ["departement", "code_commune"]
-    bati = _known(built_sales(dvf), *keys)
-    sections = bati.groupBy(*keys, "section_id").agg(F.sum("prix_m2").alias("s"), F.count("prix_m2").alias("c"))
-    totals = sections.groupBy(*keys).agg((F.sum("s") / F.sum("c")).alias("commune_mean_price_sqm"),
-                                         F.count("section_id").alias("commune_sections_count"))
-    sales = (bati.select(*keys, "id_mutation").distinct().groupBy(*keys)
-             .agg(F.count("id_mutation").alias("commune_sales_count")))
-    q = exact_quantiles(bati, keys, [("prix_m2", 0.5, "commune_median_price_sqm")])
+    staged = lines is not None
+    lines = lines if staged else counted_sales(dvf)
+    totals = _totals(lines, keys, "section_id", "commune_mean_price_sqm", "commune_sections_count")
+    sales = lines.groupBy(*keys, "id_mutation").agg(F.sum("n")).groupBy(*keys).agg(F.count("id_mutation").alias("commune_sales_count"))
+    q = exact_quantiles(lines, keys, [("prix_m2", 0.5, "commune_median_price_sqm")], "n", staged)
     return totals.join(sales, keys).join(q, keys).select(
         "code_commune", "commune_median_price_sqm", "commune_mean_price_sqm",
         "commune_sales_count", "commune_sections_count", "departement")

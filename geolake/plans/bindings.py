@@ -750,6 +750,27 @@ def boxes_input(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (south + (k % 3) * 0.7).alias("north"), (west + (k % 4) * 0.6).alias("east"))
 
 
+def box_assign_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """customer as elements of one or two places, a third of them at one spot;
+    supplier as boxes from a street to the world, overlapping."""
+    k = F.col("c_custkey")
+    lat = F.when(k % 3 == 0, F.lit(45.5)).otherwise(F.lit(41.0) + (k * 37 % 11000) / 1000.0)
+    lon = F.when(k % 3 == 0, F.lit(2.25)).otherwise(F.lit(-5.0) + (k * 53 % 14000) / 1000.0)
+    one, two = F.struct(lat.alias("lat"), lon.alias("lon")), F.struct((lat + 1.5).alias("lat"), (lon + 0.5).alias("lon"))
+    places = F.when(k % 7 == 0, F.array(one, two)).when(k % 11 == 0, F.array(two, one, two)).otherwise(F.array(one))
+    rows = table(spark, sf_dir, "customer").select(k.alias("c_custkey"), places.alias("places"))
+    s = F.col("s_suppkey")
+    south, west = F.lit(41.0) + (s * 7 % 110) / 10.0, F.lit(-5.0) + (s * 13 % 140) / 10.0
+    side = F.when(s % 5 == 0, F.lit(0.0)).when(s % 5 == 1, F.lit(0.0009)).when(s % 5 == 2, F.lit(0.3)).otherwise(F.lit(0.05))
+    world = s % 997 == 1
+    boxes = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("B"), s.cast("string")).alias("departement"),
+        F.when(world, F.lit(-90.0)).otherwise(south).alias("south"), F.when(world, F.lit(-180.0)).otherwise(west).alias("west"),
+        F.when(world, F.lit(90.0)).otherwise(south + side).alias("north"),
+        F.when(world, F.lit(180.0)).otherwise(west + side * 2.0).alias("east"))
+    return rows, boxes
+
+
 # --------------------------------------------------------------- text forms
 def commune_feature_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer as line-delimited GeoJSON commune features (text)."""

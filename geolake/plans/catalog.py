@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.geometry import flatten_geom
 from ..functions.crs import l93_to_lonlat
@@ -240,6 +241,12 @@ def q_department_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_departments(pts, point_array(F.col("lat"), F.col("lon")))
 
 
+def q_box_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.departments import assign_departments
+    rows, boxes = B.box_assign_input(spark, sf_dir)
+    return assign_departments(rows, F.col("places"), boxes=boxes).drop("places")
+
+
 def _region_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raster.region_rings(_exposure_classes(spark, sf_dir), B.dem_grid_input(spark, sf_dir))
 
@@ -408,6 +415,7 @@ def queries() -> dict[str, Query]:
         "replace_year_departments": q_replace_year_departments,
         "tiles_for_bbox": q_tiles_for_bbox,
         "department_assign": q_department_assign,
+        "box_assign": q_box_assign,
         "parse_geojson": q_parse_geojson,
         "parse_collections": q_parse_collections,
         "parse_quoted_csv": q_parse_quoted_csv,

@@ -83,11 +83,13 @@ def job_dvf(spark: SparkSession, root: str, year: int, deps=None) -> None:
     if not deps:
         return
     dvf = R.read_dvf(spark, files)
+    lines = prices.staged_sales(dvf)
     K.ensure_namespace(spark, "dvf_prices")
-    K.replace_departments(prices.section_prices(dvf).withColumn("year", F.lit(year)),
+    K.replace_departments(prices.section_prices(dvf, lines).withColumn("year", F.lit(year)),
                           "dvf_prices.sections_stats", deps, within={"year": year})
-    K.replace_departments(prices.commune_prices(dvf).withColumn("year", F.lit(year)),
+    K.replace_departments(prices.commune_prices(dvf, lines).withColumn("year", F.lit(year)),
                           "dvf_prices.communes_stats", deps, within={"year": year})
+    release(lines)
 
 
 def job_dvf_sections(spark: SparkSession, root: str, deps=None) -> None:

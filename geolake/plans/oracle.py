@@ -1004,9 +1004,23 @@ WHERE ent.description IS NOT NULL OR ent.image_url IS NOT NULL
 def assign_oracles() -> dict[str, str]:
     lat = f"({D(41.0)} + (c_custkey * 37 % 1100) / {D(100.0)})"
     lon = f"({D(-5.0)} + (c_custkey * 53 % 1400) / {D(100.0)})"
+    first = (f"CASE WHEN c_custkey % 3 = 0 THEN {D(45.5)} ELSE {D(41.0)} + (c_custkey * 37 % 11000) / {D(1000.0)} END",
+             f"CASE WHEN c_custkey % 3 = 0 THEN {D(2.25)} ELSE {D(-5.0)} + (c_custkey * 53 % 14000) / {D(1000.0)} END")
+    side = (f"CASE s_suppkey % 5 WHEN 0 THEN {D(0.0)} WHEN 1 THEN {D(0.0009)} WHEN 2 THEN {D(0.3)} ELSE {D(0.05)} END")
     return {"department_assign": f"""
 SELECT c_custkey, {lat} AS lat, {lon} AS lon, b.dep AS departement
 FROM customer JOIN {_boxes_sql()} ON {lat} BETWEEN b.s AND b.n AND {lon} BETWEEN b.w AND b.e
+""", "box_assign": f"""
+WITH p AS (SELECT c_custkey, {first[0]} AS lat, {first[1]} AS lon FROM customer),
+q AS (SELECT * FROM p UNION ALL
+      SELECT c_custkey, lat + {D(1.5)}, lon + {D(0.5)} FROM p WHERE c_custkey % 7 = 0 OR c_custkey % 11 = 0),
+o AS (SELECT s_suppkey, {D(41.0)} + (s_suppkey * 7 % 110) / {D(10.0)} AS s, {D(-5.0)} + (s_suppkey * 13 % 140) / {D(10.0)} AS w,
+             {side} AS d FROM supplier),
+b AS (SELECT 'B' || CAST(s_suppkey AS VARCHAR) AS departement,
+             CASE WHEN s_suppkey % 997 = 1 THEN {D(-90.0)} ELSE s END AS s, CASE WHEN s_suppkey % 997 = 1 THEN {D(-180.0)} ELSE w END AS w,
+             CASE WHEN s_suppkey % 997 = 1 THEN {D(90.0)} ELSE s + d END AS n,
+             CASE WHEN s_suppkey % 997 = 1 THEN {D(180.0)} ELSE w + d * {D(2.0)} END AS e FROM o)
+SELECT DISTINCT c_custkey, departement FROM q JOIN b ON lat BETWEEN s AND n AND lon BETWEEN w AND e
 """}
 
 

@@ -56,3 +56,48 @@ def test_building_the_price_queries_runs_no_job(spark):
         assert len(tracker.getJobIdsForGroup("lazy")) <= 9
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_close_values_are_divided_again(spark, monkeypatch):
+    from geolake.operators import quantiles as Q
+    monkeypatch.setattr(Q, "BOUND", 8)
+    monkeypatch.setattr(Q, "PARTS", 8)
+    rng = np.random.default_rng(3)
+    close = 1000 + rng.integers(0, 400, 3000) * 1e-9    # all in one digit
+    wide = np.concatenate([rng.normal(0, 1e-7, 500) + 5, rng.normal(0, 1e9, 200), [-0.0, 0.0, 5e-324, -5e-324]])
+    pdf = pd.DataFrame({"k": ["a"] * len(close) + ["b"] * len(wide) + ["c"], "v": np.concatenate([close, wide, [2.5]])})
+    pdf["w"] = -pdf["v"]
+    specs = [("v", p, f"p{int(p * 100)}") for p in (0.0, 0.1, 0.5, 0.99, 1.0)] + [("w", 0.5, "m")]
+    got = exact_quantiles(spark.createDataFrame(pdf).repartition(5), ["k"], specs, staged=True).toPandas().set_index("k").sort_index()
+    for v, p, name in specs:
+        expected = pdf.groupby("k")[v].quantile(p).sort_index()
+        assert (got[name] == expected).all(), name
+
+
+def test_weights_count_rows(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"k": rng.integers(0, 5, 300), "v": np.round(rng.normal(0, 9, 300), 1), "n": rng.integers(1, 6, 300)})
+    many = pdf.loc[pdf.index.repeat(pdf["n"])]
+    got = exact_quantiles(spark.createDataFrame(pdf), ["k"], [("v", 0.25, "q")], weight="n").toPandas().set_index("k").sort_index()
+    assert np.allclose(got["q"], many.groupby("k")["v"].quantile(0.25).sort_index())
+
+
+def test_price_statistics_read_the_input_once(spark):
+    import re
+
+    import __spark_entry__ as E
+    for name in ("section_prices", "commune_prices"):
+        df = E.queries()[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert len(re.findall(r"FileScan parquet", final)) == 1, final
+
+
+def test_staged_and_lazy_price_statistics_agree(spark):
+    from geolake.operators import prices
+    from geolake.plans import bindings as B
+    dvf = B.dvf_input(spark, "/root/testdata/sf0.001")
+    lines = prices.staged_sales(dvf)
+    for f in (prices.section_prices, prices.commune_prices):
+        a, b = (df.toPandas().sort_values("departement").round(6) for df in (f(dvf), f(dvf, lines)))
+        assert sorted(map(str, a.itertuples(index=False))) == sorted(map(str, b.itertuples(index=False)))
