@@ -42,3 +42,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet into the shared checkpoint folder
     and read it back, so later steps survive the loss of any executor."""
     return materialize(df, f"llm-{name}")
+
+
+def collect_garbage(spark: SparkSession) -> None:
+    """Shuffle files of finished steps stay on the executors until the driver
+    has collected the objects that stand for them; in a loop of many short jobs
+    that may take very long."""
+    spark._jvm.System.gc()

@@ -40,11 +40,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.graph import connected_components
-from .common import drop_stage, shuffle_parts, stage
+from .common import collect_garbage, drop_stage, shuffle_parts, stage
+from .components import components
 from .text import U64, mix, odd_randoms, shingle_sets
 
 M, BANDS, ROWS = 256, 51, 5
@@ -56,6 +56,8 @@ B, RATE, LIMIT = 1.001, 20.0, (1 << 16) - 1
 SLACK = 14.0
 #: Members verified against one leader per step.
 BLOCK = 256
+#: What tells one set from another, and the most sets whose copies are salted.
+SAME, HOT_SETS = ["n", "f1", "f2"], 1000
 #: Size of one side of a cell, and the columns of one step of its comparison.
 CELL_ROWS, CELL_SHINGLES, CELL_COLUMNS = 1024, 500_000, 8192
 
@@ -156,15 +158,16 @@ def _sketch_rows(ids, sets) -> pa.RecordBatch:
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
+    """(bkey, id, n) for every band of every representative."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, M)
-            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(band_keys(regs).ravel()), pa.array(ids)], names=["bkey", "id"])
+            regs = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, M)
+            ids, n = (np.repeat(batch.column(k).to_numpy(zero_copy_only=False), BANDS) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(band_keys(regs).ravel()), pa.array(ids), pa.array(n)], names=["bkey", "id", "n"])
 
-    return reps.select("id", "regs").mapInArrow(run, "bkey long, id long")
+    return reps.select("id", "n", "regs").mapInArrow(run, "bkey long, id long, n long")
 
 
 def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -178,14 +181,18 @@ def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             keep = likely((u > v).sum(axis=1), (u < v).sum(axis=1), na.to_numpy(), nb.to_numpy(), percent)
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(keep))
 
+    # An id with several texts has several sketches; each pair of them is tried.
     one = reps.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"))
     two = reps.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"))
-    close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    sizes = (pairs.join(one.select("a", "na"), "a").join(two.select("b", "nb"), "b").where(close).select("a", "b"))
-    return (sizes.join(one, "a").join(two, "b").where(close)
+    return (pairs.select("a", "b").join(one, "a").join(two, "b").where(_close("na", "nb", percent))
             .select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long").distinct())
 
 
+def _close(m: str, n: str, percent: int) -> Column:
+    """Whether sets of these sizes can be that similar."""
+    return F.least(m, n) * 100 >= F.greatest(m, n) * percent
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) confirmed on the full sets: the text of a leader goes to
     each block of its members, a task holds one leader and a batch."""
@@ -322,17 +329,22 @@ def _shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 
 
 # ------------------------------------------------------------ operator
+def _salted(rows: DataFrame, hot: DataFrame, by: Column) -> DataFrame:
+    """``rows`` with ``salt``: 0, or for hot sets one of their salts."""
+    known = rows.join(F.broadcast(hot), SAME, "left")
+    return known.withColumn("salt", F.pmod(by, F.coalesce("salts", F.lit(1)))).drop("salts")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``docs``."""
+    spark = docs.sparkSession
     made = stage(sketch(docs, id_col, text_col), "sketch")
     member = made.where("n > 0 and id is not null")
-    same = ["n", "f1", "f2"]
-    rep_of = member.groupBy(*same).agg(F.min("id").alias("rep"))
-    ids = rep_of.select(F.col("rep").alias("id")).distinct()
-    reps = stage(member.join(ids, "id", "left_semi").select("id", "n", "regs").distinct(), "reps")
+    sets = stage(member.groupBy(*SAME).agg(F.min("id").alias("rep"), F.min_by("regs", "id").alias("regs"), F.count("*").alias("copies")), "sets")
+    reps = sets.select(F.col("rep").alias("id"), "n", "regs")
 
     all_buckets = _buckets(reps)
-    shared = all_buckets.groupBy("bkey").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last")
+    shared = all_buckets.groupBy("bkey").agg(F.min(F.struct("id", "n")).alias("lead"), F.max("id").alias("last")).where("lead.id < last")
     buckets = stage(all_buckets.join(shared.select("bkey", "lead"), "bkey"), "buckets")
     wanted = stage(buckets.select("id").distinct(), "needed")
     # The comparison marks the side as selective, which lets Spark build its
@@ -341,45 +353,65 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     near = stage(reps.join(needed, "id"), "near")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
     texts = stage(texts.join(needed, "id"), "texts")
+    collect_garbage(spark)
 
-    star = buckets.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    likely_star = stage(_estimated(star, near, percent), "star")
-    links = stage(_verified(likely_star, texts, percent), "links")
-    # A doc_id with several texts ties its sets together.
-    of_row = member.select("id", *same).join(rep_of, same).select("id", "rep")
-    tied = of_row.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("last")).where("a < last")
-    tied = of_row.join(tied, "id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    edges = stage(links.unionByName(tied), "edges")
-    label = connected_components(edges)
+    star = buckets.where((F.col("id") != F.col("lead.id")) & _close("n", "lead.n", percent))
+    star = star.select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct()
+    likely_star = stage(_estimated(star, near, percent), "likely")
+    edges = stage(_verified(likely_star, texts, percent).unionByName(_tied(member, sets)), "edges")
+    for t in (wanted, near, likely_star):
+        drop_stage(t)
+    label = components(edges)
 
     # Buckets that hold several components still.
-    named = (buckets.join(label, "id", "left").join(near.groupBy("id").agg(F.max("n").alias("n")), "id")
-             .select("bkey", "id", "n", F.coalesce("comp", "id").alias("comp")))
+    named = buckets.select("bkey", "id", "n").join(label, "id", "left").select("bkey", "id", "n", F.coalesce("comp", "id").alias("comp"))
+    named = stage(named.groupBy("bkey", "id", "comp").agg(F.max("n").alias("n")), "named")
     open_keys = (named.groupBy("bkey").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("c"))
                  .where("lo < hi and c > 2").select("bkey"))
     mixed = stage(named.join(open_keys, "bkey", "left_semi"), "mixed")
     more = stage(_finished(_cells(mixed), texts, percent), "ties")
     if not more.isEmpty():
-        label = connected_components(edges.unionByName(more))
-    for t in (reps, buckets, wanted, near, texts, likely_star, links, edges, mixed, more):
+        # The ties link components: theirs are found among the labels alone.
+        one, two = (label.select(F.col("id").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab")
+        ends = more.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+        over = components(ends).select(F.col("id").alias("comp"), F.col("comp").alias("top"))
+        nodes = label.unionByName(more.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+                                  .join(label, "id", "left_anti").select("id", F.col("id").alias("comp")))
+        label = stage(nodes.join(over, "comp", "left").select("id", F.coalesce("top", "comp").alias("comp")), "label")
+    for t in (buckets, texts, edges, named, mixed, more):
         drop_stage(t)
-
-    comp = rep_of.join(label, rep_of.rep == label.id, "left").select(*same, F.coalesce("comp", "rep").alias("component_id"))
-    # One row per set; joined by the set, whose copies may be a third of all
-    # rows: the small side is split by the join, not the copies' texts.
-    out = made.select("id", *same).join(comp, same, "left")
+    collect_garbage(spark)
+
+    comp = stage(sets.join(label, sets.rep == label.id, "left").select(*SAME, "copies", F.coalesce("comp", "rep").alias("component_id")), "comp")
+    # A set's copies may be a third of all rows: of a set with a thousandth of
+    # them or more, one row for each salt meets as many rows at most.
+    share = F.greatest(F.lit(member.count() // HOT_SETS), F.lit(1))
+    hot = comp.where(F.col("copies") > share).select(*SAME, F.ceil(F.col("copies") / share).cast("int").alias("salts"))   # under HOT_SETS rows
+    each = comp.join(F.broadcast(hot), SAME, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+    out = _salted(made.select("id", *SAME), hot, F.xxhash64("id", F.monotonically_increasing_id())).join(
+        each.select(*SAME, "salt", "component_id"), [*SAME, "salt"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
+def _tied(member: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between the representatives of one doc_id's several texts."""
+    own = F.struct(*SAME)
+    several = member.groupBy("id").agg(F.min(own).alias("lo"), F.max(own).alias("hi")).where("lo < hi").select("id")
+    reps = member.join(several, "id", "left_semi").select("id", *SAME).distinct().join(sets.select(*SAME, "rep"), SAME).select("id", "rep")
+    first = reps.groupBy("id").agg(F.min("rep").alias("a"))
+    return reps.join(first, "id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+
+
 def drop_near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group: that of the smallest id, one
-    row of it; rows with a null id stay."""
+    row of it; rows with a null id stay.  The caller's columns are carried in a
+    struct, so their names may be any."""
     found = near_duplicates(docs, percent, id_col, text_col)
-    kept = stage(found.where("kept").where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("kept_id")).distinct(), "kept")
-    known = docs.where(F.col(f"`{id_col}`").isNotNull())
-    once = Window.partitionBy("keep_key").orderBy(F.xxhash64(F.col(f"`{text_col}`")))
-    stay = known.withColumn("keep_key", F.col(f"`{id_col}`").cast("long")).join(kept, F.col("keep_key") == kept.kept_id, "left_semi")
-    stay = stay.withColumn("keep_place", F.row_number().over(once)).where("keep_place = 1")
-    return stay.select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+    kept = stage(found.where("kept").where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("key")).distinct(), "kept")
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("own"), F.col(f"`{id_col}`").cast("long").alias("key"),
+                      F.xxhash64(F.col(f"`{text_col}`")).alias("order"))
+    once = Window.partitionBy("key").orderBy("order")
+    stay = own.where("key is not null").join(kept, "key", "left_semi").withColumn("place", F.row_number().over(once)).where("place = 1")
+    return stay.select("own").unionByName(own.where("key is null").select("own")).select("own.*")

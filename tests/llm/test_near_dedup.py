@@ -4,7 +4,10 @@ import re
 import numpy as np
 import pyarrow as pa
 
+import pytest
+
 from geolake.llm import near_dedup as nd
+from geolake.llm.components import components
 from geolake.operators.graph import connected_components
 from geolake.llm.text import shingle_sets
 
@@ -94,6 +97,20 @@ def test_pipeline_form_keeps_one_row_of_each_group(spark):
     assert sorted(map(tuple, out.collect()), key=str) == sorted([rows[1], rows[3], rows[4], rows[5]], key=str)
 
 
+def test_columns_of_any_name_keep_their_values(spark):
+    rows = [(1, "a b c d e f g", "own", 7, 1, "k", 0.5), (2, "a b c d e f g", "x", 8, 2, "l", 1.5), (3, "other words here", "y", 9, 3, "m", 2.5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, own string, place int, `order` int, keep_key string, `a.b` double")
+    out = nd.drop_near_duplicates(docs)
+    assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == [rows[0], rows[2]]
+
+
+def test_hot_sets_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(nd, "HOT_SETS", 3)
+    rows = [(i, "the very same words again and again") for i in range(60)] + [(100 + i, f"other text number {i} of some") for i in range(30)]
+    rows += [(5, "the very same words again and again")] * 20 + [(None, "the very same words again and again")]
+    assert got(spark, rows) == brute(rows)
+
+
 def test_registers_merge_and_estimate():
     rnd = np.random.default_rng(1)
     a = rnd.integers(1 << 62, size=900).astype(np.uint64)
@@ -115,7 +132,8 @@ def test_shingle_sets_do_not_depend_on_chunks(monkeypatch):
     assert [s.tolist() for s in shingle_sets(pa.array(texts).slice(3, 4))] == before[3:7]
 
 
-def test_components_against_union_find(spark):
+@pytest.mark.parametrize("connected_components", [connected_components, components])
+def test_components_against_union_find(spark, connected_components):
     rnd = random.Random(9)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5)]
     parent = {}
