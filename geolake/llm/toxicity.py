@@ -13,12 +13,14 @@ weak labels, found in the training rows by the association of terms with the
 label.
 
 The fit takes at most MAX_PER_CLASS labelled rows of each class, those of the
-smallest hash of their id: the one bounded sample here.  Scoring covers every
-row and whole texts.
+smallest hash of their id: the one bounded sample here.  Spark counts its terms
+by class and fold; the driver gets the counts of the terms that may be
+features, and the rows over those.  Scoring covers every row and whole texts.
 
 Defined cases: null, empty or wordless texts hold no term and get the models'
 intercepts; a label repeated for one doc_id counts once (its largest value);
-null labels are not learnt from.  Without both classes among the labels no
+null labels are not learnt from; a doc_id with several rows is learnt from once
+(its smallest text).  Without both classes among the labels no
 document is toxic (probability 0).
 """
 
@@ -26,10 +28,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import drop_stage, stage
 from .text import MARKED, U64, WordHasher, text_chunks
 
 MAX_PER_CLASS = 8_000
@@ -101,34 +104,50 @@ def fit_linear(x: Rows, extra: np.ndarray, y: np.ndarray, use: np.ndarray):
     return w, v, float(b)
 
 
-def _association(sets, y):
-    def counts(some):
-        return np.unique(np.concatenate(some) if some else np.zeros(0, U64), return_counts=True)
-    terms, n = counts(sets)
-    found, times = counts([s for s, t in zip(sets, y) if t])
-    n, p = n.astype(float), np.zeros(len(terms))
-    p[np.searchsorted(terms, found)] = times
-    pos, neg = y.sum(), len(y) - y.sum()
-    odds = np.log((p + .5) / (pos - p + .5)) - np.log((n - p + .5) / (neg - n + p + .5))
-    z = odds / np.sqrt(1 / (p + .5) + 1 / (n - p + .5))
-    return terms, n, p, z
-
-
-def _features(sets: list[np.ndarray], y: np.ndarray, use: np.ndarray):
-    """(feature terms, rows over them, labels of each category), the terms and
-    the weak labels found in the rows ``use`` alone."""
-    terms, n, p, z = _association([s for s, u in zip(sets, use) if u], y[use])
-    vocab = terms[(z >= MIN_Z) & (n >= MIN_ROWS)]
-    marks = terms[(z >= MIN_Z) & (n >= MIN_ROWS) & (p >= MARK_SHARE * n)]
+def _folds(n: int) -> np.ndarray:
+    return np.arange(n) % FOLDS
+
+
+class Terms:
+    """How many training rows of each (fold, label) hold each term: ``terms``
+    (sorted hashes) and ``held`` (terms x folds x 2); ``rows`` (folds x 2)."""
+
+    def __init__(self, terms: np.ndarray, held: np.ndarray, rows: np.ndarray):
+        self.terms, self.held, self.rows = terms, held.astype(float), rows.astype(float)
+
+    @classmethod
+    def of(cls, sets: list[np.ndarray], y: np.ndarray) -> Terms:
+        slot = _folds(len(y)) * 2 + y.astype(int)
+        terms, at = np.unique(np.concatenate(sets) if sets else np.zeros(0, U64), return_inverse=True)
+        held = np.zeros((len(terms), FOLDS * 2))
+        np.add.at(held, (at, np.repeat(slot, [len(s) for s in sets])), 1)
+        return cls(terms, held.reshape(-1, FOLDS, 2), np.bincount(slot, minlength=FOLDS * 2).reshape(FOLDS, 2))
+
+    def chosen(self, without: int | None):
+        """(feature terms, terms that mark toxic texts), found in the rows
+        outside the fold ``without``."""
+        use = [k for k in range(FOLDS) if k != without]
+        p, n = self.held[:, use, 1].sum(axis=1), self.held[:, use].sum(axis=(1, 2))
+        neg, pos = self.rows[use].sum(axis=0)
+        odds = np.log((p + .5) / (pos - p + .5)) - np.log((n - p + .5) / (neg - n + p + .5))
+        z = odds / np.sqrt(1 / (p + .5) + 1 / (n - p + .5))
+        some = (z >= MIN_Z) & (n >= MIN_ROWS)
+        return self.terms[some], self.terms[some & (p >= MARK_SHARE * n)]
+
+
+def _features(sets: list[np.ndarray], y: np.ndarray, known: Terms, without: int | None):
+    """(feature terms, rows over them, labels of each category); the terms and
+    the weak labels are found outside the fold ``without``."""
+    vocab, marks = known.chosen(without)
     marked = Rows(sets, marks).dot(np.ones(len(marks)))
     labels = {"abusive_term": y * (marked >= 1), "abusive_repeatedly": y * (marked >= 3), "toxic": y}
     return vocab, Rows(sets, vocab), labels
 
 
-def out_of_fold(sets: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+def out_of_fold(sets: list[np.ndarray], y: np.ndarray, known: Terms | None = None) -> np.ndarray:
     """Probability of each category for each row by models that saw nothing of its fold."""
-    fold = np.arange(len(y)) % FOLDS
-    parts = [_features(sets, y, fold != k)[1:] for k in range(FOLDS)]
+    fold, known = _folds(len(y)), known or Terms.of(sets, y)
+    parts = [_features(sets, y, known, k)[1:] for k in range(FOLDS)]
     before = np.zeros((len(y), 0))
     for name in CATEGORIES:
         out = np.zeros(len(y))
@@ -139,13 +158,15 @@ def out_of_fold(sets: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return before
 
 
-def fit_chain(sets: list[np.ndarray], toxic: np.ndarray) -> dict | None:
-    """Train the chain on term sets and 0/1 labels."""
+def fit_chain(sets: list[np.ndarray], toxic: np.ndarray, known: Terms | None = None) -> dict | None:
+    """Train the chain on term sets and 0/1 labels.  With ``known``, the counts
+    of all terms, the sets need hold the terms only that some fold chooses."""
     y = np.asarray(toxic, float)
     if not len(y) or y.min() == y.max():
         return None
-    before, every = out_of_fold(sets, y), np.ones(len(y), bool)
-    vocab, x, labels = _features(sets, y, every)
+    known = known or Terms.of(sets, y)
+    before, every = out_of_fold(sets, y, known), np.ones(len(y), bool)
+    vocab, x, labels = _features(sets, y, known, None)
     links = [fit_linear(x, before[:, :i], labels[name], every) for i, name in enumerate(CATEGORIES)]
     clean = np.quantile(before[y == 0, -1], 0.999)
     return {"vocab": vocab, "links": links, "threshold": float(np.clip(2 * clean, *THRESHOLD))}
@@ -170,17 +191,70 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS)
         some = known.where(F.col("y") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_per_class)
         chosen = some if chosen is None else chosen.unionByName(some)
 
+    # At most 2 * max_per_class ids: a proven bound for the broadcast.  A doc_id
+    # with several rows is learnt from once.
+    texts = (docs.select(F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("t"))
+             .join(F.broadcast(chosen.withColumnRenamed("doc_id", "key")), "key").groupBy("key", "y").agg(F.min("t").alias("t")))
+    sample = stage(texts.mapInArrow(_sets, "key long, y int, terms binary"), "toxic_sample")
+    place = F.row_number().over(Window.orderBy("key")) - 1   # of the sample's ids
+    folds = sample.select("key", (place % FOLDS).alias("fold"))
+    dealt = stage(sample.join(F.broadcast(folds), "key"), "toxic_folds")
+    known = _counted(dealt)
+    vocab = known.terms
+    got = dealt.select("key", "y", "terms").mapInArrow(_kept(vocab), "key long, y int, terms binary").toArrow().sort_by("key")
+    drop_stage(sample)
+    drop_stage(dealt)
+    return fit_chain([np.frombuffer(t.as_buffer(), U64) for t in got.column("terms")], got.column("y").to_numpy(), known)
+
+
+def _sets(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array([s.tobytes() for s in term_sets(batch.column(2))], pa.binary())],
+            names=["key", "y", "terms"])
+
+
+def _kept(vocab: np.ndarray):
     def run(batches):
         for batch in batches:
+            own = [np.frombuffer(t.as_buffer(), U64) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([s.tobytes() for s in term_sets(batch.column(2))], pa.binary())],
+                [batch.column(0), batch.column(1), pa.array([s[np.isin(s, vocab)].tobytes() for s in own], pa.binary())],
                 names=["key", "y", "terms"])
+    return run
+
 
-    # At most 2 * max_per_class ids: a proven bound for the broadcast.
-    texts = (docs.select(F.col("doc_id").cast("long").alias("key"), F.col("text").alias("t"))
-             .join(F.broadcast(chosen.withColumnRenamed("doc_id", "key")), "key").select("key", "y", "t"))
-    got = texts.mapInArrow(run, "key long, y int, terms binary").toArrow().sort_by([("key", "ascending"), ("y", "ascending")])
-    return fit_chain([np.frombuffer(t.as_buffer(), U64) for t in got.column("terms")], got.column("y").to_numpy())
+def _counted(dealt: DataFrame) -> Terms:
+    """Counts of the terms that some fold's rows may choose, made by Spark; the
+    driver gets those terms alone."""
+    def run(batches):
+        for batch in batches:
+            own = [np.frombuffer(t.as_buffer(), np.int64) for t in batch.column(2)]
+            slot = batch.column(1).to_numpy() * 2 + batch.column(0).to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(own) if own else np.zeros(0, np.int64)), pa.array(np.repeat(slot, [len(s) for s in own]).astype(np.int32))],
+                names=["term", "slot"])
+
+    slots = range(FOLDS * 2)
+    rows = np.zeros(FOLDS * 2)
+    for r in dealt.groupBy((F.col("fold") * 2 + F.col("y")).alias("slot")).count().collect():   # at most 2 * FOLDS rows
+        rows[r["slot"]] = r["count"]
+    terms = dealt.select("y", "fold", "terms").mapInArrow(run, "term long, slot int")
+    terms = terms.groupBy("term").agg(*(F.count(F.when(F.col("slot") == k, 1)).cast("double").alias(f"s{k}") for k in slots))
+    likely = F.lit(False)
+    for without in (None, *range(FOLDS)):
+        use = [k for k in range(FOLDS) if k != without]
+        p = sum((F.col(f"s{2 * k + 1}") for k in use), F.lit(0.0))
+        m = sum((F.col(f"s{2 * k}") for k in use), F.lit(0.0))
+        neg, pos = (float(sum(rows[2 * k + c] for k in use)) for c in (0, 1))
+        odds = F.log((p + .5) / (F.lit(pos) - p + .5)) - F.log((m + .5) / (F.lit(neg) - m + .5))
+        z = odds / F.sqrt(1 / (p + .5) + 1 / (m + .5))
+        likely = likely | ((z >= MIN_Z - 1e-6) & (p + m >= MIN_ROWS))   # decided below, to the last digit
+    got = terms.where(likely).toArrow()
+    found = got.column("term").to_numpy().view(U64)
+    order = np.argsort(found)
+    held = np.column_stack([got.column(f"s{k}").to_numpy() for k in slots])
+    return Terms(found[order], held[order].reshape(-1, FOLDS, 2), rows.reshape(FOLDS, 2))
 
 
 def _scored(docs: DataFrame, chain: dict | None, text_col: str, keep: list[str]) -> DataFrame:

@@ -111,3 +111,27 @@ def test_toxicity_learns_terms_of_few_toxic_rows(spark):
     new = spark.createDataFrame([(1, "you zorgle"), (2, "you idiot"), (3, "w1 x1 fine")], "doc_id long, text string")
     assert [r.is_toxic for r in sorted(toxicity.score(new, chain).collect())] == [True, True, False]
     assert toxicity.THRESHOLD[0] == 0.1
+
+
+def test_toxicity_counts_in_spark_give_the_model_of_whole_sets(spark):
+    docs, lab = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    chain = toxicity.fit(docs, lab, 60)
+    known = lab.groupBy("doc_id").agg(toxicity.F.max("toxic").alias("y"))
+    rows = []
+    for c in (0, 1):
+        rows += known.where(known.y == c).orderBy(toxicity.F.xxhash64("doc_id"), "doc_id").limit(60).join(docs, "doc_id").collect()
+    rows.sort(key=lambda r: r.doc_id)
+    whole = toxicity.fit_chain(list(toxicity.term_sets(toxicity.pa.array([r.text for r in rows]))), np.array([r.y for r in rows]))
+    assert (chain["vocab"] == whole["vocab"]).all() and len(chain["vocab"]) >= 3 and chain["threshold"] == whole["threshold"]
+    for (w, v, b), (w2, v2, b2) in zip(chain["links"], whole["links"]):
+        assert (w == w2).all() and (v == v2).all() and b == b2
+
+
+def test_toxicity_learns_from_a_repeated_id_once(spark):
+    rows = [(i, f"calm words number {i}", 0) for i in range(20)] + [(100 + i, f"awful nasty vile {i}", 1) for i in range(20)]
+    docs = spark.createDataFrame([(i, t, 1.0, "k") for i, t, _ in rows], "doc_id long, text string, fold double, terms string")
+    lab = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    once = toxicity.fit(docs, lab)
+    again = toxicity.fit(docs.unionByName(docs.where("doc_id = 100")).unionByName(docs.where("doc_id = 100")), lab)
+    assert (once["vocab"] == again["vocab"]).all() and once["threshold"] == again["threshold"]
+    assert (once["links"][0][0] == again["links"][0][0]).all()
