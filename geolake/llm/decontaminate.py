@@ -94,7 +94,10 @@ def _found(docs: DataFrame, benchmark: DataFrame, item_col: str, item_text: str)
     hits = stage(hits.select("id", "x", "n", first.alias("first"), F.when(F.col("hit"), F.col("fp")).alias("fp")), "hits")
 
     # The documents that hit: extend and compare the words.
-    by_doc = hits.where("fp is not null").groupBy("id", "x").agg(F.collect_set("fp").alias("fps"))
+    by_doc = stage(hits.where("fp is not null").groupBy("id", "x").agg(F.collect_set("fp").alias("fps")), "by_doc")
+    # The comparison marks the side as selective: Spark builds its runtime Bloom
+    # filter from it, and only texts that hit are shuffled.
+    by_doc = by_doc.where(F.col("x") >= F.lit(-(1 << 63)).cast("long"))
     same = docs.id.eqNullSafe(by_doc.id) & (docs.x == by_doc.x)
     near = docs.join(by_doc, same).select(docs.id, docs.x, "t", "fps").dropDuplicates(["id", "x"])
     near = _hashed(near, "t").select("id", "x", "fps", "words", "n", "h")
