@@ -13,10 +13,16 @@ but its last label), IPv4 addresses, payment cards (Luhn; 13 to
 longest valid one first), IBANs (mod 97, of their country's length;
 of a country not in the table only if no capitals or digits follow), US
 social security numbers, phone numbers (below), dates (yyyy-mm-dd, dd/mm/yyyy,
-dd.mm.yyyy; within blocks of 72,900 days), and credentials (access key ids,
-values after password, token and the like: from 6 characters to the closing
-quote, or without quotes to the next white space or quote, however long; their
-ASCII letters and digits change, other characters stay).
+dd.mm.yyyy; within blocks of 3,600 days, so a date keeps its decade), and
+credentials (access key ids, tokens known by their prefix such as ghp_ and sk-,
+what follows Bearer, values after password, passphrase, token and the like: from
+6 characters to the closing quote, or without quotes to the next white space or
+quote, however long; their ASCII letters and digits change, other characters
+stay).
+
+Formats say what a value is, with one rule of context: four numbers after
+"version", "release" or a v are a version, no address.  Dates need no context, so
+any date changes.
 
 Phone numbers: + and 7 to 15 digits in groups of any size (a (0) after the
 country code included); (ddd) ddd-dddd and ddd ddd dddd, each also after a 1;
@@ -36,13 +42,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-DEFAULT_KEY = "change-me"
+
+
+class Inverse(str):
+    """A key whose pseudonyms are turned back."""
 
 # --- fixed values: the formats looked for (no unbounded repeated group, so the
 # matcher's depth is bounded on any text) -------------------------------------
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z])"
-KEY_ID = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-SECRET = (r"(?i:password|passwd|pwd|token|secret|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}"
+#: Identifiers that begin with their kind; that prefix stays.
+KEY_PREFIX = r"(?:AKIA|ASIA|gh[pousr]_|github_pat_|sk-(?:proj-)?|xox[abprs]-|glpat-|Bearer )"
+KEY_ID = (r"(?<![A-Za-z0-9])(?:A[KS]IA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,}+|github_pat_[0-9A-Za-z_]{20,}+|sk-(?:proj-)?[0-9A-Za-z]{20,}+"
+          r"|xox[abprs]-[0-9A-Za-z-]{10,}+|glpat-[0-9A-Za-z_-]{20,}+|Bearer [0-9A-Za-z._~+/=-]{16,}+)(?![A-Za-z0-9])")
+SECRET = (r"(?i:password|passwd|passphrase|pwd|token|secret|api[_-]?key)[ ]{0,3}[=:][ ]{0,3}"
           r"(?:\"[^\"\r\n]{6,}+\"|'[^'\r\n]{6,}+'|[\"']?[^\s\"']{6,}+)")
 #: Length of an IBAN by country (the registry's and other published ones).
 IBAN_LENGTH = {
@@ -71,7 +83,7 @@ IBAN = (r"(?<![A-Za-z0-9])(?:" + "|".join(f"(?:{c})[0-9]{{2}}(?: ?[A-Z0-9]){{{n
         + r"[A-Z]{2}[0-9]{2}(?: ?(?![A-Z]{2}[0-9]{2} )[A-Z0-9]{4}){2,7}(?: ?(?![A-Z]{2}[0-9]{2})[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
-IPV4 = r"(?<![0-9])(?<![0-9]\.)(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])"
+IPV4 = r"(?<![0-9])(?<![0-9]\.)(?<!(?i:version|release)[ :=]{1,2})(?<![vV])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])"
 #: A run of digits in groups that starts with 13 digits and may hold several cards and
 #: other numbers (_card_run); it stops before a group that begins an address or date.
 _RUN = r"[0-9][0-9 -]{11,}(?<=[0-9])(?![0-9])"
@@ -93,10 +105,13 @@ PHONE = (r"(?<![0-9A-Za-z])\+(?:(?:1|7|30|44|52|90|91)(?:SEP?\(0\))?(?:SEP{0,2}[
          r"|(?<![0-9A-Za-z.-])0[1-9](?:GAP[0-9]{2}){4}(?![0-9]|[.-][0-9])"
          r"|(?<![0-9A-Za-z.-])(?:0[1-9][0-9]{0,3}GAP[0-9]{3,4}GAP[0-9]{3,4}|0[1-9][0-9]{2,4}[ /-][0-9]{6,8})(?![0-9]|[.-][0-9])"
          ).replace("SEP", "[ \u00a0\u202f./()-]").replace("GAP", "[ \u00a0\u202f.-]")
+#: Country codes by their first digits; then (0) or a trunk 0 or 1 of national numbers.
+_PREFIX = (r"^(?:\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})(?:[ \u00a0\u202f./()-]?\(0\))?"
+           r"|\(?0|1(?=[ .(-])|)")
 # ------------------------------------------------------------------------------
 _ANY = "|".join((EMAIL, KEY_ID, SECRET, IBAN, DATE, SSN, IPV4, CARD, PHONE))
-#: Characters without which nothing above can match.
-_HINT = r"[0-9@=:]"
+#: Characters or words without which nothing above can match.
+_HINT = r"[0-9@=:_]|sk-|xox|glpat-|Bearer "
 
 
 def _whole(kind: str) -> str:
@@ -112,7 +127,9 @@ def _element(value: Column, radix: Column, base: Column, char: Column, place: Co
 
 def _permuted(elements: Column, kind: str, key: str) -> Column:
     """The elements after a keyed Feistel network over their halves: in each
-    round the values of one half are shifted by hashes of the other."""
+    round the values of one half are shifted by hashes of the other.  An
+    :class:`Inverse` key takes the rounds back, last first."""
+    sign, rounds = (-1, range(ROUNDS - 1, -1, -1)) if isinstance(key, Inverse) else (1, range(ROUNDS))
     half = F.floor(F.size(elements) / 2).cast("int")
 
     def state(left: Column, right: Column) -> Column:
@@ -127,14 +144,14 @@ def _permuted(elements: Column, kind: str, key: str) -> Column:
 
     def _moved(x: Column, j: Column, d: Column) -> Column:
         draw = F.conv(F.substring(F.sha2(F.concat(d, j.cast("string")), 256), 1, 12), 16, 10).cast("long")
-        return F.when(x.r > 1, _element(F.pmod(x.v + draw, x.r), x.r, x.b, x.c, x.p)).otherwise(x)
+        return F.when(x.r > 1, _element(F.pmod(x.v + draw * sign, x.r), x.r, x.b, x.c, x.p)).otherwise(x)
 
     def turn(acc: Column, i: Column) -> Column:
         return F.when(i % 2 == 0, state(shifted(acc.left, acc.right, i), acc.right)).otherwise(
             state(acc.left, shifted(acc.right, acc.left, i)))
 
     start = state(F.slice(elements, F.lit(1), half), F.slice(elements, half + 1, F.size(elements) - half))
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn, lambda acc: F.concat(acc.left, acc.right))
+    return F.aggregate(F.array(*map(F.lit, rounds)), start, turn, lambda acc: F.concat(acc.left, acc.right))
 
 
 def _chars(text: Column, first: Column, last: Column, hex_only: Column | None = None) -> Column:
@@ -203,12 +220,13 @@ def _email(m: Column, key: str) -> Column:
 
 
 def _key_id(m: Column, key: str) -> Column:
-    return _rewritten(_chars(m, F.lit(4), F.length(m)), "credential", key)
+    kept = F.length(F.regexp_extract(m, "^" + KEY_PREFIX, 0))
+    return _rewritten(_chars(m, kept, F.length(m)), "credential", key)
 
 
 def _secret(m: Column, key: str) -> Column:
     def changed(value: Column) -> Column:
-        chars = _chars(value, F.lit(0), F.length(value), value.rlike("^[0-9a-f]+[^0-9A-Za-z]*$"))
+        chars = _chars(value, F.lit(0), F.length(value), value.rlike("^[0-9a-f]{16,}+[^0-9A-Za-z]*$"))
         return F.concat(m.substr(F.lit(1), F.length(m) - F.length(value)), _rewritten(chars, "credential", key))
     return _bound(F.regexp_extract(m, r"(?s)[=:][ ]{0,3}[\"']?(.*)$", 1), changed)
 
@@ -293,8 +311,16 @@ def _card_run(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    code = F.length(F.regexp_extract(m, r"^(\+[0-9]{1,3}(?=[^0-9])|\+[0-9]|)", 1))
-    return _rewritten(_chars(m, code, F.length(m)), "phone", key)
+    """The country code, a trunk 0 or 1 and brackets before the number stay; a
+    first digit of the number that is not 0 does not become 0."""
+    code = F.length(F.regexp_extract(m, _PREFIX, 0))
+    first = F.length(F.regexp_extract(m, _PREFIX + r"[^0-9]*", 0))
+
+    def with_first(x: Column) -> Column:
+        here = (x.p == first) & (x.b == 48) & (x.r == 10)
+        return F.when(here & (x.v > 0), _element(x.v - 1, F.lit(9), F.lit(49), x.c, x.p)).when(
+            here, _element(F.lit(0), F.lit(1), F.lit(0), x.c, x.p)).otherwise(x)
+    return _rewritten(F.transform(_chars(m, code, F.length(m)), with_first), "phone", key)
 
 
 def _ipv4(m: Column, key: str) -> Column:
@@ -315,12 +341,18 @@ def _ssn(m: Column, key: str) -> Column:
     return F.when(valid, _bound(new, text)).otherwise(m)
 
 
+#: Days from 1970-01-01 to 0001-01-01, where blocks begin, and to the last day
+#: of the last whole block before the year 10000.
+FIRST_DAY = -719162
+LAST_DAY = FIRST_DAY + (2932896 - FIRST_DAY + 1) // 3600 * 3600 - 1
+
+
 def _date(m: Column, key: str) -> Column:
     iso = (F.when(m.substr(F.lit(5), F.lit(1)) == "-", m)
            .otherwise(F.concat_ws("-", m.substr(F.lit(7), F.lit(4)), m.substr(F.lit(4), F.lit(2)), m.substr(F.lit(1), F.lit(2)))))
     day = F.datediff(F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("date"), F.lit("1970-01-01").cast("date"))
-    side = 270
-    inside = F.pmod(day, F.lit(side * side))
+    side = 60
+    inside = F.pmod(day - FIRST_DAY, F.lit(side * side))
     new = _permuted(_numbers([(F.floor(inside / side), side), (inside % side, side)]), "date", key)
 
     def text(e: Column) -> Column:
@@ -328,7 +360,7 @@ def _date(m: Column, key: str) -> Column:
         sep = m.substr(F.lit(3), F.lit(1))
         y, mo, d = (F.date_format(moved, f) for f in ("yyyy", "MM", "dd"))
         return F.when(m.substr(F.lit(5), F.lit(1)) == "-", F.concat_ws("-", y, mo, d)).otherwise(F.concat(d, sep, mo, sep, y))
-    return F.when(day.isNotNull(), _bound(new, text)).otherwise(m)
+    return F.when(day <= LAST_DAY, _bound(new, text)).otherwise(m)
 
 
 def _by_kind(m: Column, key: str, kinds: tuple) -> Column:
@@ -352,13 +384,20 @@ def _replaced(text: Column, pattern: str, use) -> Column:
     return F.array_join(pieces, "")
 
 
-def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ``text_col`` rewritten; all columns kept, in order."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
     text = F.col(text_col)
     new = F.when(text.rlike(_HINT), _replaced(text, _ANY, lambda m: pseudonym(m, key))).otherwise(text)
     return docs.select(*(new.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
 
 
+def restore(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
+    """``docs`` pseudonymised with ``key``, turned back."""
+    return pseudonymise(docs, Inverse(key), text_col)
+
+
 def count_found(text: Column) -> Column:
     """Values of the looked-for formats in a text (before validation; a run of
     digit groups counts the values found in it, at least 1)."""
