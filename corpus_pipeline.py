@@ -34,7 +34,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by format-preserving pseudonyms."""
     prepare(spark)
-    return pii.pseudonymise(docs)
+    return pii.pseudonymise(docs, catalog.pii_key(spark))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
