@@ -750,6 +750,21 @@ def boxes_input(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (south + (k % 3) * 0.7).alias("north"), (west + (k % 4) * 0.6).alias("east"))
 
 
+def french_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as points in the French systems, a code each in turn."""
+    from ..functions import crs as C
+    from ..functions.geometry import xy
+    k, codes = F.col("p_partkey"), C.FRENCH_CODES
+    place = {c: (C.conic(c).x0, C.conic(c).y0) if C.conic(c) else (250000.0, 5900000.0) for c in codes}
+    code, x0, y0 = (F.array(*map(F.lit, v)) for v in (codes, *zip(*(place[c] for c in codes))))
+    at = (k % len(codes)).cast("int")
+    step = F.expr(f"p_partkey div {len(codes)}")
+    x = F.get(x0, at) + ((step % 41) - 20) * 10000.0
+    y = F.get(y0, at) + ((F.expr(f"p_partkey div {41 * len(codes)}") % 31) - 15) * 10000.0
+    point = F.struct(F.lit("Point").alias("type"), F.array(F.array(F.array(xy(x, y)))).alias("parts"))
+    return table(spark, sf_dir, "part").select("p_partkey", F.get(code, at).alias("src_epsg"), point.alias("geom"))
+
+
 def box_assign_input(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """customer as elements of one or two places, a third of them at one spot;
     supplier as boxes from a street to the world, overlapping."""

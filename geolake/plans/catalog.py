@@ -288,6 +288,12 @@ def q_reproject_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(flatten_geom(rows.withColumn("geom", to_wgs84(F.col("geom"), F.col("src_epsg")))))
 
 
+def q_reproject_french(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions.crs import FRENCH_CODES, to_wgs84
+    rows = B.french_points(spark, sf_dir)
+    return round_doubles(flatten_geom(rows.withColumn("geom", to_wgs84(F.col("geom"), F.col("src_epsg"), FRENCH_CODES))))
+
+
 def q_parse_multigeom(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
     from ..functions.wkt import parse_wkt
@@ -408,6 +414,7 @@ def queries() -> dict[str, Query]:
         "exposure_region_shapes": q_exposure_region_shapes,
         "exposure_region_rings": q_exposure_region_rings,
         "reproject_utm": q_reproject_utm,
+        "reproject_french": q_reproject_french,
         "parse_multigeom": q_parse_multigeom,
         "exposure_ring_corners": q_exposure_ring_corners,
         "exposure_polygons": q_exposure_polygons,

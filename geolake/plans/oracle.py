@@ -427,6 +427,41 @@ def sql_utm(x: str, y: str, zone: int, south: bool) -> tuple[str, str]:
     return f"degrees({D(math.radians(6 * zone - 183))} + atan2(sinh({eta1}), cos({xi1})))", f"degrees({lat})"
 
 
+def _french_sql() -> str:
+    """The French systems in SQL: a table of constants, the inverse conic, the
+    datum shift and the inverse Mercator, column by column."""
+    import math
+    from ..functions import crs as C
+    rows = []
+    for i, code in enumerate(C.FRENCH_CODES):
+        c = C.conic(code)
+        v = (c.n, c.af, c.rho0, c.lon0, c.x0, c.y0, c.e, c.a) if c else (1.0, 1.0, 1.0, 0.0, 250000.0, 5900000.0, 0.0, C.GRS80_A)
+        shift = c.shift if c and c.shift else (0.0, 0.0, 0.0)
+        rows.append(f"({i}, {code}, {str(bool(c and c.shift)).lower()}, {', '.join(D(x) for x in (*v, *shift))})")
+    phi = f"({D(math.pi / 2)} - {D(2.0)} * atan(t))"
+    for _ in range(C._ITER):
+        phi = f"({D(math.pi / 2)} - {D(2.0)} * atan(t * pow({D(2.0)} / ({D(1.0)} + e * sin({phi})) - {D(1.0)}, e / {D(2.0)})))"
+    a, b = C.GRS80_A, C.GRS80_A * (1 - C.GRS80_F)
+    f2, g2 = 1 - (b / a) ** 2, (a / b) ** 2 - 1
+    n = len(C.FRENCH_CODES)
+    return f"""
+WITH k AS (SELECT * FROM (VALUES {', '.join(rows)}) v(i, code, shifted, n, af, rho0, lon0, x0, y0, e, a, dx, dy, dz)),
+p AS (SELECT p_partkey, code, k.* EXCLUDE (code), x0 + ((p_partkey // {n}) % 41 - 20) * {D(10000.0)} AS x,
+             y0 + ((p_partkey // {41 * n}) % 31 - 15) * {D(10000.0)} AS y FROM part JOIN k ON p_partkey % {n} = i),
+c AS (SELECT *, x - x0 AS px, rho0 - (y - y0) AS py FROM p),
+t AS (SELECT *, pow(sqrt(px * px + py * py) / af, {D(1.0)} / n) AS t, atan2(px, py) / n + lon0 AS lam FROM c WHERE code <> {C.MERCATOR_CODE}),
+g AS (SELECT *, {phi} AS phi, e * e AS e2 FROM t),
+v AS (SELECT *, a / sqrt({D(1.0)} - e2 * sin(phi) * sin(phi)) AS v FROM g),
+q AS (SELECT *, v * cos(phi) * cos(lam) + dx AS gx, v * cos(phi) * sin(lam) + dy AS gy, v * ({D(1.0)} - e2) * sin(phi) + dz AS gz FROM v),
+u AS (SELECT *, sqrt(gx * gx + gy * gy) AS r, atan2(gz * {D(a)}, sqrt(gx * gx + gy * gy) * {D(b)}) AS u FROM q),
+o AS (SELECT p_partkey, code, CASE WHEN shifted THEN degrees(atan2(gy, gx)) ELSE degrees(lam) END AS lon,
+             CASE WHEN shifted THEN degrees(atan2(gz + {D(g2 * b)} * pow(sin(u), 3), r - {D(f2 * a)} * pow(cos(u), 3))) ELSE degrees(phi) END AS lat FROM u
+      UNION ALL
+      SELECT p_partkey, code, degrees(x / {D(a)}), degrees(atan(sinh(y / {D(a)}))) FROM p WHERE code = {C.MERCATOR_CODE})
+SELECT p_partkey, CAST(code AS INTEGER) AS src_epsg, {point_stats('lon', 'lat')} FROM o
+"""
+
+
 def geometry_oracles() -> dict[str, str]:
     from . import bindings as B
     from ..functions import crs as C
@@ -445,6 +480,7 @@ p AS (SELECT p_partkey, src_epsg,
 g AS (SELECT p_partkey, src_epsg, {lon} AS lon, {lat} AS lat FROM p)
 SELECT p_partkey, src_epsg, {point_stats('lon', 'lat')} FROM g
 """}
+    q["reproject_french"] = _french_sql()
     q["parse_multigeom"] = """
 WITH k AS (SELECT p_partkey, p_partkey % 4 AS kind, CASE p_partkey % 4 WHEN 0 THEN 3 WHEN 1 THEN 4 WHEN 2 THEN 5 END AS n, p_size FROM part),
 f AS (SELECT *, unnest(['wkt', 'geojson']) AS form FROM k)
