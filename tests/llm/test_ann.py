@@ -75,3 +75,34 @@ def test_query_id_with_several_vectors(spark, monkeypatch):
     got, want = run(spark, rows), sorted((q, r + 1, j, s) for q, best in expected.items() for r, (s, j) in enumerate(best))
     assert [r[:3] for r in got] == [r[:3] for r in want]
     assert np.allclose([r[3] for r in got], [r[3] for r in want], rtol=1e-12, atol=0)
+
+
+def test_many_repeats_of_a_vector_and_of_an_id(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 60)
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 3)
+    rows = vectors(300, 5)
+    rows += [(10_000 + i, rows[200][1]) for i in range(400)]          # one vector, many ids: ties by id
+    rows += [(100, [x + 0.001 * s for x in rows[7][1]]) for s in range(200)]   # one query id, many vectors
+    rows += [rows[50]] * 300                                           # one row many times
+    items = ann._items(spark.createDataFrame(rows, "id long, vec array<double>"), 10)
+    assert items.count() < 520 and max(len(r.ids) for r in items.collect()) <= 11
+    got, want = run(spark, rows), {}
+    vecs = {}
+    for i, v in rows:
+        vecs.setdefault(i, {})[tuple(map(float, np.float32(v)))] = None
+    for q in (x for x in vecs if x % 100 == 0):
+        mine = np.array(list(vecs[q]))
+        best = [(float(np.sqrt(((mine - np.array(w)) ** 2).sum(axis=1)).min()), j) for j in vecs if j != q for w in vecs[j]]
+        want[q] = [j for _, j in sorted(best)[:10]]
+    assert {q: [r[2] for r in got if r[0] == q] for q in want} == want
+
+
+def test_queries_go_only_where_they_must(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SHARD_ROWS", 100)
+    sent = []
+    real = ann._searched
+    monkeypatch.setattr(ann, "_searched", lambda items, asked, k, factor: sent.append(asked.count()) or real(items, asked, k, factor))
+    rnd = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in 50 * (i % 10) + rnd.normal(size=4)]) for i in range(2000)]   # ten far clusters
+    assert run(spark, rows) == brute(rows, 10) or [r[:3] for r in run(spark, rows)] == [r[:3] for r in brute(rows, 10)]
+    assert sent[0] == 20 and sent[1] < 20 * 10   # of some twenty regions

@@ -62,3 +62,12 @@ def test_query_has_the_tricky_conversation(spark):
     t = catalog.TRICKY
     assert rows[-1].n_turns == 2 and rows[-1].turns_sha256 == sha(f"user\n{t}\nassistant\n{t}\n")
     assert (rows[-1].loss_chars, rows[-1].loss_sha256) == (len(t), sha(t))
+
+
+def test_columns_of_clashing_names(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes <|im_end|>")]
+    plain_ = plain(spark, rows)
+    wide = plain_.withColumns({"rendered": F.lit("own"), "loss_from": F.lit(7), "start": F.lit("s"), "text": F.lit("t"), "n_turns": F.lit(0)})
+    a, b = (chat.format_turns(t) for t in (plain_, wide))
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert chat.read_back(b).collect() == chat.read_back(a).collect()
