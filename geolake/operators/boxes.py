@@ -3,8 +3,10 @@
 A box is entered in the cells of the level whose cells are just as large as its
 longer side, so four cells cover it, be it the world or a house; a point looks
 up its cell on each level that some box uses.  Rows and boxes meet by an
-equi-join on (level, cell) and are refined by the exact, inclusive test.  A cell that holds more than a thousandth of all lookups is salted: its
-points are dealt over several keys, its boxes repeated for each.
+equi-join on (level, cell) and are refined by the exact, inclusive test.  Rows
+are dealt evenly over the tasks first.  A cell that holds more than a thousandth
+of all lookups is salted: its points are dealt over several keys, its boxes
+repeated for each.
 
 Defined cases: a row has any number of points (nothing matches without one) and
 comes out once for each box that holds one of them, twice for two boxes of one
@@ -43,8 +45,9 @@ def box_cells(boxes: DataFrame, code: str = "departement") -> DataFrame:
     whole = named.where((F.col("s") <= F.col("n")) & (F.col("w") <= F.col("e")) & ~F.isnan("n") & ~F.isnan("e"))
     end = {c: F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.col(c))) for c in "swne"}
     longer = F.greatest(end["n"] - end["s"], end["e"] - end["w"])
-    level = F.greatest(F.lit(0), F.least(F.lit(LEVELS - 1), F.ceil(F.log2(longer / CELL)).cast("int")))
-    at = whole.withColumn("level", F.coalesce(level, F.lit(0)))   # a box of one point has no longer side
+    # A box of one point has no logarithm, and least() skips a NULL: level 0.
+    fits = F.when(longer > CELL, F.ceil(F.log2(longer / CELL)).cast("int")).otherwise(F.lit(0))
+    at = whole.withColumn("level", F.least(F.lit(LEVELS - 1), fits))
     for c, (lo, hi) in (("cy", "sn"), ("cx", "we")):
         at = at.withColumn(c, F.explode(F.sequence(_cell(end[lo], F.col("level")), _cell(end[hi], F.col("level")))))
     return at
@@ -63,14 +66,20 @@ def assign_to_boxes(df: DataFrame, points: Column, boxes: DataFrame, code: str =
 
     def known(v: Column) -> Column:
         return F.coalesce(F.abs(v) < LIMIT, F.lit(False))   # NaN is above every number
-    found = F.filter(points, lambda p: known(p["lat"]) & known(p["lon"]))
-    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("own"), found.alias("p"))
+    found = F.array_distinct(F.filter(points, lambda p: known(p["lat"]) & known(p["lon"])))
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("own"), found.alias("p")).where(F.size("p") > 0)
 
-    def key(p: Column, level: Column) -> Column:
-        return F.struct(level.alias("level"), _cell(p["lat"], level).alias("cy"), _cell(p["lon"], level).alias("cx"))
+    # A row's work are the boxes of its cells, which the size of a file does not
+    # tell: rows are dealt out evenly before.
+    dealt = rows.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    # A lookup carries its point in columns of their own, for a compiled test,
+    # and the row's points before it (NULL for the first).
     used = F.array(*(F.lit(i).cast("int") for i in sorted(levels))) if levels else F.array().cast("array<int>")
-    keys = F.array_distinct(F.flatten(F.transform(used, lambda i: F.transform("p", lambda p: key(p, i)))))
-    asked = rows.select("own", "p", F.explode(keys).alias("at")).select("own", "p", "at.*")
+    each_point = dealt.select("own", "p", F.posexplode("p").alias("i", "at")).select(
+        "own", F.col("at.lat").cast("double").alias("lat"), F.col("at.lon").cast("double").alias("lon"),
+        F.when(F.col("i") > 0, F.slice("p", F.lit(1), F.col("i"))).alias("before"), F.explode(used).alias("level"))
+    asked = each_point.select("*", _cell(F.col("lat"), F.col("level")).alias("cy"), _cell(F.col("lon"), F.col("level")).alias("cx"))
 
     # Cells by their share of the lookups: under HOT_SHARE of them are salted.
     total = (rows.agg(F.sum(F.size("p"))).first()[0] or 0) * len(levels)
@@ -78,14 +87,15 @@ def assign_to_boxes(df: DataFrame, points: Column, boxes: DataFrame, code: str =
     busy = asked.groupBy(*_KEY).agg(F.count("*").alias("c")).where(F.col("c") > share).select(
         *_KEY, F.ceil(F.col("c") / share).cast("int").alias("salts"))
     salted = asked.join(F.broadcast(busy), _KEY, "left").withColumn(
-        "salt", F.pmod(F.xxhash64("p", F.monotonically_increasing_id()), F.coalesce("salts", F.lit(1)))).drop("salts")
+        "salt", F.pmod(F.xxhash64("lat", "lon", F.monotonically_increasing_id()), F.coalesce("salts", F.lit(1)))).drop("salts")
     each = cells.join(F.broadcast(busy), _KEY, "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)).cast("long") - 1))).drop("salts")
 
-    # A row meets a box in each of its cells with a point of the row: it comes
-    # out of the first of those that have one inside the box.
-    def inside(p: Column) -> Column:
-        return p["lat"].between(F.col("s"), F.col("n")) & p["lon"].between(F.col("w"), F.col("e"))
-    first = F.array_min(F.transform(F.filter("p", inside), lambda p: key(p, F.col("level"))))
-    met = salted.join(each, [*_KEY, "salt"]).where(first == F.struct(*_KEY))
+    # A point meets a box in one cell: the row comes out of the first of its
+    # points inside the box.
+    def inside(lat: Column, lon: Column) -> Column:
+        return lat.between(F.col("s"), F.col("n")) & lon.between(F.col("w"), F.col("e"))
+    again = F.exists("before", lambda p: inside(p["lat"], p["lon"]))
+    met = salted.join(each, [*_KEY, "salt"]).where(
+        inside(F.col("lat"), F.col("lon")) & (F.col("before").isNull() | ~again))
     return met.select("own.*", F.col("code").alias(code))

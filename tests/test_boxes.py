@@ -76,3 +76,15 @@ def test_the_plan_has_no_nested_loop(spark):
     r, b = spark.createDataFrame([(1, "a", [(0.0, 0.0)])], ROW), spark.createDataFrame([("a", 0.0, 0.0, 1.0, 1.0, 0)], BOX)
     plan = X.assign_to_boxes(r, F.col("p"), b)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_box_of_one_point_is_on_the_finest_level(spark):
+    b = spark.createDataFrame([("dot", 1.5, 2.5, 1.5, 2.5, 0), ("line", 1.5, 2.5, 1.5, 3.0, 0)], BOX)
+    levels = {r.code: r.level for r in X.box_cells(b).collect()}
+    assert levels["dot"] == 0 and 2.0 ** levels["line"] * X.CELL == 0.5
+
+
+def test_rows_of_one_file_are_dealt_out_before_their_lookups(spark):
+    r, b = spark.createDataFrame([(1, "a", [(0.0, 0.0)])], ROW), spark.createDataFrame([("a", 0.0, 0.0, 1.0, 1.0, 0)], BOX)
+    plan = X.assign_to_boxes(r.coalesce(1), F.col("p"), b)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 4, true" in plan   # the session's number of shuffle partitions
