@@ -15,6 +15,8 @@ repeated results.  A vocabulary without all 256 single bytes is refused.
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,8 @@ from pyspark.sql import functions as F
 
 #: Pre-tokens whose ids a task keeps at most (memory bound; no effect on ids).
 CACHE_ENTRIES = 200_000
+#: Characters of the texts that are cut at a time, or one longer text.
+GROUP_CHARS = 1 << 20
 
 _TO_CHAR = {i: chr(0x100 + i) for i in range(256)}
 
@@ -92,28 +96,39 @@ class Codec:
         self.cache: dict[str, bytes] = {}
 
     def _learn(self, new: list[str]) -> None:
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        raws = [t.encode() for t in new]
         rest = []
-        for token, raw in zip(new, raws):
+        for token, raw in zip(new, map(str.encode, new)):
             if raw in self.whole:
                 self.cache[token] = self.whole[raw].to_bytes(4, "little")
             else:
                 rest.append((token, byte_map(raw)))
-        for (token, _), ids in zip(rest, self.sp.encode([m for _, m in rest], num_threads=1) if rest else ()):
-            self.cache[token] = self.rank_of[ids].tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        tokens = self.split(text)
-        try:
-            return b"".join(map(self.cache.__getitem__, tokens))
-        except KeyError:
-            self._learn(list({t for t in tokens if t not in self.cache}))
-            if any(t not in self.cache for t in tokens):  # the cache was emptied
-                self._learn(list(set(tokens)))
-            return b"".join(map(self.cache.__getitem__, tokens))
+        if not rest:
+            return
+        ids = self.sp.encode([m for _, m in rest], num_threads=1)
+        packed, at = self.rank_of[list(chain.from_iterable(ids))].tobytes(), 0
+        for (token, _), own in zip(rest, ids):
+            end = at + 4 * len(own)
+            self.cache[token], at = packed[at:end], end
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers; what is
+        new in any of the texts is learnt at once."""
+        if len(self.cache) > CACHE_ENTRIES:
+            self.cache.clear()
+        cut = [self.split(t) for t in texts]
+        self._learn(list(set().union(*cut).difference(self.cache)))
+        return [b"".join(map(self.cache.__getitem__, tokens)) for tokens in cut]
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of any number of texts, GROUP_CHARS characters at a time."""
+        group, size = [], 0
+        for t in texts:
+            group.append(t)
+            size += len(t)
+            if size >= GROUP_CHARS:
+                yield from self.encode(group)
+                group, size = [], 0
+        yield from self.encode(group)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.raw_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -135,7 +150,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str,
     def run(batches):
         codec = make()
         for batch in batches:
-            ids = [codec.encode(t or "") for t in batch.column(1).to_pylist()]
+            ids = list(codec.encode_all([t or "" for t in batch.column(1).to_pylist()]))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()),
                 pa.array(ids, pa.binary()), pa.array([codec.decode(x) for x in ids], pa.binary())], schema=schema)

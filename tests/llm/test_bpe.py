@@ -64,3 +64,26 @@ def test_query_on_data(spark, reference):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_new_words_of_many_texts_are_learnt_in_one_call(reference):
+    codec = bpe._codec_maker(RANKS, P.PATTERN)()
+    calls, encode = [], codec.sp.encode
+
+    class Counted:
+        def encode(self, words, **more):
+            calls.append(len(words))
+            return encode(words, **more)
+    codec.sp = Counted()
+    texts = [f"qzxv{i}kwj xkcdq{i % 7}vv" for i in range(200)]
+    want = [b"".join(i.to_bytes(4, "little") for i in reference.encode_ordinary(t)) for t in texts]
+    assert codec.encode(texts) == want and len(calls) == 1
+    assert codec.encode(texts) == want and len(calls) == 1   # known by now
+
+
+def test_groups_of_texts_change_nothing(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "GROUP_CHARS", 10)
+    codec = bpe._codec_maker(RANKS, P.PATTERN)()
+    texts = [t or "" for t in TEXTS] * 2
+    assert [len(x) // 4 for x in codec.encode_all(texts)] == [len(reference.encode_ordinary(t)) for t in texts]
+    assert list(codec.encode_all([])) == []
