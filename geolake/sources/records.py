@@ -166,7 +166,8 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ",
     out = None
     for text in texts:
         names = header_names(text, sep)
-        mine = records.join(heads.where(F.col("head") == text).select("file", "at"), "file").where(
+        # One row per file is sent out: the records stay where they are, in order.
+        mine = records.join(F.broadcast(heads.where(F.col("head") == text).select("file", "at")), "file").where(
             F.struct("split", "row") != F.col("at"))
         rows = mine.select(_fields(F.col("value"), names, sep).alias("r"), F.col("file").alias("_file"),
                            F.struct("file", "split", "row").alias("_place"))
